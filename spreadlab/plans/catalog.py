@@ -124,3 +124,152 @@ def q_single_pnl_daily(spark, sf_dir):
     """Single-symbol next-bar PnL per day (R2 + A3)."""
     d = report.pnl_daily(_single_rows(spark, sf_dir))
     return d.select("date", "rows", r6("sum_pnl").alias("sum_pnl"), r6("avg_pnl").alias("avg_pnl"))
+
+
+# ---------------------------------------------------------------------------
+# screening (hourly bars, 60-day window)
+# ---------------------------------------------------------------------------
+from ..functions.mathfn import SCREEN_MIN_ABS_CORR, eg_tau_threshold  # noqa: E402
+from ..operators import screen  # noqa: E402
+
+TAU_STAR = eg_tau_threshold(0.05)
+
+
+def _win_sql(days: int) -> str:
+    return f"""win AS (SELECT symbol, ts, close, date FROM bars1h
+  WHERE date >= CAST(DATE '{AS_OF}' - INTERVAL {days} DAY AS DATE))"""
+
+
+O.CTE["win"] = _win_sql(60)
+O.DEPS["win"] = ["bars1h"]
+O.CTE["filled"] = """grid AS (
+  SELECT t.ts, s.symbol, w.close
+  FROM (SELECT DISTINCT ts FROM win) t CROSS JOIN (SELECT DISTINCT symbol FROM win) s
+  LEFT JOIN win w ON w.ts = t.ts AND w.symbol = s.symbol),
+filled0 AS (
+  SELECT ts, symbol, last_value(close IGNORE NULLS) OVER (
+      PARTITION BY symbol ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cf
+  FROM grid),
+filled AS (
+  SELECT ts, symbol, cf AS close, lag(cf) OVER (PARTITION BY symbol ORDER BY ts) AS close_prev
+  FROM filled0 WHERE symbol NOT IN (SELECT symbol FROM filled0 WHERE cf IS NULL))"""
+O.DEPS["filled"] = ["win"]
+O.CTE["pr"] = """pr AS (
+  SELECT a.ts, a.symbol AS sym_a, b.symbol AS sym_b, a.close AS a, b.close AS b,
+         a.close_prev AS a_prev, b.close_prev AS b_prev
+  FROM filled a JOIN filled b ON a.ts = b.ts AND a.symbol < b.symbol)"""
+O.DEPS["pr"] = ["filled"]
+O.CTE["stats"] = f"""st0 AS (
+  SELECT sym_a, sym_b, count(*) AS n, corr(a, b) AS corr, stddev_pop(a) AS std_a, stddev_pop(b) AS std_b,
+         regr_slope(a, b) AS beta, regr_intercept(a, b) AS alpha, regr_r2(a, b) AS r2,
+         var_pop(a_prev) AS v_p
+  FROM pr GROUP BY sym_a, sym_b),
+resid AS (
+  SELECT p.sym_a, p.sym_b, p.ts, p.a - s.alpha - s.beta * p.b AS e
+  FROM pr p JOIN st0 s ON p.sym_a = s.sym_a AND p.sym_b = s.sym_b),
+lagged AS (
+  SELECT sym_a, sym_b, lag(e) OVER (PARTITION BY sym_a, sym_b ORDER BY ts) AS x,
+         e - lag(e) OVER (PARTITION BY sym_a, sym_b ORDER BY ts) AS y
+  FROM resid),
+adf AS (
+  SELECT sym_a, sym_b, count(*) AS n1, sum(x * x) AS sxx, sum(x * y) AS sxy, sum(y * y) AS syy
+  FROM lagged WHERE x IS NOT NULL GROUP BY sym_a, sym_b),
+st1 AS (
+  SELECT s.*, CASE WHEN d.sxx > 1e-12::DOUBLE * d.n1 * (s.v_p + 1e-300::DOUBLE) AND d.n1 > 2
+                        AND d.syy - d.sxy * d.sxy / d.sxx > 0
+                   THEN (d.sxy / d.sxx) / sqrt((d.syy - d.sxy * d.sxy / d.sxx) / (d.n1 - 1) / d.sxx) END AS tau
+  FROM st0 s JOIN adf d ON s.sym_a = d.sym_a AND s.sym_b = d.sym_b),
+stats AS (SELECT *, {O.eg_pvalue_sql('tau')} AS pvalue FROM st1)"""
+O.DEPS["stats"] = ["pr"]
+O.CTE["screened"] = f"""screened AS (
+  SELECT sym_a, sym_b, corr, pvalue FROM stats
+  WHERE std_a <> 0 AND std_b <> 0 AND abs(corr) >= {SCREEN_MIN_ABS_CORR!r}::DOUBLE
+    AND tau IS NOT NULL AND tau < {TAU_STAR!r}::DOUBLE)"""
+O.DEPS["screened"] = ["stats"]
+
+
+def _window_bars(spark, sf_dir, days=60):
+    return screen.recent(bars(spark, sf_dir, 3600), AS_OF, days)
+
+
+def _stats(spark, sf_dir):
+    return screen.screen_stats(bars(spark, sf_dir, 3600), AS_OF, 60)
+
+
+@query("recent_60d", O.with_ctes(["win"], "SELECT symbol, ts, close, date FROM win"))
+def q_recent_60d(spark, sf_dir):
+    """hourly bars of the trailing 60 days before the as-of date."""
+    return _window_bars(spark, sf_dir, 60).select("symbol", "ts", "close", "date")
+
+
+O.CTE["win10"] = _win_sql(10).replace("win AS", "win10 AS", 1)
+O.DEPS["win10"] = ["bars1h"]
+
+
+@query("recent_10d", O.with_ctes(["win10"], "SELECT symbol, ts, close, date FROM win10"))
+def q_recent_10d(spark, sf_dir):
+    """F3 with a 10-day window (the cut is active)."""
+    return _window_bars(spark, sf_dir, 10).select("symbol", "ts", "close", "date")
+
+
+@query("pivot_close", O.with_ctes(["win"],
+       "SELECT * FROM (PIVOT (SELECT ts, symbol, close FROM win) ON symbol USING max(close) GROUP BY ts)"))
+def q_pivot_close(spark, sf_dir):
+    """A1: wide close matrix (ts x symbol) of the screening window."""
+    return screen.pivot_close(_window_bars(spark, sf_dir))
+
+
+@query("ffill_grid", O.with_ctes(["filled"], "SELECT ts, symbol, close, close_prev FROM filled"))
+def q_ffill_grid(spark, sf_dir):
+    """J8 + W7: dense grid, forward-filled, leading-gap symbols dropped."""
+    w = _window_bars(spark, sf_dir)
+    syms = screen.symbol_list(w)
+    return screen.ffill_grid(screen.dense_grid(w, syms))
+
+
+@query("corr_pairs", O.with_ctes(["stats"], """
+SELECT sym_a, sym_b, n, round(corr, 6) AS corr, round(std_a, 6) AS std_a, round(std_b, 6) AS std_b FROM stats"""))
+def q_corr_pairs(spark, sf_dir):
+    """Pearson correlation and population std per pair on filled levels."""
+    s = _stats(spark, sf_dir)
+    return s.select("sym_a", "sym_b", "n", r6("corr").alias("corr"), r6("std_a").alias("std_a"),
+                    r6("std_b").alias("std_b"))
+
+
+@query("hedge_beta", O.with_ctes(["stats"], """
+SELECT sym_a, sym_b, round(beta, 6) AS beta, round(alpha, 6) AS alpha, round(r2, 6) AS r2 FROM stats"""))
+def q_hedge_beta(spark, sf_dir):
+    """OLS hedge ratio a = alpha + beta b per pair."""
+    s = _stats(spark, sf_dir)
+    return s.select("sym_a", "sym_b", r6("beta").alias("beta"), r6("alpha").alias("alpha"), r6("r2").alias("r2"))
+
+
+@query("eg_tau", O.with_ctes(["stats"], """
+SELECT sym_a, sym_b, round(tau, 6) AS tau, round(pvalue, 6) AS pvalue FROM stats"""))
+def q_eg_tau(spark, sf_dir):
+    """M2 (lag 0): Engle-Granger tau and MacKinnon p-value per pair."""
+    s = _stats(spark, sf_dir)
+    return s.select("sym_a", "sym_b", r6("tau").alias("tau"), r6("pvalue").alias("pvalue"))
+
+
+@query("screened_pairs", O.with_ctes(["screened"], """
+SELECT sym_a, sym_b, round(corr, 6) AS corr, round(pvalue, 6) AS pvalue FROM screened"""))
+def q_screened_pairs(spark, sf_dir):
+    """M1: pairs passing |corr| >= 0.7 and p < 0.05."""
+    p = screen.screen_gate(_stats(spark, sf_dir))
+    return p.select("sym_a", "sym_b", r6("corr").alias("corr"), r6("pvalue").alias("pvalue"))
+
+
+@query("screened_symbols", O.with_ctes(["screened"], """
+SELECT DISTINCT replace(symbol, '/', '') AS symbol FROM (
+  SELECT sym_a AS symbol FROM screened UNION ALL SELECT sym_b FROM screened)"""))
+def q_screened_symbols(spark, sf_dir):
+    """Sorted distinct legs of the screened pairs."""
+    return screen.pair_symbols(screen.screen_gate(_stats(spark, sf_dir)))
+
+
+@query("eg_tau_aic")
+def q_eg_tau_aic(spark, sf_dir):
+    """M2 with AIC lag selection (grouped map per pair; rows-only check)."""
+    return screen.eg_tau_aic(bars(spark, sf_dir, 3600), AS_OF, 60).select(
+        "sym_a", "sym_b", "lags", r6("tau").alias("tau"), r6("pvalue").alias("pvalue"), "nobs")

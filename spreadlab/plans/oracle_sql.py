@@ -76,3 +76,27 @@ def with_ctes(names, body: str, extra: dict | None = None, extra_deps: dict | No
     for n in names:
         visit(n)
     return "WITH " + ",\n".join(ctes[n] for n in order) + "\n" + body
+
+
+# --- numeric helpers as SQL text (same formulas as functions.mathfn) ----------
+def _horner_sql(x: str, coefs) -> str:
+    acc = f"{float(coefs[-1])!r}::DOUBLE"
+    for c in reversed(coefs[:-1]):
+        acc = f"({float(c)!r}::DOUBLE + {x} * {acc})"
+    return acc
+
+
+def norm_cdf_sql(x: str) -> str:
+    from ..functions.mathfn import AS_B, AS_P, INV_SQRT_2PI
+    t = f"(1.0::DOUBLE / (1.0::DOUBLE + {AS_P!r}::DOUBLE * abs({x})))"
+    upper = f"({INV_SQRT_2PI!r}::DOUBLE * exp(-({x} * {x}) / 2.0::DOUBLE) * ({t} * {_horner_sql(t, AS_B)}))"
+    return f"(CASE WHEN {x} >= 0 THEN 1.0::DOUBLE - {upper} ELSE {upper} END)"
+
+
+def eg_pvalue_sql(tau: str) -> str:
+    from ..functions.mathfn import EG_LARGE, EG_SMALL, EG_TAU_MAX, EG_TAU_MIN, EG_TAU_STAR
+    small = norm_cdf_sql(_horner_sql(tau, EG_SMALL))
+    large = norm_cdf_sql(_horner_sql(tau, EG_LARGE))
+    return (f"(CASE WHEN {tau} IS NULL THEN NULL WHEN {tau} < {EG_TAU_MIN!r} THEN 0.0::DOUBLE "
+            f"WHEN {tau} > {EG_TAU_MAX!r} THEN 1.0::DOUBLE WHEN {tau} <= {EG_TAU_STAR!r} THEN {small} "
+            f"ELSE {large} END)")
