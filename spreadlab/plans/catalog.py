@@ -273,3 +273,158 @@ def q_eg_tau_aic(spark, sf_dir):
     """M2 with AIC lag selection (grouped map per pair; rows-only check)."""
     return screen.eg_tau_aic(bars(spark, sf_dir, 3600), AS_OF, 60).select(
         "sym_a", "sym_b", "lags", r6("tau").alias("tau"), r6("pvalue").alias("pvalue"), "nobs")
+
+
+# ---------------------------------------------------------------------------
+# 5-minute features, pair features, dataset
+# ---------------------------------------------------------------------------
+from ..operators import dataset as ds  # noqa: E402
+from ..operators import features as feat  # noqa: E402
+
+
+def _screened(spark, sf_dir):
+    return screen.screen_gate(_stats(spark, sf_dir)).select("sym_a", "sym_b")
+
+
+def _restricted_5m(spark, sf_dir):
+    """5-minute bars of the screened symbols (left-semi on the leg set)."""
+    legs = screen.pair_symbols(_screened(spark, sf_dir))
+    return bars(spark, sf_dir, 300).join(legs, "symbol", "left_semi")
+
+
+O.CTE["legs"] = """legs AS (SELECT sym_a AS symbol FROM screened UNION SELECT sym_b FROM screened)"""
+O.DEPS["legs"] = ["screened"]
+O.CTE["r5"] = """r5 AS (SELECT * FROM bars5m WHERE symbol IN (SELECT symbol FROM legs))"""
+O.DEPS["r5"] = ["legs", "bars5m"]
+
+
+@query("restrict_screened", O.with_ctes(["r5"],
+       "SELECT symbol, ts, open, high, low, close, volume, date FROM r5"))
+def q_restrict_screened(spark, sf_dir):
+    """5-minute bars restricted to the symbols of the screened pairs."""
+    return _restricted_5m(spark, sf_dir).select(*BAR_COLS)
+
+
+O.CTE["feat"] = """f0 AS (
+  SELECT ts, symbol, close, date,
+         CASE WHEN close > 0 THEN ln(close) END
+           - CASE WHEN lag(close) OVER w > 0 THEN ln(lag(close) OVER w) END AS ret_1
+  FROM r5 WINDOW w AS (PARTITION BY symbol ORDER BY ts)),
+feat AS (
+  SELECT ts, symbol, close, date, ret_1,
+         avg(close) OVER (w ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS ma_5,
+         avg(close) OVER (w ROWS BETWEEN 11 PRECEDING AND CURRENT ROW) AS ma_12,
+         avg(close) OVER (w ROWS BETWEEN 23 PRECEDING AND CURRENT ROW) AS ma_24,
+         avg(close) OVER (w ROWS BETWEEN 47 PRECEDING AND CURRENT ROW) AS ma_48,
+         stddev_samp(ret_1) OVER (w ROWS BETWEEN 11 PRECEDING AND CURRENT ROW) AS vol_12,
+         stddev_samp(ret_1) OVER (w ROWS BETWEEN 47 PRECEDING AND CURRENT ROW) AS vol_48,
+         CASE WHEN stddev_samp(close) OVER (w ROWS BETWEEN 47 PRECEDING AND CURRENT ROW) > 1e-12::DOUBLE
+              THEN (close - avg(close) OVER (w ROWS BETWEEN 47 PRECEDING AND CURRENT ROW))
+                   / stddev_samp(close) OVER (w ROWS BETWEEN 47 PRECEDING AND CURRENT ROW)
+              ELSE 0.0::DOUBLE END AS z_48
+  FROM f0 WINDOW w AS (PARTITION BY symbol ORDER BY ts))"""
+O.DEPS["feat"] = ["r5"]
+FEATURE_OUT = ["ret_1", "ma_5", "ma_12", "ma_24", "ma_48", "vol_12", "vol_48", "z_48"]
+
+
+def _features_5m(spark, sf_dir):
+    return feat.symbol_features(_restricted_5m(spark, sf_dir))
+
+
+@query("features_5m", O.with_ctes(["feat"], "SELECT ts, symbol, round(close, 6) AS close, date, "
+       + ", ".join(f"round({c}, 6) AS {c}" for c in FEATURE_OUT) + " FROM feat"))
+def q_features_5m(spark, sf_dir):
+    """Log return, rolling means, rolling vol, rolling z of close."""
+    f = _features_5m(spark, sf_dir)
+    return f.select("ts", "symbol", r6("close").alias("close"), "date", *[r6(c).alias(c) for c in FEATURE_OUT])
+
+
+@query("latest_n", O.with_ctes(["feat"], """
+SELECT ts, symbol, round(close, 6) AS close, round(z_48, 6) AS z_48 FROM feat ORDER BY ts DESC, symbol LIMIT 10"""))
+def q_latest_n(spark, sf_dir):
+    """O2: the 10 most recent feature rows (top-k report)."""
+    f = feat.latest(_features_5m(spark, sf_dir), 10)
+    return f.select("ts", "symbol", r6("close").alias("close"), r6("z_48").alias("z_48"))
+
+
+def _pf_sql(name: str, mode: str) -> str:
+    if mode == "static":
+        fit = "regr_slope(la, lb) OVER (PARTITION BY pair) AS beta, regr_intercept(la, lb) OVER (PARTITION BY pair) AS alpha"
+    else:
+        fit = ("regr_slope(la, lb) OVER (PARTITION BY pair ORDER BY ts ROWS BETWEEN 47 PRECEDING AND CURRENT ROW) AS beta, "
+               "regr_intercept(la, lb) OVER (PARTITION BY pair ORDER BY ts ROWS BETWEEN 47 PRECEDING AND CURRENT ROW) AS alpha")
+    return f"""{name}_legs AS (
+  SELECT a.ts, a.symbol AS symbol_a, b.symbol AS symbol_b, a.symbol || '||' || b.symbol AS pair,
+         a.close AS a_close, ln(a.close) AS la, ln(b.close) AS lb
+  FROM bars5m a JOIN screened s ON a.symbol = s.sym_a
+  JOIN bars5m b ON b.symbol = s.sym_b AND b.ts = a.ts),
+{name}_fit AS (SELECT *, {fit} FROM {name}_legs),
+{name}_fit2 AS (SELECT * REPLACE (CASE WHEN isnan(beta) OR isnan(alpha) THEN NULL ELSE beta END AS beta,
+                                   CASE WHEN isnan(beta) OR isnan(alpha) THEN NULL ELSE alpha END AS alpha)
+               FROM {name}_fit),
+{name}_sp AS (SELECT *, la - alpha - beta * lb AS spread FROM {name}_fit2),
+{name} AS (
+  SELECT ts, pair, symbol_a, symbol_b, a_close, beta, alpha, spread,
+         CASE WHEN stddev_samp(spread) OVER w > 1e-12::DOUBLE
+              THEN (spread - avg(spread) OVER w) / stddev_samp(spread) OVER w ELSE 0.0::DOUBLE END AS zscore
+  FROM {name}_sp WINDOW w AS (PARTITION BY pair ORDER BY ts ROWS BETWEEN 47 PRECEDING AND CURRENT ROW))"""
+
+
+O.CTE["pfs"] = _pf_sql("pfs", "static")
+O.DEPS["pfs"] = ["screened", "bars5m"]
+O.CTE["pfr"] = _pf_sql("pfr", "rolling")
+O.DEPS["pfr"] = ["screened", "bars5m"]
+PF_OUT = ["a_close", "beta", "alpha", "spread", "zscore"]
+
+
+def _pair_features(spark, sf_dir, mode):
+    return feat.pair_features(bars(spark, sf_dir, 300), _screened(spark, sf_dir), mode)
+
+
+@query("pair_features_static", O.with_ctes(["pfs"], "SELECT ts, pair, "
+       + ", ".join(f"round({c}, 6) AS {c}" for c in PF_OUT) + " FROM pfs"))
+def q_pair_features_static(spark, sf_dir):
+    """W8 static: one full-sample log-price fit per screened pair, rolling z of the spread."""
+    f = _pair_features(spark, sf_dir, "static")
+    return f.select("ts", "pair", *[r6(c).alias(c) for c in PF_OUT])
+
+
+@query("pair_features_rolling", O.with_ctes(["pfr"], "SELECT ts, pair, "
+       + ", ".join(f"round({c}, 6) AS {c}" for c in PF_OUT) + " FROM pfr"))
+def q_pair_features_rolling(spark, sf_dir):
+    """W8 rolling: trailing 48-bar log-price fit per screened pair, rolling z of the spread."""
+    f = _pair_features(spark, sf_dir, "rolling")
+    return f.select("ts", "pair", *[r6(c).alias(c) for c in PF_OUT])
+
+
+def _ds_sql(tail: str) -> str:
+    drop = "WHERE fut IS NOT NULL" if tail == "drop" else ""
+    return f"""ds_{tail} AS (
+  SELECT ts, pair, beta, alpha, spread, zscore,
+         CAST(CASE WHEN (fut - a_close) / a_close > 0 THEN 1 ELSE 0 END AS INTEGER) AS label
+  FROM (SELECT *, lead(a_close, 3) OVER (PARTITION BY pair ORDER BY ts) AS fut FROM pfr) {drop})"""
+
+
+O.CTE["ds_zero"] = _ds_sql("zero")
+O.DEPS["ds_zero"] = ["pfr"]
+O.CTE["ds_drop"] = _ds_sql("drop")
+O.DEPS["ds_drop"] = ["pfr"]
+DS_OUT = ["beta", "alpha", "spread", "zscore"]
+
+
+def _dataset(spark, sf_dir, tail="drop"):
+    return ds.build_dataset(_pair_features(spark, sf_dir, "rolling"), tail=tail)
+
+
+for _tail in ("zero", "drop"):
+    def _make(tail):
+        @query(f"dataset_{tail}_tail", O.with_ctes([f"ds_{tail}"], "SELECT ts, pair, "
+               + ", ".join(f"round({c}, 6) AS {c}" for c in DS_OUT) + f", label FROM ds_{tail} "
+               "WHERE ts IS NOT NULL AND pair IS NOT NULL AND beta IS NOT NULL AND alpha IS NOT NULL "
+               "AND spread IS NOT NULL AND zscore IS NOT NULL"))
+        def q(spark, sf_dir):
+            d = _dataset(spark, sf_dir, tail)
+            return d.select("ts", "pair", *[r6(c).alias(c) for c in DS_OUT], "label")
+        q.__doc__ = f"W5: forward-return label over 3 bars, tail={tail}."
+        return q
+    _make(_tail)
