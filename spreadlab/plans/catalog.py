@@ -45,8 +45,33 @@ def r6(c):
 # ---------------------------------------------------------------------------
 # shared inputs
 # ---------------------------------------------------------------------------
+_STAGED: dict[tuple, str] = {}
+
+
+def staged(spark: SparkSession, key: tuple, build: Callable[[], DataFrame]) -> DataFrame:
+    """Write a derived table once per session to the shared checkpoint folder and
+    read it back (the bronze/silver tables of the reference).  Later queries
+    read the table instead of re-deriving it, and the lineage is cut, so a lost
+    executor never forces a recompute from the raw events."""
+    from ..session import scratch_path
+    k = (spark.sparkContext.applicationId, *key)
+    path = _STAGED.get(k)
+    if path is None:
+        path = scratch_path(spark, "-".join(str(x).strip("/").replace("/", "_") for x in key))
+        build().write.mode("overwrite").parquet(path)
+        _STAGED[k] = path
+    return spark.read.parquet(path)
+
+
 def bars(spark, sf_dir, width_s, with_close_id=False) -> DataFrame:
-    return surrogate.surrogate_bars(tables.events(spark, sf_dir), width_s, with_close_id)
+    """Staged surrogate bars (always with the closing tick id, pruned when unused)."""
+    df = staged(spark, ("bars", sf_dir, width_s),
+                lambda: surrogate.surrogate_bars(tables.events(spark, sf_dir), width_s, True))
+    return df if with_close_id else df.drop("close_event_id")
+
+
+def bars_direct(spark, sf_dir, width_s) -> DataFrame:
+    return surrogate.surrogate_bars(tables.events(spark, sf_dir), width_s)
 
 
 def signals_single(spark, sf_dir) -> DataFrame:
@@ -64,14 +89,14 @@ BAR_COLS = ["symbol", "ts", "open", "high", "low", "close", "volume", "date"]
        "SELECT symbol, ts, open, high, low, close, volume, date FROM bars1h"))
 def q_bars_1h(spark, sf_dir):
     """Surrogate hourly OHLCV bars."""
-    return bars(spark, sf_dir, 3600).select(*BAR_COLS)
+    return bars_direct(spark, sf_dir, 3600).select(*BAR_COLS)
 
 
 @query("bars_5m", O.with_ctes(["bars5m"],
        "SELECT symbol, ts, open, high, low, close, volume, date FROM bars5m"))
 def q_bars_5m(spark, sf_dir):
     """Surrogate 5-minute OHLCV bars."""
-    return bars(spark, sf_dir, 300).select(*BAR_COLS)
+    return bars_direct(spark, sf_dir, 300).select(*BAR_COLS)
 
 
 # ---------------------------------------------------------------------------
@@ -399,10 +424,12 @@ def q_pair_features_rolling(spark, sf_dir):
 
 def _ds_sql(tail: str) -> str:
     drop = "WHERE fut IS NOT NULL" if tail == "drop" else ""
-    return f"""ds_{tail} AS (
+    return f"""ds_{tail} AS (SELECT * FROM (
   SELECT ts, pair, beta, alpha, spread, zscore,
          CAST(CASE WHEN (fut - a_close) / a_close > 0 THEN 1 ELSE 0 END AS INTEGER) AS label
-  FROM (SELECT *, lead(a_close, 3) OVER (PARTITION BY pair ORDER BY ts) AS fut FROM pfr) {drop})"""
+  FROM (SELECT *, lead(a_close, 3) OVER (PARTITION BY pair ORDER BY ts) AS fut FROM pfr) {drop})
+  WHERE ts IS NOT NULL AND pair IS NOT NULL AND beta IS NOT NULL AND alpha IS NOT NULL
+      AND spread IS NOT NULL AND zscore IS NOT NULL)"""
 
 
 O.CTE["ds_zero"] = _ds_sql("zero")
@@ -412,8 +439,11 @@ O.DEPS["ds_drop"] = ["pfr"]
 DS_OUT = ["beta", "alpha", "spread", "zscore"]
 
 
-def _dataset(spark, sf_dir, tail="drop"):
-    return ds.build_dataset(_pair_features(spark, sf_dir, "rolling"), tail=tail)
+def _dataset(spark, sf_dir, tail="drop", stage=True):
+    """The training table (gold dataset), staged once per session for the
+    training/scoring stages that read it."""
+    build = lambda: ds.build_dataset(_pair_features(spark, sf_dir, "rolling"), tail=tail)
+    return staged(spark, ("dataset", sf_dir, tail), build) if stage else build()
 
 
 for _tail in ("zero", "drop"):
@@ -423,8 +453,323 @@ for _tail in ("zero", "drop"):
                "WHERE ts IS NOT NULL AND pair IS NOT NULL AND beta IS NOT NULL AND alpha IS NOT NULL "
                "AND spread IS NOT NULL AND zscore IS NOT NULL"))
         def q(spark, sf_dir):
-            d = _dataset(spark, sf_dir, tail)
+            d = _dataset(spark, sf_dir, tail, stage=False)
             return d.select("ts", "pair", *[r6(c).alias(c) for c in DS_OUT], "label")
         q.__doc__ = f"W5: forward-return label over 3 bars, tail={tail}."
         return q
     _make(_tail)
+
+
+# ---------------------------------------------------------------------------
+# report, pair mode (flagship)
+# ---------------------------------------------------------------------------
+def _pair_signals(spark, sf_dir):
+    """Model-free pair signals: leg A's signal per 5-minute bar with the
+    full-sample log-price beta of every symbol pair (a < b)."""
+    sig = signals_single(spark, sf_dir)
+    betas = feat.pair_betas(bars(spark, sf_dir, 300))
+    return sig.join(betas, sig["symbol"] == betas["symbol_a"]).select(
+        "ts", "symbol_a", "symbol_b", "beta", "signal")
+
+
+def _pair_rows(spark, sf_dir, **kw):
+    sig = report.detect_pairs(_pair_signals(spark, sf_dir))
+    px = report.normalize_prices(bars(spark, sf_dir, 300))
+    return report.pair_pnl(sig, px, **kw)
+
+
+O.CTE["psig"] = """pb AS (
+  SELECT a.symbol AS symbol_a, b.symbol AS symbol_b, regr_slope(ln(a.close), ln(b.close)) AS beta
+  FROM bars5m a JOIN bars5m b ON a.ts = b.ts AND a.symbol < b.symbol GROUP BY a.symbol, b.symbol),
+psig AS (SELECT s.ts, p.symbol_a, p.symbol_b, p.beta, s.signal FROM sig1 s JOIN pb p ON p.symbol_a = s.symbol)"""
+O.DEPS["psig"] = ["sig1", "bars5m"]
+O.CTE["pair_rows"] = """psig5 AS (
+  SELECT make_timestamp((epoch_us(ts) // 300000000) * 300000000) AS ts5, symbol_a, symbol_b, beta, signal
+  FROM psig, (SELECT greatest((SELECT min(ts) FROM psig), (SELECT min(ts) FROM px)) AS o_start,
+                     least((SELECT max(ts) FROM psig), (SELECT max(ts) FROM px)) AS o_end) b
+  WHERE b.o_end > b.o_start
+    AND make_timestamp((epoch_us(ts) // 300000000) * 300000000) BETWEEN b.o_start AND b.o_end
+    AND beta IS NOT NULL AND beta >= 0.1 AND beta <= 10.0),
+pj AS (
+  SELECT s.*, a.close AS close_a, a.close_next AS close_next_a, a.ts5_next AS ts5_next_a,
+         b.close AS close_b, b.close_next AS close_next_b, b.ts5_next AS ts5_next_b
+  FROM psig5 s JOIN nb a ON a.symbol = s.symbol_a AND a.ts5 = s.ts5
+  JOIN nb b ON b.symbol = s.symbol_b AND b.ts5 = s.ts5
+  WHERE a.close_next IS NOT NULL AND b.close_next IS NOT NULL),
+pd AS (
+  SELECT *, CASE WHEN close_next_a > 0 THEN ln(close_next_a) END - CASE WHEN close_a > 0 THEN ln(close_a) END AS dln_a,
+            CASE WHEN close_next_b > 0 THEN ln(close_next_b) END - CASE WHEN close_b > 0 THEN ln(close_b) END AS dln_b
+  FROM pj),
+pair_rows AS (
+  SELECT ts5, symbol_a, symbol_b, beta, signal, dln_a - beta * dln_b AS ret_pair,
+         signal * CASE WHEN close_a + abs(beta) * close_b > 0 THEN dln_a - beta * dln_b ELSE 0.0::DOUBLE END AS pnl,
+         symbol_a || '||' || symbol_b AS pair, ts5_next_a, ts5_next_b
+  FROM pd WHERE abs(dln_a) <= 0.5 AND abs(dln_b) <= 0.5)"""
+O.DEPS["pair_rows"] = ["psig", "px", "nb"]
+
+
+@query("pair_pnl_rows", O.with_ctes(["pair_rows"], """
+SELECT ts5, symbol_a, symbol_b, round(beta, 6) AS beta, signal, round(ret_pair, 6) AS ret_pair, round(pnl, 6) AS pnl
+FROM pair_rows"""))
+def q_pair_pnl_rows(spark, sf_dir):
+    """Next-bar pair PnL rows (the pair_pnl_5m view)."""
+    r = _pair_rows(spark, sf_dir)
+    return r.select("ts5", "symbol_a", "symbol_b", r6("beta").alias("beta"), "signal",
+                    r6("ret_pair").alias("ret_pair"), r6("pnl").alias("pnl"))
+
+
+@query("pair_pnl_strict_next", O.with_ctes(["pair_rows"], """
+SELECT ts5, symbol_a, symbol_b, round(pnl, 6) AS pnl FROM pair_rows
+WHERE ts5_next_a = ts5 + INTERVAL 5 MINUTE AND ts5_next_b = ts5 + INTERVAL 5 MINUTE"""))
+def q_pair_pnl_strict_next(spark, sf_dir):
+    """R1 with strict_next: the next bar must be exactly one bucket later for both legs."""
+    r = _pair_rows(spark, sf_dir, strict_next=True)
+    return r.select("ts5", "symbol_a", "symbol_b", r6("pnl").alias("pnl"))
+
+
+def _agg_sql(src: str, key: str | None, key_expr: str | None = None) -> str:
+    aggs = "count(*) AS rows, round(sum(pnl), 6) AS sum_pnl, round(avg(pnl), 6) AS avg_pnl"
+    if key is None:
+        return f"SELECT {aggs} FROM {src}"
+    return f"SELECT {key_expr or key} AS {key}, {aggs} FROM {src} GROUP BY {key_expr or key}"
+
+
+def _aggs_out(df, key=None):
+    cols = ([key] if key else []) + ["rows", r6("sum_pnl").alias("sum_pnl"), r6("avg_pnl").alias("avg_pnl")]
+    return df.select(*cols)
+
+
+@query("pair_pnl_total", O.with_ctes(["pair_rows"], _agg_sql("pair_rows", None)))
+def q_pair_pnl_total(spark, sf_dir):
+    """A2: total pair PnL (rows, sum, mean)."""
+    return _aggs_out(report.pnl_total(_pair_rows(spark, sf_dir)))
+
+
+@query("pair_pnl_daily", O.with_ctes(["pair_rows"], _agg_sql("pair_rows", "date", "CAST(ts5 AS DATE)")))
+def q_pair_pnl_daily(spark, sf_dir):
+    """A3: pair PnL per UTC day (flagship)."""
+    return _aggs_out(report.pnl_daily(_pair_rows(spark, sf_dir)), "date")
+
+
+@query("pair_pnl_by_pair", O.with_ctes(["pair_rows"], _agg_sql("pair_rows", "pair")))
+def q_pair_pnl_by_pair(spark, sf_dir):
+    """A4/O3: pair PnL per pair, best first."""
+    return _aggs_out(report.pnl_by(_pair_rows(spark, sf_dir), "pair"), "pair")
+
+
+@query("pnl_grouping_sets", O.with_ctes(["pair_rows"], """
+SELECT CAST(ts5 AS DATE) AS date, pair, CAST(grouping(CAST(ts5 AS DATE), pair) AS BIGINT) AS grouping_level,
+       count(*) AS rows, round(sum(pnl), 6) AS sum_pnl, round(avg(pnl), 6) AS avg_pnl
+FROM pair_rows GROUP BY GROUPING SETS ((), (CAST(ts5 AS DATE)), (pair))"""))
+def q_pnl_grouping_sets(spark, sf_dir):
+    """Total, daily and per-pair PnL in one aggregation pass."""
+    g = report.pnl_grouping_sets(_pair_rows(spark, sf_dir), "pair")
+    return g.select("date", "pair", F.col("grouping_level").cast("long").alias("grouping_level"), "rows",
+                    r6("sum_pnl").alias("sum_pnl"), r6("avg_pnl").alias("avg_pnl"))
+
+
+@query("single_pnl_total", O.with_ctes(["single_rows"], _agg_sql("single_rows", None)))
+def q_single_pnl_total(spark, sf_dir):
+    """A2 single mode: total next-bar PnL."""
+    return _aggs_out(report.pnl_total(_single_rows(spark, sf_dir)))
+
+
+@query("single_pnl_by_symbol", O.with_ctes(["single_rows"], _agg_sql("single_rows", "symbol")))
+def q_single_pnl_by_symbol(spark, sf_dir):
+    """A4 single mode: PnL per symbol, best first."""
+    return _aggs_out(report.pnl_by(_single_rows(spark, sf_dir), "symbol"), "symbol")
+
+
+@query("prices_5m", O.with_ctes(["px5"], "SELECT symbol, ts5, round(close, 6) AS close FROM px5"))
+def q_prices_5m(spark, sf_dir):
+    """The prices_5m view (one close per symbol and 5-minute bucket)."""
+    p = report.prices_5m(report.normalize_prices(bars(spark, sf_dir, 300)))
+    return p.select("symbol", "ts5", r6("close").alias("close"))
+
+
+@query("next_bar", O.with_ctes(["nb"], """
+SELECT symbol, ts5, round(close, 6) AS close, round(close_next, 6) AS close_next, ts5_next FROM nb"""))
+def q_next_bar(spark, sf_dir):
+    """Next close and next bucket per symbol."""
+    n = report.next_bar(report.prices_5m(report.normalize_prices(bars(spark, sf_dir, 300))))
+    return n.select("symbol", "ts5", r6("close").alias("close"), r6("close_next").alias("close_next"), "ts5_next")
+
+
+@query("overlap_span", O.with_ctes(["psig", "px"], """
+SELECT (SELECT min(ts) FROM psig) AS sig_min_ts, (SELECT max(ts) FROM psig) AS sig_max_ts,
+       (SELECT count(*) FROM psig) AS sig_rows,
+       (SELECT min(ts) FROM px) AS px_min_ts, (SELECT max(ts) FROM px) AS px_max_ts,
+       (SELECT count(*) FROM px) AS px_rows,
+       greatest((SELECT min(ts) FROM psig), (SELECT min(ts) FROM px)) AS overlap_start,
+       least((SELECT max(ts) FROM psig), (SELECT max(ts) FROM px)) AS overlap_end"""))
+def q_overlap_span(spark, sf_dir):
+    """Spans of signals and prices and their overlap (one row)."""
+    sig = _pair_signals(spark, sf_dir)
+    px = report.normalize_prices(bars(spark, sf_dir, 300))
+    s, p = report.span(sig), report.span(px)
+    both = s.select(F.col("min_ts").alias("sig_min_ts"), F.col("max_ts").alias("sig_max_ts"),
+                    F.col("rows").alias("sig_rows"),
+                    p.select(F.min("min_ts")).scalar().alias("px_min_ts"),
+                    p.select(F.max("max_ts")).scalar().alias("px_max_ts"),
+                    p.select(F.max("rows")).scalar().alias("px_rows"))
+    return both.withColumns({"overlap_start": F.greatest("sig_min_ts", "px_min_ts"),
+                             "overlap_end": F.least("sig_max_ts", "px_max_ts")})
+
+
+@query("leg_union", O.with_ctes(["psig"], """
+SELECT symbol_a AS symbol FROM psig WHERE beta >= 0.1 AND beta <= 10.0
+UNION SELECT symbol_b FROM psig WHERE beta >= 0.1 AND beta <= 10.0"""))
+def q_leg_union(spark, sf_dir):
+    """Distinct legs of the pair signals that pass the beta bounds."""
+    s = _pair_signals(spark, sf_dir).filter(F.col("beta").between(0.1, 10.0))
+    return s.select(F.col("symbol_a").alias("symbol")).union(s.select(F.col("symbol_b").alias("symbol"))).distinct()
+
+
+@query("random_n")
+def q_random_n(spark, sf_dir):
+    """50 random rows of the prices_5m view (sampling operator; rows-only check)."""
+    p = report.prices_5m(report.normalize_prices(bars(spark, sf_dir, 300)))
+    return report.random_rows(p, 50, seed=7)
+
+
+# ---------------------------------------------------------------------------
+# training and scoring
+# ---------------------------------------------------------------------------
+from ..operators import model as mdl  # noqa: E402
+from ..operators import score as sc  # noqa: E402
+
+FEATS = ["beta", "alpha", "spread", "zscore"]
+_md5_key = "pair || '|' || CAST(CAST(epoch(ts) AS BIGINT) AS VARCHAR) || '|' || '42'"
+O.CTE["split"] = f"""split AS (
+  SELECT *, rn <= n_class - CAST(ceil(n_class * 0.2::DOUBLE) AS BIGINT) AS is_train FROM (
+    SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5({_md5_key}), {_md5_key}) AS rn,
+           count(*) OVER (PARTITION BY label) AS n_class
+    FROM ds_drop))"""
+O.DEPS["split"] = ["ds_drop"]
+
+
+def _split(spark, sf_dir):
+    d = mdl.cast_features(_dataset(spark, sf_dir, "drop"), FEATS)
+    return mdl.stratified_split(d)
+
+
+@query("stratified_split", O.with_ctes(["split"], "SELECT ts, pair, label, is_train FROM split"))
+def q_stratified_split(spark, sf_dir):
+    """Exact 80/20 split per label class by a portable md5 order."""
+    return _split(spark, sf_dir).select("ts", "pair", "label", "is_train")
+
+
+@query("scaler_stats", O.with_ctes(["split"], " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, round(avg({c}), 6) AS mean, "
+    f"round(CASE WHEN stddev_pop({c}) = 0 THEN 1.0::DOUBLE ELSE stddev_pop({c}) END, 6) AS scale "
+    f"FROM split WHERE is_train" for c in FEATS)))
+def q_scaler_stats(spark, sf_dir):
+    """A10: mean and population std per feature on the training rows."""
+    s = mdl.scaler_stats(_split(spark, sf_dir).filter("is_train"), FEATS)
+    return s.select("feature", r6("mean").alias("mean"), r6("scale").alias("scale"))
+
+
+def _fixed_lin_sql() -> str:
+    m = sc.FIXED_MODEL
+    terms = " + ".join(f"{w!r}::DOUBLE * (({f} - {mu!r}::DOUBLE) / {s!r}::DOUBLE)"
+                       for f, w, mu, s in zip(m["features"], m["coef"], m["mean"], m["scale"]))
+    return f"({m['intercept']!r}::DOUBLE + {terms})"
+
+
+O.CTE["scored"] = f"""scored AS (
+  SELECT ts, pair AS symbol, label, 1.0::DOUBLE / (1.0::DOUBLE + exp(-{_fixed_lin_sql()})) AS p FROM ds_drop)"""
+O.DEPS["scored"] = ["ds_drop"]
+
+
+def _scored_all(spark, sf_dir):
+    d = sc.with_id_columns(_dataset(spark, sf_dir, "drop"))
+    m = sc.FIXED_MODEL
+    prob = mdl.sigmoid(mdl.linear_score(m["features"], m["coef"], m["mean"], m["scale"], m["intercept"]))
+    return d.select("ts", "symbol", "label", prob.alias("p"))
+
+
+@query("score_fixed_model", O.with_ctes(["scored"], f"""
+SELECT ts, symbol, CAST(p AS FLOAT) AS prob,
+       CAST(CASE WHEN p IS NULL OR isnan(p) THEN 0 WHEN p >= 0.55 THEN 1 WHEN p <= 0.45 THEN -1 ELSE 0 END AS INTEGER) AS signal
+FROM scored WHERE ts >= TIMESTAMP '{AS_OF}' - INTERVAL 14 DAY"""))
+def q_score_fixed_model(spark, sf_dir):
+    """M7 + F4: fixed logistic model scored as column expressions over the last 14 days."""
+    d = screen.recent_ts(sc.with_id_columns(_dataset(spark, sf_dir, "drop")), AS_OF, sc.DAYS_BACK)
+    return sc.score(d, sc.FIXED_MODEL)
+
+
+@query("align_target", O.with_ctes(["scored"], f"""
+SELECT ts, symbol AS pair, CAST(p AS FLOAT) AS proba,
+       CAST(CASE WHEN p IS NULL OR isnan(p) THEN 0 WHEN p >= 0.55 THEN 1 WHEN p <= 0.45 THEN -1 ELSE 0 END AS INTEGER) AS signal
+FROM scored WHERE ts >= TIMESTAMP '{AS_OF}' - INTERVAL 14 DAY"""))
+def q_align_target(spark, sf_dir):
+    """K3: scored rows aligned to a legacy (ts, pair, proba, signal) target table."""
+    d = screen.recent_ts(sc.with_id_columns(_dataset(spark, sf_dir, "drop")), AS_OF, sc.DAYS_BACK)
+    return sc.align_to(sc.score(d, sc.FIXED_MODEL), ["ts", "pair", "proba", "signal"])
+
+
+_auc_sql_body = """
+  SELECT {g} round((sum(CASE WHEN label = 1 THEN r ELSE 0 END) - np * (np + 1) / 2.0::DOUBLE) / (np * nn), 6) AS auc,
+         CAST(np AS BIGINT) AS n_pos, CAST(nn AS BIGINT) AS n_neg
+  FROM (SELECT *, rank() OVER (PARTITION BY {pg} ORDER BY s) + (count(*) OVER (PARTITION BY {pg}, s) - 1) / 2.0::DOUBLE AS r,
+               sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) OVER (PARTITION BY {pg}) AS np,
+               sum(CASE WHEN label = 1 THEN 0 ELSE 1 END) OVER (PARTITION BY {pg}) AS nn
+        FROM {src} WHERE s IS NOT NULL)
+  GROUP BY {g} np, nn"""
+
+
+@query("auc_rank", O.with_ctes(["scored"], "SELECT auc, n_pos, n_neg FROM (" + _auc_sql_body.format(
+    g="", pg="1", src="(SELECT 1 AS one, label, p AS s FROM scored)") + ")"))
+def q_auc_rank(spark, sf_dir):
+    """Exact ROC AUC (average ranks for ties) of the fixed model on the dataset."""
+    a = mdl.auc(_scored_all(spark, sf_dir), "label", "p")
+    return a.select(r6("auc").alias("auc"), "n_pos", "n_neg")
+
+
+O.CTE["cands"] = """cands AS (
+  SELECT 'fixed_lr' AS name, label, round(p, 9) AS s FROM scored
+  UNION ALL SELECT 'beta', label, round(beta, 9) FROM ds_drop
+  UNION ALL SELECT 'neg_zscore', label, round(-zscore, 9) FROM ds_drop
+  UNION ALL SELECT 'neg_spread', label, round(-spread, 9) FROM ds_drop)"""
+O.DEPS["cands"] = ["scored", "ds_drop"]
+
+
+def _candidates(spark, sf_dir):
+    # candidate scores are rounded to 1e-9 so that float noise (e.g. the exact
+    # two-point fits at a pair's first bars) cannot reorder tied scores
+    s = _scored_all(spark, sf_dir).select(F.lit("fixed_lr").alias("name"), "label", F.round("p", 9).alias("s"))
+    d = _dataset(spark, sf_dir, "drop")
+    parts = [s, d.select(F.lit("beta").alias("name"), "label", F.round("beta", 9).alias("s")),
+             d.select(F.lit("neg_zscore").alias("name"), "label", F.round(-F.col("zscore"), 9).alias("s")),
+             d.select(F.lit("neg_spread").alias("name"), "label", F.round(-F.col("spread"), 9).alias("s"))]
+    from functools import reduce
+    allc = reduce(lambda a, b: a.unionByName(b), parts)
+    return mdl.auc(allc, "label", "s", group="name").withColumn(
+        "uri", F.concat(F.lit("models/candidates/"), F.col("name")))
+
+
+@query("candidate_aucs", O.with_ctes(["cands"], "SELECT name, auc, n_pos, n_neg FROM (" + _auc_sql_body.format(
+    g="name,", pg="name", src="cands") + ")"))
+def q_candidate_aucs(spark, sf_dir):
+    """A11 per candidate in one pass (grouped rank-sum AUC)."""
+    return _candidates(spark, sf_dir).select("name", r6("auc").alias("auc"), "n_pos", "n_neg")
+
+
+@query("best_candidate", O.with_ctes(["cands"], "SELECT name, auc, 'models/candidates/' || name AS uri FROM ("
+       + _auc_sql_body.format(g="name,", pg="name", src="cands") + ") ORDER BY auc DESC, name LIMIT 1"))
+def q_best_candidate(spark, sf_dir):
+    """champion = highest AUC (ties by name)."""
+    c = _candidates(spark, sf_dir).select("name", r6("auc").alias("auc"), "uri")
+    return mdl.best_candidate(c)
+
+
+@query("fit_logreg")
+def q_fit_logreg(spark, sf_dir):
+    """M5/M6/K6: Spark ML logistic regression on the training split, AUC on the
+    held-out split, emitted as the model record (rows-only check)."""
+    split = _split(spark, sf_dir)
+    train, test = split.filter("is_train"), split.filter(~F.col("is_train"))
+    coef, intercept, stats = mdl.fit_logreg(spark, train, FEATS)
+    scored = mdl.score_with(test, FEATS, coef, intercept, stats)
+    auc_v = mdl.auc(scored, "label", "prob").first()["auc"]
+    return mdl.model_record(spark, "logreg_spark", FEATS, coef, intercept, stats, auc_v)

@@ -34,7 +34,7 @@ WALK_SCALE = 1000.0
 BASE_PRICE = 100.0
 
 
-def events_ticks(events: DataFrame, bucket_seconds: int | None = None) -> DataFrame:
+def events_ticks(events: DataFrame, bucket_seconds: int | None = 3600) -> DataFrame:
     """(symbol, ts, event_id, price, cents) -- one tick per event."""
     e = events.select(
         F.col("event_type").alias("symbol"),
