@@ -773,3 +773,285 @@ def q_fit_logreg(spark, sf_dir):
     scored = mdl.score_with(test, FEATS, coef, intercept, stats)
     auc_v = mdl.auc(scored, "label", "prob").first()["auc"]
     return mdl.model_record(spark, "logreg_spark", FEATS, coef, intercept, stats, auc_v)
+
+
+# ---------------------------------------------------------------------------
+# ingest: epoch rule, cleaning, slicing, unions, watermarks, upserts
+# ---------------------------------------------------------------------------
+from ..functions.text import canonical_timeframe  # noqa: E402
+from ..functions.timefn import epoch_to_timestamp  # noqa: E402
+from ..sources import bars as ingest  # noqa: E402
+from ..sources import sinks  # noqa: E402
+
+
+def _epoch_sql(v: str) -> str:
+    guard = 9223372036854775
+    return (f"(CASE WHEN {v} IS NULL THEN NULL "
+            f"WHEN {v} > 1000000000000000000 THEN make_timestamp({v} // 1000) "
+            f"WHEN {v} > 1000000000000 THEN (CASE WHEN abs({v}) <= {guard // 1000} THEN make_timestamp({v} * 1000) END) "
+            f"ELSE (CASE WHEN abs({v}) <= {guard // 1000000} THEN make_timestamp({v} * 1000000) END) END)")
+
+
+@query("normalize_epoch", f"""
+SELECT event_id, {_epoch_sql('s')} AS ts_s, {_epoch_sql('ms')} AS ts_ms, {_epoch_sql('ns')} AS ts_ns,
+       {_epoch_sql('us')} AS ts_us
+FROM (SELECT event_id, epoch_us(ts) // 1000000 AS s, epoch_us(ts) // 1000 AS ms,
+             epoch_us(ts) * 1000 AS ns, epoch_us(ts) AS us FROM events)""")
+def q_normalize_epoch(spark, sf_dir):
+    """Per-row epoch unit rule on second, millisecond, nanosecond and
+    microsecond encodings of event times (microseconds are read as ms by the
+    rule, fall outside the nanosecond range and become null)."""
+    e = tables.read_table(spark, sf_dir, "events", ["event_id", "ts"])
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    raw = e.select("event_id", F.expr("unix_micros(cast(ts as timestamp)) div 1000000").alias("s"),
+                   F.expr("unix_micros(cast(ts as timestamp)) div 1000").alias("ms"),
+                   (us * F.lit(1000)).alias("ns"), us.alias("us"))
+    return raw.select("event_id", *[epoch_to_timestamp(F.col(c)).alias(f"ts_{c}") for c in ("s", "ms", "ns", "us")])
+
+
+O.CTE["raw1h"] = """raw1h AS (
+  SELECT upper(symbol) || '/USDT' AS "SYMBOL", epoch_ms(ts) AS "TIMESTAMP", open AS "Open", high AS "High",
+         low AS "Low", close AS "Close", volume AS "Volume" FROM bars1h)"""
+O.DEPS["raw1h"] = ["bars1h"]
+
+
+def _raw_1h(spark, sf_dir):
+    """A raw landing file as an exchange client would write it (upper-case names,
+    epoch-ms time, slash symbols), derived from the surrogate hourly bars."""
+    b = bars(spark, sf_dir, 3600)
+    return b.select(F.concat(F.upper("symbol"), F.lit("/USDT")).alias("SYMBOL"),
+                    F.unix_millis("ts").alias("TIMESTAMP"), F.col("open").alias("Open"),
+                    F.col("high").alias("High"), F.col("low").alias("Low"),
+                    F.col("close").alias("Close"), F.col("volume").alias("Volume"))
+
+
+@query("clean_bars", O.with_ctes(["raw1h"], """
+SELECT replace("SYMBOL", '/', '') AS symbol, make_timestamp("TIMESTAMP" * 1000) AS ts,
+       round("Open", 6) AS open, round("High", 6) AS high, round("Low", 6) AS low, round("Close", 6) AS close,
+       round("Volume", 6) AS volume, CAST(make_timestamp("TIMESTAMP" * 1000) AS DATE) AS date
+FROM raw1h WHERE "SYMBOL" IS NOT NULL AND "TIMESTAMP" IS NOT NULL AND "Open" IS NOT NULL AND "High" IS NOT NULL
+  AND "Low" IS NOT NULL AND "Close" IS NOT NULL AND "Volume" IS NOT NULL"""))
+def q_clean_bars(spark, sf_dir):
+    """Lower-case names, timestamp -> ts by the epoch rule, slash-free
+    symbols, any-null rows dropped, date added."""
+    c = ingest.clean_bars(_raw_1h(spark, sf_dir))
+    return c.select("symbol", "ts", *[r6(x).alias(x) for x in ingest.OHLCV], "date")
+
+
+@query("slice_limit", O.with_ctes(["bars1h"], """
+SELECT symbol, ts, round(close, 6) AS close FROM (
+  SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ts) AS rn FROM bars1h
+  WHERE ts >= TIMESTAMP '2024-01-05 00:00:00' AND ts <= TIMESTAMP '2024-01-25 23:00:00')
+WHERE rn <= 200"""))
+def q_slice_limit(spark, sf_dir):
+    """Time-range slice then at most 200 earliest bars per symbol (the fetch limit)."""
+    b = bars(spark, sf_dir, 3600)
+    s = ingest.slice_bars(b, F.lit("2024-01-05 00:00:00").cast("timestamp"),
+                          F.lit("2024-01-25 23:00:00").cast("timestamp"), 200)
+    return s.select("symbol", "ts", r6("close").alias("close"))
+
+
+O.CTE["tagged"] = """tagged AS (
+  SELECT '1h' AS timeframe, symbol, ts, close FROM bars1h
+  UNION ALL SELECT '5m', symbol, ts, close FROM bars5m)"""
+O.DEPS["tagged"] = ["bars1h", "bars5m"]
+
+
+def _tagged(spark, sf_dir):
+    b1 = bars(spark, sf_dir, 3600).select(F.lit("60m").alias("tf"), "symbol", "ts", "close")
+    b5 = bars(spark, sf_dir, 300).select(F.lit("M5").alias("tf"), "symbol", "ts", "close")
+    u = ingest.union_bars(spark, [b1, b5])
+    return u.select(canonical_timeframe(F.col("tf")).alias("timeframe"), "symbol", "ts", "close")
+
+
+@query("union_bars", O.with_ctes(["tagged"], "SELECT timeframe, symbol, ts, round(close, 6) AS close FROM tagged"))
+def q_union_bars(spark, sf_dir):
+    """1h and 5m bars in one frame, timeframe labels canonicalised
+    ('60m' -> '1h', 'M5' -> '5m')."""
+    return _tagged(spark, sf_dir).select("timeframe", "symbol", "ts", r6("close").alias("close"))
+
+
+@query("watermark_max", O.with_ctes(["tagged"], """
+SELECT timeframe, symbol, epoch_ms(max(ts)) AS wm_ms FROM tagged GROUP BY timeframe, symbol"""))
+def q_watermark_max(spark, sf_dir):
+    """High-watermark (epoch ms) per (timeframe, symbol)."""
+    return ingest.watermarks(_tagged(spark, sf_dir))
+
+
+@query("incremental_filter", O.with_ctes(["tagged"], """
+SELECT t.timeframe, t.symbol, t.ts, round(t.close, 6) AS close FROM tagged t
+LEFT JOIN (SELECT timeframe, symbol, epoch_ms(max(ts)) AS wm_ms FROM tagged
+           WHERE ts < TIMESTAMP '2024-01-20 00:00:00' GROUP BY timeframe, symbol) w
+  ON w.timeframe = t.timeframe AND w.symbol = t.symbol
+WHERE epoch_ms(t.ts) > coalesce(w.wm_ms, -4611686018427387904)"""))
+def q_incremental_filter(spark, sf_dir):
+    """Bars later than the watermark of an earlier run (ingested up to 2024-01-20)."""
+    t = _tagged(spark, sf_dir)
+    wm = ingest.watermarks(t.filter(F.col("ts") < F.lit("2024-01-20 00:00:00").cast("timestamp")))
+    return ingest.newer_than(t, wm).select("timeframe", "symbol", "ts", r6("close").alias("close"))
+
+
+O.CTE["ups"] = """ups_t AS (SELECT symbol, ts, open, high, low, close, volume, date FROM bars1h WHERE date < DATE '2024-01-20'),
+ups_s AS (SELECT symbol, ts, open, high, low, close * 1.001::DOUBLE AS close, volume, date FROM bars1h
+          WHERE date >= DATE '2024-01-15'),
+ups AS (SELECT * FROM ups_t t WHERE NOT EXISTS (SELECT 1 FROM ups_s s WHERE s.symbol = t.symbol AND s.ts = t.ts)
+        UNION ALL SELECT * FROM ups_s)"""
+O.DEPS["ups"] = ["bars1h"]
+
+
+def _upsert_inputs(spark, sf_dir):
+    b = bars(spark, sf_dir, 3600).select(*BAR_COLS)
+    target = b.filter(F.col("date") < F.lit("2024-01-20").cast("date"))
+    source = b.filter(F.col("date") >= F.lit("2024-01-15").cast("date")).withColumn(
+        "close", F.col("close") * F.lit(1.001))
+    return target, source
+
+
+@query("upsert_bars", O.with_ctes(["ups"], """
+SELECT symbol, ts, round(open, 6) AS open, round(close, 6) AS close, date FROM ups"""))
+def q_upsert_bars(spark, sf_dir):
+    """Key upsert of a corrected, overlapping batch into the bar table."""
+    target, source = _upsert_inputs(spark, sf_dir)
+    u = sinks.upsert(target, source, ["symbol", "ts"])
+    return u.select("symbol", "ts", r6("open").alias("open"), r6("close").alias("close"), "date")
+
+
+O.CTE["upp"] = """upp_base AS (
+  SELECT ts, symbol, CAST((close_event_id * 37) % 101 AS DOUBLE) / 100.0::DOUBLE AS p FROM bars5m),
+upp_t AS (SELECT ts, symbol, CAST(p AS FLOAT) AS prob,
+                 CAST(CASE WHEN p >= 0.55 THEN 1 WHEN p <= 0.45 THEN -1 ELSE 0 END AS INTEGER) AS signal
+          FROM upp_base WHERE ts < TIMESTAMP '2024-01-20 00:00:00'),
+upp_s AS (SELECT ts, symbol, CAST(1.0::DOUBLE - p AS FLOAT) AS prob,
+                 CAST(CASE WHEN 1.0::DOUBLE - p >= 0.55 THEN 1 WHEN 1.0::DOUBLE - p <= 0.45 THEN -1 ELSE 0 END AS INTEGER) AS signal
+          FROM upp_base WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'),
+upp AS (SELECT CASE WHEN t.symbol IS NOT NULL THEN t.ts ELSE s.ts END AS ts,
+               CASE WHEN t.symbol IS NOT NULL THEN t.symbol ELSE s.symbol END AS symbol,
+               CASE WHEN s.symbol IS NOT NULL THEN s.prob ELSE t.prob END AS prob,
+               CASE WHEN s.symbol IS NOT NULL THEN s.signal ELSE t.signal END AS signal
+        FROM upp_t t FULL OUTER JOIN upp_s s ON t.symbol = s.symbol AND t.ts = s.ts)"""
+O.DEPS["upp"] = ["bars5m"]
+
+
+@query("upsert_partial", O.with_ctes(["upp"], "SELECT ts, symbol, prob, signal FROM upp"))
+def q_upsert_partial(spark, sf_dir):
+    """K2: signal-table upsert that updates only prob and signal on matched keys."""
+    from ..functions.mathfn import score_signal
+    base = bars(spark, sf_dir, 300, with_close_id=True).select(
+        "ts", "symbol", (F.pmod(F.col("close_event_id") * F.lit(37), F.lit(101)).cast("double")
+                         / F.lit(100.0)).alias("p"))
+    target = base.filter(F.col("ts") < F.lit("2024-01-20 00:00:00").cast("timestamp")).select(
+        "ts", "symbol", F.col("p").cast("float").alias("prob"), score_signal(F.col("p")).alias("signal"))
+    newp = F.lit(1.0) - F.col("p")
+    source = base.filter(F.col("ts") >= F.lit("2024-01-15 00:00:00").cast("timestamp")).select(
+        "ts", "symbol", newp.cast("float").alias("prob"), score_signal(newp).alias("signal"))
+    return sinks.upsert_partial(target, source, ["symbol", "ts"], ["prob", "signal"])
+
+
+@query("typical_price", O.with_ctes(["bars5m"], """
+SELECT ts, symbol, round((open + high + low) / 3.0::DOUBLE, 6) AS close FROM bars5m"""))
+def q_typical_price(spark, sf_dir):
+    """Price source without a close column -> (open + high + low) / 3."""
+    b = bars(spark, sf_dir, 300).select(F.col("ts").alias("timestamp"), F.col("symbol").alias("ticker"),
+                                        "open", "high", "low")
+    p = report.normalize_prices(b)
+    return p.select("ts", "symbol", r6("close").alias("close"))
+
+
+@query("normalize_prices", O.with_ctes(["bars5m"], "SELECT ts, symbol, round(close, 6) AS close FROM bars5m"))
+def q_normalize_prices(spark, sf_dir):
+    """Aliased price source (time, instrument) normalised to (ts, symbol, close)."""
+    b = bars(spark, sf_dir, 300).select(F.col("ts").alias("time"), F.col("symbol").alias("instrument"), "close")
+    p = report.normalize_prices(b)
+    return p.select("ts", "symbol", r6("close").alias("close"))
+
+
+@query("split_pair", O.with_ctes(["screened"], """
+SELECT label, list_extract(parts, 1) AS symbol_a, list_extract(parts, 2) AS symbol_b FROM (
+  SELECT label, string_split(regexp_replace(label, '[,|\\s]+', '|', 'g'), '|') AS parts FROM (
+    SELECT sym_a || '||' || sym_b AS label FROM screened
+    UNION ALL SELECT sym_a || ',' || sym_b FROM screened
+    UNION ALL SELECT sym_a || ' ' || sym_b FROM screened
+    UNION ALL SELECT sym_a || sym_b FROM screened))"""))
+def q_split_pair(spark, sf_dir):
+    """Pair labels in four spellings split into legs; an
+    unsplittable label gives a null leg instead of an error."""
+    from ..functions.text import split_pair
+    p = _screened(spark, sf_dir)
+    labels = p.select(F.explode(F.array(
+        F.concat_ws("||", "sym_a", "sym_b"), F.concat_ws(",", "sym_a", "sym_b"),
+        F.concat_ws(" ", "sym_a", "sym_b"), F.concat("sym_a", "sym_b"))).alias("label"))
+    a, b = split_pair(F.col("label"))
+    return labels.select("label", a.alias("symbol_a"), b.alias("symbol_b"))
+
+
+@query("ordered_dedupe", """
+SELECT event_type AS symbol, min(event_id) AS first_pos FROM events GROUP BY event_type""")
+def q_ordered_dedupe(spark, sf_dir):
+    """U4: order-preserving dedupe: each symbol once, at its first position."""
+    e = tables.read_table(spark, sf_dir, "events", ["event_id", "event_type"])
+    return (e.groupBy(F.col("event_type").alias("symbol")).agg(F.min("event_id").alias("first_pos"))
+            .orderBy("first_pos"))
+
+
+# ---------------------------------------------------------------------------
+# JSON documents and streaming ingest
+# ---------------------------------------------------------------------------
+from ..session import scratch_path  # noqa: E402
+from ..sources import screened as scr  # noqa: E402
+from ..streaming import ingest as stream  # noqa: E402
+
+
+@query("read_screened_json", O.with_ctes(["screened"], """
+SELECT symbol, CAST(row_number() OVER (ORDER BY symbol) - 1 AS INTEGER) AS pos FROM (
+  SELECT DISTINCT replace(s, '/', '') AS symbol FROM (
+    SELECT sym_a AS s FROM screened UNION ALL SELECT sym_b FROM screened))"""))
+def q_read_screened_json(spark, sf_dir):
+    """K5 + S11: export the screened symbols as {"symbols": [...]} and read the
+    document back with the polymorphic reader (VARIANT on the executors)."""
+    path = scratch_path(spark, "pairs_screened_json")
+    sinks.export_symbols_json(_screened(spark, sf_dir), path)
+    return scr.read_screened(spark, path).select("symbol", "pos")
+
+
+@query("read_pair_list", O.with_ctes(["screened"], """
+SELECT DISTINCT s AS symbol FROM (SELECT sym_a AS s FROM screened UNION ALL SELECT sym_b FROM screened)"""))
+def q_read_pair_list(spark, sf_dir):
+    """{"pairs": [[a, b], ...]} document of the screened pairs -> distinct symbols."""
+    path = scratch_path(spark, "pair_list_json")
+    p = _screened(spark, sf_dir)
+    p.agg(F.collect_list(F.array("sym_a", "sym_b")).alias("pairs")).write.mode("overwrite").json(path)
+    return scr.read_pair_list(spark, path, bars(spark, sf_dir, 300))
+
+
+O.CTE["land"] = """land AS (
+  SELECT 1 AS seq, symbol, ts, close, date FROM bars1h WHERE date < DATE '2024-01-12'
+  UNION ALL SELECT 2, symbol, ts, close * 1.001::DOUBLE, date FROM bars1h
+            WHERE date >= DATE '2024-01-10' AND date <= DATE '2024-01-22'
+  UNION ALL SELECT 3, symbol, ts, close * 1.002::DOUBLE, date FROM bars1h WHERE date >= DATE '2024-01-20')"""
+O.DEPS["land"] = ["bars1h"]
+
+
+@query("stream_ingest", O.with_ctes(["land"], """
+SELECT upper(symbol) || 'USDT' AS symbol, ts, round(close, 6) AS close, date FROM (
+  SELECT *, row_number() OVER (PARTITION BY symbol, ts ORDER BY seq DESC) AS rn FROM land) WHERE rn = 1"""))
+def q_stream_ingest(spark, sf_dir):
+    """Three overlapping landing batches (the later ones correct earlier
+    bars) drained by a file stream with availableNow; foreachBatch upserts
+    each micro-batch into a versioned bar table."""
+    base = scratch_path(spark, "stream_ingest")
+    landing, table, ckpt = stream.stream_ingest_dirs(base)
+    b = bars(spark, sf_dir, 3600)
+    d = F.col("date")
+    batches = [(1, d < F.lit("2024-01-12").cast("date"), 1.0),
+               (2, (d >= F.lit("2024-01-10").cast("date")) & (d <= F.lit("2024-01-22").cast("date")), 1.001),
+               (3, d >= F.lit("2024-01-20").cast("date"), 1.002)]
+    for seq, cond, factor in batches:
+        rows = b.filter(cond).select(
+            F.concat(F.upper("symbol"), F.lit("/USDT")).alias("SYMBOL"), F.unix_millis("ts").alias("TIMESTAMP"),
+            F.col("open").alias("Open"), F.col("high").alias("High"), F.col("low").alias("Low"),
+            (F.col("close") * F.lit(factor)).alias("Close"), F.col("volume").alias("Volume"),
+            F.lit(seq).cast("long").alias("seq"))
+        rows.write.mode("append").parquet(landing)
+    stream.stream_ingest(spark, landing, table, ckpt, max_files_per_trigger=2)
+    t = stream.current_table(spark, table)
+    return t.select("symbol", "ts", r6("close").alias("close"), "date")

@@ -31,6 +31,9 @@ def build_session(master: str | None = None, app: str = "spreadlab",
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            # local mode: the driver JVM is the only executor
+            builder = builder.config("spark.driver.memory", os.environ.get("SPREADLAB_DRIVER_MEMORY", "8g"))
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
     if shuffle_partitions:

@@ -41,17 +41,17 @@ def upsert_partial(target: DataFrame, source: DataFrame, keys: list[str], set_co
     """K2: matched -> update only ``set_cols`` (null updates kept), not matched ->
     insert the source's columns; other target columns stay as they are."""
     t = target.withColumn("_t_hit", F.lit(True))
-    s = source.select(*keys, *set_cols).withColumn("_s_hit", F.lit(True))
-    cond = [t[k] == s[k] for k in keys]
+    s = source.select(*[F.col(c).alias(f"_s_{c}") for c in [*keys, *set_cols]]).withColumn("_s_hit", F.lit(True))
+    cond = [F.col(k) == F.col(f"_s_{k}") for k in keys]
     j = t.join(s, cond, "full_outer")
     out = []
     for c in target.columns:
         if c in keys:
-            out.append(F.when(t["_t_hit"], t[c]).otherwise(s[c]).alias(c))
+            out.append(F.when(F.col("_t_hit"), F.col(c)).otherwise(F.col(f"_s_{c}")).alias(c))
         elif c in set_cols:
-            out.append(F.when(s["_s_hit"], s[c]).otherwise(t[c]).alias(c))
+            out.append(F.when(F.col("_s_hit"), F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c))
         else:
-            out.append(F.when(t["_t_hit"], t[c]).alias(c))
+            out.append(F.when(F.col("_t_hit"), F.col(c)).alias(c))
     return j.select(*out)
 
 
