@@ -114,8 +114,9 @@ def auc(df: DataFrame, label: str = "label", score: str = "prob", group: str | N
         (F.col("cum_neg") - F.col("neg")).cast("double") + F.col("neg").cast("double") / F.lit(2.0))
     out = scanned.groupBy(*g).agg(F.sum(contrib).alias("_num"), F.sum("pos").alias("n_pos"),
                                   F.sum("neg").alias("n_neg"))
-    return out.select(*g, (F.col("_num") / (F.col("n_pos").cast("double") * F.col("n_neg").cast("double"))
-                           ).alias("auc"), "n_pos", "n_neg")
+    # one class absent -> AUC undefined -> null (never a division error)
+    return out.select(*g, F.try_divide(F.col("_num"), F.col("n_pos").cast("double") * F.col("n_neg").cast("double")
+                                       ).alias("auc"), "n_pos", "n_neg")
 
 
 def fit_logreg(spark: SparkSession, train: DataFrame, features: list[str], label: str = "label",

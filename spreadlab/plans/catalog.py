@@ -709,7 +709,8 @@ def q_align_target(spark, sf_dir):
 
 
 _auc_sql_body = """
-  SELECT {g} round((sum(CASE WHEN label = 1 THEN r ELSE 0 END) - np * (np + 1) / 2.0::DOUBLE) / (np * nn), 6) AS auc,
+  SELECT {g} CASE WHEN np * nn > 0 THEN
+           round((sum(CASE WHEN label = 1 THEN r ELSE 0 END) - np * (np + 1) / 2.0::DOUBLE) / (np * nn), 6) END AS auc,
          CAST(np AS BIGINT) AS n_pos, CAST(nn AS BIGINT) AS n_neg
   FROM (SELECT *, rank() OVER (PARTITION BY {pg} ORDER BY s) + (count(*) OVER (PARTITION BY {pg}, s) - 1) / 2.0::DOUBLE AS r,
                sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) OVER (PARTITION BY {pg}) AS np,
