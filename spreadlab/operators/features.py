@@ -78,7 +78,13 @@ def pair_features(bars: DataFrame, pairs: DataFrame, mode: str = "rolling", wind
         whole = Window.partitionBy("pair")
         fit = {"beta": F.regr_slope("la", "lb").over(whole), "alpha": F.regr_intercept("la", "lb").over(whole)}
     elif mode == "rolling":
-        fit = {"beta": F.regr_slope("la", "lb").over(roll), "alpha": F.regr_intercept("la", "lb").over(roll)}
+        # OLS intercept = mean(ln a) - beta * mean(ln b) over the same frame (rows
+        # where both legs are defined): one co-moment aggregate instead of two
+        both = F.col("la").isNotNull() & F.col("lb").isNotNull()
+        beta = F.regr_slope("la", "lb").over(roll)
+        fit = {"beta": beta,
+               "alpha": F.when(beta.isNotNull(), F.avg(F.when(both, F.col("la"))).over(roll)
+                               - beta * F.avg(F.when(both, F.col("lb"))).over(roll))}
     else:
         raise ValueError(f"mode must be 'static' or 'rolling', got {mode!r}")
     df = legs.withColumns(fit).withColumn(

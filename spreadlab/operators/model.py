@@ -130,17 +130,21 @@ def fit_logreg(spark: SparkSession, train: DataFrame, features: list[str], label
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
 
-    stats_rows = scaler_stats(train, features).collect()          # one row per feature
-    stats = [(r["feature"], float(r["mean"]), float(r["scale"])) for r in stats_rows]
-    n = train.count()
-    if n == 0:
-        raise ValueError("empty training set")
-    scaled = standardize(train, features, stats)
-    vec = VectorAssembler(inputCols=features, outputCol="features_vec", handleInvalid="skip").transform(scaled)
-    lr = LogisticRegression(featuresCol="features_vec", labelCol=label, maxIter=max_iter,
-                            regParam=1.0 / (c * n), elasticNetParam=0.0, standardization=False,
-                            fitIntercept=True, tol=1e-6)
-    model = lr.fit(vec.select("features_vec", F.col(label).cast("double").alias(label)))
+    train = train.select(*features, label).persist()   # several passes below; spills to disk
+    try:
+        stats_rows = scaler_stats(train, features).collect()          # one row per feature
+        stats = [(r["feature"], float(r["mean"]), float(r["scale"])) for r in stats_rows]
+        n = train.count()
+        if n == 0:
+            raise ValueError("empty training set")
+        scaled = standardize(train, features, stats)
+        vec = VectorAssembler(inputCols=features, outputCol="features_vec", handleInvalid="skip").transform(scaled)
+        lr = LogisticRegression(featuresCol="features_vec", labelCol=label, maxIter=max_iter,
+                                regParam=1.0 / (c * n), elasticNetParam=0.0, standardization=False,
+                                fitIntercept=True, tol=1e-6)
+        model = lr.fit(vec.select("features_vec", F.col(label).cast("double").alias(label)))
+    finally:
+        train.unpersist()
     return [float(x) for x in model.coefficients.toArray()], float(model.intercept), stats
 
 

@@ -100,7 +100,9 @@ def pair_moments(rows: DataFrame) -> DataFrame:
     da, db = F.col("a") - p, F.col("b") - q
     return rows.groupBy("sym_a", "sym_b").agg(
         F.count(F.lit(1)).alias("n"),
-        F.corr("a", "b").alias("corr"),
+        # corr = cov / (std_a std_b); try_divide keeps a constant leg from raising
+        # under ANSI (Spark's corr() divides by zero there) -- such pairs are skipped
+        F.try_divide(F.covar_pop("a", "b"), F.stddev_pop("a") * F.stddev_pop("b")).alias("corr"),
         F.stddev_pop("a").alias("std_a"),
         F.stddev_pop("b").alias("std_b"),
         F.regr_slope("a", "b").alias("beta"),
@@ -133,9 +135,10 @@ def adf_lag0(m: DataFrame) -> DataFrame:
     sxy = n1 * (cov_xy + mean_x * mean_y)
     syy = n1 * (var_y + mean_y * mean_y)
     out = m.withColumns({"sxx": sxx, "sxy": sxy, "syy": syy})
-    ssr = F.col("syy") - F.col("sxy") * F.col("sxy") / F.col("sxx")
+    # try_divide: a degenerate pair yields null instead of an ANSI division error
+    ssr = F.col("syy") - F.try_divide(F.col("sxy") * F.col("sxy"), F.col("sxx"))
     ok = (F.col("sxx") > F.lit(1e-12) * n1 * (F.col("v_p") + F.lit(1e-300))) & (n1 > F.lit(2)) & (ssr > F.lit(0.0))
-    rho = F.col("sxy") / F.col("sxx")
+    rho = F.try_divide(F.col("sxy"), F.col("sxx"))
     tau = F.when(ok, rho / F.sqrt(ssr / (n1 - F.lit(1)) / F.col("sxx")))
     return out.withColumn("tau", tau).withColumn("pvalue", eg_pvalue(F.col("tau")))
 

@@ -308,7 +308,11 @@ from ..operators import features as feat  # noqa: E402
 
 
 def _screened(spark, sf_dir):
-    return screen.screen_gate(_stats(spark, sf_dir)).select("sym_a", "sym_b")
+    """The screened-pairs table (silver), staged once per session for the
+    stages that consume it (5-minute restriction, pair features, dataset)."""
+    return staged(spark, ("screened", sf_dir),
+                  lambda: screen.screen_gate(_stats(spark, sf_dir)).select("sym_a", "sym_b", "corr", "pvalue")
+                  ).select("sym_a", "sym_b")
 
 
 def _restricted_5m(spark, sf_dir):
