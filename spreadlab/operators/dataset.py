@@ -16,12 +16,20 @@ DATASET_COLS = ["ts", "pair", "beta", "alpha", "spread", "zscore", "label"]
 
 
 def label_forward(features: DataFrame, horizon: int = HORIZON, tail: str = "drop",
-                  price: str = "a_close", key: str = "pair") -> DataFrame:
+                  price: str = "a_close", key: str = "pair", chunk_rows: int | None = 4096) -> DataFrame:
+    """ret_fwd = (price[t+h] - price[t]) / price[t], label = 1 if ret_fwd > 0 else 0.
+    ``lead`` runs chunked (bounded tasks) unless ``chunk_rows`` is None."""
+    from .windowing import chunked_windows
     if tail not in ("zero", "drop"):
         raise ValueError("tail must be 'zero' or 'drop'")
-    w = Window.partitionBy(key).orderBy("ts")
-    fut = F.lead(price, horizon).over(w)
-    df = features.withColumn("_future", fut)
+
+    def build(d, w):
+        return d.withColumn("_future", F.lead(price, horizon).over(w))
+
+    if chunk_rows:
+        df = chunked_windows(features, [key], "ts", 0, horizon, build, chunk_rows=chunk_rows)
+    else:
+        df = build(features, Window.partitionBy(key).orderBy("ts"))
     if tail == "drop":
         df = df.filter(F.col("_future").isNotNull())
     ret = F.try_divide(F.col("_future") - F.col(price), F.col(price))
@@ -30,6 +38,7 @@ def label_forward(features: DataFrame, horizon: int = HORIZON, tail: str = "drop
     return df.drop("_future")
 
 
-def build_dataset(features: DataFrame, horizon: int = HORIZON, tail: str = "drop") -> DataFrame:
+def build_dataset(features: DataFrame, horizon: int = HORIZON, tail: str = "drop",
+                  chunk_rows: int | None = 4096) -> DataFrame:
     """ts, pair, beta, alpha, spread, zscore, label with any-null rows dropped."""
-    return label_forward(features, horizon, tail).select(*DATASET_COLS).na.drop("any")
+    return label_forward(features, horizon, tail, chunk_rows=chunk_rows).select(*DATASET_COLS).na.drop("any")

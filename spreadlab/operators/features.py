@@ -26,22 +26,36 @@ def cast_bars(df: DataFrame) -> DataFrame:
     return out.withColumns({c: F.col(c).try_cast("double") for c in BAR_NUMERIC if c in df.columns})
 
 
-def symbol_features(bars: DataFrame) -> DataFrame:
-    """ts, symbol, close, [date], ret_1, ma_5/12/24/48, vol_12/48, z_48."""
-    w = Window.partitionBy("symbol").orderBy("ts")
-
+def _symbol_columns(df: DataFrame, w) -> DataFrame:
     def frame(n):
         return w.rowsBetween(-(n - 1), Window.currentRow)
 
-    df = cast_bars(bars).withColumn("ret_1", safe_log(F.col("close")) - safe_log(F.lag("close").over(w)))
+    df = df.withColumn("ret_1", safe_log(F.col("close")) - safe_log(F.lag("close").over(w)))
     cols = {f"ma_{n}": F.avg("close").over(frame(n)) for n in MA_WINDOWS}
     cols.update({f"vol_{n}": F.stddev_samp("ret_1").over(frame(n)) for n in VOL_WINDOWS})
     mean_z = F.avg("close").over(frame(Z_WINDOW))
     std_z = F.stddev_samp("close").over(frame(Z_WINDOW))
     cols["z_48"] = guarded_z(F.col("close"), mean_z, std_z)
-    df = df.withColumns(cols)
+    return df.withColumns(cols)
+
+
+FEATURE_COLS = ["ret_1"] + [f"ma_{n}" for n in MA_WINDOWS] + [f"vol_{n}" for n in VOL_WINDOWS] + ["z_48"]
+
+
+def symbol_features(bars: DataFrame, chunk_rows: int | None = 4096) -> DataFrame:
+    """ts, symbol, close, [date], ret_1, ma_5/12/24/48, vol_12/48, z_48.
+
+    With ``chunk_rows`` the windows run chunked (every task bounded by the
+    chunk size whatever the symbol skew); ``None`` uses one partition per symbol."""
+    from .windowing import chunked_windows
+    df = cast_bars(bars)
+    reach = max(max(MA_WINDOWS), max(VOL_WINDOWS) + 1, Z_WINDOW) - 1  # vol over ret_1 needs one more row
+    if chunk_rows:
+        df = chunked_windows(df, ["symbol"], "ts", reach, 0, _symbol_columns, chunk_rows=chunk_rows)
+    else:
+        df = _symbol_columns(df, Window.partitionBy("symbol").orderBy("ts"))
     keep = ["ts", "symbol", "close"] + (["date"] if "date" in bars.columns else [])
-    return df.select(*keep, "ret_1", *cols.keys())
+    return df.select(*keep, *FEATURE_COLS)
 
 
 def latest(df: DataFrame, n: int = 10, ts: str = "ts", tiebreak: str = "symbol") -> DataFrame:
@@ -63,35 +77,52 @@ def pair_legs(bars: DataFrame, pairs: DataFrame) -> DataFrame:
         "pair", pair_label(F.col("symbol_a"), F.col("symbol_b")))
 
 
-def pair_features(bars: DataFrame, pairs: DataFrame, mode: str = "rolling", window: int = Z_WINDOW) -> DataFrame:
-    """Ts, pair, a_close, beta, alpha, spread, zscore.
-
-    spread = ln a - alpha - beta ln b, where (alpha, beta) is the OLS fit of
-    ln a on ln b: one fit per pair (``static``, uses the whole sample) or over
-    the trailing ``window`` bars (``rolling``, no look-ahead).  zscore is the
-    rolling z of the spread with the W4 guard."""
-    legs = pair_legs(bars, pairs).withColumns({
-        "la": safe_log(F.col("a_close")), "lb": safe_log(F.col("b_close"))})
-    w = Window.partitionBy("pair").orderBy("ts")
+def _spread_columns(df: DataFrame, w, mode: str, window: int) -> DataFrame:
+    """beta, alpha (rolling mode), spread and zscore over window spec ``w``."""
     roll = w.rowsBetween(-(window - 1), Window.currentRow)
-    if mode == "static":
-        whole = Window.partitionBy("pair")
-        fit = {"beta": F.regr_slope("la", "lb").over(whole), "alpha": F.regr_intercept("la", "lb").over(whole)}
-    elif mode == "rolling":
+    if mode == "rolling":
         # OLS intercept = mean(ln a) - beta * mean(ln b) over the same frame (rows
         # where both legs are defined): one co-moment aggregate instead of two
         both = F.col("la").isNotNull() & F.col("lb").isNotNull()
         beta = F.regr_slope("la", "lb").over(roll)
-        fit = {"beta": beta,
-               "alpha": F.when(beta.isNotNull(), F.avg(F.when(both, F.col("la"))).over(roll)
-                               - beta * F.avg(F.when(both, F.col("lb"))).over(roll))}
-    else:
+        df = df.withColumns({
+            "beta": beta,
+            "alpha": F.when(beta.isNotNull(), F.avg(F.when(both, F.col("la"))).over(roll)
+                            - beta * F.avg(F.when(both, F.col("lb"))).over(roll))})
+    df = df.withColumn("spread", F.col("la") - F.col("alpha") - F.col("beta") * F.col("lb"))
+    return df.withColumn("zscore", guarded_z(F.col("spread"), F.avg("spread").over(roll),
+                                             F.stddev_samp("spread").over(roll)))
+
+
+def pair_features(bars: DataFrame, pairs: DataFrame, mode: str = "rolling", window: int = Z_WINDOW,
+                  chunk_rows: int | None = 4096) -> DataFrame:
+    """Ts, pair, symbol_a, symbol_b, a_close, beta, alpha, spread, zscore.
+
+    spread = ln a - alpha - beta ln b, where (alpha, beta) is the OLS fit of
+    ln a on ln b: one fit per pair (``static``: a grouped aggregate joined
+    back, uses the whole sample) or over the trailing ``window`` bars
+    (``rolling``, no look-ahead).  zscore is the rolling z of the spread with
+    the W4 guard.  With ``chunk_rows`` the rolling windows run chunked (tasks
+    bounded by the chunk size, see ``operators.windowing``); ``None`` uses one
+    window partition per pair."""
+    from .windowing import chunked_windows
+    if mode not in ("static", "rolling"):
         raise ValueError(f"mode must be 'static' or 'rolling', got {mode!r}")
-    df = legs.withColumns(fit).withColumn(
-        "spread", F.col("la") - F.col("alpha") - F.col("beta") * F.col("lb"))
-    df = df.withColumn("zscore", guarded_z(F.col("spread"), F.avg("spread").over(roll),
-                                           F.stddev_samp("spread").over(roll)))
-    return df.select("ts", "pair", "symbol_a", "symbol_b", "a_close", "beta", "alpha", "spread", "zscore")
+    legs = pair_legs(bars, pairs).withColumns({
+        "la": safe_log(F.col("a_close")), "lb": safe_log(F.col("b_close"))})
+    if mode == "static":
+        fit = legs.groupBy("pair").agg(F.regr_slope("la", "lb").alias("beta"),
+                                       F.regr_intercept("la", "lb").alias("alpha"))
+        legs = legs.join(fit, "pair")
+        reach = window - 1
+    else:
+        reach = 2 * (window - 1)  # spread window over rolling-fit window
+    if chunk_rows:
+        out = chunked_windows(legs, ["pair"], "ts", reach, 0,
+                              lambda d, w: _spread_columns(d, w, mode, window), chunk_rows=chunk_rows)
+    else:
+        out = _spread_columns(legs, Window.partitionBy("pair").orderBy("ts"), mode, window)
+    return out.select("ts", "pair", "symbol_a", "symbol_b", "a_close", "beta", "alpha", "spread", "zscore")
 
 
 def pair_betas(bars: DataFrame) -> DataFrame:

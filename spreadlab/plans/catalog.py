@@ -468,12 +468,15 @@ for _tail in ("zero", "drop"):
 # report, pair mode (flagship)
 # ---------------------------------------------------------------------------
 def _pair_signals(spark, sf_dir):
-    """Model-free pair signals: leg A's signal per 5-minute bar with the
-    full-sample log-price beta of every symbol pair (a < b)."""
-    sig = signals_single(spark, sf_dir)
-    betas = feat.pair_betas(bars(spark, sf_dir, 300))
-    return sig.join(betas, sig["symbol"] == betas["symbol_a"]).select(
-        "ts", "symbol_a", "symbol_b", "beta", "signal")
+    """Model-free pair signals (the gold signals table, staged once per session):
+    leg A's signal per 5-minute bar with the full-sample log-price beta of every
+    symbol pair (a < b)."""
+    def build():
+        sig = signals_single(spark, sf_dir)
+        betas = feat.pair_betas(bars(spark, sf_dir, 300))
+        return sig.join(betas, sig["symbol"] == betas["symbol_a"]).select(
+            "ts", "symbol_a", "symbol_b", "beta", "signal")
+    return staged(spark, ("pair_signals", sf_dir), build)
 
 
 def _pair_rows(spark, sf_dir, **kw):
