@@ -26,7 +26,9 @@ def label_forward(features: DataFrame, horizon: int = HORIZON, tail: str = "drop
     def build(d, w):
         return d.withColumn("_future", F.lead(price, horizon).over(w))
 
-    if chunk_rows:
+    if "_future" in features.columns:      # computed upstream in the features' own pass
+        df = features
+    elif chunk_rows:
         df = chunked_windows(features, [key], "ts", 0, horizon, build, chunk_rows=chunk_rows)
     else:
         df = build(features, Window.partitionBy(key).orderBy("ts"))
@@ -42,3 +44,12 @@ def build_dataset(features: DataFrame, horizon: int = HORIZON, tail: str = "drop
                   chunk_rows: int | None = 4096) -> DataFrame:
     """ts, pair, beta, alpha, spread, zscore, label with any-null rows dropped."""
     return label_forward(features, horizon, tail, chunk_rows=chunk_rows).select(*DATASET_COLS).na.drop("any")
+
+
+def dataset_from_bars(bars: DataFrame, pairs: DataFrame, horizon: int = HORIZON, tail: str = "drop",
+                      mode: str = "rolling", chunk_rows: int | None = 4096) -> DataFrame:
+    """Pair features and forward labels in one windowed pass (one ordinal scan,
+    one exchange), then the dataset projection."""
+    from .features import pair_features
+    feats = pair_features(bars, pairs, mode, chunk_rows=chunk_rows, label_horizon=horizon)
+    return build_dataset(feats, horizon, tail, chunk_rows)

@@ -77,9 +77,12 @@ def pair_legs(bars: DataFrame, pairs: DataFrame) -> DataFrame:
         "pair", pair_label(F.col("symbol_a"), F.col("symbol_b")))
 
 
-def _spread_columns(df: DataFrame, w, mode: str, window: int) -> DataFrame:
-    """beta, alpha (rolling mode), spread and zscore over window spec ``w``."""
+def _spread_columns(df: DataFrame, w, mode: str, window: int, horizon: int | None = None) -> DataFrame:
+    """beta, alpha (rolling mode), spread and zscore over window spec ``w``;
+    with ``horizon`` also the leg-A close ``horizon`` bars ahead (``_future``)."""
     roll = w.rowsBetween(-(window - 1), Window.currentRow)
+    if horizon:
+        df = df.withColumn("_future", F.lead("a_close", horizon).over(w))
     if mode == "rolling":
         # OLS intercept = mean(ln a) - beta * mean(ln b) over the same frame (rows
         # where both legs are defined): one co-moment aggregate instead of two
@@ -95,7 +98,7 @@ def _spread_columns(df: DataFrame, w, mode: str, window: int) -> DataFrame:
 
 
 def pair_features(bars: DataFrame, pairs: DataFrame, mode: str = "rolling", window: int = Z_WINDOW,
-                  chunk_rows: int | None = 4096) -> DataFrame:
+                  chunk_rows: int | None = 4096, label_horizon: int | None = None) -> DataFrame:
     """Ts, pair, symbol_a, symbol_b, a_close, beta, alpha, spread, zscore.
 
     spread = ln a - alpha - beta ln b, where (alpha, beta) is the OLS fit of
@@ -104,7 +107,8 @@ def pair_features(bars: DataFrame, pairs: DataFrame, mode: str = "rolling", wind
     (``rolling``, no look-ahead).  zscore is the rolling z of the spread with
     the W4 guard.  With ``chunk_rows`` the rolling windows run chunked (tasks
     bounded by the chunk size, see ``operators.windowing``); ``None`` uses one
-    window partition per pair."""
+    window partition per pair.  ``label_horizon`` adds ``_future`` (the leg-A
+    close that many bars ahead) in the same pass, for the dataset."""
     from .windowing import chunked_windows
     if mode not in ("static", "rolling"):
         raise ValueError(f"mode must be 'static' or 'rolling', got {mode!r}")
@@ -117,12 +121,14 @@ def pair_features(bars: DataFrame, pairs: DataFrame, mode: str = "rolling", wind
         reach = window - 1
     else:
         reach = 2 * (window - 1)  # spread window over rolling-fit window
+    fwd = label_horizon or 0
     if chunk_rows:
-        out = chunked_windows(legs, ["pair"], "ts", reach, 0,
-                              lambda d, w: _spread_columns(d, w, mode, window), chunk_rows=chunk_rows)
+        out = chunked_windows(legs, ["pair"], "ts", reach, fwd,
+                              lambda d, w: _spread_columns(d, w, mode, window, label_horizon), chunk_rows=chunk_rows)
     else:
-        out = _spread_columns(legs, Window.partitionBy("pair").orderBy("ts"), mode, window)
-    return out.select("ts", "pair", "symbol_a", "symbol_b", "a_close", "beta", "alpha", "spread", "zscore")
+        out = _spread_columns(legs, Window.partitionBy("pair").orderBy("ts"), mode, window, label_horizon)
+    extra = ["_future"] if label_horizon else []
+    return out.select("ts", "pair", "symbol_a", "symbol_b", "a_close", "beta", "alpha", "spread", "zscore", *extra)
 
 
 def pair_betas(bars: DataFrame) -> DataFrame:

@@ -42,18 +42,42 @@ def with_id_columns(df: DataFrame) -> DataFrame:
     return df.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def score(df: DataFrame, model: dict) -> DataFrame:
-    """ts, symbol, prob (float), signal (int); missing feature -> prob null -> signal 0."""
+def score(df: DataFrame, model: dict, keep: list[str] | None = None) -> DataFrame:
+    """ts, symbol, [keep...], prob (float), signal (int); missing feature -> prob
+    null -> signal 0."""
     feats = list(model["features"])
     missing = [c for c in feats if c not in df.columns]
     if missing:
         raise ValueError(f"Missing required feature columns: {missing}")
     z = linear_score(feats, model["coef"], model["mean"], model["scale"], model["intercept"])
     prob = sigmoid(z)
-    ids = [c for c in ("ts", "symbol") if c in df.columns]
+    ids = [c for c in ("ts", "symbol") if c in df.columns] + list(keep or [])
     return df.select(*ids, prob.cast("float").alias("prob"), score_signal(prob).alias("signal"))
 
 
+def save_model(record: DataFrame, path: str) -> str:
+    """K6: the one-row model record as a JSON document."""
+    record.coalesce(1).write.mode("overwrite").json(path)
+    return path
+
+
+MODEL_SCHEMA = ("name string, format string, framework string, features array<string>, label string, "
+                "coef array<double>, intercept double, scaler struct<mean: array<double>, scale: array<double>>, "
+                "metrics struct<auc: double>")
+
+
+def load_model(spark, path: str) -> dict:
+    """K7: read a model record (explicit schema), require format json_lr,
+    zero scale -> 1.  One row to the driver: the coefficients become literals."""
+    rec = spark.read.schema(MODEL_SCHEMA).json(path).first()
+    if rec is None or rec["format"] != "json_lr":
+        raise ValueError("Only 'json_lr' model records are supported.")
+    scale = [1.0 if (x is None or x == 0.0) else float(x) for x in rec["scaler"]["scale"]]
+    return {"name": rec["name"], "features": list(rec["features"]), "coef": [float(x) for x in rec["coef"]],
+            "intercept": float(rec["intercept"]), "mean": [float(x) for x in rec["scaler"]["mean"]],
+            "scale": scale}
+
+
 def score_batches_fn(model: dict):
     """Arrow-batch (mapInPandas) scorer equivalent to ``score``; test use only."""
     feats = list(model["features"])

@@ -446,7 +446,7 @@ DS_OUT = ["beta", "alpha", "spread", "zscore"]
 def _dataset(spark, sf_dir, tail="drop", stage=True):
     """The training table (gold dataset), staged once per session for the
     training/scoring stages that read it."""
-    build = lambda: ds.build_dataset(_pair_features(spark, sf_dir, "rolling"), tail=tail)
+    build = lambda: ds.dataset_from_bars(bars(spark, sf_dir, 300), _screened(spark, sf_dir), tail=tail)
     return staged(spark, ("dataset", sf_dir, tail), build) if stage else build()
 
 
@@ -1063,3 +1063,52 @@ def q_stream_ingest(spark, sf_dir):
     stream.stream_ingest(spark, landing, table, ckpt, max_files_per_trigger=2)
     t = stream.current_table(spark, table)
     return t.select("symbol", "ts", r6("close").alias("close"), "date")
+
+
+# ---------------------------------------------------------------------------
+# table pick, model record round trip, report over scored signals
+# ---------------------------------------------------------------------------
+@query("price_source_pick", O.with_ctes(["bars5m"], "SELECT ts, symbol, round(close, 6) AS close FROM bars5m"))
+def q_price_source_pick(spark, sf_dir):
+    """S14 + P2: first existing price table of an ordered candidate list (the
+    features view is absent, the bronze bars view exists), normalised."""
+    bars(spark, sf_dir, 300).createOrReplaceTempView("spreadlab_bronze_ohlcv_5m")
+    df, _ = tables.first_table(spark, ["spreadlab_silver_features_5m", "spreadlab_bronze_ohlcv_5m"])
+    p = report.normalize_prices(df)
+    return p.select("ts", "symbol", r6("close").alias("close"))
+
+
+@query("model_roundtrip", ORACLE["score_fixed_model"])
+def q_model_roundtrip(spark, sf_dir):
+    """K6 + K7 + M7: write the model record as JSON, read it back (format check,
+    zero-scale guard) and score the last 14 days with the loaded constants."""
+    m = sc.FIXED_MODEL
+    stats = list(zip(m["features"], m["mean"], m["scale"]))
+    rec = mdl.model_record(spark, m["name"], m["features"], m["coef"], m["intercept"], stats, None)
+    path = scratch_path(spark, "model_json")
+    sc.save_model(rec, path)
+    loaded = sc.load_model(spark, path)
+    d = screen.recent_ts(sc.with_id_columns(_dataset(spark, sf_dir, "drop")), AS_OF, sc.DAYS_BACK)
+    return sc.score(d, loaded)
+
+
+O.CTE["ssig"] = f"""ssig AS (
+  SELECT ts, list_extract(parts, 1) AS symbol_a, list_extract(parts, 2) AS symbol_b, beta,
+         CAST(CASE WHEN p IS NULL OR isnan(p) THEN 0 WHEN p >= 0.55 THEN 1 WHEN p <= 0.45 THEN -1 ELSE 0 END AS INTEGER) AS signal
+  FROM (SELECT ts, string_split(regexp_replace(pair, '[,|\\s]+', '|', 'g'), '|') AS parts, beta,
+               1.0::DOUBLE / (1.0::DOUBLE + exp(-{_fixed_lin_sql()})) AS p
+        FROM ds_drop WHERE ts >= TIMESTAMP '{AS_OF}' - INTERVAL 14 DAY))"""
+O.DEPS["ssig"] = ["ds_drop"]
+O.CTE["scored_rows"] = O.pair_rows_sql("ssig", "scored_rows")
+O.DEPS["scored_rows"] = ["ssig", "px", "nb"]
+
+
+@query("scored_pair_pnl_daily", O.with_ctes(["scored_rows"], _agg_sql("scored_rows", "date", "CAST(ts5 AS DATE)")))
+def q_scored_pair_pnl_daily(spark, sf_dir):
+    """M7 -> R1 -> A3: the report over model signals.  Scored rows carry the
+    pair label and the rolling beta, so pair mode works end to end."""
+    d = screen.recent_ts(sc.with_id_columns(_dataset(spark, sf_dir, "drop")), AS_OF, sc.DAYS_BACK)
+    sig = sc.score(d, sc.FIXED_MODEL, keep=["pair", "beta"]).drop("symbol")
+    px = report.normalize_prices(bars(spark, sf_dir, 300))
+    rows = report.pair_pnl(report.detect_pairs(sig), px)
+    return _aggs_out(report.pnl_daily(rows), "date")

@@ -100,3 +100,30 @@ def eg_pvalue_sql(tau: str) -> str:
     return (f"(CASE WHEN {tau} IS NULL THEN NULL WHEN {tau} < {EG_TAU_MIN!r} THEN 0.0::DOUBLE "
             f"WHEN {tau} > {EG_TAU_MAX!r} THEN 1.0::DOUBLE WHEN {tau} <= {EG_TAU_STAR!r} THEN {small} "
             f"ELSE {large} END)")
+
+
+def pair_rows_sql(sig: str, name: str) -> str:
+    """Next-bar pair PnL rows over a pair-signal CTE ``sig`` (ts, symbol_a,
+    symbol_b, beta, signal) and the ``px``/``nb`` price CTEs."""
+    return f"""{name}_s5 AS (
+  SELECT make_timestamp((epoch_us(ts) // 300000000) * 300000000) AS ts5, symbol_a, symbol_b, beta, signal
+  FROM {sig}, (SELECT greatest((SELECT min(ts) FROM {sig}), (SELECT min(ts) FROM px)) AS o_start,
+                      least((SELECT max(ts) FROM {sig}), (SELECT max(ts) FROM px)) AS o_end) b
+  WHERE b.o_end > b.o_start
+    AND make_timestamp((epoch_us(ts) // 300000000) * 300000000) BETWEEN b.o_start AND b.o_end
+    AND beta IS NOT NULL AND beta >= 0.1 AND beta <= 10.0),
+{name}_j AS (
+  SELECT s.*, a.close AS close_a, a.close_next AS close_next_a, a.ts5_next AS ts5_next_a,
+         b.close AS close_b, b.close_next AS close_next_b, b.ts5_next AS ts5_next_b
+  FROM {name}_s5 s JOIN nb a ON a.symbol = s.symbol_a AND a.ts5 = s.ts5
+  JOIN nb b ON b.symbol = s.symbol_b AND b.ts5 = s.ts5
+  WHERE a.close_next IS NOT NULL AND b.close_next IS NOT NULL),
+{name}_d AS (
+  SELECT *, CASE WHEN close_next_a > 0 THEN ln(close_next_a) END - CASE WHEN close_a > 0 THEN ln(close_a) END AS dln_a,
+            CASE WHEN close_next_b > 0 THEN ln(close_next_b) END - CASE WHEN close_b > 0 THEN ln(close_b) END AS dln_b
+  FROM {name}_j),
+{name} AS (
+  SELECT ts5, symbol_a, symbol_b, beta, signal, dln_a - beta * dln_b AS ret_pair,
+         signal * CASE WHEN close_a + abs(beta) * close_b > 0 THEN dln_a - beta * dln_b ELSE 0.0::DOUBLE END AS pnl,
+         symbol_a || '||' || symbol_b AS pair, ts5_next_a, ts5_next_b
+  FROM {name}_d WHERE abs(dln_a) <= 0.5 AND abs(dln_b) <= 0.5)"""
