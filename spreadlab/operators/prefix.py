@@ -21,14 +21,31 @@ from pyspark.sql import functions as F
 
 
 def running_sum(df: DataFrame, keys: list[str], order_cols: list[str],
-                sums: dict[str, str], bucket: Column) -> DataFrame:
+                sums: dict[str, str], bucket: Column | None = None,
+                n_buckets: int | None = None) -> DataFrame:
     """Add one running-sum column per ``sums`` entry (out_name -> input column).
 
-    ``bucket`` must be monotone non-decreasing in ``order_cols`` within a key;
-    results are exact (integer inputs give exact sums in any order).
-    """
+    ``bucket`` must be monotone non-decreasing in ``order_cols`` within a key
+    (e.g. a time bucket).  ``None`` uses range-partition buckets instead: rows
+    are range partitioned on (keys, order) -- Spark samples the sort key, so a
+    hot key or a burst of rows at one instant is split over many partitions --
+    and the partition id is the bucket.  Every task is then bounded by about
+    rows / n_buckets whatever the skew.  Results are exact (integer inputs give
+    exact sums in any order)."""
     b = "_scan_bucket"
-    staged = df.withColumn(b, bucket)
+    if bucket is None:
+        from ..session import checkpoint_dir
+        spark = df.sparkSession
+        n = n_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        checkpoint_dir(spark)
+        # The partition id is only a valid bucket if every consumer sees the
+        # same assignment: write it once (reliable checkpoint in the shared
+        # folder) so the totals and the row pass read identical buckets.
+        staged = (df.repartitionByRange(n, *keys, *order_cols)
+                  .withColumn(b, F.spark_partition_id())
+                  .checkpoint(eager=True))
+    else:
+        staged = df.withColumn(b, bucket)
     totals = staged.groupBy(*keys, b).agg(*[F.sum(src).alias(f"_tot_{out}") for out, src in sums.items()])
     w_prev = (Window.partitionBy(*keys).orderBy(b)
               .rowsBetween(Window.unboundedPreceding, -1))

@@ -84,14 +84,36 @@ def ffill_grid(grid: DataFrame) -> DataFrame:
                     F.lag("close_f").over(w).alias("close_prev")))
 
 
-def pair_rows(filled: DataFrame) -> DataFrame:
-    """All symbol pairs aligned on ts (a < b), legs a/b and their lags."""
+SYMBOLS_PER_BLOCK = 256
+
+
+def symbol_blocks(n_symbols: int, per_block: int = SYMBOLS_PER_BLOCK) -> int:
+    return max(1, -(-n_symbols // per_block))
+
+
+def pair_rows(filled: DataFrame, blocks: int = 1) -> DataFrame:
+    """All symbol pairs aligned on ts (a < b), legs a/b and their lags.
+
+    A ts group holds one row per symbol, so it fans out to S(S-1)/2 pair rows.
+    For a large universe the join key is refined with symbol blocks: a symbol
+    belongs to block hash(symbol) mod B, each side is copied once per block of
+    the other side, and the join runs on (ts, block_a, block_b).  Every pair
+    still meets exactly once (in the cell of its two blocks), while one join
+    task handles (S/B)^2 pairs instead of S^2."""
     a = filled.select("ts", F.col("symbol").alias("sym_a"), F.col("close").alias("a"),
                       F.col("close_prev").alias("a_prev"))
-    b = filled.select("ts", F.col("symbol").alias("sym_b"), F.col("close").alias("b"),
+    b = filled.select(F.col("ts").alias("ts_b"), F.col("symbol").alias("sym_b"), F.col("close").alias("b"),
                       F.col("close_prev").alias("b_prev"))
-    return a.join(b, (a["ts"] == b["ts"]) & (a["sym_a"] < b["sym_b"]), "inner").select(
-        a["ts"], "sym_a", "sym_b", "a", "b", "a_prev", "b_prev")
+    cond = (a["ts"] == b["ts_b"]) & (a["sym_a"] < b["sym_b"])
+    if blocks > 1:
+        ids = F.array(*[F.lit(i) for i in range(blocks)])
+        a = (a.withColumn("blk_a", F.pmod(F.xxhash64("sym_a"), F.lit(blocks)))
+             .withColumn("blk_b", F.explode(ids)))
+        b = (b.withColumn("blk_b2", F.pmod(F.xxhash64("sym_b"), F.lit(blocks)))
+             .withColumn("blk_a2", F.explode(ids)))
+        cond = cond & (a["blk_a"] == b["blk_a2"]) & (a["blk_b"] == b["blk_b2"])
+    return a.join(b, cond, "inner").select(
+        F.col("ts"), "sym_a", "sym_b", "a", "b", "a_prev", "b_prev")
 
 
 def pair_moments(rows: DataFrame) -> DataFrame:
@@ -151,7 +173,7 @@ def screen_stats(bars_1h: DataFrame, as_of: str, days: int = DAYS_WINDOW,
     if len(syms) < 3:
         raise ValueError("Not enough symbols to screen. Ingest more 1h data first.")
     filled = ffill_grid(dense_grid(win, syms))
-    return adf_lag0(pair_moments(pair_rows(filled)))
+    return adf_lag0(pair_moments(pair_rows(filled, symbol_blocks(len(syms)))))
 
 
 def screen_gate(stats: DataFrame, min_abs_corr: float = SCREEN_MIN_ABS_CORR,
@@ -232,7 +254,7 @@ def eg_tau_aic(bars_1h: DataFrame, as_of: str, days: int = DAYS_WINDOW,
     win = recent(bars_1h, as_of, days)
     syms = symbol_list(win)
     filled = ffill_grid(dense_grid(win, syms))
-    rows = pair_rows(filled)
+    rows = pair_rows(filled, symbol_blocks(len(syms)))
     stats = pair_moments(rows).filter((F.col("std_a") != 0) & (F.col("std_b") != 0)
                                       & (F.abs("corr") >= F.lit(min_abs_corr)))
     resid = rows.join(stats.select("sym_a", "sym_b", "beta", "alpha"), ["sym_a", "sym_b"]).select(

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timefn import floor_time
-from ..operators.prefix import auto_bucket_seconds, running_sum
+from ..operators.prefix import running_sum
 
 # Fixed values of the surrogate price rule:
 #   trend symbols  click, error, purchase:
@@ -34,8 +34,12 @@ WALK_SCALE = 1000.0
 BASE_PRICE = 100.0
 
 
-def events_ticks(events: DataFrame, bucket_seconds: int | None = 3600) -> DataFrame:
-    """(symbol, ts, event_id, price, cents) -- one tick per event."""
+def events_ticks(events: DataFrame, bucket_seconds: int | None = None) -> DataFrame:
+    """(symbol, ts, event_id, price, cents) -- one tick per event.
+
+    The walk symbols' running total uses range-partition buckets by default
+    (bounded tasks even for a burst of events at one instant); a fixed time
+    bucket width can be given instead."""
     e = events.select(
         F.col("event_type").alias("symbol"),
         F.col("ts").cast("timestamp").alias("ts"),
@@ -49,10 +53,8 @@ def events_ticks(events: DataFrame, bucket_seconds: int | None = 3600) -> DataFr
          + ((F.unix_micros("ts") - F.lit(ORIGIN_US)).cast("double") / F.lit(1e6)) / F.lit(TREND_SECONDS)
          + F.col("value") * F.lit(NOISE_WEIGHT)).alias("price"))
     walk = e.filter(F.col("symbol").isin(*WALK_SYMBOLS))
-    if bucket_seconds is None:
-        bucket_seconds = auto_bucket_seconds(walk, ["symbol"], "ts")
-    walk = running_sum(walk, ["symbol"], ["ts", "event_id"], {"cum_cents": "cents"},
-                       floor_time(F.col("ts"), bucket_seconds))
+    bucket = floor_time(F.col("ts"), bucket_seconds) if bucket_seconds else None
+    walk = running_sum(walk, ["symbol"], ["ts", "event_id"], {"cum_cents": "cents"}, bucket)
     totals = walk.groupBy("symbol").agg(F.sum("cents").alias("tot_cents"))
     walk = walk.join(totals, "symbol").select(
         "symbol", "ts", "event_id", "cents",

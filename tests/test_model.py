@@ -119,3 +119,15 @@ def test_align_and_best_candidate(spark):
 def test_numeric_features(spark):
     df = _dataset(spark, 5)
     assert mdl.numeric_features(df) == ["beta", "alpha", "spread", "zscore"]
+
+
+def test_running_sum_range_buckets_with_burst(spark):
+    # one key holds most rows, many of them at the same instant (a burst)
+    rows_ = [("hot", 5, i, (i % 7) - 3) for i in range(3000)] + [("hot", t, 10_000 + t, 1) for t in range(6, 600)]
+    rows_ += [("cold", t, 20_000 + t, 2) for t in range(50)]
+    df = spark.createDataFrame(rows_, "k string, t long, id long, v long")
+    out = running_sum(df, ["k"], ["t", "id"], {"cs": "v"}, bucket=None, n_buckets=16).toPandas()
+    pdf = pd.DataFrame(rows_, columns=["k", "t", "id", "v"]).sort_values(["k", "t", "id"])
+    pdf["cs"] = pdf.groupby("k")["v"].cumsum()
+    m = out.merge(pdf, on=["k", "t", "id"], suffixes=("", "_ref"))
+    assert len(m) == len(rows_) and (m["cs"] == m["cs_ref"]).all()

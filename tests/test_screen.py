@@ -85,3 +85,17 @@ def test_aic_lag_runs(spark):
     bars = _bars(spark, {"a": a, "b": b, "c": c})
     out = {(r["sym_a"], r["sym_b"]): r for r in screen.eg_tau_aic(bars, "2024-01-14", 60).collect()}
     assert out[("a", "b")]["tau"] < -3.3 and out[("a", "b")]["pvalue"] < 0.05
+
+
+def test_symbol_blocks_give_same_pairs(spark):
+    rng = np.random.default_rng(9)
+    series = {f"s{i:02d}": 100 + np.cumsum(rng.normal(0, 1, 50)) for i in range(12)}
+    bars = _bars(spark, series)
+    syms = screen.symbol_list(bars)
+    filled = screen.ffill_grid(screen.dense_grid(bars, syms))
+    one = screen.pair_moments(screen.pair_rows(filled, 1)).select("sym_a", "sym_b", "n", "corr").toPandas()
+    four = screen.pair_moments(screen.pair_rows(filled, 4)).select("sym_a", "sym_b", "n", "corr").toPandas()
+    key = ["sym_a", "sym_b"]
+    one, four = one.sort_values(key).reset_index(drop=True), four.sort_values(key).reset_index(drop=True)
+    assert len(one) == len(four) == 66
+    assert (one["n"] == four["n"]).all() and np.allclose(one["corr"], four["corr"], rtol=0, atol=1e-12)
