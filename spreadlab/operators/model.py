@@ -35,6 +35,13 @@ def cast_features(df: DataFrame, features: list[str], label: str = "label") -> D
     return out.na.drop("any", subset=features + [label])
 
 
+def cap_sample(df: DataFrame, cap: int, seed: int = SEED) -> DataFrame:
+    """Bernoulli down-sample to about ``cap`` rows (count taken after the
+    null drop).  Optional: training runs distributed on the whole split."""
+    n = df.count()
+    return df if n <= cap else df.sample(False, cap / n, seed)
+
+
 def split_key(df: DataFrame, seed: int = SEED) -> DataFrame:
     """Portable order key: md5 of (pair | epoch seconds | seed) as hex text."""
     key = F.concat_ws("|", F.col("pair"), F.unix_seconds("ts").cast("string"), F.lit(str(seed)))
