@@ -16,7 +16,7 @@ DATASET_COLS = ["ts", "pair", "beta", "alpha", "spread", "zscore", "label"]
 
 
 def label_forward(features: DataFrame, horizon: int = HORIZON, tail: str = "drop",
-                  price: str = "a_close", key: str = "pair", chunk_rows: int | None = 4096) -> DataFrame:
+                  price: str = "a_close", key: str = "pair", chunk_rows: int | None = 2048) -> DataFrame:
     """ret_fwd = (price[t+h] - price[t]) / price[t], label = 1 if ret_fwd > 0 else 0.
     ``lead`` runs chunked (bounded tasks) unless ``chunk_rows`` is None."""
     from .windowing import chunked_windows
@@ -41,13 +41,13 @@ def label_forward(features: DataFrame, horizon: int = HORIZON, tail: str = "drop
 
 
 def build_dataset(features: DataFrame, horizon: int = HORIZON, tail: str = "drop",
-                  chunk_rows: int | None = 4096) -> DataFrame:
+                  chunk_rows: int | None = 2048) -> DataFrame:
     """ts, pair, beta, alpha, spread, zscore, label with any-null rows dropped."""
     return label_forward(features, horizon, tail, chunk_rows=chunk_rows).select(*DATASET_COLS).na.drop("any")
 
 
 def dataset_from_bars(bars: DataFrame, pairs: DataFrame, horizon: int = HORIZON, tail: str = "drop",
-                      mode: str = "rolling", chunk_rows: int | None = 4096) -> DataFrame:
+                      mode: str = "rolling", chunk_rows: int | None = 2048) -> DataFrame:
     """Pair features and forward labels in one windowed pass (one ordinal scan,
     one exchange), then the dataset projection."""
     from .features import pair_features

@@ -42,7 +42,7 @@ def _symbol_columns(df: DataFrame, w) -> DataFrame:
 FEATURE_COLS = ["ret_1"] + [f"ma_{n}" for n in MA_WINDOWS] + [f"vol_{n}" for n in VOL_WINDOWS] + ["z_48"]
 
 
-def symbol_features(bars: DataFrame, chunk_rows: int | None = 4096) -> DataFrame:
+def symbol_features(bars: DataFrame, chunk_rows: int | None = 2048) -> DataFrame:
     """ts, symbol, close, [date], ret_1, ma_5/12/24/48, vol_12/48, z_48.
 
     With ``chunk_rows`` the windows run chunked (every task bounded by the
@@ -98,7 +98,7 @@ def _spread_columns(df: DataFrame, w, mode: str, window: int, horizon: int | Non
 
 
 def pair_features(bars: DataFrame, pairs: DataFrame, mode: str = "rolling", window: int = Z_WINDOW,
-                  chunk_rows: int | None = 4096, label_horizon: int | None = None) -> DataFrame:
+                  chunk_rows: int | None = 2048, label_horizon: int | None = None) -> DataFrame:
     """Ts, pair, symbol_a, symbol_b, a_close, beta, alpha, spread, zscore.
 
     spread = ln a - alpha - beta ln b, where (alpha, beta) is the OLS fit of

@@ -51,16 +51,22 @@ def chunk_rows_of(df_with_ord: DataFrame, back: int, fwd: int, chunk_rows: int)
 
 def chunked_windows(df: DataFrame, keys: list[str], order: str, back: int, fwd: int,
                     build: Callable[[DataFrame, WindowSpec], DataFrame],
-                    bucket: Column | None = None, chunk_rows: int = 4096) -> DataFrame:
+                    bucket: Column | None = None, chunk_rows: int = 2048,
+                    partitions: int | None = None) -> DataFrame:
     """Apply ``build(frame, w)`` -- window columns defined with ``w`` and frames
     reaching at most ``back`` rows back and ``fwd`` rows ahead (chained windows
     add their reaches) -- with every task bounded by the chunk size.
 
     ``bucket`` is a coarse ordered bucket for the ordinal scan (default: the
-    UTC day of ``order``)."""
+    UTC day of ``order``).  The chunks are hash-placed on ``partitions``
+    partitions (default ``spark.sql.shuffle.partitions``) with an explicit
+    repartition: it satisfies the window's distribution (no extra exchange)
+    and keeps AQE from coalescing a small but CPU-heavy window stage into a
+    couple of tasks."""
     bucket = bucket if bucket is not None else F.to_date(F.col(order))
     ordered = with_ordinal(df, keys, [order], bucket)
-    tagged = chunk_rows_of(ordered, back, fwd, chunk_rows)
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tagged = chunk_rows_of(ordered, back, fwd, chunk_rows).repartition(n, *keys, CHUNK)
     w = Window.partitionBy(*keys, CHUNK).orderBy(ORD)
     out = build(tagged, w)
     return out.filter(F.col(CORE)).drop(ORD, CHUNK, CORE)
