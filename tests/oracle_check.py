@@ -20,6 +20,10 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
+TYPE_MAP = {"double": "DOUBLE", "bigint": "BIGINT", "int": "INTEGER", "float": "FLOAT", "string": "VARCHAR",
+            "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN", "smallint": "SMALLINT"}
+
+
 def _norm(v):
     if v is None:
         return "∅"
@@ -78,6 +82,12 @@ def main(argv):
             print(f"FAIL {name}: duckdb error {str(e)[:400]}")
             bad += 1
             continue
+        stypes = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
+        dtypes = {d[0]: str(d[1]) for d in cur.description}
+        bad_types = {c: (stypes.get(c), dtypes.get(c)) for c in stypes
+                     if TYPE_MAP.get(stypes[c]) != str(dtypes.get(c)).upper()}
+        if bad_types:
+            print(f"   types differ {name}: {bad_types}")
         h1, l1 = digest(cols, srows)
         h2, l2 = digest(dcols, drows)
         ok = len(srows) == len(drows) and sorted(cols) == sorted(dcols) and h1 == h2
