@@ -49,9 +49,37 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the session-level settings to an existing session (driver-built ones too)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.ansi.enabled", "true")
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``spreadlab`` importable in Python workers (grouped-map and
+    map-in-pandas functions are pickled by reference): zip the package once per
+    SparkContext and ``addPyFile`` it, which ships it to every executor."""
+    import zipfile
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    out_dir = tempfile.mkdtemp(prefix="spreadlab-pyfiles-")
+    zpath = os.path.join(out_dir, "spreadlab.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, dirs, files in os.walk(pkg_dir):
+            dirs[:] = [d for d in dirs if d != "__pycache__"]
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(app)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and staged tables.
 
