@@ -77,11 +77,6 @@ def floor_to_5m(ts: Column) -> Column:
     return floor_time(ts, 300)
 
 
-def to_ntz(col: Column) -> Column:
-    """UTC instant -> wall-clock UTC timestamp without zone, for exports."""
-    return F.to_timestamp_ntz(F.date_format(col, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
-
-
 def ntz_columns(df, cols=None):
     """Cast every (or the listed) instant timestamp column to TIMESTAMP_NTZ."""
     from pyspark.sql.types import TimestampType

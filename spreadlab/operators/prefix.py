@@ -57,29 +57,3 @@ def running_sum(df: DataFrame, keys: list[str], order_cols: list[str],
     out = joined.withColumns({
         out: F.col(f"_off_{out}") + F.sum(src).over(w_in) for out, src in sums.items()})
     return out.drop(b, *[f"_off_{o}" for o in sums])
-
-
-def auto_bucket_seconds(df: DataFrame, keys: list[str], ts: str,
-                        target_rows: int = 2_000_000, floor_s: int = 60,
-                        ceil_s: int = 86_400) -> int:
-    """Bucket width so that the busiest key holds about ``target_rows`` per bucket.
-
-    One small aggregate (count and span per key, map-side combined); the width
-    only shapes tasks, never the result."""
-    stats = (df.groupBy(*keys)
-             .agg(F.count(F.lit(1)).alias("n"),
-                  (F.unix_seconds(F.max(ts)) - F.unix_seconds(F.min(ts)) + 1).alias("span"))
-             .agg(F.max(F.col("n") / F.col("span")).alias("rate"))
-             .first())
-    rate = (stats["rate"] if stats else None) or 0.0
-    if rate <= 0:
-        return ceil_s
-    width = int(target_rows / rate)
-    return max(floor_s, min(ceil_s, width))
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast hint only behind a measured row count; otherwise leave the
-    choice to AQE (which also converts joins to broadcast from runtime sizes)."""
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df

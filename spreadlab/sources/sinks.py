@@ -91,9 +91,3 @@ def count_rows(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observatio
     """Row count gathered while the plan runs (no extra job)."""
     obs = Observation(name)
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
-
-
-def publish_view(df: DataFrame, name: str) -> DataFrame:
-    """K8: (re)publish a temp view."""
-    df.createOrReplaceTempView(name)
-    return df

@@ -58,3 +58,19 @@ def test_cap_sample(spark):
     assert mdl.cap_sample(df, 5000).count() == 1000
     n = mdl.cap_sample(df, 100).count()
     assert 50 < n < 160
+
+
+def test_upsert_table_stage_and_publish(spark):
+    from spreadlab.sources import bars as ingest
+    d = tempfile.mkdtemp(prefix="spreadlab-up-", dir="/tmp")
+    t0 = [("A", T + dt.timedelta(hours=h), 1.0, 1.0, 1.0, float(h), 1.0, (T + dt.timedelta(hours=h)).date())
+          for h in range(4)]
+    first = spark.createDataFrame(t0, ingest.BAR_SCHEMA)
+    v1 = sinks.upsert_table(spark, None, first, ["symbol", "ts"], partition_by=["date"])
+    src = spark.createDataFrame([("A", T + dt.timedelta(hours=3), 1.0, 1.0, 1.0, 9.0, 1.0, T.date()),
+                                 ("A", T + dt.timedelta(hours=5), 1.0, 1.0, 1.0, 5.0, 1.0, T.date())],
+                                ingest.BAR_SCHEMA)
+    v2 = sinks.upsert_table(spark, v1, src, ["symbol", "ts"], partition_by=["date"])
+    got = sorted((r["ts"].hour, r["close"]) for r in ingest.read_bars(spark, v2).collect())
+    assert got == [(0, 0.0), (1, 1.0), (2, 2.0), (3, 9.0), (5, 5.0)]
+    assert v1 != v2 and ingest.read_bars(spark, v1).count() == 4  # earlier version untouched
