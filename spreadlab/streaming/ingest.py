@@ -1,17 +1,18 @@
 """Incremental bar ingest with Structured Streaming.
 
 New landing files are picked up by a file stream (``availableNow`` drains
-what is there and stops, the timer loop of the reference becomes a scheduled
+what is there and stops; the timer loop of the reference becomes a scheduled
 trigger), cleaned with the batch rules, de-duplicated per key inside the
 micro-batch, and upserted into the bar table by ``foreachBatch``.
 
-The table is versioned: every micro-batch writes the merged table to a new
-version folder named after its batch id (a retried batch rewrites the same
-folder, so the sink is idempotent) and readers take the newest complete
-version.  Late or corrected bars win, as in the reference's MERGE; rows carry
-the landing sequence so that a file arriving late cannot overwrite a newer
-correction.  The checkpoint folder lives under the cluster's shared
-``spark.checkpoint.dir``.
+The bar table is parquet partitioned by ``date``.  A micro-batch touches only
+the dates it carries: the current rows of those partitions (partition
+pruning) are merged with the batch -- newer landing sequence wins, so a late
+file cannot overwrite a newer correction -- staged under the batch id, and
+written back with dynamic partition overwrite.  The cost of a batch is the
+size of its partitions, not of the table, and a retried batch rewrites the
+same partitions with the same rows (idempotent).  The checkpoint and staging
+folders live under the cluster's shared ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
@@ -33,36 +34,37 @@ LANDING_SCHEMA = StructType([
 KEYS = ["symbol", "ts"]
 
 
-def _list_versions(spark: SparkSession, table_dir: str) -> list[str]:
+def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(table_dir)
-    fs = path.getFileSystem(conf)
-    if not fs.exists(path):
-        return []
-    out = []
-    for st in fs.listStatus(path):
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(name)
-    return sorted(out, key=lambda n: int(n[2:]))
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 def current_table(spark: SparkSession, table_dir: str) -> DataFrame | None:
-    versions = _list_versions(spark, table_dir)
-    return spark.read.parquet(f"{table_dir.rstrip('/')}/{versions[-1]}") if versions else None
+    return spark.read.parquet(table_dir) if _exists(spark, table_dir) else None
 
 
 def merge_batch(spark: SparkSession, batch: DataFrame, batch_id: int, table_dir: str) -> None:
     """foreachBatch body: clean, keep the newest landing row per key, merge with
-    the current version (newer sequence wins), write version ``batch_id``."""
+    the affected date partitions of the table, dynamic-overwrite those partitions."""
     cleaned = clean_bars(batch.drop("seq")).join(
         batch.select(F.regexp_replace("SYMBOL", "/", "").alias("symbol"),
                      F.timestamp_millis("TIMESTAMP").alias("ts"), "seq"), KEYS, "left")
     incoming = dedupe_latest(cleaned, KEYS, order="seq")
+    # the batch's dates: bounded by the calendar span of one micro-batch
+    dates = [r[0] for r in incoming.select("date").distinct().collect()]
+    if not dates:
+        return
     current = current_table(spark, table_dir)
-    merged = incoming if current is None else dedupe_latest(current.unionByName(incoming), KEYS, order="seq")
-    merged.write.mode("overwrite").parquet(f"{table_dir.rstrip('/')}/v={batch_id}")
+    if current is not None:
+        affected = current.filter(F.col("date").isin(dates))      # partition pruning
+        merged = dedupe_latest(affected.unionByName(incoming), KEYS, order="seq")
+    else:
+        merged = incoming
+    stage = f"{table_dir.rstrip('/')}_staging/batch-{batch_id}"
+    merged.write.mode("overwrite").parquet(stage)                   # never read and overwrite one path
+    (spark.read.parquet(stage).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(table_dir))
 
 
 def stream_ingest(spark: SparkSession, landing_dir: str, table_dir: str, checkpoint: str,
