@@ -63,9 +63,21 @@ def events_ticks(events: DataFrame, bucket_seconds: int | None = None) -> DataFr
     return trend.unionByName(walk)
 
 
+def tick_order_key(ts: str = "ts", event_id: str = "event_id"):
+    """Exact order key of (ts, event_id) as one decimal(38,0):
+    unix_micros(ts) * 10^20 + (event_id + 2^63).  The shifted id lies in
+    [0, 2^64) < 10^20, so the packed value orders exactly like the pair, and
+    unix_micros needs at most 18 digits.  A fixed-width key lets min_by/max_by
+    run as a hash aggregate with map-side partial aggregation (a struct key
+    forces a sort-based aggregate)."""
+    d = "decimal(38,0)"
+    return (F.unix_micros(ts).cast(d) * F.lit(str(10 ** 20)).cast(d)
+            + (F.col(event_id).cast(d) + F.lit(str(2 ** 63)).cast(d)))
+
+
 def ticks_to_bars(ticks: DataFrame, width_s: int, with_close_id: bool = False) -> DataFrame:
     """OHLCV bars of ``width_s`` seconds: open/close = first/last tick by (ts, event_id)."""
-    order = F.struct("ts", "event_id")
+    order = tick_order_key()
     aggs = [
         F.min_by("price", order).alias("open"),
         F.max("price").alias("high"),
