@@ -1060,7 +1060,7 @@ def q_stream_ingest(spark, sf_dir):
             (F.col("close") * F.lit(factor)).alias("Close"), F.col("volume").alias("Volume"),
             F.lit(seq).cast("long").alias("seq"))
         rows.write.mode("append").parquet(landing)
-    stream.stream_ingest(spark, landing, table, ckpt, max_files_per_trigger=2)
+    stream.stream_ingest(spark, landing, table, ckpt, max_files_per_trigger=8)
     t = stream.current_table(spark, table)
     return t.select("symbol", "ts", r6("close").alias("close"), "date")
 

@@ -63,7 +63,9 @@ def merge_batch(spark: SparkSession, batch: DataFrame, batch_id: int, table_dir:
         merged = incoming
     stage = f"{table_dir.rstrip('/')}_staging/batch-{batch_id}"
     merged.write.mode("overwrite").parquet(stage)                   # never read and overwrite one path
-    (spark.read.parquet(stage).write.mode("overwrite")
+    # one writer per date partition (bounded: one day of bars of the universe),
+    # so a batch adds one file per touched date instead of one per task
+    (spark.read.parquet(stage).repartition("date").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(table_dir))
 
 
