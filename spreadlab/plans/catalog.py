@@ -775,12 +775,16 @@ def q_best_candidate(spark, sf_dir):
 def q_fit_logreg(spark, sf_dir):
     """M5/M6/K6: Spark ML logistic regression on the training split, AUC on the
     held-out split, emitted as the model record (rows-only check)."""
-    split = _split(spark, sf_dir)
-    train, test = split.filter("is_train"), split.filter(~F.col("is_train"))
-    coef, intercept, stats = mdl.fit_logreg(spark, train, FEATS)
-    scored = mdl.score_with(test, FEATS, coef, intercept, stats)
-    auc_v = mdl.auc(scored, "label", "prob").first()["auc"]
-    return mdl.model_record(spark, "logreg_spark", FEATS, coef, intercept, stats, auc_v)
+    split = _split(spark, sf_dir).persist()   # read by the fit and by the held-out AUC
+    try:
+        feats = mdl.numeric_features(split.drop("is_train"))   # P8: beta, alpha, spread, zscore
+        train, test = split.filter("is_train"), split.filter(~F.col("is_train"))
+        coef, intercept, stats = mdl.fit_logreg(spark, train, feats)
+        scored = mdl.score_with(test, feats, coef, intercept, stats)
+        auc_v = mdl.auc(scored, "label", "prob").first()["auc"]
+    finally:
+        split.unpersist()
+    return mdl.model_record(spark, "logreg_spark", feats, coef, intercept, stats, auc_v)
 
 
 # ---------------------------------------------------------------------------
