@@ -133,9 +133,12 @@ def pair_features(bars: DataFrame, pairs: DataFrame, mode: str = "rolling", wind
 
 def pair_betas(bars: DataFrame) -> DataFrame:
     """Full-sample log-price hedge ratio for every symbol pair aligned on ts
-    (a < b); the pair universe of the model-free pair signals."""
-    px = bars.select("symbol", "ts", safe_log(F.col("close")).alias("lc"))
-    a = px.select(F.col("symbol").alias("symbol_a"), "ts", F.col("lc").alias("la"))
-    b = px.select(F.col("symbol").alias("symbol_b"), F.col("ts").alias("ts_b"), F.col("lc").alias("lb"))
-    j = a.join(b, (a["ts"] == b["ts_b"]) & (a["symbol_a"] < b["symbol_b"]))
-    return j.groupBy("symbol_a", "symbol_b").agg(F.regr_slope("la", "lb").alias("beta"))
+    (a < b); the pair universe of the model-free pair signals.  Uses the
+    screen's pair join (symbol blocking for large universes)."""
+    from .screen import pair_rows, symbol_blocks
+    px = bars.select("ts", "symbol", safe_log(F.col("close")).alias("close"),
+                     F.lit(None).cast("double").alias("close_prev"))
+    n_symbols = bars.select("symbol").distinct().count()   # universe size: picks the block count
+    rows = pair_rows(px, symbol_blocks(n_symbols))
+    return (rows.groupBy(F.col("sym_a").alias("symbol_a"), F.col("sym_b").alias("symbol_b"))
+            .agg(F.regr_slope("a", "b").alias("beta")))
