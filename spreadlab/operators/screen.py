@@ -202,22 +202,24 @@ def pair_symbols(pairs: DataFrame) -> DataFrame:
 AIC_SCHEMA = "sym_a string, sym_b string, lags int, tau double, pvalue double, nobs int"
 
 
-def _adf_aic(pdf: pd.DataFrame) -> pd.DataFrame:
+def adf_aic_frame(pdf: pd.DataFrame, maxlag: int | None = None) -> pd.DataFrame:
     """ADF without constant on one pair's residual series, lag chosen by AIC
-    among 0..ceil(12 (n/100)^(1/4)) on a common sample, then refit on all rows."""
+    among 0..ceil(12 (n/100)^(1/4)) on a common sample, then refit on all rows.
+
+    Row t of the regression: y = Δe[t], regressors e[t] (the lagged level) and
+    Δe[t-1..t-k]; the common sample starts at t = maxlag."""
     pdf = pdf.sort_values("ts")
     e = pdf["e"].to_numpy(dtype=float)
     n = len(e)
     out = {"sym_a": pdf["sym_a"].iloc[0], "sym_b": pdf["sym_b"].iloc[0]}
-    maxlag = int(math.ceil(12.0 * (n / 100.0) ** 0.25))
+    if maxlag is None:
+        maxlag = int(math.ceil(12.0 * (n / 100.0) ** 0.25))
     de = np.diff(e)
     maxlag = max(0, min(maxlag, n // 2 - 2))
 
     def design(k, start):
         y = de[start:]
-        cols = [e[start:-1] if start < len(e) - 1 else e[start:start]]
-        for i in range(1, k + 1):
-            cols.append(de[start - i: len(de) - i])
+        cols = [e[start:n - 1]] + [de[start - i: n - 1 - i] for i in range(1, k + 1)]
         return y, np.column_stack(cols)
 
     def fit(y, x):
@@ -248,6 +250,11 @@ def _adf_aic(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame([{**out, "lags": best_k, "tau": tau, "pvalue": None, "nobs": nobs}])
 
 
+def _adf_aic(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Grouped-map entry point (one argument: the group's rows)."""
+    return adf_aic_frame(pdf)
+
+
 def eg_tau_aic(bars_1h: DataFrame, as_of: str, days: int = DAYS_WINDOW,
                min_abs_corr: float = SCREEN_MIN_ABS_CORR) -> DataFrame:
     """M2 with AIC lag selection, for the pairs that pass the correlation gate."""

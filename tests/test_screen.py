@@ -99,3 +99,19 @@ def test_symbol_blocks_give_same_pairs(spark):
     one, four = one.sort_values(key).reset_index(drop=True), four.sort_values(key).reset_index(drop=True)
     assert len(one) == len(four) == 66
     assert (one["n"] == four["n"]).all() and np.allclose(one["corr"], four["corr"], rtol=0, atol=1e-12)
+
+
+def test_adf_lag0_matches_closed_form():
+    import pandas as pd
+    rng = np.random.default_rng(4)
+    e = np.zeros(300)
+    for t in range(1, 300):
+        e[t] = 0.8 * e[t - 1] + rng.normal()
+    pdf = pd.DataFrame({"sym_a": "a", "sym_b": "b", "ts": np.arange(300), "e": e})
+    got = screen.adf_aic_frame(pdf, maxlag=0).iloc[0]
+    x, y = e[:-1], np.diff(e)
+    rho = (x @ y) / (x @ x)
+    tau = rho / np.sqrt(((y - rho * x) ** 2).sum() / (len(y) - 1) / (x @ x))
+    assert got["lags"] == 0 and abs(got["tau"] - tau) < 1e-10
+    auto = screen._adf_aic(pdf).iloc[0]
+    assert 0 <= auto["lags"] <= int(np.ceil(12 * 3 ** 0.25)) and auto["tau"] < -3
