@@ -56,6 +56,8 @@ def staged(spark: SparkSession, key: tuple, build: Callable[[], DataFrame]) -> D
     from ..session import scratch_path
     k = (spark.sparkContext.applicationId, *key)
     path = _STAGED.get(k)
+    if path is not None and not _complete(spark, path):   # folder cleaned meanwhile: rebuild
+        path = None
     if path is None:
         path = scratch_path(spark, "-".join(str(x).strip("/").replace("/", "_") for x in key))
         build().write.mode("overwrite").parquet(path)
@@ -63,6 +65,12 @@ def staged(spark: SparkSession, key: tuple, build: Callable[[], DataFrame]) -> D
     return spark.read.parquet(path)
 
 
+def _complete(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def bars(spark, sf_dir, width_s, with_close_id=False) -> DataFrame:
     """Staged surrogate bars (always with the closing tick id, pruned when unused)."""
     df = staged(spark, ("bars", sf_dir, width_s),
