@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# Label horizon in bars and the dataset columns.
 HORIZON = 3
 DATASET_COLS = ["ts", "pair", "beta", "alpha", "spread", "zscore", "label"]
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.mathfn import guarded_z, safe_log
 from ..functions.text import pair_label
 
+# Rolling window lengths in bars (means, volatilities, z-score).
 MA_WINDOWS = (5, 12, 24, 48)
 VOL_WINDOWS = (12, 48)
 Z_WINDOW = 48

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.mathfn import linear_score, sigmoid
 from .prefix import running_sum
 
+# Feature discovery types and skipped names, test fraction, seed.
 NUMERIC_TYPES = {"double", "float", "int", "bigint", "smallint", "tinyint"}
 SKIP_COLS = {"label", "ts", "timestamp", "symbol", "pair", "id"}
 TEST_FRACTION = 0.2

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.mathfn import SCORE_LONG, SCORE_SHORT, linear_score, score_signal, sigmoid
 
+# Fixed value: scoring window in days.
 DAYS_BACK = 14
 
 # Fixed model for the model-free scoring query (our own constants, stated as

@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from ..functions.mathfn import (SCREEN_MIN_ABS_CORR, SCREEN_P_MAX, eg_pvalue,
                                 eg_tau_threshold)
 
+# Fixed value: screening window in days.
 DAYS_WINDOW = 60
 
 
