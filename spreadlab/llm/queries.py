@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, oracles
+from . import decontaminate, neardup, oracles, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,8 +22,21 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+@query("op1_near_duplicates")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document."""
+    return neardup.report(table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
 @query("op2_decontaminate", oracles.OP2)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie inside a benchmark window."""
     return decontaminate.decontamination_report(table(spark, sf_dir, "documents", ["doc_id", "text"]),
                                                 table(spark, sf_dir, "benchmark", ["item_id", "text"]))
+
+
+@query("op4_toxicity")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every whole text, with the offending offsets."""
+    return toxicity.report(table(spark, sf_dir, "documents", ["doc_id", "text"]),
+                           table(spark, sf_dir, "labels", ["doc_id", "toxic"]))
