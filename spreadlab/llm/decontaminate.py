@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bloom_bits, bloom_has, digest_ids, digest_of, saved
+from .common import bloom_bits, bloom_has, digest_ids, digest_of, drop_marked, saved
 from .textvec import Words, chunks, list_array, signed
 
 WINDOW = 10
@@ -207,3 +207,11 @@ def decontamination_report(docs: DataFrame, items: DataFrame) -> DataFrame:
     return decontaminate(docs, items).select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
         digest_ids(F.col("items")).alias("items_sha256"), "contaminated")
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
+                      text_col: str = "text") -> DataFrame:
+    """Documents without a word inside a benchmark window, all columns as they were."""
+    hit = decontaminate(docs, items, window, id_col, text_col).where("contaminated")
+    return drop_marked(docs, hit.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")),
+                       id_col, text_col)

@@ -21,3 +21,21 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN pos USING (rid) LEFT JOIN ids USING (rid)
 """
+
+OP3 = """
+WITH s AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+r AS (SELECT source, sqrt(n) / sum(sqrt(n)) OVER () * CAST(sum(n) OVER () AS DOUBLE) / n AS rate FROM s),
+cdf AS (
+  SELECT source, sum(exp(-rate + k * ln(rate) - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS c
+  FROM r, (SELECT unnest(generate_series(0, 200)) AS k)),
+u AS (
+  SELECT row_number() OVER () AS rid, doc_id, source, text,
+         (CAST(('0x' || substr(md5('20240501|' || coalesce(CAST(doc_id AS VARCHAR), '-') || '|1'), 1, 13)) AS BIGINT) + 0.5)
+           / CAST(4503599627370496 AS DOUBLE) AS u
+  FROM documents),
+n AS (SELECT rid, count(*) AS copies FROM u JOIN cdf ON u.source IS NOT DISTINCT FROM cdf.source AND cdf.c <= u.u GROUP BY rid)
+SELECT doc_id, u.source, round(rate, 6) AS rate, CAST(copies AS INTEGER) AS copies, copy,
+       md5('20240501:order|' || coalesce(CAST(doc_id AS VARCHAR), '-') || '|' || copy) AS shuffle_key, text
+FROM (SELECT rid, copies, CAST(unnest(generate_series(1, copies)) AS INTEGER) AS copy FROM n)
+JOIN u USING (rid) JOIN r ON r.source IS NOT DISTINCT FROM u.source
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, neardup, oracles, toxicity
+from . import decontaminate, mixing, neardup, oracles, privacy, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,3 +40,15 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every whole text, with the offending offsets."""
     return toxicity.report(table(spark, sf_dir, "documents", ["doc_id", "text"]),
                            table(spark, sf_dir, "labels", ["doc_id", "toxic"]))
+
+
+@query("op3_mix_sources", oracles.OP3)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents repeated to the target weights of their sources, shuffled."""
+    return mixing.report(table(spark, sf_dir, "documents", ["doc_id", "source", "text"]))
+
+
+@query("op9_private_data")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data and the terms that disclose it, in every document."""
+    return privacy.report(table(spark, sf_dir, "documents", ["doc_id", "text"]))
