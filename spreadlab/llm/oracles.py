@@ -39,3 +39,14 @@ SELECT doc_id, u.source, round(rate, 6) AS rate, CAST(copies AS INTEGER) AS copi
 FROM (SELECT rid, copies, CAST(unnest(generate_series(1, copies)) AS INTEGER) AS copy FROM n)
 JOIN u USING (rid) JOIN r ON r.source IS NOT DISTINCT FROM u.source
 """
+
+OP6 = """
+WITH v AS (
+  SELECT DISTINCT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, neardup, oracles, privacy, toxicity
+from . import decontaminate, mixing, neardup, oracles, pivots, privacy, quality, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,19 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents", ["doc_id", "source", "text"]))
 
 
+@query("op6_pivot_top_k", oracles.OP6)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five largest integer inner products of every 50th vector."""
+    return pivots.top_k(table(spark, sf_dir, "embeddings", ["vec_id", "embedding"]))
+
+
+@query("op7_quality")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every whole text."""
+    return quality.report(table(spark, sf_dir, "documents", ["doc_id", "text"]),
+                          table(spark, sf_dir, "labels", ["doc_id", "quality"]))
+
+
 @query("op9_private_data")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data and the terms that disclose it, in every document."""

@@ -33,7 +33,7 @@ from .textvec import _B, _B_INV, _BYTE_VALUE, Words, _powers, chunks, mix
 
 MAX_POSITIVE = 2000
 MAX_NEGATIVE = 4000
-MAX_CHARS = 20_000
+MAX_CHARS = 60_000
 TABLE_BITS = 20
 EPOCHS = 4
 CHUNK = 4_000_000
