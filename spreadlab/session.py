@@ -20,6 +20,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -49,6 +50,8 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the session-level settings to an existing session (driver-built ones too)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.ansi.enabled", "true")
+    # small Arrow batches: a Python worker holds a few of them, whatever the rows' width
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", DEFAULT_CONF["spark.sql.execution.arrow.maxBytesPerBatch"])
     ship_package(spark)
     return spark
 
