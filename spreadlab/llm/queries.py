@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, neardup, oracles, pivots, privacy, quality, toxicity
+from . import decontaminate, licenses, mixing, neardup, oracles, pagetree, pivots, privacy, quality, tokencount, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,12 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents", ["doc_id", "source", "text"]))
 
 
+@query("op5_licenses")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in every document."""
+    return licenses.report(table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
 @query("op6_pivot_top_k", oracles.OP6)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five largest integer inner products of every 50th vector."""
@@ -61,7 +67,19 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
                           table(spark, sf_dir, "labels", ["doc_id", "quality"]))
 
 
+@query("op8_token_counts")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, counted in flat token files."""
+    return tokencount.report(table(spark, sf_dir, "documents", ["text"]))
+
+
 @query("op9_private_data")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data and the terms that disclose it, in every document."""
     return privacy.report(table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
+@query("op10_page_text")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return pagetree.extract_pages(table(spark, sf_dir, "pages", ["page_id", "url", "html"]))
