@@ -14,35 +14,37 @@ from pyspark.sql import DataFrame, SparkSession
 
 from spreadlab.llm import decontaminate, mixing, neardup, privacy, toxicity
 from spreadlab.llm.common import table
-from spreadlab.session import scratch_path, ship_package
+from spreadlab.session import configure, scratch_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the chain field doesn't call toxic."""
-    ship_package(spark)
+    configure(spark)
     model = toxicity.train(docs, table(spark, sf_dir, "labels", ["doc_id", "toxic"]))
     return toxicity.keep_clean(docs, model)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates."""
-    ship_package(spark)
+    configure(spark)
     return neardup.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a word inside a benchmark window."""
-    ship_package(spark)
+    configure(spark)
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark", ["item_id", "text"]))
 
 
 def sanitise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents; personal data and the terms that disclose it replaced by their kind."""
+    configure(spark)
     return privacy.sanitise(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated to the target weights of their sources, shuffled."""
+    configure(spark)
     return mixing.mix_sources(docs)
 
 

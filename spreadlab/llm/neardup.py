@@ -43,7 +43,7 @@ THRESHOLD = 0.8
 BANDS, ROWS = 30, 5
 BLOCK = 512
 NEED_BITS = 24           # 2 MiB
-CHUNK = 3_000_000
+CHUNK = 1_000_000
 
 _SIG = ("doc_id {kind}, digest bigint, h1 bigint, h2 bigint, n bigint, bands array<bigint>, regs binary")
 

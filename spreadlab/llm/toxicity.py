@@ -36,7 +36,7 @@ MAX_NEGATIVE = 4000
 MAX_CHARS = 60_000
 TABLE_BITS = 20
 EPOCHS = 4
-CHUNK = 4_000_000
+CHUNK = 2_000_000
 
 _MASK = np.uint64((1 << TABLE_BITS) - 1)
 _PREFIXES = (3, 4, 5)
@@ -297,7 +297,8 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic") -> dict:
         yield pa.record_batch([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
 
     sample = training_rows(docs, labels, label_col).repartition(1)
-    return pickle.loads(sample.mapInArrow(run, "model binary").first()[0])
+    row = sample.mapInArrow(run, "model binary").first()
+    return pickle.loads(row[0]) if row else fit([], np.zeros(0))
 
 
 def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
