@@ -111,13 +111,28 @@ class Index:
                             for t in self.bands.get((size, b, key), ())}
                 for t in proposed:
                     match = np.flatnonzero(np.isin(inside, self.sets[t]))
-                    if len(np.unique(inside[match])) >= CONTAINMENT * len(self.sets[t]):
-                        first = int(at[a + match[0]])
-                        last = int(at[a + match[-1]]) + min(SHINGLE, int(words.count[d]))
-                        found.add((d, t, first, last))
+                    need = CONTAINMENT * len(self.sets[t])
+                    if len(np.unique(inside[match])) < need:
+                        continue
+                    places = _occurrences(inside, match.tolist())
+                    for one in [p for p in places if len(p) >= need] or [match.tolist()]:
+                        found.add((d, t, int(at[a + one[0]]),
+                                   int(at[a + one[-1]]) + min(SHINGLE, int(words.count[d]))))
         return sorted(found)
 
 
+def _occurrences(shingles: np.ndarray, match: list) -> list:
+    """Runs of matched places in which no shingle comes twice."""
+    runs, seen = [[]], set()
+    for m in match:
+        if shingles[m] in seen:
+            runs.append([])
+            seen = set()
+        seen.add(shingles[m])
+        runs[-1].append(m)
+    return runs
+
+
 def scan(docs: DataFrame, templates: dict | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, licenses (sorted ids), spans (id, start, end in code points)."""
     index = docs.sparkSession.sparkContext.broadcast(Index(templates or TEMPLATES))

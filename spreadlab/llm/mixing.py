@@ -41,7 +41,7 @@ def source_rates(docs: DataFrame, shares: dict | None = None, source_col: str =
     total = weight.agg(F.sum("w").alias("w_all"))
     everything = size.agg(F.sum("n").alias("n_all"))
     row, rows = total.first(), everything.first()           # two numbers
-    return weight.select("__source", (F.col("w") / F.lit(row[0]) * F.lit(float(rows[0] or 0)) / F.col("n")).alias("rate"))
+    return weight.select("__source", (F.col("w") / F.lit(float(row[0] or 1)) * F.lit(float(rows[0] or 0)) / F.col("n")).alias("rate"))
 
 
 def poisson(rate: Column, *key: Column) -> Column:

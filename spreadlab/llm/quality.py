@@ -188,7 +188,8 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality") -> dic
             model = fit(tab.column("text").to_pylist(), np.array(tab.column("y").to_pylist()), rate)
         yield pa.record_batch([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
 
-    return pickle.loads(rows.repartition(1).mapInArrow(run, "model binary").first()[0])
+    row = rows.repartition(1).mapInArrow(run, "model binary").first()
+    return pickle.loads(row[0]) if row else fit([], np.zeros(0), rate)
 
 
 def score(docs: DataFrame, model: dict, threshold: float = THRESHOLD, id_col: str = "doc_id",

@@ -97,7 +97,7 @@ def count_tokens(spark: SparkSession, path: str, end: int = END_OF_TEXT, block:
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = (scan_blocks(spark, path, end, block)
               .withColumn("done", F.coalesce(F.sum(F.size("ends")).over(before), F.lit(0)))
-              .withColumn("open", F.coalesce(F.max(F.element_at("ends", -1)).over(before) + 1, F.lit(0).cast("bigint")))
+              .withColumn("open", F.coalesce(F.max(F.try_element_at("ends", F.lit(-1))).over(before) + 1, F.lit(0).cast("bigint")))
               .withColumn("stop", F.col("first") + F.col("n_tokens"))
               .withColumn("final", F.max("stop").over(Window.partitionBy("file")) == F.col("stop")))
     tail = F.col("final") & (F.coalesce(F.try_element_at("ends", F.lit(-1)) + 1, F.col("open")) < F.col("stop"))

@@ -4,8 +4,8 @@ Training uses a bounded, hash-ordered sample of labelled rows (``MAX_POSITIVE``
 and ``MAX_NEGATIVE`` rows whose text has at most ``MAX_CHARS`` characters).
 Token labels come from the documents' labels: a word, or a 4- or 5-byte word
 beginning, is offensive if it stands in many different surroundings in toxic
-documents and (nearly) nowhere in clean ones; counting surroundings instead of
-documents keeps words of one much-copied document out.  The field's potentials
+documents, and in several of them, and (nearly) nowhere in clean ones; counting
+surroundings keeps words of one much-copied document out.  The field's potentials
 (hashed word, beginning and ending features; transitions) are fitted by
 gradient steps on the exact log-likelihood, with forward-backward marginals.
 
@@ -36,6 +36,7 @@ MAX_NEGATIVE = 4000
 MAX_CHARS = 60_000
 TABLE_BITS = 20
 EPOCHS = 4
+MIN_STEPS = 32          # small samples are gone over more often
 CHUNK = 2_000_000
 
 _MASK = np.uint64((1 << TABLE_BITS) - 1)
@@ -124,14 +125,17 @@ def token_labels(words: ToxicWords, toxic: np.ndarray) -> np.ndarray:
     for key in (words.hash, words.parts[1], words.parts[2]):      # word, 4 and 5 bytes
         ok = key != 0
         kinds, idx = np.unique(key[ok], return_inverse=True)
-        bad = np.zeros(len(kinds))
-        clean = np.zeros(len(kinds))
-        for sel, out in ((of_toxic[ok], bad), (~of_toxic[ok], clean)):
-            pairs = np.unique(np.stack([idx[sel].astype(np.uint64), around[ok][sel]]), axis=1)[0] \
-                if sel.any() else np.zeros(0, np.uint64)
-            out += np.bincount(pairs.astype(np.int64), minlength=len(kinds))
+        def distinct(sel, beside):
+            if not sel.any():
+                return np.zeros(len(kinds))
+            pairs = np.unique(np.stack([idx[sel].astype(np.uint64), beside[ok][sel]]), axis=1)[0]
+            return np.bincount(pairs.astype(np.int64), minlength=len(kinds))
+
+        bad = distinct(of_toxic[ok], around)
+        texts = distinct(of_toxic[ok], words.doc.astype(np.uint64))
+        clean = distinct(~of_toxic[ok], around)
         expected = bad * ratio                                     # were the word as common in clean texts
-        offensive = (bad >= 3) & (expected >= 12) & (clean <= 0.02 * expected)
+        offensive = (bad >= 3) & (texts >= 2) & (expected >= 12) & (clean <= 0.02 * expected)
         hit = np.zeros(n, dtype=bool)
         hit[np.flatnonzero(ok)] = offensive[idx]
         label |= hit
@@ -167,8 +171,9 @@ def fit(texts: list, toxic: np.ndarray, rate: float | None = None, seed: int = 7
     base = np.log(0.01 / 0.99)
     bias, bias_sq = base, 1e-6
     w64 = weights.astype(np.float64)
-    for _ in range(EPOCHS):
-        for lot in np.array_split(rng.permutation(keep), max(1, len(keep) // 512)):
+    lots = max(1, len(keep) // 512)
+    for _ in range(max(EPOCHS, -(-MIN_STEPS // lots))):
+        for lot in np.array_split(rng.permutation(keep), lots):
             size = sizes[lot]
             which = np.repeat(np.arange(len(lot)), size)
             step = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
