@@ -251,9 +251,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .where("ok_lo IS NULL AND ok_hi IS NULL").select("bucket", "node"))
     second = exact(_proposals(left, regs, registers, floor))
     comp = components(first.unionByName(second))
-    named = (texts.join(comp, "node", "left")
-             .select("h1", "h2", F.coalesce("label", "node").alias("class_id"))
-             .groupBy("h1", "h2").agg(F.min("class_id").alias("class_id")))
+    # saved: read without a known partitioning, the join below can split a text with very many copies
+    named = saved(texts.join(comp, "node", "left")
+                  .select("h1", "h2", F.coalesce("label", "node").alias("class_id"))
+                  .groupBy("h1", "h2").agg(F.min("class_id").alias("class_id")))
     joined = (some.select("doc_id", "digest", "h1", "h2").join(named, ["h1", "h2"], "left")
               .select("doc_id", "digest", "class_id"))
     return joined.unionByName(sk.where(F.col("n") == 0).select("doc_id", "digest",
