@@ -61,18 +61,45 @@ def normalize_ts(df: DataFrame, col: str, rule: str = "row") -> Column:
     return parse_timestamp_string(c.cast("string"))
 
 
-def clean_bars(df: DataFrame, rule: str = "row") -> DataFrame:
+def clean_bars(df: DataFrame, rule: str = "row", keep: tuple[str, ...] = ()) -> DataFrame:
     """S2 + S3 + S4 + S5: lower-case names, ts from ts|timestamp, required
-    columns, slash-free symbol, any-null rows dropped, ``date`` added."""
+    columns, slash-free symbol, any-null rows dropped, ``date`` added.  Columns
+    in ``keep`` (lower-case names) go along unchanged and may be null."""
     df = lower_columns(df)
     src = "ts" if "ts" in df.columns else ("timestamp" if "timestamp" in df.columns else None)
     if src is None:
-        raise ValueError("Parquet must contain 'ts' or 'timestamp' column.")
+        raise ValueError(f"bars need a ts or timestamp column, found {df.columns}")
     df = df.withColumn("ts", normalize_ts(df, src, rule))
     require_columns(df, REQUIRED, "bars")
     out = df.select(canonical_symbol(F.col("symbol")).alias("symbol"), "ts",
-                    *[F.col(c).try_cast("double").alias(c) for c in OHLCV])
-    return out.na.drop("any").withColumn("date", F.to_date("ts"))
+                    *[F.col(c).try_cast("double").alias(c) for c in OHLCV], *keep)
+    return out.na.drop("any", subset=REQUIRED).withColumn("date", F.to_date("ts"))
+
+
+def sort_bars(df: DataFrame, ts: str = "ts") -> DataFrame:
+    """Bars ordered by (symbol, time); a presentation order for exports."""
+    return df.orderBy("symbol", ts)
+
+
+def only_symbols(df: DataFrame, symbols) -> DataFrame:
+    """rows of the listed symbols (pushed to the scan as an IN filter)."""
+    return df.filter(F.col("symbol").isin(list(symbols)))
+
+
+def restrict_to_screened(df: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Bars of the legs of the screened pairs; all bars when no pair is screened.
+    The emptiness test is a scalar subquery of the same plan, not a driver job."""
+    legs = (pairs.select(F.explode(F.array("sym_a", "sym_b")).alias("symbol"))
+            .select(canonical_symbol(F.col("symbol")).alias("symbol"), F.lit(True).alias("_leg")).distinct())
+    none = pairs.select(F.count("*")).scalar() == 0
+    return df.join(legs, "symbol", "left").filter(F.col("_leg").isNotNull() | none).drop("_leg").select(*df.columns)
+
+
+def require_rows(df: DataFrame, what: str = "input") -> DataFrame:
+    """the frame itself, or an error when it has no row."""
+    if df.isEmpty():
+        raise ValueError(f"{what} has no rows left after filtering")
+    return df
 
 
 def candles_to_bars(df: DataFrame, candle: str = "candle", symbol: str = "symbol",

@@ -20,7 +20,6 @@ SYMBOL_KEYS = ("symbols", "selected_symbols", "top_symbols")
 PAIR_KEYS = ("pairs", "selected_pairs", "cointegrated_pairs")
 LEG1_KEYS = ("symbol1", "base", "s1")
 LEG2_KEYS = ("symbol2", "quote", "s2")
-DATA_DEPTH = 3  # nesting levels of "data" followed
 
 
 def _is_str(v: str) -> str:
@@ -83,10 +82,18 @@ def _array_symbols(v: str) -> str:
             f"THEN {_strings_of(bare)} ELSE {_symbols_of_list(bare)} END")
 
 
-def with_doc_symbols(df: DataFrame, doc: str = "doc", out: str = "symbols", depth: int = DATA_DEPTH) -> DataFrame:
-    """Add ``out`` = the document's symbol list.  Each ``data`` nesting level is
-    its own column and the answer is assembled from the deepest level up, so
-    the expression stays linear in the depth."""
+def data_depth(df: DataFrame, doc: str = "doc") -> int:
+    """Levels of ``data`` that any document can have: its number of "data" keys
+    (one small aggregate over the documents; the answer is one number)."""
+    keys = F.size(F.regexp_extract_all(F.to_json(doc), F.lit('"data":'), F.lit(0)))
+    return df.agg(F.max(keys)).first()[0] or 0
+
+
+def with_doc_symbols(df: DataFrame, doc: str = "doc", out: str = "symbols", depth: int | None = None) -> DataFrame:
+    """Add ``out`` = the document's symbol list, at any nesting depth.  Each
+    ``data`` level is its own column and the answer is assembled from the
+    deepest level up, so the expression stays linear in the depth."""
+    depth = data_depth(df, doc) if depth is None else depth
     levels = [doc]
     for d in range(1, depth + 1):
         name = f"_lvl{d}"
@@ -109,9 +116,17 @@ def with_doc_symbols(df: DataFrame, doc: str = "doc", out: str = "symbols", dept
     return df.withColumnRenamed("_res0", out).drop(*drop)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p))
+
+
 def read_screened(spark: SparkSession, path: str) -> DataFrame:
     """Symbols in first-appearance order (file, line, position) over all documents.
-    Whole-file JSON first; files that do not parse are read as JSON lines."""
+    Whole-file JSON first; files that do not parse are read as JSON lines; a
+    missing file has no symbols."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], "symbol string, file string, line_no long, pos int")
     files = (spark.read.text(path, wholetext=True)
              .select(F.input_file_name().alias("file"),
                      # wrapped in brackets so that trailing content (JSON lines, junk)
@@ -137,23 +152,25 @@ def read_screened(spark: SparkSession, path: str) -> DataFrame:
 def load_screened(spark: SparkSession, path: str, fallback: DataFrame) -> DataFrame:
     """Parsed symbols, else the fallback universe (distinct symbols); error if both empty."""
     got = read_screened(spark, path)
-    if got.limit(1).count() > 0:
+    if not got.isEmpty():
         return got
     fb = fallback.select("symbol").distinct()
-    if fb.limit(1).count() == 0:
-        raise RuntimeError("No screened symbols found and fallback is empty.")
+    if fb.isEmpty():
+        raise RuntimeError("neither the symbol file nor the fallback universe names a symbol")
     return fb.select("symbol", F.lit(None).cast("string").alias("file"), F.lit(None).cast("long").alias("line_no"),
                      F.lit(None).cast("int").alias("pos"))
 
 
-def read_pair_list(spark: SparkSession, path: str, bars: DataFrame, max_symbols: int = 50) -> DataFrame:
-    """Symbols of {"pairs": [[a, b], ...]} (two-element entries only), sorted
-    distinct; without pairs, the first ``max_symbols`` symbols of the bars in
-    sorted order (deterministic, unlike an unordered limit)."""
-    doc = spark.read.text(path, wholetext=True).select(F.expr("try_parse_json(value)").alias("doc"))
-    pairs = doc.select(F.expr("try_variant_get(doc, '$.pairs', 'array<array<string>>')").alias("p"))
-    syms = (pairs.select(F.explode(F.filter("p", lambda x: F.size(x) == 2)).alias("pr"))
-            .select(F.explode("pr").alias("symbol")).filter(F.col("symbol").isNotNull()).distinct())
-    if syms.limit(1).count() > 0:
-        return syms
-    return bars.select("symbol").distinct().orderBy("symbol").limit(max_symbols)
+def read_pair_list(spark: SparkSession, path: str, bars: DataFrame, max_symbols: int | None = None) -> DataFrame:
+    """Symbols of {"pairs": [[a, b], ...]} (two-element entries only),
+    distinct; without pairs or without the file, all symbols of the bars, or the
+    first ``max_symbols`` in sorted order if the caller asks for a limit."""
+    if path_exists(spark, path):
+        doc = spark.read.text(path, wholetext=True).select(F.expr("try_parse_json(value)").alias("doc"))
+        pairs = doc.select(F.expr("try_variant_get(doc, '$.pairs', 'array<array<string>>')").alias("p"))
+        syms = (pairs.select(F.explode(F.filter("p", lambda x: F.size(x) == 2)).alias("pr"))
+                .select(F.explode("pr").alias("symbol")).filter(F.col("symbol").isNotNull()).distinct())
+        if not syms.isEmpty():
+            return syms
+    universe = bars.select("symbol").distinct()
+    return universe if max_symbols is None else universe.orderBy("symbol").limit(max_symbols)

@@ -14,23 +14,25 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 
-def dedupe_latest(source: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
-    """One row per key, the one with the greatest ``order`` (or the greatest
-    row value as a deterministic tiebreak).  A grouped ``max_by`` is partially
-    aggregated map-side, so a key with many duplicates never lands whole in
-    one task."""
+def dedupe_latest(source: DataFrame, keys: list[str], order: str | list[str]) -> DataFrame:
+    """One row per key, the one with the greatest ``order`` (among equal orders
+    the greatest row value, so that any run keeps the same one).  A grouped
+    ``max_by`` is partially aggregated map-side, so a key with many duplicates
+    never lands whole in one task."""
     rest = [c for c in source.columns if c not in keys]
     if not rest:
         return source.dropDuplicates(keys)
     payload = F.struct(*[F.col(c) for c in rest])
-    ordering = F.struct(F.col(order), payload) if order else payload
-    return (source.groupBy(*keys).agg(F.max_by(payload, ordering).alias("_row"))
+    by = [order] if isinstance(order, str) else list(order)
+    return (source.groupBy(*keys).agg(F.max_by(payload, F.struct(*by, payload)).alias("_row"))
             .select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest]))
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
+def upsert(target: DataFrame, source: DataFrame, keys: list[str], order: str | list[str]) -> DataFrame:
     """K1: matched -> the source row replaces the target row; not matched -> insert.
-    Null keys never match (SQL ``=``), so they are always inserted."""
+    ``order`` says which of several source rows of one key is the latest; it need
+    not be a column of the target.  Null keys never match (SQL ``=``), so they
+    are always inserted."""
     src = dedupe_latest(source, keys, order).select(*target.columns)
     matched = src.select(*keys).na.drop("any", subset=keys)
     kept = target.join(matched, keys, "left_anti")
@@ -64,16 +66,67 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     return path
 
 
+def merge_partitions(spark: SparkSession, table_dir: str, source: DataFrame, keys: list[str],
+                     order: str | list[str], token: str, partition: str = "date", versioned: bool = False) -> None:
+    """K1/K9: upsert into a table partitioned by ``partition``, touching only the
+    partitions that the source names; the cost follows the batch.
+
+    The merged partitions are staged under ``token`` first.  A run that finds its
+    stage complete publishes it and merges nothing, so a crash while partitions
+    are being overwritten is mended by running again: the stage, not the damaged
+    table, is what is published.  ``versioned``: the order column is part of the
+    table and old rows compete with it; otherwise a source row always wins."""
+    stage = f"{table_dir.rstrip('/')}_staging/{token}"
+    if not exists(spark, f"{stage}/_SUCCESS"):
+        # bounded by the calendar: the dates of one batch
+        touched = [r[0] for r in source.select(partition).distinct().collect()]
+        if not touched:
+            return
+        if exists(spark, table_dir):
+            old = spark.read.parquet(table_dir).filter(F.col(partition).isin(touched))     # partition pruning
+            if versioned:
+                merged = dedupe_latest(old.unionByName(source.select(*old.columns)), keys, order)
+            else:
+                merged = upsert(old, source, keys, order)
+        else:
+            merged = dedupe_latest(source, keys, order)
+        merged.write.mode("overwrite").parquet(stage)          # never read and overwrite one path
+    write_partitions(spark.read.parquet(stage), table_dir, partition)
+    _drop_published(spark, stage)
+
+
+def _drop_published(spark: SparkSession, stage: str) -> None:
+    """Remove the stages of earlier tokens; the last one stays for a retry."""
+    now = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(stage)
+    fs = now.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for old in fs.listStatus(now.getParent()):
+        if old.getPath().getName() != now.getName():
+            fs.delete(old.getPath(), True)
+
+
+def write_partitions(df: DataFrame, path: str, partition: str = "date") -> str:
+    """Overwrite the partitions that ``df`` holds.  Rows are rebalanced by partition
+    value: few files a partition, and Spark splits one that is large."""
+    (df.hint("rebalance", F.col(partition)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path))
+    return path
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def upsert_table(spark: SparkSession, target_path: str | None, source: DataFrame, keys: list[str],
-                 order: str | None = None, partition_by: list[str] | None = None) -> str:
-    """Stage-then-publish upsert: the merged table goes to a new folder; the
-    caller publishes that folder as the table's current version."""
+                 order: str | list[str], partition_by: list[str] | None = None) -> str:
+    """Upsert of a table without partitions: the merged table goes to a new folder,
+    which the caller publishes as the current version (see ``merge_partitions``
+    for partitioned tables)."""
     out = scratch_path(spark, "upsert")
     if target_path is None:
         merged = dedupe_latest(source, keys, order)
     else:
-        target = spark.read.parquet(target_path)
-        merged = upsert(target, source.select(*target.columns), keys, order)
+        merged = upsert(spark.read.parquet(target_path), source, keys, order)
     write_table(merged, out, partition_by)
     return out
 

@@ -2,16 +2,19 @@
 
 New landing files are picked up by a file stream (``availableNow`` drains
 what is there and stops; the timer loop of the reference becomes a scheduled
-trigger), cleaned with the batch rules, de-duplicated per key inside the
-micro-batch, and upserted into the bar table by ``foreachBatch``.
+trigger), cleaned with the batch rules, and upserted into the bar table by
+``foreachBatch``.  Every row carries its landing sequence (``seq``) from the file
+to the table; of the rows of one key the newest sequence stays, whatever the
+values are.
 
 The bar table is parquet partitioned by ``date``.  A micro-batch touches only
 the dates it carries: the current rows of those partitions (partition
 pruning) are merged with the batch -- newer landing sequence wins, so a late
 file cannot overwrite a newer correction -- staged under the batch id, and
 written back with dynamic partition overwrite.  The cost of a batch is the
-size of its partitions, not of the table, and a retried batch rewrites the
-same partitions with the same rows (idempotent).  The checkpoint and staging
+size of its partitions, not of the table.  A retried batch that finds its stage
+complete publishes that stage again, so a crash in the middle of publishing
+cannot leave half a partition.  The checkpoint and staging
 folders live under the cluster's shared ``spark.checkpoint.dir``.
 """
 
@@ -20,11 +23,10 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, DoubleType
 
 from ..sources.bars import clean_bars
-from ..sources.sinks import dedupe_latest
+from ..sources.sinks import exists, merge_partitions
 
 LANDING_SCHEMA = StructType([
     StructField("SYMBOL", StringType()), StructField("TIMESTAMP", LongType()),
@@ -34,39 +36,15 @@ LANDING_SCHEMA = StructType([
 KEYS = ["symbol", "ts"]
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def current_table(spark: SparkSession, table_dir: str) -> DataFrame | None:
-    return spark.read.parquet(table_dir) if _exists(spark, table_dir) else None
+    return spark.read.parquet(table_dir) if exists(spark, table_dir) else None
 
 
 def merge_batch(spark: SparkSession, batch: DataFrame, batch_id: int, table_dir: str) -> None:
-    """foreachBatch body: clean, keep the newest landing row per key, merge with
-    the affected date partitions of the table, dynamic-overwrite those partitions."""
-    cleaned = clean_bars(batch.drop("seq")).join(
-        batch.select(F.regexp_replace("SYMBOL", "/", "").alias("symbol"),
-                     F.timestamp_millis("TIMESTAMP").alias("ts"), "seq"), KEYS, "left")
-    incoming = dedupe_latest(cleaned, KEYS, order="seq")
-    # the batch's dates: bounded by the calendar span of one micro-batch
-    dates = [r[0] for r in incoming.select("date").distinct().collect()]
-    if not dates:
-        return
-    current = current_table(spark, table_dir)
-    if current is not None:
-        affected = current.filter(F.col("date").isin(dates))      # partition pruning
-        merged = dedupe_latest(affected.unionByName(incoming), KEYS, order="seq")
-    else:
-        merged = incoming
-    stage = f"{table_dir.rstrip('/')}_staging/batch-{batch_id}"
-    merged.write.mode("overwrite").parquet(stage)                   # never read and overwrite one path
-    # one writer per date partition (bounded: one day of bars of the universe),
-    # so a batch adds one file per touched date instead of one per task
-    (spark.read.parquet(stage).repartition("date").write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(table_dir))
+    """foreachBatch body: clean (the landing sequence goes along), merge with the
+    touched date partitions, publish."""
+    merge_partitions(spark, table_dir, clean_bars(batch, keep=("seq",)), KEYS, "seq", f"batch-{batch_id}",
+                     versioned=True)
 
 
 def stream_ingest(spark: SparkSession, landing_dir: str, table_dir: str, checkpoint: str,

@@ -2,7 +2,7 @@ import json
 import os
 import tempfile
 
-from pyspark.sql import functions as F
+import pytest
 
 from spreadlab.sources.screened import load_screened, read_pair_list, read_screened
 
@@ -23,6 +23,8 @@ def test_screened_shapes(spark):
         "b.json": ('{"symbols": ["X1", 3, "X2"]}\nnot json\n{"top_symbols": ["X2", "X3"]}\n', ["X1", "X2", "X3"]),
         "c.json": ('["Z1", "Z2", "Z1"]', ["Z1", "Z2"]),
         "d.json": ('{"selected_symbols": [], "pairs": ["P1", {"symbol": "P2"}]}', ["P1", "P2"]),
+        "f.json": (json.dumps({"data": {"data": {"data": {"data": {"data": {"data": {"symbols": ["D1", "D2"]}}}}}}}), ["D1", "D2"]),
+        "g.json": (json.dumps({"x": {"data": 1}, "data": [{"s1": "L1", "s2": "L2"}, "L1"]}), ["L1", "L2"]),
         "e.json": ('{\n  "symbols": [\n    "M1",\n    "M2"\n  ]\n}\n', ["M1", "M2"]),
     }
     for name, (text, want) in cases.items():
@@ -44,35 +46,64 @@ def test_pair_list(spark):
     assert sorted(r["symbol"] for r in read_pair_list(spark, p, bars).collect()) == ["A", "B", "C"]
     p2 = _write(d, "none.json", json.dumps({"symbols": ["A"]}))
     bars2 = spark.createDataFrame([(f"S{i:02d}",) for i in range(60)], "symbol string")
-    fb = [r["symbol"] for r in read_pair_list(spark, p2, bars2).collect()]
-    assert len(fb) == 50 and fb[0] == "S00"
+    for path in (p2, os.path.join(d, "missing.json")):
+        assert read_pair_list(spark, path, bars2).count() == 60
+    assert [r["symbol"] for r in read_pair_list(spark, p2, bars2, 5).collect()] == [f"S{i:02d}" for i in range(5)]
+    assert load_screened(spark, os.path.join(d, "missing.json"), bars2).count() == 60
 
 
-def test_stream_equals_batch(spark):
-    from spreadlab.sources import sinks
-    from spreadlab.sources.bars import clean_bars
+T0 = 1_704_067_200_000
+LATER = [
+    [("A/USDT", T0 + h * 3_600_000, 1.0, 2.0, 0.5, 10.0 + h, 10.0, 1) for h in range(5)],
+    [("A/USDT", T0 // 1000 + h * 3600, 1.0, 2.0, 0.5, 4.0 + h, 10.0, 2) for h in range(3, 8)],      # seconds, lower
+    [("B/USDT", T0, 1.0, 2.0, 0.5, 3.0, 10.0, 3), ("A/USDT", T0 + 3_600_000, 1.0, 2.0, 0.5, 2.0, 10.0, 3)],
+]
+WANT = {("AUSDT", 0): 10.0, ("AUSDT", 1): 2.0, ("AUSDT", 2): 12.0, ("BUSDT", 0): 3.0, **{("AUSDT", h): 4.0 + h for h in range(3, 8)}}
+
+
+def _table(spark, table):
+    from spreadlab.streaming import ingest as stream
+    return {(r["symbol"], r["ts"].hour): r["close"] for r in stream.current_table(spark, table).collect()}
+
+
+@pytest.mark.parametrize("per_trigger", [1, 8])
+def test_stream_keeps_the_newest_landing_row(spark, per_trigger):
+    """Corrections that are lower win, also when one micro-batch holds a key twice."""
     from spreadlab.streaming import ingest as stream
-    base = tempfile.mkdtemp(prefix="spreadlab-stream-", dir="/tmp")
-    landing, table, ckpt = stream.stream_ingest_dirs(base)
-    t0 = 1_704_067_200_000
-    batches = [
-        [("A/USDT", t0 + h * 3_600_000, 1.0, 2.0, 0.5, 1.0 + h, 10.0, 1) for h in range(5)],
-        [("A/USDT", t0 + h * 3_600_000, 1.0, 2.0, 0.5, 9.0 + h, 10.0, 2) for h in range(3, 8)],
-        [("B/USDT", t0, 1.0, 2.0, 0.5, 3.0, 10.0, 3), ("A/USDT", t0 + 3_600_000, 1.0, 2.0, 0.5, 7.0, 10.0, 3)],
-    ]
-    for b in batches:
+    landing, table, ckpt = stream.stream_ingest_dirs(tempfile.mkdtemp(prefix="spreadlab-stream-", dir="/tmp"))
+    for b in LATER:
         spark.createDataFrame(b, stream.LANDING_SCHEMA).coalesce(1).write.mode("append").parquet(landing)
-    stream.stream_ingest(spark, landing, table, ckpt, max_files_per_trigger=1)
-    got = sorted((r["symbol"], r["ts"], r["close"]) for r in stream.current_table(spark, table).collect())
-    # batch twin: apply the three batches with the upsert sink in order
-    cur = None
-    for b in batches:
-        df = spark.createDataFrame(b, stream.LANDING_SCHEMA)
-        cleaned = clean_bars(df.drop("seq"))
-        cur = cleaned if cur is None else sinks.upsert(cur, cleaned, ["symbol", "ts"])
-    want = sorted((r["symbol"], r["ts"], r["close"]) for r in cur.collect())
-    assert got == want and len(got) == 9
-    # a second drain with no new files changes nothing
-    stream.stream_ingest(spark, landing, table, ckpt)
-    again = sorted((r["symbol"], r["ts"], r["close"]) for r in stream.current_table(spark, table).collect())
-    assert again == got
+    for _ in range(2):                                  # the second drain finds no new file and changes nothing
+        stream.stream_ingest(spark, landing, table, ckpt, max_files_per_trigger=per_trigger)
+        assert _table(spark, table) == WANT
+
+
+def test_late_file_does_not_undo_a_correction(spark):
+    from spreadlab.streaming import ingest as stream
+    _, table, _ = stream.stream_ingest_dirs(tempfile.mkdtemp(prefix="spreadlab-stream-", dir="/tmp"))
+    for i in (0, 2, 1):
+        stream.merge_batch(spark, spark.createDataFrame(LATER[i], stream.LANDING_SCHEMA), i, table)
+    assert _table(spark, table) == WANT
+
+
+def test_crash_between_stage_and_publish(spark, monkeypatch):
+    """A batch that dies while it publishes is published from its stage by the retry,
+    not merged again from the half-written table."""
+    from spreadlab.sources import sinks
+    from spreadlab.streaming import ingest as stream
+    _, table, _ = stream.stream_ingest_dirs(tempfile.mkdtemp(prefix="spreadlab-stream-", dir="/tmp"))
+    stream.merge_batch(spark, spark.createDataFrame(LATER[0], stream.LANDING_SCHEMA), 0, table)
+
+    def die(df, path, partition="date"):
+        sinks_publish(df.limit(1), path, partition)     # half of it
+        raise OSError("lost")
+
+    sinks_publish = sinks.write_partitions
+    batch = spark.createDataFrame(LATER[1] + LATER[2][1:], stream.LANDING_SCHEMA)
+    monkeypatch.setattr(sinks, "write_partitions", die)
+    with pytest.raises(OSError):
+        stream.merge_batch(spark, batch, 1, table)
+    assert _table(spark, table) != {k: v for k, v in WANT.items() if k[0] == "AUSDT"}
+    monkeypatch.setattr(sinks, "write_partitions", sinks_publish)
+    stream.merge_batch(spark, batch, 1, table)
+    assert _table(spark, table) == {k: v for k, v in WANT.items() if k[0] == "AUSDT"}

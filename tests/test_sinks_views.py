@@ -66,11 +66,30 @@ def test_upsert_table_stage_and_publish(spark):
     t0 = [("A", T + dt.timedelta(hours=h), 1.0, 1.0, 1.0, float(h), 1.0, (T + dt.timedelta(hours=h)).date())
           for h in range(4)]
     first = spark.createDataFrame(t0, ingest.BAR_SCHEMA)
-    v1 = sinks.upsert_table(spark, None, first, ["symbol", "ts"], partition_by=["date"])
+    v1 = sinks.upsert_table(spark, None, first, ["symbol", "ts"], "volume", partition_by=["date"])
     src = spark.createDataFrame([("A", T + dt.timedelta(hours=3), 1.0, 1.0, 1.0, 9.0, 1.0, T.date()),
                                  ("A", T + dt.timedelta(hours=5), 1.0, 1.0, 1.0, 5.0, 1.0, T.date())],
                                 ingest.BAR_SCHEMA)
-    v2 = sinks.upsert_table(spark, v1, src, ["symbol", "ts"], partition_by=["date"])
+    v2 = sinks.upsert_table(spark, v1, src, ["symbol", "ts"], "volume", partition_by=["date"])
     got = sorted((r["ts"].hour, r["close"]) for r in ingest.read_bars(spark, v2).collect())
     assert got == [(0, 0.0), (1, 1.0), (2, 2.0), (3, 9.0), (5, 5.0)]
     assert v1 != v2 and ingest.read_bars(spark, v1).count() == 4  # earlier version untouched
+
+
+def test_merge_partitions_touches_only_the_batch_dates(spark):
+    from spreadlab.sources import bars as ingest
+    d = tempfile.mkdtemp(prefix="spreadlab-up-", dir="/tmp")
+    day = dt.timedelta(days=1)
+    rows_ = [("A", T + i * day, 1.0, 1.0, 1.0, float(i), 1.0, (T + i * day).date()) for i in range(5)]
+    table = sinks.write_partitions(spark.createDataFrame(rows_, ingest.BAR_SCHEMA), os.path.join(d, "bars"))
+
+    def files():
+        return {os.path.join(b, f) for b, _, fs in os.walk(table) for f in fs if "date=" in b and f.startswith("part-")}
+
+    before = files()
+    src = spark.createDataFrame([("A", T + 2 * day, 1.0, 1.0, 1.0, 0.5, 1.0, (T + 2 * day).date()),
+                                 ("B", T + 2 * day, 1.0, 1.0, 1.0, 7.0, 1.0, (T + 2 * day).date())], ingest.BAR_SCHEMA)
+    sinks.merge_partitions(spark, table, src, ["symbol", "ts"], "close", "one")
+    got = sorted((r["symbol"], r["ts"].day, r["close"]) for r in spark.read.parquet(table).collect())
+    assert got == [("A", 1, 0.0), ("A", 2, 1.0), ("A", 3, 0.5), ("A", 4, 3.0), ("A", 5, 4.0), ("B", 3, 7.0)]
+    assert len(before & files()) == 4
