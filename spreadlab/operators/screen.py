@@ -1,28 +1,20 @@
-"""Pair screening: dense time grid, forward fill, all-pairs correlation and the
-Engle-Granger cointegration test, as distributed joins and aggregates.
-
-Plan and scale notes
---------------------
-* The grid is the reference's wide price matrix kept long: ``pivot`` on the
-  (known) symbol list then ``unpivot`` -- no cross join, no driver collect of
-  data.  Rows per symbol = distinct bar times in the window, bounded by the
-  calendar (60 days of hourly bars = 1,440), so the forward-fill window
-  partitioned by symbol has bounded tasks whatever the tick volume.
-* All pairs come from one equi-join of the grid with itself on ``ts`` with a
-  residual ``a.symbol < b.symbol`` predicate.  The grid key (symbol, ts) is
-  unique, so a ts group holds at most one row per symbol and fans out to
-  S(S-1)/2 rows -- the pair set the screen has to test, never a data-driven
-  blow-up.
-* Every statistic is a moment aggregate on the joined rows (partial
-  aggregation, map-side combine): correlation, population std, OLS hedge
-  beta/alpha, and the lag-0 augmented Dickey-Fuller regression on the OLS
-  residual, whose sums Σe², ΣeΔe, ΣΔe² expand into means and covariances of
-  the (lagged) legs.  One shuffle for the join, one for the aggregate, no
-  second pass over the residual series and no per-pair Python.
-* Lag selection by AIC (``eg_tau_aic``) needs per-pair least squares over the
-  residual series; it runs as ``applyInPandas`` grouped by pair on the rows of
-  pairs that already passed the correlation gate.  Group size = bars in the
-  window (calendar-bounded).
+"""Pair screening: dense price series, all-pairs correlation and the Engle-Granger
+cointegration test.
+
+Plan
+----
+* ``filled_series``: one row per symbol with its forward-filled closes on the
+  grid of all bar times of the window.  A row's length is the number of distinct
+  bar times (60 days of hourly bars: 1,440), whatever the tick volume; the grid
+  itself is one small array, a scalar subquery of the plan.
+* ``pair_stats``: symbols are dealt by hash to ``BLOCKS`` blocks, every unordered
+  pair of blocks is a cell, and a cell's two sides meet in one task, where numpy
+  matrix products over the centred series give every moment of all its pairs.
+  The shape is the same for any universe; a series is copied ``BLOCKS`` times, and
+  no row per (pair, time) ever exists.
+* The test runs in the same cell on pairs that pass the correlation gate: with no
+  lag from the moments alone, with lags from the residual series of that pair
+  (Gram matrix of the lagged design, so the lag search costs one pass).
 """
 
 from __future__ import annotations
@@ -30,15 +22,15 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.mathfn import (SCREEN_MIN_ABS_CORR, SCREEN_P_MAX, eg_pvalue,
-                                eg_tau_threshold)
+from ..functions.mathfn import SCREEN_MIN_ABS_CORR, SCREEN_P_MAX, eg_pvalue, eg_tau_threshold
 
 # Fixed value: screening window in days.
 DAYS_WINDOW = 60
+BLOCKS = 16
 
 
 def recent(df: DataFrame, as_of: str, days: int = DAYS_WINDOW, date_col: str = "date") -> DataFrame:
@@ -46,14 +38,17 @@ def recent(df: DataFrame, as_of: str, days: int = DAYS_WINDOW, date_col: str = "
     return df.filter(F.col(date_col) >= F.date_sub(F.lit(as_of).cast("date"), days))
 
 
-def recent_ts(df: DataFrame, as_of: str, days: int, ts_col: str = "ts") -> DataFrame:
-    """rows with ts >= as_of - days (timestamp arithmetic)."""
+def recent_ts(df: DataFrame, as_of: str, days: int, ts_col: str = "ts", date_col: str = "date") -> DataFrame:
+    """rows with ts >= as_of - days (timestamp arithmetic).  A table partitioned
+    by date is cut by its date first, so older partitions aren't opened."""
+    if date_col in df.columns:
+        df = recent(df, as_of, days, date_col)
     start = F.lit(as_of).cast("timestamp") - F.make_dt_interval(F.lit(days))
     return df.filter(F.col(ts_col) >= start)
 
 
 def symbol_list(bars: DataFrame) -> list[str]:
-    """Distinct symbols, sorted: the pivot's column list (the universe, not data)."""
+    """Distinct symbols, sorted: the columns of the wide close matrix."""
     return [r[0] for r in bars.select("symbol").distinct().orderBy("symbol").collect()]
 
 
@@ -65,116 +60,164 @@ def pivot_close(bars: DataFrame, symbols: list[str] | None = None) -> DataFrame:
             .groupBy("ts").pivot("symbol", symbols).agg(F.max("close")))
 
 
-def dense_grid(bars: DataFrame, symbols: list[str] | None = None) -> DataFrame:
-    """Every distinct ts x every symbol, close null where the symbol has no bar."""
-    symbols = symbols if symbols is not None else symbol_list(bars)
-    wide = pivot_close(bars, symbols)
-    return wide.unpivot(["ts"], [F.col(f"`{s}`") for s in symbols], "symbol", "close")
-
-
-def ffill_grid(grid: DataFrame) -> DataFrame:
-    """Forward fill per symbol; a symbol with a leading gap is dropped whole.
-    Adds the previous filled close (``close_prev``) for the lag terms."""
-    w = Window.partitionBy("symbol").orderBy("ts")
-    filled = grid.withColumn(
-        "close_f", F.last("close", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return (filled
-            .withColumn("gap", F.max(F.col("close_f").isNull().cast("int")).over(Window.partitionBy("symbol")))
-            .filter(F.col("gap") == 0)
-            .select("ts", "symbol", F.col("close_f").alias("close"),
-                    F.lag("close_f").over(w).alias("close_prev")))
-
-
-SYMBOLS_PER_BLOCK = 256
-
-
-def symbol_blocks(n_symbols: int, per_block: int = SYMBOLS_PER_BLOCK) -> int:
-    return max(1, -(-n_symbols // per_block))
-
-
-def pair_rows(filled: DataFrame, blocks: int = 1) -> DataFrame:
-    """All symbol pairs aligned on ts (a < b), legs a/b and their lags.
-
-    A ts group holds one row per symbol, so it fans out to S(S-1)/2 pair rows.
-    For a large universe the join key is refined with symbol blocks: a symbol
-    belongs to block hash(symbol) mod B, each side is copied once per block of
-    the other side, and the join runs on (ts, block_a, block_b).  Every pair
-    still meets exactly once (in the cell of its two blocks), while one join
-    task handles (S/B)^2 pairs instead of S^2."""
-    a = filled.select("ts", F.col("symbol").alias("sym_a"), F.col("close").alias("a"),
-                      F.col("close_prev").alias("a_prev"))
-    b = filled.select(F.col("ts").alias("ts_b"), F.col("symbol").alias("sym_b"), F.col("close").alias("b"),
-                      F.col("close_prev").alias("b_prev"))
-    cond = (a["ts"] == b["ts_b"]) & (a["sym_a"] < b["sym_b"])
-    if blocks > 1:
-        ids = F.array(*[F.lit(i) for i in range(blocks)])
-        a = (a.withColumn("blk_a", F.pmod(F.xxhash64("sym_a"), F.lit(blocks)))
-             .withColumn("blk_b", F.explode(ids)))
-        b = (b.withColumn("blk_b2", F.pmod(F.xxhash64("sym_b"), F.lit(blocks)))
-             .withColumn("blk_a2", F.explode(ids)))
-        cond = cond & (a["blk_a"] == b["blk_a2"]) & (a["blk_b"] == b["blk_b2"])
-    return a.join(b, cond, "inner").select(
-        F.col("ts"), "sym_a", "sym_b", "a", "b", "a_prev", "b_prev")
-
-
-def pair_moments(rows: DataFrame) -> DataFrame:
-    """Every sum the screen needs, in one grouped aggregate per pair."""
-    p, q = F.col("a_prev"), F.col("b_prev")
-    da, db = F.col("a") - p, F.col("b") - q
-    return rows.groupBy("sym_a", "sym_b").agg(
-        F.count(F.lit(1)).alias("n"),
-        # corr = cov / (std_a std_b); try_divide keeps a constant leg from raising
-        # under ANSI (Spark's corr() divides by zero there) -- such pairs are skipped
-        F.try_divide(F.covar_pop("a", "b"), F.stddev_pop("a") * F.stddev_pop("b")).alias("corr"),
-        F.stddev_pop("a").alias("std_a"),
-        F.stddev_pop("b").alias("std_b"),
-        F.regr_slope("a", "b").alias("beta"),
-        F.regr_intercept("a", "b").alias("alpha"),
-        F.regr_r2("a", "b").alias("r2"),
-        F.count(p).alias("n1"),
-        F.avg(p).alias("m_p"), F.avg(q).alias("m_q"),
-        F.var_pop(p).alias("v_p"), F.var_pop(q).alias("v_q"), F.covar_pop(p, q).alias("c_pq"),
-        F.avg(da).alias("m_da"), F.avg(db).alias("m_db"),
-        F.var_pop(da).alias("v_da"), F.var_pop(db).alias("v_db"), F.covar_pop(da, db).alias("c_dadb"),
-        F.covar_pop(p, da).alias("c_pda"), F.covar_pop(p, db).alias("c_pdb"),
-        F.covar_pop(q, da).alias("c_qda"), F.covar_pop(q, db).alias("c_qdb"),
-    )
-
-
-def adf_lag0(m: DataFrame) -> DataFrame:
-    """tau of  Δe_t = ρ e_{t-1} + ε  (no constant) with e = a - α - β b, from moments.
-
-    x = e_{t-1} = p - βq - α,  y = Δe_t = Δa - βΔb,
-    Sxx = n1 (var x + mean x²), Sxy = n1 (cov(x,y) + mean x · mean y), Syy likewise;
-    ρ = Sxy/Sxx, σ² = (Syy - Sxy²/Sxx)/(n1 - 1), tau = ρ / sqrt(σ²/Sxx).
-    Degenerate residuals (Sxx ~ 0, perfect fit) give a null tau: the pair is skipped."""
-    b, al, n1 = F.col("beta"), F.col("alpha"), F.col("n1")
-    mean_x = F.col("m_p") - b * F.col("m_q") - al
-    var_x = F.col("v_p") + b * b * F.col("v_q") - F.lit(2.0) * b * F.col("c_pq")
-    mean_y = F.col("m_da") - b * F.col("m_db")
-    var_y = F.col("v_da") + b * b * F.col("v_db") - F.lit(2.0) * b * F.col("c_dadb")
-    cov_xy = F.col("c_pda") - b * F.col("c_pdb") - b * F.col("c_qda") + b * b * F.col("c_qdb")
-    sxx = n1 * (var_x + mean_x * mean_x)
-    sxy = n1 * (cov_xy + mean_x * mean_y)
-    syy = n1 * (var_y + mean_y * mean_y)
-    out = m.withColumns({"sxx": sxx, "sxy": sxy, "syy": syy})
-    # try_divide: a degenerate pair yields null instead of an ANSI division error
-    ssr = F.col("syy") - F.try_divide(F.col("sxy") * F.col("sxy"), F.col("sxx"))
-    ok = (F.col("sxx") > F.lit(1e-12) * n1 * (F.col("v_p") + F.lit(1e-300))) & (n1 > F.lit(2)) & (ssr > F.lit(0.0))
-    rho = F.try_divide(F.col("sxy"), F.col("sxx"))
-    tau = F.when(ok, rho / F.sqrt(ssr / (n1 - F.lit(1)) / F.col("sxx")))
-    return out.withColumn("tau", tau).withColumn("pvalue", eg_pvalue(F.col("tau")))
-
-
-def screen_stats(bars_1h: DataFrame, as_of: str, days: int = DAYS_WINDOW,
-                 symbols: list[str] | None = None) -> DataFrame:
-    """Per-pair statistics (corr, std, beta, alpha, r2, tau, pvalue) over the window."""
-    win = recent(bars_1h, as_of, days)
-    syms = symbols if symbols is not None else symbol_list(win)
-    if len(syms) < 3:
-        raise ValueError("Not enough symbols to screen. Ingest more 1h data first.")
-    filled = ffill_grid(dense_grid(win, syms))
-    return adf_lag0(pair_moments(pair_rows(filled, symbol_blocks(len(syms)))))
+def filled_series(bars: DataFrame) -> DataFrame:
+    """J8 + W7: (symbol, grid array<timestamp>, closes array<double>): every symbol on
+    every bar time of the frame, forward filled; a symbol without a close at the
+    first bar time is left out whole."""
+    grid = bars.select(F.array_sort(F.collect_set("ts"))).scalar()
+    own = (bars.where(F.col("close").isNotNull()).groupBy("symbol", "ts").agg(F.max("close").alias("close"))
+           .groupBy("symbol").agg(F.array_sort(F.collect_list(F.struct("ts", "close"))).alias("own"))
+           .select("symbol", F.col("own.ts").alias("at"), F.col("own.close").alias("close"), grid.alias("grid")))
+
+    def fill(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                at, grid_ = (b.column(c)[i].values.cast(pa.int64()).to_numpy() for c in (1, 3))
+                if not len(at) or at[0] > grid_[0]:
+                    continue
+                last = np.searchsorted(at, grid_, side="right") - 1
+                closes = b.column(2)[i].values.to_numpy(zero_copy_only=False)[last]
+                yield pa.record_batch([b.column(0).slice(i, 1), b.column(3).slice(i, 1), pa.array([closes])],
+                                      names=["symbol", "grid", "closes"])
+
+    return own.mapInArrow(fill, "symbol string, grid array<timestamp>, closes array<double>")
+
+
+def ffill_grid(bars: DataFrame) -> DataFrame:
+    """J8 + W7 in long form: ts, symbol, close and the close before it."""
+    series = filled_series(bars)
+    before = F.concat(F.array(F.lit(None).cast("double")), F.slice("closes", 1, F.size("closes") - 1))
+    return (series.select("symbol", F.explode(F.arrays_zip(F.col("grid").alias("ts"), F.col("closes").alias("close"),
+                                                           before.alias("close_prev"))).alias("x"))
+            .select("x.ts", "symbol", "x.close", "x.close_prev"))
+
+
+STATS_SCHEMA = ("sym_a string, sym_b string, n long, corr double, std_a double, std_b double, beta double, "
+                "alpha double, r2 double, lags int, nobs long, tau double")
+
+
+def pair_stats(series: DataFrame, lags: int | str = 0, min_abs_corr: float | None = None,
+               blocks: int = BLOCKS) -> DataFrame:
+    """Per pair (a < b): n, corr, std, hedge fit a = alpha + beta b, and the residual
+    unit-root statistic with ``lags`` lagged differences (a number, or "aic" for the
+    search).  Pairs below ``min_abs_corr`` are left out when it is given."""
+    own = F.expr(f"CAST(pmod(xxhash64(symbol), {blocks}) AS INT)")
+    cells = (series.select("symbol", "closes", own.alias("own"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+             .select(F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "symbol", "closes"))
+    gate = -1.0 if min_abs_corr is None else float(min_abs_corr)
+
+    def cell(t: pa.Table) -> pa.Table:
+        own, x, y = t.column("own").to_numpy(), t.column("x")[0].as_py(), t.column("y")[0].as_py()
+        names = np.array(t.column("symbol").to_pylist(), dtype=object)
+        values = t.column("closes").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(names), -1)
+        left, right = np.flatnonzero(own == x), np.flatnonzero(own == y)
+        out = {c.split()[0]: [] for c in STATS_SCHEMA.split(", ")}
+        for i in left:                                      # a row of the cell at a time: memory stays linear
+            later = right[names[right] > names[i]]
+            _pairs_of(names, values, i, later, True, gate, lags, out)
+            if x != y:
+                earlier = right[names[right] < names[i]]
+                _pairs_of(names, values, i, earlier, False, gate, lags, out)
+        kinds = {"string": pa.string(), "long": pa.int64(), "double": pa.float64(), "int": pa.int32()}
+        return pa.table({c.split()[0]: pa.array(out[c.split()[0]], kinds[c.split()[1]]) for c in STATS_SCHEMA.split(", ")})
+
+    stats = cells.groupBy("x", "y").applyInArrow(cell, STATS_SCHEMA)
+    return stats.withColumn("pvalue", eg_pvalue(F.col("tau")))
+
+
+def _pairs_of(names, values, i, others, is_a: bool, gate: float, lags, out: dict) -> None:
+    """Statistics of symbol ``i`` with ``others``; ``is_a``: i is the dependent leg."""
+    if not len(others):
+        return
+    one, many = values[i], values[others]
+    n = len(one)
+    p, q = one - one.mean(), many - many.mean(axis=1, keepdims=True)
+    s_one, s_many, s_cross = p @ p, (q * q).sum(axis=1), q @ p
+    var_a = np.full(len(others), s_one) if is_a else s_many
+    var_b = s_many if is_a else np.full(len(others), s_one)
+    mean_a = np.full(len(others), one.mean()) if is_a else many.mean(axis=1)
+    mean_b = many.mean(axis=1) if is_a else np.full(len(others), one.mean())
+    with np.errstate(divide="ignore", invalid="ignore"):
+        corr = s_cross / np.sqrt(var_a * var_b)
+        beta = s_cross / var_b
+    flat = (var_a == 0) | (var_b == 0)
+    for j, o in enumerate(others):
+        if gate >= 0 and (flat[j] or not abs(corr[j]) >= gate):
+            continue
+        a, b = (i, o) if is_a else (o, i)
+        row = {"sym_a": names[a], "sym_b": names[b], "n": n, "std_a": math.sqrt(var_a[j] / n),
+               "std_b": math.sqrt(var_b[j] / n)}
+        if flat[j]:
+            row |= {"corr": None, "lags": None, "nobs": None, "tau": None}
+            row |= {"beta": None, "alpha": None, "r2": None} if var_b[j] == 0 else \
+                {"beta": 0.0, "alpha": float(mean_a[j]), "r2": 1.0}
+        else:
+            e = (p - beta[j] * q[j]) if is_a else (q[j] - beta[j] * p)
+            scale = var_a[j] / n
+            k, nobs, tau = adf_statistic(e, lags, scale)
+            row |= {"corr": float(corr[j]), "beta": float(beta[j]), "alpha": float(mean_a[j] - beta[j] * mean_b[j]),
+                    "r2": float(corr[j] ** 2), "lags": k, "nobs": nobs, "tau": tau}
+        for c in out:
+            out[c].append(row[c])
+
+
+def max_lag(n: int) -> int:
+    """Largest lag of the search: ceil(12 (n / 100)^(1/4)), as far as the rows allow."""
+    return max(0, min(int(math.ceil(12.0 * (n / 100.0) ** 0.25)), n // 2 - 2))
+
+
+def adf_statistic(e: np.ndarray, lags: int | str = "aic", scale: float = 0.0) -> tuple[int | None, int | None, float | None]:
+    """(lags, rows, tau) of  De_t = rho e_{t-1} + sum_i g_i De_{t-i} + noise, without a constant.
+
+    "aic" tries 0..max_lag on the common sample (one Gram matrix, its leading
+    blocks are the designs) and refits the best on all rows it allows.  A series
+    that is constant against ``scale`` (its leg's variance) has no statistic."""
+    n = len(e)
+    d = np.diff(e)
+    if n < 4 or not (e[:-1] @ e[:-1] > 1e-12 * (n - 1) * (scale + 1e-300)):
+        return None, None, None
+
+    def design(k: int, start: int):
+        return np.column_stack([e[start:n - 1], *[d[start - i: n - 1 - i] for i in range(1, k + 1)]]), d[start:]
+
+    if lags == "aic":
+        top = max_lag(n)
+        x, y = design(top, top)
+        gram, xy, yy = x.T @ x, x.T @ y, float(y @ y)
+        best, k = np.inf, 0
+        for j in range(top + 1):
+            if len(y) <= j + 1:
+                break
+            coef = np.linalg.lstsq(gram[: j + 1, : j + 1], xy[: j + 1], rcond=None)[0]
+            ssr = yy - float(coef @ xy[: j + 1])
+            if ssr <= 0:
+                continue
+            aic = len(y) * (math.log(2 * math.pi * ssr / len(y)) + 1) + 2 * (j + 1)
+            if aic < best:
+                best, k = aic, j
+    else:
+        k = int(lags)
+    x, y = design(k, k)
+    if len(y) <= k + 2:
+        return k, len(y), None
+    coef = np.linalg.lstsq(x, y, rcond=None)[0]
+    rest = y - x @ coef
+    ssr = float(rest @ rest)
+    if ssr <= 0:
+        return k, len(y), None
+    inverse = np.linalg.pinv(x.T @ x)
+    spread = math.sqrt(ssr / (len(y) - k - 1) * inverse[0, 0])
+    return k, len(y), float(coef[0] / spread) if spread > 0 else None
+
+
+def screen_stats(bars_1h: DataFrame, as_of: str, days: int = DAYS_WINDOW, lags: int | str = 0,
+                 min_abs_corr: float | None = None) -> DataFrame:
+    """Per-pair statistics over the window; an error when fewer than three symbols trade."""
+    win = recent(bars_1h, as_of, days).select("symbol", "ts", "close")
+    if len(win.select("symbol").distinct().limit(3).collect()) < 3:
+        raise ValueError("screening needs bars of at least three symbols in the window")
+    return pair_stats(filled_series(win), lags, min_abs_corr)
 
 
 def screen_gate(stats: DataFrame, min_abs_corr: float = SCREEN_MIN_ABS_CORR,
@@ -186,86 +229,15 @@ def screen_gate(stats: DataFrame, min_abs_corr: float = SCREEN_MIN_ABS_CORR,
                         & F.col("tau").isNotNull() & (F.col("tau") < F.lit(tau_star)))
 
 
-def screen_pairs(bars_1h: DataFrame, as_of: str, days: int = DAYS_WINDOW,
-                 min_abs_corr: float = SCREEN_MIN_ABS_CORR, p_max: float = SCREEN_P_MAX) -> DataFrame:
-    """M1: (sym_a, sym_b, corr, pvalue) of the pairs that pass the screen."""
-    return screen_gate(screen_stats(bars_1h, as_of, days), min_abs_corr, p_max).select(
-        "sym_a", "sym_b", "corr", "pvalue")
+def screen_pairs(bars_1h: DataFrame, as_of: str, days: int = DAYS_WINDOW, min_abs_corr: float = SCREEN_MIN_ABS_CORR,
+                 p_max: float = SCREEN_P_MAX, lags: int | str = "aic") -> DataFrame:
+    """M1: (sym_a, sym_b, corr, pvalue) of the pairs that pass the screen; the
+    cointegration test searches its lags by default."""
+    stats = screen_stats(bars_1h, as_of, days, lags, min_abs_corr)
+    return screen_gate(stats, min_abs_corr, p_max).select("sym_a", "sym_b", "corr", "pvalue")
 
 
 def pair_symbols(pairs: DataFrame) -> DataFrame:
     """Sorted distinct legs of a pair table (slash removed)."""
     legs = pairs.select(F.explode(F.array("sym_a", "sym_b")).alias("symbol"))
     return legs.select(F.replace("symbol", F.lit("/"), F.lit("")).alias("symbol")).distinct()
-
-
-# --- lag selection by AIC (grouped map) ---------------------------------------
-AIC_SCHEMA = "sym_a string, sym_b string, lags int, tau double, pvalue double, nobs int"
-
-
-def adf_aic_frame(pdf: pd.DataFrame, maxlag: int | None = None) -> pd.DataFrame:
-    """ADF without constant on one pair's residual series, lag chosen by AIC
-    among 0..ceil(12 (n/100)^(1/4)) on a common sample, then refit on all rows.
-
-    Row t of the regression: y = Δe[t], regressors e[t] (the lagged level) and
-    Δe[t-1..t-k]; the common sample starts at t = maxlag."""
-    pdf = pdf.sort_values("ts")
-    e = pdf["e"].to_numpy(dtype=float)
-    n = len(e)
-    out = {"sym_a": pdf["sym_a"].iloc[0], "sym_b": pdf["sym_b"].iloc[0]}
-    if maxlag is None:
-        maxlag = int(math.ceil(12.0 * (n / 100.0) ** 0.25))
-    de = np.diff(e)
-    maxlag = max(0, min(maxlag, n // 2 - 2))
-
-    def design(k, start):
-        y = de[start:]
-        cols = [e[start:n - 1]] + [de[start - i: n - 1 - i] for i in range(1, k + 1)]
-        return y, np.column_stack(cols)
-
-    def fit(y, x):
-        coef, _, _, _ = np.linalg.lstsq(x, y, rcond=None)
-        resid = y - x @ coef
-        ssr = float(resid @ resid)
-        nobs, k = x.shape
-        return coef, ssr, nobs, k
-
-    best_k, best_aic = 0, np.inf
-    for k in range(0, maxlag + 1):
-        y, x = design(k, maxlag)
-        if len(y) <= k + 1:
-            continue
-        _, ssr, nobs, kk = fit(y, x)
-        if ssr <= 0:
-            continue
-        aic = nobs * (np.log(2 * np.pi * ssr / nobs) + 1) + 2 * kk
-        if aic < best_aic:
-            best_aic, best_k = aic, k
-    y, x = design(best_k, best_k)
-    if len(y) <= best_k + 2:
-        return pd.DataFrame([{**out, "lags": best_k, "tau": None, "pvalue": None, "nobs": len(y)}])
-    coef, ssr, nobs, kk = fit(y, x)
-    xtx_inv = np.linalg.pinv(x.T @ x)
-    se = math.sqrt(ssr / (nobs - kk) * xtx_inv[0, 0])
-    tau = float(coef[0] / se) if se > 0 else None
-    return pd.DataFrame([{**out, "lags": best_k, "tau": tau, "pvalue": None, "nobs": nobs}])
-
-
-def _adf_aic(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Grouped-map entry point (one argument: the group's rows)."""
-    return adf_aic_frame(pdf)
-
-
-def eg_tau_aic(bars_1h: DataFrame, as_of: str, days: int = DAYS_WINDOW,
-               min_abs_corr: float = SCREEN_MIN_ABS_CORR) -> DataFrame:
-    """M2 with AIC lag selection, for the pairs that pass the correlation gate."""
-    win = recent(bars_1h, as_of, days)
-    syms = symbol_list(win)
-    filled = ffill_grid(dense_grid(win, syms))
-    rows = pair_rows(filled, symbol_blocks(len(syms)))
-    stats = pair_moments(rows).filter((F.col("std_a") != 0) & (F.col("std_b") != 0)
-                                      & (F.abs("corr") >= F.lit(min_abs_corr)))
-    resid = rows.join(stats.select("sym_a", "sym_b", "beta", "alpha"), ["sym_a", "sym_b"]).select(
-        "sym_a", "sym_b", "ts", (F.col("a") - F.col("alpha") - F.col("beta") * F.col("b")).alias("e"))
-    res = resid.groupBy("sym_a", "sym_b").applyInPandas(_adf_aic, AIC_SCHEMA)
-    return res.withColumn("pvalue", eg_pvalue(F.col("tau")))

@@ -64,8 +64,7 @@ def test_constant_series_and_leading_gap(spark):
 
 def test_ffill_inner_gap(spark):
     bars = _bars(spark, {"a": [1, 2, 3, 4], "b": [5, 6, 7, 8], "c": [9, 10, 11, 12]}, skip={("b", 2)})
-    syms = screen.symbol_list(bars)
-    g = screen.ffill_grid(screen.dense_grid(bars, syms)).filter(F.col("symbol") == "b").orderBy("ts").collect()
+    g = screen.ffill_grid(bars).filter(F.col("symbol") == "b").orderBy("ts").collect()
     assert [r["close"] for r in g] == [5.0, 6.0, 6.0, 8.0]
     assert [r["close_prev"] for r in g] == [None, 5.0, 6.0, 6.0]
 
@@ -83,35 +82,49 @@ def test_not_enough_symbols(spark):
 def test_aic_lag_runs(spark):
     a, b, c = _planted(300)
     bars = _bars(spark, {"a": a, "b": b, "c": c})
-    out = {(r["sym_a"], r["sym_b"]): r for r in screen.eg_tau_aic(bars, "2024-01-14", 60).collect()}
+    out = {(r["sym_a"], r["sym_b"]): r for r in screen.screen_stats(bars, "2024-01-14", 60, "aic", 0.7).collect()}
     assert out[("a", "b")]["tau"] < -3.3 and out[("a", "b")]["pvalue"] < 0.05
 
 
-def test_symbol_blocks_give_same_pairs(spark):
+def test_any_number_of_blocks_gives_the_same_pairs(spark):
     rng = np.random.default_rng(9)
     series = {f"s{i:02d}": 100 + np.cumsum(rng.normal(0, 1, 50)) for i in range(12)}
-    bars = _bars(spark, series)
-    syms = screen.symbol_list(bars)
-    filled = screen.ffill_grid(screen.dense_grid(bars, syms))
-    one = screen.pair_moments(screen.pair_rows(filled, 1)).select("sym_a", "sym_b", "n", "corr").toPandas()
-    four = screen.pair_moments(screen.pair_rows(filled, 4)).select("sym_a", "sym_b", "n", "corr").toPandas()
-    key = ["sym_a", "sym_b"]
-    one, four = one.sort_values(key).reset_index(drop=True), four.sort_values(key).reset_index(drop=True)
-    assert len(one) == len(four) == 66
-    assert (one["n"] == four["n"]).all() and np.allclose(one["corr"], four["corr"], rtol=0, atol=1e-12)
-
-
-def test_adf_lag0_matches_closed_form():
-    import pandas as pd
+    filled = screen.filled_series(_bars(spark, series))
+    got = {}
+    for blocks in (1, 4, screen.BLOCKS):
+        rows = screen.pair_stats(filled, 1, blocks=blocks).collect()
+        got[blocks] = {(r["sym_a"], r["sym_b"]): (r["n"], r["corr"], r["beta"], r["tau"]) for r in rows}
+        assert len(rows) == len(got[blocks]) == 66 and all(a < b for a, b in got[blocks])
+    for pair, want in got[1].items():
+        assert np.allclose(got[4][pair], want, atol=1e-9) and np.allclose(got[screen.BLOCKS][pair], want, atol=1e-9)
+        assert abs(want[1] - np.corrcoef(series[pair[0]], series[pair[1]])[0, 1]) < 1e-12
+
+
+def _twin(e, k):
+    """tau of the regression with k lagged differences, by plain least squares."""
+    d = np.diff(e)
+    x = np.column_stack([e[k:-1]] + [d[k - i: len(d) - i] for i in range(1, k + 1)])
+    y = d[k:]
+    coef, *_ = np.linalg.lstsq(x, y, rcond=None)
+    rest = y - x @ coef
+    s2 = rest @ rest / (len(y) - x.shape[1])
+    return coef[0] / np.sqrt(s2 * np.linalg.inv(x.T @ x)[0, 0]), len(y), rest @ rest
+
+
+def test_adf_matches_least_squares():
     rng = np.random.default_rng(4)
     e = np.zeros(300)
     for t in range(1, 300):
         e[t] = 0.8 * e[t - 1] + rng.normal()
-    pdf = pd.DataFrame({"sym_a": "a", "sym_b": "b", "ts": np.arange(300), "e": e})
-    got = screen.adf_aic_frame(pdf, maxlag=0).iloc[0]
-    x, y = e[:-1], np.diff(e)
-    rho = (x @ y) / (x @ x)
-    tau = rho / np.sqrt(((y - rho * x) ** 2).sum() / (len(y) - 1) / (x @ x))
-    assert got["lags"] == 0 and abs(got["tau"] - tau) < 1e-10
-    auto = screen._adf_aic(pdf).iloc[0]
-    assert 0 <= auto["lags"] <= int(np.ceil(12 * 3 ** 0.25)) and auto["tau"] < -3
+    for k in (0, 2, 5):
+        lags, nobs, tau = screen.adf_statistic(e, k)
+        assert (lags, nobs) == (k, len(e) - 1 - k) and abs(tau - _twin(e, k)[0]) < 1e-9
+    top = screen.max_lag(len(e))
+    assert top == int(np.ceil(12 * 3 ** 0.25))
+    aic = []
+    for k in range(top + 1):                      # common sample: the first rows of shorter lags are left out
+        _, n, ssr = _twin(e[top - k:], k)
+        aic.append(n * (np.log(2 * np.pi * ssr / n) + 1) + 2 * (k + 1))
+    lags, _, tau = screen.adf_statistic(e, "aic")
+    assert lags == int(np.argmin(aic)) and abs(tau - _twin(e, lags)[0]) < 1e-9
+    assert screen.adf_statistic(np.zeros(50), "aic") == (None, None, None)
