@@ -18,6 +18,7 @@ from ..functions.text import pair_label
 MA_WINDOWS = (5, 12, 24, 48)
 VOL_WINDOWS = (12, 48)
 Z_WINDOW = 48
+MIN_OBS = 12          # bars a rolling hedge fit needs
 BAR_NUMERIC = ("open", "high", "low", "close", "volume")
 
 
@@ -78,7 +79,8 @@ def pair_legs(bars: DataFrame, pairs: DataFrame) -> DataFrame:
         "pair", pair_label(F.col("symbol_a"), F.col("symbol_b")))
 
 
-def _spread_columns(df: DataFrame, w, mode: str, window: int, horizon: int | None = None) -> DataFrame:
+def _spread_columns(df: DataFrame, w, mode: str, window: int, horizon: int | None = None,
+                    min_obs: int = MIN_OBS) -> DataFrame:
     """beta, alpha (rolling mode), spread and zscore over window spec ``w``;
     with ``horizon`` also the leg-A close ``horizon`` bars ahead (``_future``)."""
     roll = w.rowsBetween(-(window - 1), Window.currentRow)
@@ -88,7 +90,8 @@ def _spread_columns(df: DataFrame, w, mode: str, window: int, horizon: int | Non
         # OLS intercept = mean(ln a) - beta * mean(ln b) over the same frame (rows
         # where both legs are defined): one co-moment aggregate instead of two
         both = F.col("la").isNotNull() & F.col("lb").isNotNull()
-        beta = F.regr_slope("la", "lb").over(roll)
+        enough = F.count(F.when(both, F.lit(1))).over(roll) >= F.lit(min_obs)
+        beta = F.when(enough, F.regr_slope("la", "lb").over(roll))
         df = df.withColumns({
             "beta": beta,
             "alpha": F.when(beta.isNotNull(), F.avg(F.when(both, F.col("la"))).over(roll)
@@ -99,13 +102,16 @@ def _spread_columns(df: DataFrame, w, mode: str, window: int, horizon: int | Non
 
 
 def pair_features(bars: DataFrame, pairs: DataFrame, mode: str = "rolling", window: int = Z_WINDOW,
-                  chunk_rows: int | None = 2048, label_horizon: int | None = None) -> DataFrame:
+                  chunk_rows: int | None = 2048, label_horizon: int | None = None,
+                  min_obs: int = MIN_OBS) -> DataFrame:
     """Ts, pair, symbol_a, symbol_b, a_close, beta, alpha, spread, zscore.
 
     spread = ln a - alpha - beta ln b, where (alpha, beta) is the OLS fit of
     ln a on ln b: one fit per pair (``static``: a grouped aggregate joined
     back, uses the whole sample) or over the trailing ``window`` bars
-    (``rolling``, no look-ahead).  zscore is the rolling z of the spread with
+    (``rolling``, no look-ahead; null while the window holds fewer than
+    ``min_obs`` bars: a line through two or three points is noise, and its
+    intercept cancels to few digits).  zscore is the rolling z of the spread with
     the W4 guard.  With ``chunk_rows`` the rolling windows run chunked (tasks
     bounded by the chunk size, see ``operators.windowing``); ``None`` uses one
     window partition per pair.  ``label_horizon`` adds ``_future`` (the leg-A
@@ -125,21 +131,15 @@ def pair_features(bars: DataFrame, pairs: DataFrame, mode: str = "rolling", wind
     fwd = label_horizon or 0
     if chunk_rows:
         out = chunked_windows(legs, ["pair"], "ts", reach, fwd,
-                              lambda d, w: _spread_columns(d, w, mode, window, label_horizon), chunk_rows=chunk_rows)
+                              lambda d, w: _spread_columns(d, w, mode, window, label_horizon, min_obs),
+                              chunk_rows=chunk_rows)
     else:
-        out = _spread_columns(legs, Window.partitionBy("pair").orderBy("ts"), mode, window, label_horizon)
+        out = _spread_columns(legs, Window.partitionBy("pair").orderBy("ts"), mode, window, label_horizon, min_obs)
     extra = ["_future"] if label_horizon else []
     return out.select("ts", "pair", "symbol_a", "symbol_b", "a_close", "beta", "alpha", "spread", "zscore", *extra)
 
 
-def pair_betas(bars: DataFrame) -> DataFrame:
-    """Full-sample log-price hedge ratio for every symbol pair aligned on ts
-    (a < b); the pair universe of the model-free pair signals.  Uses the
-    screen's pair join (symbol blocking for large universes)."""
-    from .screen import pair_rows, symbol_blocks
-    px = bars.select("ts", "symbol", safe_log(F.col("close")).alias("close"),
-                     F.lit(None).cast("double").alias("close_prev"))
-    n_symbols = bars.select("symbol").distinct().count()   # universe size: picks the block count
-    rows = pair_rows(px, symbol_blocks(n_symbols))
-    return (rows.groupBy(F.col("sym_a").alias("symbol_a"), F.col("sym_b").alias("symbol_b"))
-            .agg(F.regr_slope("a", "b").alias("beta")))
+def pair_betas(bars: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Full-sample log-price hedge ratio of the given pairs (sym_a, sym_b)."""
+    return (pair_legs(bars, pairs).groupBy("symbol_a", "symbol_b")
+            .agg(F.regr_slope(safe_log(F.col("a_close")), safe_log(F.col("b_close"))).alias("beta")))

@@ -93,31 +93,21 @@ def standardize(df: DataFrame, features: list[str], stats: list[tuple[str, float
 
 
 def auc(df: DataFrame, label: str = "label", score: str = "prob", group: str | None = None,
-        n_bins: int = 4096) -> DataFrame:
+        n_buckets: int | None = None) -> DataFrame:
     """Exact ROC AUC by rank sums with average ranks for ties:
 
         AUC = sum over distinct scores v of pos(v) * (neg(< v) + neg(v) / 2) / (P * N)
 
-    ``neg(< v)`` is a running total over distinct scores, computed with the
-    bucketed two-pass scan so that no task holds all rows of a group.  Groups
-    (e.g. candidate names) are evaluated in the same pass.  Output: [group,]
-    auc, n_pos, n_neg."""
+    ``neg(< v)`` is a running total over distinct scores.  The scan cuts them into
+    range-partition buckets (sampled boundaries), so buckets hold about equally
+    many distinct scores however the scores are spread.  Groups (e.g. candidate
+    names) are evaluated in the same pass.  Output: [group,] auc, n_pos, n_neg."""
     g = [group] if group else []
     per = (df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
            .groupBy(*g, score)
            .agg(F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).cast("long").alias("pos"),
                 F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).cast("long").alias("neg")))
-    if g:
-        # per-group bounds: a tiny aggregate joined back (no window over a whole group)
-        bounds = per.groupBy(*g).agg(F.min(score).alias("_lo"), F.max(score).alias("_hi"))
-        per = per.join(bounds, g)
-        lo, hi = F.col("_lo"), F.col("_hi")
-    else:
-        lo = per.select(F.min(score)).scalar()
-        hi = per.select(F.max(score)).scalar()
-    span = F.when(hi > lo, hi - lo).otherwise(F.lit(1.0))
-    bucket = F.least(F.floor((F.col(score) - lo) / span * F.lit(n_bins)), F.lit(n_bins - 1)).cast("long")
-    scanned = running_sum(per, g, [score], {"cum_neg": "neg"}, bucket)
+    scanned = running_sum(per, g, [score], {"cum_neg": "neg"}, None, n_buckets)
     contrib = F.col("pos").cast("double") * (
         (F.col("cum_neg") - F.col("neg")).cast("double") + F.col("neg").cast("double") / F.lit(2.0))
     out = scanned.groupBy(*g).agg(F.sum(contrib).alias("_num"), F.sum("pos").alias("n_pos"),

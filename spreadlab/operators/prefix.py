@@ -1,4 +1,4 @@
-"""Distributed ordered scans and size-checked broadcast.
+"""Distributed ordered scans.
 
 A running total over ``PARTITION BY key ORDER BY t`` puts a whole key into one
 task.  When one key may hold a third of all rows that task does not finish, so

@@ -22,6 +22,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
 from .prefix import running_sum
 
 ORD, CHUNK, CORE = "_ord", "_chunk", "_core"
@@ -64,7 +65,10 @@ def chunked_windows(df: DataFrame, keys: list[str], order: str, back: int, fwd:
     and keeps AQE from coalescing a small but CPU-heavy window stage into a
     couple of tasks."""
     bucket = bucket if bucket is not None else F.to_date(F.col(order))
-    ordered = with_ordinal(df, keys, [order], bucket)
+    # the ordinal scan reads its rows twice (totals, then rows): write them once,
+    # so that nothing upstream runs twice
+    checkpoint_dir(df.sparkSession)
+    ordered = with_ordinal(df.checkpoint(eager=True), keys, [order], bucket)
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tagged = chunk_rows_of(ordered, back, fwd, chunk_rows).repartition(n, *keys, CHUNK)
     w = Window.partitionBy(*keys, CHUNK).orderBy(ORD)

@@ -23,7 +23,7 @@ def test_auc_ties_and_groups(spark):
     labels = rng.integers(0, 2, 400).tolist()
     scores = np.round(rng.random(400), 1).tolist()  # many ties
     df = spark.createDataFrame(list(zip(labels, scores)), "label int, prob double")
-    got = mdl.auc(df, "label", "prob", n_bins=8).first()
+    got = mdl.auc(df, "label", "prob", n_buckets=8).first()
     assert abs(got["auc"] - _auc_brute(labels, scores)) < 1e-12
     grp = spark.createDataFrame([("g1", l, s) for l, s in zip(labels, scores)]
                                 + [("g2", l, 0.5) for l in labels], "g string, label int, prob double")
@@ -94,17 +94,34 @@ def test_logreg_matches_newton(spark):
     assert np.allclose(coef, w[:2], atol=1e-4) and abs(b - w[2]) < 1e-4
 
 
-def test_score_native_vs_map_in_pandas_and_nan(spark):
+def test_score_by_hand_and_nan(spark):
     df = _dataset(spark, 200).withColumnRenamed("pair", "symbol")
     df = df.union(spark.createDataFrame([(dt.datetime(2025, 1, 1), "X", None, 0.0, 0.0, 0.0, 0)], df.schema))
-    native = sc.score(df, sc.FIXED_MODEL).toPandas().sort_values(["ts", "symbol"]).reset_index(drop=True)
-    arrow = (df.mapInPandas(sc.score_batches_fn(sc.FIXED_MODEL), "ts timestamp, symbol string, prob float, signal int")
-             .toPandas().sort_values(["ts", "symbol"]).reset_index(drop=True))
-    both = native["prob"].notna()
-    assert np.allclose(native.loc[both, "prob"], arrow.loc[both, "prob"], atol=1e-6)
-    assert (native["signal"] == arrow["signal"]).all()
-    nan_row = native[native["symbol"] == "X"].iloc[0]
-    assert pd.isna(nan_row["prob"]) and nan_row["signal"] == 0
+    m = sc.FIXED_MODEL
+    got = {(r["ts"], r["symbol"]): r for r in sc.score(df, m).collect()}
+    for r in df.collect():
+        g = got[(r["ts"], r["symbol"])]
+        if r["beta"] is None:
+            assert g["prob"] is None and g["signal"] == 0
+            continue
+        z = m["intercept"] + sum(w * (r[f] - mu) / s for f, w, mu, s in zip(m["features"], m["coef"], m["mean"], m["scale"]))
+        p = 1 / (1 + np.exp(-z))
+        assert abs(g["prob"] - p) < 1e-6
+        assert g["signal"] == (1 if p >= 0.55 else -1 if p <= 0.45 else 0)
+
+
+def test_auc_buckets_with_an_outlier(spark):
+    """One far score must not squeeze the others into one bucket."""
+    from pyspark.sql import functions as F
+    df = spark.range(20000).select((F.col("id") % 2).cast("int").alias("label"),
+                                   F.when(F.col("id") == 0, F.lit(1e12)).otherwise(F.rand(3)).alias("prob"))
+    pdf = df.toPandas()
+    ranks = pdf["prob"].rank()
+    pos = pdf["label"] == 1
+    want = (ranks[pos].sum() - pos.sum() * (pos.sum() + 1) / 2) / (pos.sum() * (~pos).sum())
+    assert abs(mdl.auc(df).first()["auc"] - want) < 1e-12
+    sizes = df.repartitionByRange(16, "prob").groupBy(F.spark_partition_id()).count().toPandas()["count"]
+    assert sizes.max() < 2 * sizes.mean()
 
 
 def test_align_and_best_candidate(spark):
