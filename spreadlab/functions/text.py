@@ -53,3 +53,11 @@ def require_columns(df: DataFrame, cols, what: str = "input") -> DataFrame:
 
 def first_present(df: DataFrame, names) -> str | None:
     return next((c for c in names if c in df.columns), None)
+
+
+def by_alias(df: DataFrame, what: str, aliases) -> Column:
+    """The first of ``aliases`` that the frame has, as a column; an error names them all."""
+    found = first_present(df, aliases)
+    if found is None:
+        raise ValueError(f"no {what} column: one of {', '.join(aliases)} is needed, found {df.columns}")
+    return F.col(found)
