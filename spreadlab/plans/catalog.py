@@ -8,13 +8,15 @@ to TIMESTAMP_NTZ so both engines agree on wall-clock UTC values.
 
 from __future__ import annotations
 
+import atexit
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.timefn import ntz_columns
-from ..sources import surrogate, tables
+from ..session import scratch_path
+from ..sources import sinks, surrogate, tables
 from ..operators import report
 from . import oracle_sql as O
 
@@ -45,36 +47,53 @@ def r6(c):
 # ---------------------------------------------------------------------------
 # shared inputs
 # ---------------------------------------------------------------------------
-_STAGED: dict[tuple, str] = {}
+_STAGED: dict[tuple, tuple] = {}
 
 
-def staged(spark: SparkSession, key: tuple, build: Callable[[], DataFrame]) -> DataFrame:
+def staged(spark: SparkSession, key: tuple, build: Callable[[], DataFrame], partition: str | None = None) -> DataFrame:
     """Write a derived table once per session to the shared checkpoint folder and
     read it back (the bronze/silver tables of the reference).  Later queries
     read the table instead of re-deriving it, and the lineage is cut, so a lost
-    executor never forces a recompute from the raw events."""
-    from ..session import scratch_path
+    executor never forces a recompute from the raw events.  Time tables are
+    partitioned by ``date``: a trailing window opens only its own days.  The
+    tables are removed when the process ends."""
     k = (spark.sparkContext.applicationId, *key)
-    path = _STAGED.get(k)
+    path, schema = _STAGED.get(k, (None, None))
     if path is not None and not _complete(spark, path):   # folder cleaned meanwhile: rebuild
         path = None
     if path is None:
         path = scratch_path(spark, "-".join(str(x).strip("/").replace("/", "_") for x in key))
-        build().write.mode("overwrite").parquet(path)
-        _STAGED[k] = path
-    return spark.read.parquet(path)
+        df = build()
+        if partition:
+            sinks.write_partitions(df, path, partition)
+        else:
+            df.write.mode("overwrite").parquet(path)
+        if not _STAGED:
+            atexit.register(_drop_staged)
+        schema = df.schema
+        _STAGED[k] = path, schema
+    return spark.read.schema(schema).parquet(path)         # an empty table has a schema too
 
 
 def _complete(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    return sinks.exists(spark, f"{path}/_SUCCESS")
+
+
+def _drop_staged() -> None:
+    """Remove the staged tables of a session that is still alive at exit."""
+    spark = SparkSession.getActiveSession()
+    if spark is None or spark.sparkContext._jsc is None:
+        return
+    for k, (path, _) in _STAGED.items():
+        if k[0] == spark.sparkContext.applicationId:
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def bars(spark, sf_dir, width_s, with_close_id=False) -> DataFrame:
     """Staged surrogate bars (always with the closing tick id, pruned when unused)."""
     df = staged(spark, ("bars", sf_dir, width_s),
-                lambda: surrogate.surrogate_bars(tables.events(spark, sf_dir), width_s, True))
+                lambda: surrogate.surrogate_bars(tables.events(spark, sf_dir), width_s, True), "date")
     return df if with_close_id else df.drop("close_event_id")
 
 
@@ -162,11 +181,9 @@ def q_single_pnl_daily(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # screening (hourly bars, 60-day window)
 # ---------------------------------------------------------------------------
-from ..functions.mathfn import SCREEN_MIN_ABS_CORR, eg_tau_threshold  # noqa: E402
+from ..functions.mathfn import SCREEN_MIN_ABS_CORR  # noqa: E402
 from ..operators import screen  # noqa: E402
 
-TAU_STAR = eg_tau_threshold(0.05)
-
 
 def _win_sql(days: int) -> str:
     return f"""win AS (SELECT symbol, ts, close, date FROM bars1h
@@ -216,8 +233,8 @@ stats AS (SELECT *, {O.eg_pvalue_sql('tau')} AS pvalue FROM st1)"""
 O.DEPS["stats"] = ["pr"]
 O.CTE["screened"] = f"""screened AS (
   SELECT sym_a, sym_b, corr, pvalue FROM stats
-  WHERE std_a <> 0 AND std_b <> 0 AND abs(corr) >= {SCREEN_MIN_ABS_CORR!r}::DOUBLE
-    AND tau IS NOT NULL AND tau < {TAU_STAR!r}::DOUBLE)"""
+  WHERE std_a <> 0 AND std_b <> 0 AND abs(corr) >= 0.7::DOUBLE
+    AND tau IS NOT NULL AND tau < {O.TAU_AT_5_PERCENT}::DOUBLE)"""
 O.DEPS["screened"] = ["stats"]
 
 
@@ -226,7 +243,14 @@ def _window_bars(spark, sf_dir, days=60):
 
 
 def _stats(spark, sf_dir):
-    return screen.screen_stats(bars(spark, sf_dir, 3600), AS_OF, 60)
+    """Pair statistics of the window (no lags in the test), staged once per session."""
+    return staged(spark, ("pair_stats", sf_dir), lambda: screen.screen_stats(bars(spark, sf_dir, 3600), AS_OF, 60))
+
+
+def _aic_stats(spark, sf_dir):
+    """Statistics of the correlated pairs with the lag search, staged once per session."""
+    return staged(spark, ("pair_stats_aic", sf_dir), lambda: screen.screen_stats(
+        bars(spark, sf_dir, 3600), AS_OF, 60, "aic", SCREEN_MIN_ABS_CORR))
 
 
 @query("recent_60d", O.with_ctes(["win"], "SELECT symbol, ts, close, date FROM win"))
@@ -246,7 +270,8 @@ def q_recent_10d(spark, sf_dir):
 
 
 @query("pivot_close", O.with_ctes(["win"],
-       "SELECT * FROM (PIVOT (SELECT ts, symbol, close FROM win) ON symbol USING max(close) GROUP BY ts)"))
+       "SELECT ts, " + ", ".join(f"max(close) FILTER (WHERE symbol = '{x}') AS {x}"
+                                 for x in ("click", "error", "purchase", "signup", "view")) + " FROM win GROUP BY ts"))
 def q_pivot_close(spark, sf_dir):
     """A1: wide close matrix (ts x symbol) of the screening window."""
     return screen.pivot_close(_window_bars(spark, sf_dir))
@@ -255,9 +280,7 @@ def q_pivot_close(spark, sf_dir):
 @query("ffill_grid", O.with_ctes(["filled"], "SELECT ts, symbol, close, close_prev FROM filled"))
 def q_ffill_grid(spark, sf_dir):
     """J8 + W7: dense grid, forward-filled, leading-gap symbols dropped."""
-    w = _window_bars(spark, sf_dir)
-    syms = screen.symbol_list(w)
-    return screen.ffill_grid(screen.dense_grid(w, syms))
+    return screen.ffill_grid(_window_bars(spark, sf_dir))
 
 
 @query("corr_pairs", O.with_ctes(["stats"], """
@@ -303,11 +326,47 @@ def q_screened_symbols(spark, sf_dir):
 
 @query("eg_tau_aic")
 def q_eg_tau_aic(spark, sf_dir):
-    """M2 with AIC lag selection (grouped map per pair; rows-only check)."""
-    return screen.eg_tau_aic(bars(spark, sf_dir, 3600), AS_OF, 60).select(
+    """M2 with the lag search on the correlated pairs (rows-only check; eg_tau and
+    eg_tau_lag2 hold the fits themselves against SQL)."""
+    return _aic_stats(spark, sf_dir).select(
         "sym_a", "sym_b", "lags", r6("tau").alias("tau"), r6("pvalue").alias("pvalue"), "nobs")
 
 
+@query("screened_pairs_aic")
+def q_screened_pairs_aic(spark, sf_dir):
+    """M1 as the library runs it by default: lags by AIC (rows-only check)."""
+    p = screen.screen_gate(_aic_stats(spark, sf_dir))
+    return p.select("sym_a", "sym_b", r6("corr").alias("corr"), r6("pvalue").alias("pvalue"))
+
+
+O.CTE["lag2"] = """l2 AS (
+  SELECT sym_a, sym_b, lag(e) OVER w AS x0, lag(e) OVER w - lag(e, 2) OVER w AS x1,
+         lag(e, 2) OVER w - lag(e, 3) OVER w AS x2, e - lag(e) OVER w AS y
+  FROM resid WINDOW w AS (PARTITION BY sym_a, sym_b ORDER BY ts)),
+g2 AS (
+  SELECT sym_a, sym_b, count(*) AS n, sum(x0*x0) AS a, sum(x0*x1) AS b, sum(x0*x2) AS c, sum(x1*x1) AS d, sum(x1*x2) AS f,
+         sum(x2*x2) AS g, sum(x0*y) AS p, sum(x1*y) AS q, sum(x2*y) AS r, sum(y*y) AS yy
+  FROM l2 WHERE x2 IS NOT NULL GROUP BY sym_a, sym_b),
+inv2 AS (
+  SELECT *, a*(d*g - f*f) - b*(b*g - f*c) + c*(b*f - d*c) AS det, d*g - f*f AS i00, c*f - b*g AS i01, b*f - c*d AS i02,
+         a*g - c*c AS i11, b*c - a*f AS i12, a*d - b*b AS i22
+  FROM g2),
+fit2 AS (
+  SELECT *, (i00*p + i01*q + i02*r) / det AS rho, (i01*p + i11*q + i12*r) / det AS h1, (i02*p + i12*q + i22*r) / det AS h2
+  FROM inv2),
+lag2 AS (
+  SELECT sym_a, sym_b, n, rho / sqrt((yy - rho*p - h1*q - h2*r) / (n - 3) * i00 / det) AS tau FROM fit2)"""
+O.DEPS["lag2"] = ["stats"]
+
+
+@query("eg_tau_lag2", O.with_ctes(["lag2"], f"""
+SELECT sym_a, sym_b, CAST(n AS BIGINT) AS nobs, round(tau, 6) AS tau, round({O.eg_pvalue_sql('tau')}, 6) AS pvalue FROM lag2"""))
+def q_eg_tau_lag2(spark, sf_dir):
+    """M2 with two lagged differences: the least-squares path of the lag search."""
+    s = screen.screen_stats(bars(spark, sf_dir, 3600), AS_OF, 60, lags=2)
+    return s.select("sym_a", "sym_b", "nobs", r6("tau").alias("tau"), r6("pvalue").alias("pvalue"))
+
+
 # ---------------------------------------------------------------------------
 # 5-minute features, pair features, dataset
 # ---------------------------------------------------------------------------
@@ -324,9 +383,8 @@ def _screened(spark, sf_dir):
 
 
 def _restricted_5m(spark, sf_dir):
-    """5-minute bars of the screened symbols (left-semi on the leg set)."""
-    legs = screen.pair_symbols(_screened(spark, sf_dir))
-    return bars(spark, sf_dir, 300).join(legs, "symbol", "left_semi")
+    """5-minute bars of the screened symbols."""
+    return ingest.restrict_to_screened(bars(spark, sf_dir, 300), _screened(spark, sf_dir))
 
 
 O.CTE["legs"] = """legs AS (SELECT sym_a AS symbol FROM screened UNION SELECT sym_b FROM screened)"""
@@ -342,6 +400,14 @@ def q_restrict_screened(spark, sf_dir):
     return _restricted_5m(spark, sf_dir).select(*BAR_COLS)
 
 
+@query("restrict_screened_empty", O.with_ctes(["bars5m"],
+       "SELECT symbol, ts, open, high, low, close, volume, date FROM bars5m"))
+def q_restrict_screened_empty(spark, sf_dir):
+    """J6 with an empty pair table: every bar passes."""
+    none = _screened(spark, sf_dir).filter(F.lit(False))
+    return ingest.restrict_to_screened(bars(spark, sf_dir, 300), none).select(*BAR_COLS)
+
+
 O.CTE["feat"] = """f0 AS (
   SELECT ts, symbol, close, date,
          CASE WHEN close > 0 THEN ln(close) END
@@ -387,17 +453,20 @@ def q_latest_n(spark, sf_dir):
 def _pf_sql(name: str, mode: str) -> str:
     if mode == "static":
         fit = "regr_slope(la, lb) OVER (PARTITION BY pair) AS beta, regr_intercept(la, lb) OVER (PARTITION BY pair) AS alpha"
+        few = ""
     else:
         fit = ("regr_slope(la, lb) OVER (PARTITION BY pair ORDER BY ts ROWS BETWEEN 47 PRECEDING AND CURRENT ROW) AS beta, "
-               "regr_intercept(la, lb) OVER (PARTITION BY pair ORDER BY ts ROWS BETWEEN 47 PRECEDING AND CURRENT ROW) AS alpha")
+               "regr_intercept(la, lb) OVER (PARTITION BY pair ORDER BY ts ROWS BETWEEN 47 PRECEDING AND CURRENT ROW) AS alpha, "
+               "regr_count(la, lb) OVER (PARTITION BY pair ORDER BY ts ROWS BETWEEN 47 PRECEDING AND CURRENT ROW) AS obs")
+        few = " OR obs < 12"
     return f"""{name}_legs AS (
   SELECT a.ts, a.symbol AS symbol_a, b.symbol AS symbol_b, a.symbol || '||' || b.symbol AS pair,
          a.close AS a_close, ln(a.close) AS la, ln(b.close) AS lb
   FROM bars5m a JOIN screened s ON a.symbol = s.sym_a
   JOIN bars5m b ON b.symbol = s.sym_b AND b.ts = a.ts),
 {name}_fit AS (SELECT *, {fit} FROM {name}_legs),
-{name}_fit2 AS (SELECT * REPLACE (CASE WHEN isnan(beta) OR isnan(alpha) THEN NULL ELSE beta END AS beta,
-                                   CASE WHEN isnan(beta) OR isnan(alpha) THEN NULL ELSE alpha END AS alpha)
+{name}_fit2 AS (SELECT * REPLACE (CASE WHEN isnan(beta) OR isnan(alpha){few} THEN NULL ELSE beta END AS beta,
+                                   CASE WHEN isnan(beta) OR isnan(alpha){few} THEN NULL ELSE alpha END AS alpha)
                FROM {name}_fit),
 {name}_sp AS (SELECT *, la - alpha - beta * lb AS spread FROM {name}_fit2),
 {name} AS (
@@ -455,7 +524,9 @@ def _dataset(spark, sf_dir, tail="drop", stage=True):
     """The training table (gold dataset), staged once per session for the
     training/scoring stages that read it."""
     build = lambda: ds.dataset_from_bars(bars(spark, sf_dir, 300), _screened(spark, sf_dir), tail=tail)
-    return staged(spark, ("dataset", sf_dir, tail), build) if stage else build()
+    if not stage:
+        return build()
+    return staged(spark, ("dataset", sf_dir, tail), lambda: build().withColumn("date", F.to_date("ts")), "date")
 
 
 for _tail in ("zero", "drop"):
@@ -476,15 +547,15 @@ for _tail in ("zero", "drop"):
 # report, pair mode (flagship)
 # ---------------------------------------------------------------------------
 def _pair_signals(spark, sf_dir):
-    """Model-free pair signals (the gold signals table, staged once per session):
-    leg A's signal per 5-minute bar with the full-sample log-price beta of every
-    symbol pair (a < b)."""
+    """Model-free signals of the screened pairs (the gold signals table, staged once
+    per session): leg A's signal per 5-minute bar, with the pair's full-sample
+    log-price beta."""
     def build():
-        sig = signals_single(spark, sf_dir)
-        betas = feat.pair_betas(bars(spark, sf_dir, 300))
-        return sig.join(betas, sig["symbol"] == betas["symbol_a"]).select(
-            "ts", "symbol_a", "symbol_b", "beta", "signal")
-    return staged(spark, ("pair_signals", sf_dir), build)
+        betas = feat.pair_betas(bars(spark, sf_dir, 300), _screened(spark, sf_dir))
+        sig = signals_single(spark, sf_dir).withColumnRenamed("symbol", "symbol_a")
+        return (sig.join(betas, "symbol_a").select("ts", "symbol_a", "symbol_b", "beta", "signal")
+                .withColumn("date", F.to_date("ts")))
+    return staged(spark, ("pair_signals", sf_dir), build, "date").drop("date")
 
 
 def _pair_rows(spark, sf_dir, **kw):
@@ -495,9 +566,10 @@ def _pair_rows(spark, sf_dir, **kw):
 
 O.CTE["psig"] = """pb AS (
   SELECT a.symbol AS symbol_a, b.symbol AS symbol_b, regr_slope(ln(a.close), ln(b.close)) AS beta
-  FROM bars5m a JOIN bars5m b ON a.ts = b.ts AND a.symbol < b.symbol GROUP BY a.symbol, b.symbol),
+  FROM screened s JOIN bars5m a ON a.symbol = s.sym_a JOIN bars5m b ON b.symbol = s.sym_b AND a.ts = b.ts
+  GROUP BY a.symbol, b.symbol),
 psig AS (SELECT s.ts, p.symbol_a, p.symbol_b, p.beta, s.signal FROM sig1 s JOIN pb p ON p.symbol_a = s.symbol)"""
-O.DEPS["psig"] = ["sig1", "bars5m"]
+O.DEPS["psig"] = ["sig1", "bars5m", "screened"]
 O.CTE["pair_rows"] = """psig5 AS (
   SELECT make_timestamp((epoch_us(ts) // 300000000) * 300000000) AS ts5, symbol_a, symbol_b, beta, signal
   FROM psig, (SELECT greatest((SELECT min(ts) FROM psig), (SELECT min(ts) FROM px)) AS o_start,
@@ -640,11 +712,14 @@ def q_leg_union(spark, sf_dir):
     return s.select(F.col("symbol_a").alias("symbol")).union(s.select(F.col("symbol_b").alias("symbol"))).distinct()
 
 
-@query("random_n")
+@query("random_n", O.with_ctes(["px5"], """
+SELECT symbol, ts5, round(close, 6) AS close FROM px5
+ORDER BY md5(symbol || '|' || CAST(CAST(epoch(ts5) AS BIGINT) AS VARCHAR) || '|7') LIMIT 50"""))
 def q_random_n(spark, sf_dir):
-    """50 random rows of the prices_5m view (sampling operator; rows-only check)."""
+    """50 random rows of the prices_5m view (the sampling operator)."""
     p = report.prices_5m(report.normalize_prices(bars(spark, sf_dir, 300)))
-    return report.random_rows(p, 50, seed=7)
+    drawn = report.random_rows(p, [F.col("symbol"), F.unix_seconds("ts5")], 50, seed=7)
+    return drawn.select("symbol", "ts5", r6("close").alias("close"))
 
 
 # ---------------------------------------------------------------------------
@@ -685,10 +760,9 @@ def q_scaler_stats(spark, sf_dir):
 
 
 def _fixed_lin_sql() -> str:
-    m = sc.FIXED_MODEL
-    terms = " + ".join(f"{w!r}::DOUBLE * (({f} - {mu!r}::DOUBLE) / {s!r}::DOUBLE)"
-                       for f, w, mu, s in zip(m["features"], m["coef"], m["mean"], m["scale"]))
-    return f"({m['intercept']!r}::DOUBLE + {terms})"
+    """The fixed model's linear score, its published constants stated as values."""
+    return ("(0.05::DOUBLE + 0.8::DOUBLE * ((beta - 1.0::DOUBLE) / 0.3::DOUBLE) + -0.3::DOUBLE * ((alpha - 0.0::DOUBLE) / 0.5::DOUBLE)"
+            " + -25.0::DOUBLE * ((spread - 0.0::DOUBLE) / 0.01::DOUBLE) + -0.6::DOUBLE * ((zscore - 0.0::DOUBLE) / 1.0::DOUBLE))")
 
 
 O.CTE["scored"] = f"""scored AS (
@@ -801,7 +875,6 @@ def q_fit_logreg(spark, sf_dir):
 from ..functions.text import canonical_timeframe  # noqa: E402
 from ..functions.timefn import epoch_to_timestamp  # noqa: E402
 from ..sources import bars as ingest  # noqa: E402
-from ..sources import sinks  # noqa: E402
 
 
 def _epoch_sql(v: str) -> str:
@@ -930,9 +1003,13 @@ def _upsert_inputs(spark, sf_dir):
 @query("upsert_bars", O.with_ctes(["ups"], """
 SELECT symbol, ts, round(open, 6) AS open, round(close, 6) AS close, date FROM ups"""))
 def q_upsert_bars(spark, sf_dir):
-    """Key upsert of a corrected, overlapping batch into the bar table."""
+    """Key upsert of a corrected, overlapping batch into the bar table
+    partitioned by date; only the batch's dates are read and written."""
     target, source = _upsert_inputs(spark, sf_dir)
-    u = sinks.upsert(target, source, ["symbol", "ts"])
+    table = scratch_path(spark, "upsert_bars")
+    sinks.write_partitions(target, table)
+    sinks.merge_partitions(spark, table, source.withColumn("seq", F.lit(2)), ["symbol", "ts"], "seq", "batch-2")
+    u = spark.read.parquet(table)
     return u.select("symbol", "ts", r6("open").alias("open"), r6("close").alias("close"), "date")
 
 
@@ -1016,7 +1093,6 @@ def q_ordered_dedupe(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # JSON documents and streaming ingest
 # ---------------------------------------------------------------------------
-from ..session import scratch_path  # noqa: E402
 from ..sources import screened as scr  # noqa: E402
 from ..streaming import ingest as stream  # noqa: E402
 
@@ -1043,9 +1119,49 @@ def q_read_pair_list(spark, sf_dir):
     return scr.read_pair_list(spark, path, bars(spark, sf_dir, 300))
 
 
+@query("read_screened_deep", O.with_ctes(["legs"], "SELECT symbol FROM legs"))
+def q_read_screened_deep(spark, sf_dir):
+    """The symbols six ``data`` levels down a document."""
+    path = scratch_path(spark, "screened_deep_json")
+    legs = _screened(spark, sf_dir).select(F.explode(F.array("sym_a", "sym_b")).alias("s")).distinct()
+    doc = F.struct(F.sort_array(F.collect_list("s")).alias("top_symbols"))
+    for _ in range(6):
+        doc = F.struct(doc.alias("data"))
+    legs.agg(doc.alias("data")).coalesce(1).write.json(path)
+    return scr.read_screened(spark, path).select("symbol")
+
+
+O.CTE["wide_universe"] = """wide_universe AS (
+  SELECT event_type || '_' || CAST(user_id % 40 AS VARCHAR) AS symbol FROM events GROUP BY 1)"""
+
+
+def _wide_universe(spark, sf_dir):
+    """A universe of more than a hundred symbols: event type x user bucket."""
+    e = tables.read_table(spark, sf_dir, "events", ["event_type", "user_id"])
+    return e.select(F.concat_ws("_", "event_type", (F.col("user_id") % 40).cast("string")).alias("symbol"))
+
+
+@query("pair_list_universe", O.with_ctes(["wide_universe"], "SELECT symbol FROM wide_universe"))
+def q_pair_list_universe(spark, sf_dir):
+    """S13 without a pair file: the whole universe, however many symbols."""
+    return scr.read_pair_list(spark, scratch_path(spark, "no_pair_list"), _wide_universe(spark, sf_dir))
+
+
+@query("symbol_limit", O.with_ctes(["wide_universe"], "SELECT symbol FROM wide_universe ORDER BY symbol LIMIT 50"))
+def q_symbol_limit(spark, sf_dir):
+    """A limit on the fallback universe that the caller asks for."""
+    return scr.read_pair_list(spark, scratch_path(spark, "no_pair_list"), _wide_universe(spark, sf_dir), 50)
+
+
+@query("load_screened_missing", O.with_ctes(["bars5m"], "SELECT DISTINCT symbol FROM bars5m"))
+def q_load_screened_missing(spark, sf_dir):
+    """S12 without a symbol file: the fallback universe."""
+    return scr.load_screened(spark, scratch_path(spark, "no_symbols"), bars(spark, sf_dir, 300)).select("symbol")
+
+
 O.CTE["land"] = """land AS (
   SELECT 1 AS seq, symbol, ts, close, date FROM bars1h WHERE date < DATE '2024-01-12'
-  UNION ALL SELECT 2, symbol, ts, close * 1.001::DOUBLE, date FROM bars1h
+  UNION ALL SELECT 2, symbol, ts, close * 0.999::DOUBLE, date FROM bars1h
             WHERE date >= DATE '2024-01-10' AND date <= DATE '2024-01-22'
   UNION ALL SELECT 3, symbol, ts, close * 1.002::DOUBLE, date FROM bars1h WHERE date >= DATE '2024-01-20')"""
 O.DEPS["land"] = ["bars1h"]
@@ -1055,19 +1171,20 @@ O.DEPS["land"] = ["bars1h"]
 SELECT upper(symbol) || 'USDT' AS symbol, ts, round(close, 6) AS close, date FROM (
   SELECT *, row_number() OVER (PARTITION BY symbol, ts ORDER BY seq DESC) AS rn FROM land) WHERE rn = 1"""))
 def q_stream_ingest(spark, sf_dir):
-    """Three overlapping landing batches (the later ones correct earlier
-    bars) drained by a file stream with availableNow; foreachBatch upserts
-    each micro-batch into a versioned bar table."""
+    """Three overlapping landing batches (the later ones correct earlier bars,
+    the second downwards and with times in seconds) drained by a file stream
+    with availableNow; foreachBatch upserts each micro-batch into the bar table."""
     base = scratch_path(spark, "stream_ingest")
     landing, table, ckpt = stream.stream_ingest_dirs(base)
     b = bars(spark, sf_dir, 3600)
     d = F.col("date")
     batches = [(1, d < F.lit("2024-01-12").cast("date"), 1.0),
-               (2, (d >= F.lit("2024-01-10").cast("date")) & (d <= F.lit("2024-01-22").cast("date")), 1.001),
+               (2, (d >= F.lit("2024-01-10").cast("date")) & (d <= F.lit("2024-01-22").cast("date")), 0.999),
                (3, d >= F.lit("2024-01-20").cast("date"), 1.002)]
     for seq, cond, factor in batches:
         rows = b.filter(cond).select(
-            F.concat(F.upper("symbol"), F.lit("/USDT")).alias("SYMBOL"), F.unix_millis("ts").alias("TIMESTAMP"),
+            F.concat(F.upper("symbol"), F.lit("/USDT")).alias("SYMBOL"),
+            (F.unix_seconds("ts") if seq == 2 else F.unix_millis("ts")).alias("TIMESTAMP"),
             F.col("open").alias("Open"), F.col("high").alias("High"), F.col("low").alias("Low"),
             (F.col("close") * F.lit(factor)).alias("Close"), F.col("volume").alias("Volume"),
             F.lit(seq).cast("long").alias("seq"))
@@ -1086,7 +1203,8 @@ def q_price_source_pick(spark, sf_dir):
     features view is absent, the bronze bars view exists), normalised."""
     bars(spark, sf_dir, 300).createOrReplaceTempView("spreadlab_bronze_ohlcv_5m")
     df, _ = tables.first_table(spark, ["spreadlab_silver_features_5m", "spreadlab_bronze_ohlcv_5m"])
-    p = report.normalize_prices(df)
+    p = report.normalize_prices(df)                             # the plan is resolved: the name may go
+    spark.catalog.dropTempView("spreadlab_bronze_ohlcv_5m")
     return p.select("ts", "symbol", r6("close").alias("close"))
 
 
@@ -1124,3 +1242,128 @@ def q_scored_pair_pnl_daily(spark, sf_dir):
     px = report.normalize_prices(bars(spark, sf_dir, 300))
     rows = report.pair_pnl(report.detect_pairs(sig), px)
     return _aggs_out(report.pnl_daily(rows), "date")
+
+
+# ---------------------------------------------------------------------------
+# input forms, sinks and orders
+# ---------------------------------------------------------------------------
+@query("candles_to_bars", O.with_ctes(["bars1h"], """
+SELECT epoch_ms(ts) AS ts, round(open, 6) AS open, round(high, 6) AS high, round(low, 6) AS low, round(close, 6) AS close,
+       round(CASE WHEN date_part('hour', ts) <> 3 THEN volume END, 6) AS volume, symbol, '1h' AS timeframe
+FROM bars1h WHERE date_part('hour', ts) <> 5"""))
+def q_candles_to_bars(spark, sf_dir):
+    """Raw candle arrays to typed rows; a null price drops the row, a null volume stays."""
+    b = bars(spark, sf_dir, 3600)
+    candle = F.array(F.unix_millis("ts").cast("double"), F.when(F.hour("ts") != 5, F.col("open")), "high", "low", "close",
+                     F.when(F.hour("ts") != 3, F.col("volume")))
+    out = ingest.candles_to_bars(b.select(candle.alias("candle"), "symbol", F.lit("60m").alias("timeframe")))
+    return out.select("ts", *[r6(c).alias(c) for c in ingest.OHLCV], "symbol", "timeframe")
+
+
+@query("signal_from_proba", O.with_ctes(["sig1"], "SELECT ts, symbol, signal FROM sig1"))
+def q_signal_from_proba(spark, sf_dir):
+    """Signals derived from probabilities (strict thresholds), with aliased columns."""
+    s = signals_single(spark, sf_dir).select(F.col("ts").alias("timestamp"), F.col("symbol").alias("pair"), "proba")
+    return report.single_signals(s)
+
+
+@query("pair_aliases", O.with_ctes(["pair_rows"], _agg_sql("pair_rows", "date", "CAST(ts5 AS DATE)")))
+def q_pair_aliases(spark, sf_dir):
+    """P5: pair signals under other accepted names give the same report."""
+    s = _pair_signals(spark, sf_dir).toDF("timestamp", "leg_a", "leg_b", "hedge_ratio", "pred")
+    rows = report.pair_pnl(report.detect_pairs(s), report.normalize_prices(bars(spark, sf_dir, 300)))
+    return _aggs_out(report.pnl_daily(rows), "date")
+
+
+@query("pair_label_signals", O.with_ctes(["psig"], """
+SELECT ts, symbol_a, symbol_b, CAST(NULL AS DOUBLE) AS beta, signal FROM psig"""))
+def q_pair_label_signals(spark, sf_dir):
+    """A pair label without a hedge ratio has a null beta."""
+    s = _pair_signals(spark, sf_dir).select("ts", F.concat_ws(", ", "symbol_a", "symbol_b").alias("pair_id"),
+                                            F.col("signal").alias("action"))
+    return report.detect_pairs(s)
+
+
+@query("run_report", O.with_ctes(["pair_rows"], """
+SELECT 'pair' AS mode, pair, count(*) AS rows, round(sum(pnl), 6) AS sum_pnl, round(avg(pnl), 6) AS avg_pnl
+FROM pair_rows GROUP BY pair"""))
+def q_run_report(spark, sf_dir):
+    """The report driver over labelled pair signals and aliased prices."""
+    s = _pair_signals(spark, sf_dir).select("ts", F.concat_ws("||", "symbol_a", "symbol_b").alias("pair"), "beta", "signal")
+    px = bars(spark, sf_dir, 300).select(F.col("ts").alias("datetime"), F.col("symbol").alias("ticker"), "close")
+    out = report.run_report(s, px)
+    return _aggs_out(out["by_key"], "pair").select(F.lit(out["mode"]).alias("mode"), "*")
+
+
+@query("report_views", ORACLE["pair_pnl_rows"])
+def q_report_views(spark, sf_dir):
+    """K8: the published views, read by name and dropped again."""
+    report.publish_views(_pair_rows(spark, sf_dir), bars(spark, sf_dir, 300))
+    r = spark.table("pair_pnl_5m")
+    out = r.select("ts5", "symbol_a", "symbol_b", r6("beta").alias("beta"), "signal",
+                   r6("ret_pair").alias("ret_pair"), r6("pnl").alias("pnl"))
+    for view in ("pair_pnl_5m", "prices_5m"):
+        spark.catalog.dropTempView(view)
+    return out
+
+
+@query("row_audit", O.with_ctes(["bars5m"], "SELECT 'bars_5m' AS name, count(*) AS rows FROM bars5m"))
+def q_row_audit(spark, sf_dir):
+    """Rows counted while the table is written, without a second pass."""
+    seen, audit = sinks.count_rows(bars(spark, sf_dir, 300), "bars_5m")
+    sinks.write_table(seen, scratch_path(spark, "audited"))
+    return spark.createDataFrame([("bars_5m", audit.get["rows"])], "name string, rows long")
+
+
+@query("table_roundtrip", O.with_ctes(["bars1h"], """
+SELECT symbol, ts, round(close, 6) AS close, date FROM bars1h WHERE date >= DATE '2024-01-10' AND date < DATE '2024-01-20'"""))
+def q_table_roundtrip(spark, sf_dir):
+    """A table written by date and read back with its schema; the date filter prunes partitions."""
+    path = sinks.write_partitions(bars(spark, sf_dir, 3600), scratch_path(spark, "bars_by_date"))
+    b = ingest.read_bars(spark, path, ingest.BAR_SCHEMA)
+    b = b.filter((F.col("date") >= F.lit("2024-01-10").cast("date")) & (F.col("date") < F.lit("2024-01-20").cast("date")))
+    return b.select("symbol", "ts", r6("close").alias("close"), "date")
+
+
+@query("by_symbol_time", O.with_ctes(["bars1h"], "SELECT symbol, ts, round(close, 6) AS close FROM bars1h"))
+def q_by_symbol_time(spark, sf_dir):
+    """Bars ordered by symbol and time."""
+    return ingest.sort_bars(bars(spark, sf_dir, 3600)).select("symbol", "ts", r6("close").alias("close"))
+
+
+@query("only_symbols", O.with_ctes(["bars5m"], """
+SELECT symbol, ts, round(close, 6) AS close FROM bars5m WHERE symbol IN ('click', 'view')"""))
+def q_only_symbols(spark, sf_dir):
+    """bars of the listed symbols, an error if there were none."""
+    b = ingest.require_rows(ingest.only_symbols(bars(spark, sf_dir, 300), ["click", "view"]), "the symbol filter")
+    return b.select("symbol", "ts", r6("close").alias("close"))
+
+
+@query("string_ts", """
+SELECT event_id, CASE WHEN event_id % 10 <> 0 THEN date_trunc('second', ts) END AS ts FROM events""")
+def q_string_ts(spark, sf_dir):
+    """X11: text times are parsed, other text becomes null."""
+    e = tables.read_table(spark, sf_dir, "events", ["event_id", "ts"])
+    text = F.when(F.col("event_id") % 10 == 0, F.lit("soon")).otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    raw = e.select("event_id", text.alias("time_text"))
+    return raw.select("event_id", ingest.normalize_ts(raw, "time_text").alias("ts"))
+
+
+@query("numeric_text", O.with_ctes(["bars1h"], """
+SELECT symbol, ts, round(open, 6) AS open FROM bars1h WHERE date_part('hour', ts) <> 7"""))
+def q_numeric_text(spark, sf_dir):
+    """Prices that are no numbers become null and their rows go."""
+    b = bars(spark, sf_dir, 3600)
+    text = F.when(F.hour("ts") == 7, F.lit("n/a")).otherwise(F.col("open").cast("string"))
+    out = ingest.clean_bars(b.drop("date").withColumn("open", text))
+    return out.select("symbol", "ts", r6("open").alias("open"))
+
+
+@query("standardized", O.with_ctes(["split"], "SELECT ts, pair, " + ", ".join(
+    f"round(({c} - (SELECT avg({c}) FROM split WHERE is_train)) / (SELECT CASE WHEN stddev_pop({c}) = 0 THEN 1.0::DOUBLE "
+    f"ELSE stddev_pop({c}) END FROM split WHERE is_train), 6) AS {c}" for c in FEATS) + " FROM split"))
+def q_standardized(spark, sf_dir):
+    """M4: features standardised with the training rows' statistics."""
+    split = _split(spark, sf_dir)
+    stats = [tuple(r) for r in mdl.scaler_stats(split.filter("is_train"), FEATS).collect()]    # one row per feature
+    return mdl.standardize(split, FEATS, stats).select("ts", "pair", *[r6(c).alias(c) for c in FEATS])

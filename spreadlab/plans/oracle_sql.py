@@ -86,19 +86,30 @@ def _horner_sql(x: str, coefs) -> str:
     return acc
 
 
+# Fixed values, stated here again so that a wrong constant in the library shows:
+# normal CDF, Abramowitz and Stegun 26.2.17 (p, then b1..b5) and 1 / sqrt(2 pi);
+# MacKinnon (1994) response surface of the two-variable test with a constant:
+# tau limits, small- and large-p polynomials; tau where p = 0.05.
+CDF_P = 0.2316419
+CDF_B = (0.319381530, -0.356563782, 1.781477937, -1.821255978, 1.330274429)
+CDF_SCALE = 0.3989422804014327
+TAU_MIN, TAU_TURN, TAU_MAX = -18.86, -2.62, 0.92
+P_SMALL = (2.92, 1.5012, 0.039796)
+P_LARGE = (2.1945, 0.64695, -0.29198, -0.042377)
+TAU_AT_5_PERCENT = "-3.3357863315881104"
+
+
 def norm_cdf_sql(x: str) -> str:
-    from ..functions.mathfn import AS_B, AS_P, INV_SQRT_2PI
-    t = f"(1.0::DOUBLE / (1.0::DOUBLE + {AS_P!r}::DOUBLE * abs({x})))"
-    upper = f"({INV_SQRT_2PI!r}::DOUBLE * exp(-({x} * {x}) / 2.0::DOUBLE) * ({t} * {_horner_sql(t, AS_B)}))"
+    t = f"(1.0::DOUBLE / (1.0::DOUBLE + {CDF_P!r}::DOUBLE * abs({x})))"
+    upper = f"({CDF_SCALE!r}::DOUBLE * exp(-({x} * {x}) / 2.0::DOUBLE) * ({t} * {_horner_sql(t, CDF_B)}))"
     return f"(CASE WHEN {x} >= 0 THEN 1.0::DOUBLE - {upper} ELSE {upper} END)"
 
 
 def eg_pvalue_sql(tau: str) -> str:
-    from ..functions.mathfn import EG_LARGE, EG_SMALL, EG_TAU_MAX, EG_TAU_MIN, EG_TAU_STAR
-    small = norm_cdf_sql(_horner_sql(tau, EG_SMALL))
-    large = norm_cdf_sql(_horner_sql(tau, EG_LARGE))
-    return (f"(CASE WHEN {tau} IS NULL THEN NULL WHEN {tau} < {EG_TAU_MIN!r} THEN 0.0::DOUBLE "
-            f"WHEN {tau} > {EG_TAU_MAX!r} THEN 1.0::DOUBLE WHEN {tau} <= {EG_TAU_STAR!r} THEN {small} "
+    small = norm_cdf_sql(_horner_sql(tau, P_SMALL))
+    large = norm_cdf_sql(_horner_sql(tau, P_LARGE))
+    return (f"(CASE WHEN {tau} IS NULL THEN NULL WHEN {tau} < {TAU_MIN!r} THEN 0.0::DOUBLE "
+            f"WHEN {tau} > {TAU_MAX!r} THEN 1.0::DOUBLE WHEN {tau} <= {TAU_TURN!r} THEN {small} "
             f"ELSE {large} END)")
 
 
