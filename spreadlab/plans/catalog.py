@@ -853,6 +853,24 @@ def q_best_candidate(spark, sf_dir):
     return mdl.best_candidate(c)
 
 
+O.CTE["newton"] = "tz AS MATERIALIZED (SELECT CAST(label AS DOUBLE) AS y, " + ", ".join(
+    f"({c} - avg({c}) OVER ()) / (CASE WHEN stddev_pop({c}) OVER () = 0 THEN 1.0::DOUBLE ELSE stddev_pop({c}) OVER () END) AS z{i}"
+    for i, c in enumerate(FEATS, 1)) + f", 1.0::DOUBLE AS z{len(FEATS) + 1} FROM split WHERE is_train),\n" + O.logistic_newton_sql(
+        "tz", FEATS)
+O.DEPS["newton"] = ["split"]
+
+
+@query("logreg_coefficients", O.with_ctes(["newton"], " UNION ALL ".join(
+    f"SELECT '{c}' AS term, round(w{i}, 3) AS coef FROM newton" for i, c in enumerate([*FEATS, "intercept"], 1))))
+def q_logreg_coefficients(spark, sf_dir):
+    """M5: coefficients of the fit on standardised features (SQL: unrolled Newton steps)."""
+    train = _split(spark, sf_dir).filter("is_train")
+    coef, intercept, _ = mdl.fit_logreg(spark, train, FEATS)
+    terms = F.array(*[F.struct(F.lit(n).alias("term"), F.lit(c).alias("coef"))
+                      for n, c in zip([*FEATS, "intercept"], [*coef, intercept])])
+    return spark.range(1).select(F.inline(terms)).select("term", F.round("coef", 3).alias("coef"))
+
+
 @query("fit_logreg")
 def q_fit_logreg(spark, sf_dir):
     """M5/M6/K6: Spark ML logistic regression on the training split, AUC on the

@@ -138,3 +138,34 @@ def pair_rows_sql(sig: str, name: str) -> str:
          signal * CASE WHEN close_a + abs(beta) * close_b > 0 THEN dln_a - beta * dln_b ELSE 0.0::DOUBLE END AS pnl,
          symbol_a || '||' || symbol_b AS pair, ts5_next_a, ts5_next_b
   FROM {name}_d WHERE abs(dln_a) <= 0.5 AND abs(dln_b) <= 0.5)"""
+
+
+def logistic_newton_sql(rows: str, features: list[str], steps: int = 10) -> str:
+    """CTEs that fit  0.5 |w|^2 + sum of log losses  (intercept not penalised) by Newton
+    steps from zero; ``rows`` has y and z1..zk (standardised, the last one 1).
+    Every step sums gradient and Hessian over the rows and eliminates; the last
+    CTE is ``newton`` (w1..wk)."""
+    k = len(features) + 1
+    ids = range(1, k + 1)
+    out = ["nw0 AS (SELECT " + ", ".join(f"0.0::DOUBLE AS w{i}" for i in ids) + ")"]
+    for n in range(1, steps + 1):
+        score = " + ".join(f"w{i} * z{i}" for i in ids)
+        penalty = {i: (f" + any_value(w{i})" if i < k else "") for i in ids}
+        hess = [f"sum(p * (1 - p) * z{i} * z{j}){' + 1.0::DOUBLE' if i == j < k else ''} AS a{i}_{j}" for i in ids for j in ids]
+        grad = [f"sum((p - y) * z{i}){penalty[i]} AS a{i}_{k + 1}" for i in ids]
+        keep = [f"any_value(w{i}) AS w{i}" for i in ids]
+        out.append(f"ns{n}_0 AS MATERIALIZED (SELECT {', '.join(hess + grad + keep)} FROM "
+                   f"(SELECT *, 1.0::DOUBLE / (1.0::DOUBLE + exp(-({score}))) AS p FROM {rows}, nw{n - 1}))")
+        for c in range(1, k):                                 # eliminate column c below row c
+            cells = []
+            for i in ids:
+                for j in range(1, k + 2):
+                    cells.append(f"a{i}_{j} - a{i}_{c} / a{c}_{c} * a{c}_{j} AS a{i}_{j}" if i > c else f"a{i}_{j}")
+            out.append(f"ns{n}_{c} AS MATERIALIZED (SELECT {', '.join(cells)}, {', '.join(f'w{i}' for i in ids)} FROM ns{n}_{c - 1})")
+        last, source = [], f"ns{n}_{k - 1}"
+        for i in reversed(ids):                               # back substitution, one column a level
+            rest = "".join(f" - a{i}_{j} * d{j}" for j in range(i + 1, k + 1))
+            source = f"(SELECT *, (a{i}_{k + 1}{rest}) / a{i}_{i} AS d{i} FROM {source})"
+            last.append(f"w{i} - d{i} AS w{i}")
+        out.append(f"nw{n} AS MATERIALIZED (SELECT {', '.join(reversed(last))} FROM {source})")
+    return ",\n".join([*out, f"newton AS (SELECT * FROM nw{steps})"])
