@@ -54,8 +54,8 @@ def events_ticks(events: DataFrame, bucket_seconds: int | None = None) -> DataFr
          + F.col("value") * F.lit(NOISE_WEIGHT)).alias("price"))
     walk = e.filter(F.col("symbol").isin(*WALK_SYMBOLS))
     bucket = floor_time(F.col("ts"), bucket_seconds) if bucket_seconds else None
+    totals = walk.groupBy("symbol").agg(F.sum("cents").alias("tot_cents"))      # of the raw events
     walk = running_sum(walk, ["symbol"], ["ts", "event_id"], {"cum_cents": "cents"}, bucket)
-    totals = walk.groupBy("symbol").agg(F.sum("cents").alias("tot_cents"))
     walk = walk.join(totals, "symbol").select(
         "symbol", "ts", "event_id", "cents",
         (F.lit(BASE_PRICE) + F.lit(WALK_SCALE) * F.col("cum_cents").cast("double")
