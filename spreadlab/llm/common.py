@@ -5,17 +5,39 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, scratch_path
 from ..sources.tables import read_table
 
 
-def saved(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the folder the cluster names."""
+ROWS_PER_TASK = 20_000
+
+
+def saved(df: DataFrame, narrow: bool = False) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in the folder the cluster names.
+
+    ``narrow``: rows of a few numbers.  Their count is observed while they are
+    written, and the result is read in tasks of at least ``ROWS_PER_TASK`` rows: the
+    many small steps of an operator then don't take the session's full shuffle
+    width each (never more tasks than were written, and as many for large results)."""
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    if not narrow:
+        return df.checkpoint(eager=True)
+    seen = Observation()
+    out = df.observe(seen, F.count("*").alias("n")).checkpoint(eager=True)
+    return out.coalesce(max(1, -(-seen.get["n"] // ROWS_PER_TASK)))
+
+
+def sized(df: DataFrame, name: str) -> DataFrame:
+    """Write a derived table that is probably small and read it back: its size is
+    known when the next join is planned, so it is broadcast below Spark's limit
+    without shuffling the other side first, and joined by shuffles beyond it."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, columns) -> DataFrame:
@@ -31,7 +53,7 @@ def drop_marked(docs: DataFrame, marked: DataFrame, id_col: str = "doc_id", text
     """Rows of ``docs`` without a row in ``marked`` (id, text digest); null ids compare equal.
 
     ``marked`` has columns __id and __digest (see ``digest_of``)."""
-    m = marked.select(F.col("__id").alias("__mid"), F.col("__digest").alias("__mdg")).distinct()
+    m = sized(marked.select(F.col("__id").alias("__mid"), F.col("__digest").alias("__mdg")).distinct(), "marked")
     d = docs.withColumn("__dg", digest_of(F.col(text_col)))
     return (d.join(m, d[id_col].eqNullSafe(m["__mid"]) & (d["__dg"] == m["__mdg"]), "left_anti")
             .drop("__dg"))
@@ -51,10 +73,9 @@ def bloom_bits(hashes: DataFrame, column: str, bits: int) -> np.ndarray:
     The table's size does not depend on the data: 2**bits / 8 bytes."""
     word = F.shiftrightunsigned(F.col(column), 6).bitwiseAND(F.lit((1 << (bits - 6)) - 1))
     rows = (hashes.select(word.alias("w"), F.expr(f"shiftleft(1L, CAST({column} & 63 AS INT))").alias("b"))
-            .groupBy("w").agg(F.bit_or("b").alias("b")).collect())   # at most 2**(bits-6) rows
+            .groupBy("w").agg(F.bit_or("b").alias("b")).toArrow())   # at most 2**(bits-6) rows of two numbers
     table_ = np.zeros(1 << (bits - 6), dtype=np.uint64)
-    if rows:
-        table_[np.array([r[0] for r in rows], dtype=np.int64)] = np.array([r[1] for r in rows], np.int64).view(np.uint64)
+    table_[rows.column("w").to_numpy()] = rows.column("b").to_numpy().view(np.uint64)
     return table_
 
 

@@ -6,37 +6,38 @@ gathered in one group and no edge or label reaches the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .common import saved
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """Large star: link larger neighbours of u to the least of u and its neighbours;
-    small star: link u and its smaller neighbours to the least of them."""
+def _large_star(edges: DataFrame) -> DataFrame:
+    """Link the larger neighbours of a node to the least of the node and its neighbours."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    if not large:
-        both = both.where("b < a")
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    linked = both.join(least, "a")
-    if large:
-        out = linked.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    else:
-        out = (linked.select(F.col("b").alias("a"), F.col("m").alias("b"))
-               .unionByName(least.select("a", F.col("m").alias("b"))))
-    return out.where("a <> b").distinct()
+    return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+
+
+def _small_star(edges: DataFrame) -> DataFrame:
+    """Link a node and its smaller neighbours to the least of them (edges have b < a)."""
+    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    return (edges.join(least, "a")
+            .select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b"))))
+                    .alias("e")).select("e.a", "e.b").where("a <> b").distinct())
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, label) for every node of ``edges`` (columns a, b): the least node of its component."""
-    cur = saved(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    print_ = None
+    cur = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    before = None
     for _ in range(max_rounds):
-        cur = saved(_star(_star(cur, True), False))
-        now = cur.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(now) == print_:
+        seen = Observation()                       # read while the step is written: no job of its own
+        cur = saved(_small_star(_large_star(cur)).observe(
+            seen, F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")), narrow=True)
+        now = (seen.get["n"], seen.get["h"])
+        if now == before:
             return (cur.select(F.col("a").alias("node"), F.col("b").alias("label"))
                     .unionByName(cur.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct()))
-        print_ = tuple(now)
+        before = now
     raise RuntimeError("components did not settle")

@@ -29,7 +29,6 @@ columns are ignored.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -146,18 +145,18 @@ def shingle_sets(docs: DataFrame, need, id_col: str, text_col: str, shingle: int
     return src.mapInArrow(run, "node bigint, set array<bigint>").where(F.size("set") > 0)
 
 
-def _agreement(rows: DataFrame, registers: int) -> DataFrame:
-    """Share of equal registers of the pairs in (ra, rb)."""
+def _agreeing(pairs: DataFrame, regs: DataFrame, registers: int, floor: float) -> DataFrame:
+    """(a, b) of the proposed pairs whose share of equal registers is at least ``floor``."""
 
-    @F.pandas_udf("double")
-    def share(a: pd.Series, b: pd.Series) -> pd.Series:
-        if not len(a):
-            return pd.Series([], dtype=float)
-        x = np.frombuffer(b"".join(a), dtype=np.uint16).reshape(-1, registers)
-        y = np.frombuffer(b"".join(b), dtype=np.uint16).reshape(-1, registers)
-        return pd.Series((x == y).mean(axis=1))
+    def run(batches):
+        for t in batches:
+            if t.num_rows:
+                x, y = (np.frombuffer(b"".join(t.column(c).to_pylist()), np.uint16).reshape(-1, registers) for c in (2, 3))
+                yield t.select(["a", "b"]).filter(pa.array((x == y).mean(axis=1) >= floor))
 
-    return rows.withColumn("share", share("ra", "rb"))
+    both = (pairs.join(regs.select(F.col("node").alias("b"), F.col("regs").alias("rb")), "b")
+            .join(regs.select(F.col("node").alias("a"), F.col("regs").alias("ra")), "a"))
+    return both.select("a", "b", "ra", "rb").mapInArrow(run, "a bigint, b bigint")
 
 
 def _proposals(left: DataFrame, regs: DataFrame, registers: int, floor: float) -> DataFrame:
@@ -223,50 +222,45 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     regs = texts.select("node", F.col("s.regs").alias("regs"))
     members = texts.select("node", F.explode("s.bands").alias("bucket"))
     ends = members.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
-    shared = saved(members.join(ends, "bucket"))
+    shared = saved(members.join(ends, "bucket"), narrow=True)
     star = (shared.where("node <> lo").select(F.col("lo").alias("a"), F.col("node").alias("b"))
             .unionByName(shared.where("node <> hi").select(F.col("node").alias("a"), F.col("hi").alias("b")))
             .distinct())
 
-    def exact(pairs: DataFrame) -> DataFrame:
-        """Proposed pairs with enough equal registers, with the exact similarity."""
-        near = saved(_agreement(pairs.join(regs.select(F.col("node").alias("b"), F.col("regs").alias("rb")), "b")
-                                .join(regs.select(F.col("node").alias("a"), F.col("regs").alias("ra")), "a"),
-                                registers).where(F.col("share") >= floor).select("a", "b"))
-        ids = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
-        need = sc.broadcast(bloom_bits(ids.select(_mixed("node").alias("h")), "h", NEED_BITS))
+    def exact(near: DataFrame) -> DataFrame:
+        """The pairs whose shingle sets have the similarity."""
+        ids = near.select(F.explode(F.array("a", "b")).alias("node")).mapInArrow(_mixed, "h bigint")
+        need = sc.broadcast(bloom_bits(ids, "h", NEED_BITS))
         sets = shingle_sets(docs, need, id_col, text_col, shingle)
         both = F.size(F.array_intersect("sa", "sb"))
         return (near.join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b")
                 .join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a")
-                .select("a", "b", (both / (F.size("sa") + F.size("sb") - both)).alias("j"))
-                .where(F.col("j") >= threshold).select("a", "b").distinct())
+                .where(both / (F.size("sa") + F.size("sb") - both) >= threshold).select("a", "b"))
 
-    first = saved(exact(star))
+    first = saved(exact(saved(_agreeing(star, regs, registers, floor), narrow=True)), narrow=True)
     ok = first.withColumn("ok", F.lit(True))
     near_lo = ok.select(F.col("a").alias("lo"), F.col("b").alias("node"), F.col("ok").alias("ok_lo"))
     near_hi = ok.select(F.col("a").alias("node"), F.col("b").alias("hi"), F.col("ok").alias("ok_hi"))
     left = (shared.where("node <> lo AND node <> hi")
             .join(near_lo, ["lo", "node"], "left").join(near_hi, ["node", "hi"], "left")
             .where("ok_lo IS NULL AND ok_hi IS NULL").select("bucket", "node"))
-    second = exact(_proposals(left, regs, registers, floor))
+    second = saved(exact(saved(_proposals(left, regs, registers, floor), narrow=True)), narrow=True)
     comp = components(first.unionByName(second))
     # saved: read without a known partitioning, the join below can split a text with very many copies
     named = saved(texts.join(comp, "node", "left")
                   .select("h1", "h2", F.coalesce("label", "node").alias("class_id"))
-                  .groupBy("h1", "h2").agg(F.min("class_id").alias("class_id")))
+                  .groupBy("h1", "h2").agg(F.min("class_id").alias("class_id")), narrow=True)
     joined = (some.select("doc_id", "digest", "h1", "h2").join(named, ["h1", "h2"], "left")
               .select("doc_id", "digest", "class_id"))
     return joined.unionByName(sk.where(F.col("n") == 0).select("doc_id", "digest",
                                                                F.col("doc_id").cast("bigint").alias("class_id")))
 
 
-def _mixed(col: str):
-    """splitmix64 of a long, as ``textvec.mix`` computes it."""
-    @F.pandas_udf("bigint")
-    def run(s: pd.Series) -> pd.Series:
-        return pd.Series(signed(mix(unsigned(s.to_numpy(dtype=np.int64)))))
-    return run(col)
+def _mixed(batches):
+    """splitmix64 of node ids, as the bit table is asked for them."""
+    for b in batches:
+        ids = b.column(0).to_numpy(zero_copy_only=False)
+        yield pa.record_batch([pa.array(signed(mix(unsigned(ids))))], names=["h"])
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
