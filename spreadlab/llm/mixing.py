@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import sized
+
 SEED = 20240501
 PART = 32.0
 POWER = 0.5
@@ -69,7 +71,7 @@ def mix_sources(docs: DataFrame, shares: dict | None = None, seed: int = SEED, i
                 source_col: str = "source") -> DataFrame:
     """Rows of ``docs`` repeated to the target weights and shuffled globally, with
     rate, copies, copy (from 1) and shuffle_key."""
-    rates = source_rates(docs, shares, source_col)
+    rates = sized(source_rates(docs, shares, source_col), "rates")
     ident = F.coalesce(F.col(id_col).cast("string"), F.lit("-"))
     drawn = (docs.join(rates, docs[source_col].eqNullSafe(rates["__source"])).drop("__source")
              .withColumn("copies", poisson(F.col("rate"), F.lit(str(seed)), ident)).where("copies > 0"))
