@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +14,7 @@ from ..sources.tables import read_table
 
 
 ROWS_PER_TASK = 20_000
+DROP_BITS = 24           # 2 MiB
 
 
 def saved(df: DataFrame, narrow: bool = False) -> DataFrame:
@@ -49,14 +51,36 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def drop_marked(docs: DataFrame, marked: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows of ``docs`` without a row in ``marked`` (id, text digest); null ids compare equal.
-
-    ``marked`` has columns __id and __digest (see ``digest_of``)."""
-    m = sized(marked.select(F.col("__id").alias("__mid"), F.col("__digest").alias("__mdg")).distinct(), "marked")
-    d = docs.withColumn("__dg", digest_of(F.col(text_col)))
-    return (d.join(m, d[id_col].eqNullSafe(m["__mid"]) & (d["__dg"] == m["__mdg"]), "left_anti")
-            .drop("__dg"))
+def drop_marked(docs: DataFrame, marked: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                repeated: DataFrame | None = None) -> DataFrame:
+    """Rows of ``docs`` without a row in ``marked`` (columns __id and __digest, see
+    ``digest_of``; null ids compare equal); of the rows with a key in ``repeated``
+    one stays.
+
+    A bit table of fixed size over the keys' digests parts the rows while they are
+    read: those it doesn't hold go on as they are, without a shuffle; the others
+    (the keys' own rows and a few false hits) are joined with the keys."""
+    keys = marked.select("__id", "__digest", F.lit(True).alias("__out"))
+    if repeated is not None:
+        keys = keys.unionByName(repeated.select("__id", "__digest", F.lit(False).alias("__out")))
+    keys = saved(keys.distinct(), narrow=True)
+    bits = docs.sparkSession.sparkContext.broadcast(bloom_bits(keys, "__digest", DROP_BITS))
+    tagged = docs.withColumn("__dg", digest_of(F.col(text_col)))
+    at = tagged.columns.index("__dg")
+
+    def part(held: bool):
+        def run(batches):
+            for b in batches:
+                hit = bloom_has(bits.value, b.column(at).to_numpy().view(np.uint64))
+                yield b.filter(pa.array(hit == held))
+        return tagged.mapInArrow(run, tagged.schema)
+
+    out = keys.where("__out").select("__id", "__digest")
+    some = part(True)
+    some = some.join(out, some[id_col].eqNullSafe(out["__id"]) & (some["__dg"] == out["__digest"]), "left_anti")
+    if repeated is not None:
+        some = some.dropDuplicates([id_col, "__dg"])
+    return part(False).unionByName(some).drop("__dg")
 
 
 def digest_of(text: Column) -> Column:

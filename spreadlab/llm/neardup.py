@@ -265,13 +265,11 @@ def _mixed(batches):
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each class stays: the one that names it."""
-    found = near_duplicates(docs, id_col, text_col)
-    same = F.col("doc_id").cast("bigint") == F.col("class_id")
-    extra = found.where(F.col("class_id").isNotNull() & ~F.coalesce(same, F.lit(False)))
-    kept = drop_marked(docs, extra.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")),
-                       id_col, text_col)
-    once = kept.withColumn("__dg", digest_of(F.col(text_col))).dropDuplicates([id_col, "__dg"]).drop("__dg")
-    return once
+    found = saved(near_duplicates(docs, id_col, text_col), narrow=True).select(
+        F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), "class_id")
+    same = F.coalesce(F.col("__id").cast("bigint") == F.col("class_id"), F.lit(False))
+    repeated = found.groupBy("__id", "__digest").count().where("count > 1")
+    return drop_marked(docs, found.where(F.col("class_id").isNotNull() & ~same), id_col, text_col, repeated)
 
 
 def report(docs: DataFrame) -> DataFrame:
