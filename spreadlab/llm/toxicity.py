@@ -37,7 +37,7 @@ MAX_CHARS = 60_000
 TABLE_BITS = 20
 EPOCHS = 4
 MIN_STEPS = 32          # small samples are gone over more often
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 
 _MASK = np.uint64((1 << TABLE_BITS) - 1)
 _PREFIXES = (3, 4, 5)
@@ -63,10 +63,27 @@ class ToxicWords(Words):
         begin = np.maximum(self.end - 3, self.start)
         self.parts.append(mix(((total[self.end] - total[begin]) * inv[begin]) ^ np.uint64(0x5F)))
 
-    def features(self) -> np.ndarray:
-        """(features, words) table slots."""
-        rows = [self.hash, *self.parts]
-        return np.stack([(mix(h + np.uint64(i * 0x9E37)) & _MASK).astype(np.int32) for i, h in enumerate(rows)])
+    def features(self, words=slice(None)):
+        """Table slots of the words, one feature at a time."""
+        for i, h in enumerate([self.hash, *self.parts]):
+            yield (mix(h[words] + np.uint64(i * 0x9E37)) & _MASK).astype(np.int32)
+
+
+class SampleWords:
+    """Words of a sample of texts, cut chunk by chunk: only word-sized arrays are kept."""
+
+    features = ToxicWords.features
+
+    def __init__(self, texts: list):
+        cut = [ToxicWords(data, offs) for _, _, data, offs in chunks(pa.array(texts, pa.large_string()))]
+        self.hash = np.concatenate([w.hash for w in cut])
+        self.parts = [np.concatenate(p) for p in zip(*[w.parts for w in cut])]
+        self.count = np.concatenate([w.count for w in cut])
+        self.first = np.cumsum(self.count) - self.count
+        self.doc = np.repeat(np.arange(len(self.count)), self.count)
+
+    def __len__(self) -> int:
+        return len(self.hash)
 
 
 class Layout:
@@ -109,7 +126,7 @@ def _sigmoid(x):
     return 1.0 / (1.0 + np.exp(-np.clip(x, -40, 40)))
 
 
-def token_labels(words: ToxicWords, toxic: np.ndarray) -> np.ndarray:
+def token_labels(words: ToxicWords | SampleWords, toxic: np.ndarray) -> np.ndarray:
     """0/1 label of every word from the labels of the texts."""
     n = len(words)
     before = np.zeros(n, np.uint64)
@@ -128,8 +145,9 @@ def token_labels(words: ToxicWords, toxic: np.ndarray) -> np.ndarray:
         def distinct(sel, beside):
             if not sel.any():
                 return np.zeros(len(kinds))
-            pairs = np.unique(np.stack([idx[sel].astype(np.uint64), beside[ok][sel]]), axis=1)[0]
-            return np.bincount(pairs.astype(np.int64), minlength=len(kinds))
+            _, one = np.unique(mix(idx[sel].astype(np.uint64) * np.uint64(0x9E3779B1) ^ mix(beside[ok][sel])),
+                               return_index=True)
+            return np.bincount(idx[sel][one], minlength=len(kinds))
 
         bad = distinct(of_toxic[ok], around)
         texts = distinct(of_toxic[ok], words.doc.astype(np.uint64))
@@ -154,14 +172,12 @@ def fit(texts: list, toxic: np.ndarray, rate: float | None = None, seed: int = 7
         rate = (positive + 0.5) / (len(texts) + 1)
         model["doc"] = np.array([np.log(rate / (1 - rate)), 0.0, 0.0])
         return model
-    column = pa.array(texts, pa.large_string())
-    (_, _, data, offs), = list(chunks(column, 1 << 62))
-    words = ToxicWords(data, offs)
+    words = SampleWords(texts)
     label = token_labels(words, toxic).astype(np.float64)
     kinds, first, idx = np.unique(words.hash, return_index=True, return_inverse=True)
-    feats = words.features()[:, first]                              # features of word kinds
-    pos = np.arange(len(words)) - words.first[words.doc]
-    piece = words.doc * (1 << 32) + pos // span                     # windows of at most span words
+    feats = np.stack(list(words.features(first)))                   # features of word kinds
+    words.parts = []                                                # not needed any more
+    piece = words.doc * (1 << 32) + (np.arange(len(words)) - words.first[words.doc]) // span   # windows of span words
     starts = np.flatnonzero(np.concatenate([[True], piece[1:] != piece[:-1]])) if len(words) else np.zeros(0, int)
     sizes = np.diff(np.concatenate([starts, [len(words)]]))
     has = np.add.reduceat(label, starts) > 0 if len(starts) else np.zeros(0, bool)
@@ -211,8 +227,9 @@ def fit(texts: list, toxic: np.ndarray, rate: float | None = None, seed: int = 7
             tr_sq += gt ** 2
             trans -= 0.1 * gt / np.sqrt(tr_sq)
     model["weights"], model["bias"], model["trans"] = w64.astype(np.float32), bias, trans
-    del w64, grad_sq
-    top, total, _ = _score_words(words, model)
+    of_kind = bias + w64.astype(np.float32)[feats].sum(0, dtype=np.float64)
+    del w64, grad_sq, piece, label
+    top, total, _ = _score_words(words, model, of_kind[idx])
     x = np.stack([np.ones(len(texts)), top, np.log1p(total)], axis=1)
     beta = np.zeros(3)
     ridge = np.diag([1e-6, 1e-2, 1e-2]) * len(texts) / 100
@@ -226,17 +243,17 @@ def fit(texts: list, toxic: np.ndarray, rate: float | None = None, seed: int = 7
     return model
 
 
-def _score_words(words: ToxicWords, model: dict):
+def _score_words(words: ToxicWords | SampleWords, model: dict, unary: np.ndarray | None = None):
     """Per text: largest marginal, sum of the marginals of at least 0.5 (small ones add
     up in long texts); and every word's marginal."""
     docs = len(words.count)
     top, total = np.zeros(docs), np.zeros(docs)
     if not len(words) or "bias" not in model:
         return top, total, np.zeros(len(words))
-    unary = np.full(len(words), model["bias"])
-    w = model["weights"]
-    for slots in words.features():
-        unary += w[slots]
+    if unary is None:
+        unary = np.full(len(words), model["bias"])
+        for slots in words.features():
+            unary += model["weights"][slots]
     pos = np.arange(len(words)) - words.first[words.doc]
     lay = Layout(words.doc, pos, words.count)
     um = np.empty(len(unary))

@@ -57,7 +57,8 @@ def naive_score(text, model):
     b = model["doc"]
     top = total = 0.0
     if n and "bias" in model:
-        u = [model["bias"] + float(sum(np.float64(model["weights"][f[i]]) for f in w.features())) for i in range(n)]
+        slots = list(w.features())
+        u = [model["bias"] + float(sum(np.float64(model["weights"][f[i]]) for f in slots)) for i in range(n)]
         t = model["trans"]
         add = np.logaddexp
         f = [(0.0, u[0])]
