@@ -139,7 +139,7 @@ def fit_logreg(spark: SparkSession, train: DataFrame, features: list[str], label
         vec = VectorAssembler(inputCols=features, outputCol="features_vec", handleInvalid="skip").transform(scaled)
         lr = LogisticRegression(featuresCol="features_vec", labelCol=label, maxIter=max_iter,
                                 regParam=1.0 / (c * n), elasticNetParam=0.0, standardization=False,
-                                fitIntercept=True, tol=1e-10)
+                                fitIntercept=True, tol=1e-8)
         model = lr.fit(vec.select("features_vec", F.col(label).cast("double").alias(label)))
     finally:
         train.unpersist()

@@ -106,9 +106,11 @@ def _drop_published(spark: SparkSession, stage: str) -> None:
 
 def write_partitions(df: DataFrame, path: str, partition: str = "date") -> str:
     """Overwrite the partitions that ``df`` holds.  Rows are rebalanced by partition
-    value: few files a partition, and Spark splits one that is large."""
+    value: few files a partition, and Spark splits one that is large.  (A dynamic
+    overwrite leaves no _SUCCESS file; a new table is written in the plain way.)"""
+    how = "dynamic" if exists(df.sparkSession, path) else "static"
     (df.hint("rebalance", F.col(partition)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path))
+     .option("partitionOverwriteMode", how).partitionBy(partition).parquet(path))
     return path
 
 
