@@ -1,11 +1,12 @@
 """MinHash near-dedup with ProbMinHash signatures.
 
-A text is the weighted set of its five-word shingles (weight 1 + ln count).
-Every shingle is a Poisson process whose rate is its weight: its arrivals, drawn
-from a generator seeded by the shingle, fall on uniformly chosen registers, and
-a register keeps its earliest arrival.  A shingle stops as soon as its next
+A text is the set of its five-word shingles, each of weight 1 however often it
+comes.  Every shingle is a Poisson process whose rate is its weight: its arrivals,
+drawn from a generator seeded by the shingle, fall on uniformly chosen registers,
+and a register keeps its earliest arrival.  A shingle stops as soon as its next
 arrival is later than the latest register of the text.  Two texts agree in a
-register with their probability Jaccard similarity.
+register with their probability Jaccard similarity, which at equal weights is the
+Jaccard similarity of the sets that step 3 verifies.
 
 1. One scan gives each text its exact digest and ``BANDS`` band keys of ``ROWS``
    registers (a pair at 0.8 shares no band with probability 7e-6).  Equal word
@@ -48,16 +49,14 @@ _SIG = ("doc_id {kind}, digest bigint, h1 bigint, h2 bigint, n bigint, bands arr
 
 
 def weighted_shingles(words: Words, k: int = SHINGLE):
-    """(text, shingle hash, weight) sorted by text, shingles distinct."""
+    """(text, shingle hash, weight 1) sorted by text, shingles distinct."""
     doc, _, h = words.shingles(k)
     order = np.lexsort((h, doc))
     doc, h = doc[order], h[order]
     if not len(doc):
         return doc, h, np.zeros(0)
     new = np.concatenate([[True], (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])])
-    at = np.flatnonzero(new)
-    count = np.diff(np.concatenate([at, [len(doc)]]))
-    return doc[at], h[at], 1.0 + np.log(count)
+    return doc[new], h[new], np.ones(np.count_nonzero(new))
 
 
 def signatures(doc: np.ndarray, h: np.ndarray, weight: np.ndarray, texts: int, m: int) -> np.ndarray:

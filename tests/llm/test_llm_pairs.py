@@ -117,6 +117,18 @@ def test_hot_near_copy_group(spark):
     assert all(got[5000 + i] == 5000 + i for i in range(20))
 
 
+def test_repeated_lines_match_brute_force(spark):
+    """A line repeated often in one of two texts counts once, in the sketch as in the similarity."""
+    rows = []
+    for g in range(24):
+        base = " ".join(f"b{g}_{i}" for i in range(100))
+        line = " ".join(f"l{g}_{i}" for i in range(10))
+        rows += [(2 * g, base), (2 * g + 1, " ".join([base] + [line] * (20, 50, 100)[g % 3]))]
+    want = dict(zip([d for d, _ in rows], brute_classes(rows)))
+    assert all(want[2 * g + 1] == 2 * g for g in range(24))
+    assert {r.doc_id: r.class_id for r in neardup.report(frame(spark, rows)).collect()} == want
+
+
 def test_bands_at_the_threshold():
     """A pair at 0.8 shares no band with a probability below one in ten thousand."""
     assert (1 - 0.8 ** neardup.ROWS) ** neardup.BANDS < 1e-4
