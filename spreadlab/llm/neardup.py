@@ -12,11 +12,12 @@ Jaccard similarity of the sets that step 3 verifies.
    registers (a pair at 0.8 shares no band with probability 7e-6).  Equal word
    sequences collapse to one representative first.
 2. In each band bucket every text is paired with the bucket's least and greatest
-   text (linear in the bucket, however large).  Texts similar to neither stay for
-   a second look: they are compared register by register in blocks of at most
-   ``BLOCK`` texts, and pairs whose registers agree enough (a true pair fails
-   this with probability below 1e-4) are proposed; inside a set of texts that
-   agree almost fully only a spanning forest is.
+   text (linear in the bucket, however large).  Buckets whose texts these links
+   don't join get a second look: every two texts of different components are
+   compared register by register in blocks of at most ``BLOCK`` texts, and pairs
+   whose registers agree enough (a true pair fails this with probability below
+   1e-4) are proposed; inside a set of texts that agree almost fully only a
+   spanning forest is.
 3. Proposed pairs are verified exactly (Jaccard of the shingle sets at least
    0.8), and connected components of the verified pairs are the classes.
 
@@ -158,24 +159,38 @@ def _agreeing(pairs: DataFrame, regs: DataFrame, registers: int, floor: float) -
     return both.select("a", "b", "ra", "rb").mapInArrow(run, "a bigint, b bigint")
 
 
-def _proposals(left: DataFrame, regs: DataFrame, registers: int, floor: float) -> DataFrame:
-    """Second look: pairs of texts left in one bucket whose registers agree, block by block."""
-    size = left.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    parts = F.ceil(F.col("size") / BLOCK).cast("int")
-    each = (left.join(size, "bucket").withColumn("parts", parts)
-            .withColumn("mine", F.expr("CAST(pmod(xxhash64(node, bucket), parts) AS INT)"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-            .select("bucket", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "mine", "node")
+def _mixed_buckets(shared: DataFrame, comp: DataFrame) -> DataFrame:
+    """(bucket, node, label, most, rest, side) of the texts between the ends of the buckets
+    in which these hold more than one label; ``side`` is 0 for the texts of the bucket's
+    most frequent label (``most`` of them) and 1 for the others (``rest``)."""
+    each = (shared.where("node <> lo AND node <> hi").select("bucket", "node").join(comp, "node", "left")
+            .select("bucket", "node", F.coalesce("label", "node").alias("label")))
+    most = (each.groupBy("bucket", "label").agg(F.count("*").alias("n"))
+            .groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("m"), F.sum("n").alias("size"))
+            .select("bucket", F.col("m.n").alias("most"), F.col("m.label").alias("top"), (F.col("size") - F.col("m.n")).alias("rest"))
+            .where("rest > 0"))
+    return (each.join(most, "bucket")
+            .select("bucket", "node", "label", "most", "rest", (F.col("label") != F.col("top")).cast("int").alias("side")))
+
+
+def _proposals(mixed: DataFrame, regs: DataFrame, registers: int, floor: float) -> DataFrame:
+    """Second look: pairs of texts of one bucket and different labels whose registers agree,
+    block by block.  Texts outside the most frequent label meet each other and all of that
+    label; texts of one label are linked already."""
+    blocks = mixed.withColumn("p", F.ceil(F.col("rest") / BLOCK).cast("int")).withColumn("q", F.ceil(F.col("most") / BLOCK).cast("int"))
+    mine = F.expr("CAST(IF(side = 1, pmod(xxhash64(node, bucket), p), p + pmod(xxhash64(node, bucket), q)) AS INT)")
+    last = F.expr("IF(side = 1, p + q, p) - 1")
+    each = (blocks.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+            .select("bucket", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "mine", "node", "label")
             .join(regs, "node"))
 
     def look(t: pa.Table) -> pa.Table:
-        mine = t.column("mine").to_numpy()
-        node = t.column("node").to_numpy()
+        mine, node, label = (t.column(c).to_numpy() for c in ("mine", "node", "label"))
         x, y = t.column("x")[0].as_py(), t.column("y")[0].as_py()
         r = np.frombuffer(b"".join(t.column("regs").to_pylist()), np.uint16).reshape(-1, registers)
         order = np.argsort(node, kind="stable")
-        mine, node, r = mine[order], node[order], r[order]
-        group = np.arange(len(node))
+        mine, node, label, r = mine[order], node[order], label[order], r[order]
+        group = {v: v for v in label.tolist()}
 
         def top(i):
             while group[i] != i:
@@ -187,19 +202,20 @@ def _proposals(left: DataFrame, regs: DataFrame, registers: int, floor: float) -
         rows = np.arange(len(node))
         for i in rows:
             peers = rows[i + 1:]
+            peers = peers[label[peers] != label[i]]
             if x != y:
-                peers = peers[mine[i + 1:] != mine[i]]
+                peers = peers[mine[peers] != mine[i]]
             if not len(peers):
                 continue
             s = (r[peers] == r[i]).mean(axis=1)
             for j in peers[s >= 0.92].tolist():           # nearly surely a true pair: a forest is enough
-                ti, tj = top(i), top(j)
+                ti, tj = top(int(label[i])), top(int(label[j]))
                 if ti != tj:
                     group[tj] = ti
                     a_out.append(node[i])
                     b_out.append(node[j])
             for j in peers[(s >= floor) & (s < 0.92)].tolist():
-                if top(i) != top(j):
+                if top(int(label[i])) != top(int(label[j])):
                     a_out.append(node[i])
                     b_out.append(node[j])
         return pa.table({"a": pa.array(a_out, pa.int64()), "b": pa.array(b_out, pa.int64())})
@@ -237,14 +253,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 .where(both / (F.size("sa") + F.size("sb") - both) >= threshold).select("a", "b"))
 
     first = saved(exact(saved(_agreeing(star, regs, registers, floor), narrow=True)), narrow=True)
-    ok = first.withColumn("ok", F.lit(True))
-    near_lo = ok.select(F.col("a").alias("lo"), F.col("b").alias("node"), F.col("ok").alias("ok_lo"))
-    near_hi = ok.select(F.col("a").alias("node"), F.col("b").alias("hi"), F.col("ok").alias("ok_hi"))
-    left = (shared.where("node <> lo AND node <> hi")
-            .join(near_lo, ["lo", "node"], "left").join(near_hi, ["node", "hi"], "left")
-            .where("ok_lo IS NULL AND ok_hi IS NULL").select("bucket", "node"))
-    second = saved(exact(saved(_proposals(left, regs, registers, floor), narrow=True)), narrow=True)
-    comp = components(first.unionByName(second))
+    linked = saved(components(first), narrow=True)
+    second = saved(exact(saved(_proposals(_mixed_buckets(shared, linked), regs, registers, floor), narrow=True)), narrow=True)
+    comp = components(linked.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(second))
     # saved: read without a known partitioning, the join below can split a text with very many copies
     named = saved(texts.join(comp, "node", "left")
                   .select("h1", "h2", F.coalesce("label", "node").alias("class_id"))

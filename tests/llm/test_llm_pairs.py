@@ -117,6 +117,27 @@ def test_hot_near_copy_group(spark):
     assert all(got[5000 + i] == 5000 + i for i in range(20))
 
 
+def test_near_copy_of_one_member_of_a_large_group(spark):
+    """Near copies of single members, too far from all the others, join a hot group."""
+    base = [f"k{i}" for i in range(200)]
+    rows = []
+    for i in range(400):
+        w = list(base)
+        w[int(np.random.default_rng(i).integers(10, 190))] = f"z{i}"
+        rows.append((i, w))
+    for i in range(150, 170):
+        w = list(rows[i][1])
+        at = w.index(f"z{i}")
+        free = [j for j in range(12, 188, 11) if abs(j - at) > 10]
+        for j in free[:: len(free) // 4][:4]:
+            w[j] = f"y{i}_{j}"
+        rows.append((1000 + i, w))
+    rows = sorted((d if d < 200 else d + 5000 if d < 1000 else d - 700, " ".join(w)) for d, w in rows)
+    want = dict(zip([d for d, _ in rows], brute_classes(rows)))
+    assert set(want.values()) == {0}
+    assert {r.doc_id: r.class_id for r in neardup.report(frame(spark, rows)).collect()} == want
+
+
 def test_repeated_lines_match_brute_force(spark):
     """A line repeated often in one of two texts counts once, in the sketch as in the similarity."""
     rows = []
