@@ -16,8 +16,8 @@ Jaccard similarity of the sets that step 3 verifies.
    don't join get a second look: every two texts of different components are
    compared register by register in blocks of at most ``BLOCK`` texts, and pairs
    whose registers agree enough (a true pair fails this with probability below
-   1e-4) are proposed; inside a set of texts that agree almost fully only a
-   spanning forest is.
+   1e-4) are proposed: first a spanning forest of them, then, in buckets where a
+   link of the forest isn't verified, all that still lie in different components.
 3. Proposed pairs are verified exactly (Jaccard of the shingle sets at least
    0.8), and connected components of the verified pairs are the classes.
 
@@ -173,10 +173,11 @@ def _mixed_buckets(shared: DataFrame, comp: DataFrame) -> DataFrame:
             .select("bucket", "node", "label", "most", "rest", (F.col("label") != F.col("top")).cast("int").alias("side")))
 
 
-def _proposals(mixed: DataFrame, regs: DataFrame, registers: int, floor: float) -> DataFrame:
-    """Second look: pairs of texts of one bucket and different labels whose registers agree,
-    block by block.  Texts outside the most frequent label meet each other and all of that
-    label; texts of one label are linked already."""
+def _proposals(mixed: DataFrame, regs: DataFrame, registers: int, floor: float, whole: bool) -> DataFrame:
+    """Second look: (bucket, a, b) of texts of one bucket and different labels whose registers
+    agree, block by block.  Texts outside the most frequent label meet each other and all of
+    that label; texts of one label are linked already.  ``whole``: all such pairs, otherwise
+    a forest that spans them in each two blocks."""
     blocks = mixed.withColumn("p", F.ceil(F.col("rest") / BLOCK).cast("int")).withColumn("q", F.ceil(F.col("most") / BLOCK).cast("int"))
     mine = F.expr("CAST(IF(side = 1, pmod(xxhash64(node, bucket), p), p + pmod(xxhash64(node, bucket), q)) AS INT)")
     last = F.expr("IF(side = 1, p + q, p) - 1")
@@ -190,37 +191,45 @@ def _proposals(mixed: DataFrame, regs: DataFrame, registers: int, floor: float)
         r = np.frombuffer(b"".join(t.column("regs").to_pylist()), np.uint16).reshape(-1, registers)
         order = np.argsort(node, kind="stable")
         mine, node, label, r = mine[order], node[order], label[order], r[order]
-        group = {v: v for v in label.tolist()}
-
-        def top(i):
-            while group[i] != i:
-                group[i] = group[group[i]]
-                i = group[i]
-            return i
-
-        a_out, b_out = [], []
+        i_all, j_all, s_all = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
         rows = np.arange(len(node))
         for i in rows:
             peers = rows[i + 1:]
             peers = peers[label[peers] != label[i]]
             if x != y:
                 peers = peers[mine[peers] != mine[i]]
-            if not len(peers):
-                continue
             s = (r[peers] == r[i]).mean(axis=1)
-            for j in peers[s >= 0.92].tolist():           # nearly surely a true pair: a forest is enough
-                ti, tj = top(int(label[i])), top(int(label[j]))
-                if ti != tj:
-                    group[tj] = ti
-                    a_out.append(node[i])
-                    b_out.append(node[j])
-            for j in peers[(s >= floor) & (s < 0.92)].tolist():
-                if top(int(label[i])) != top(int(label[j])):
-                    a_out.append(node[i])
-                    b_out.append(node[j])
-        return pa.table({"a": pa.array(a_out, pa.int64()), "b": pa.array(b_out, pa.int64())})
-
-    return each.groupBy("bucket", "x", "y").applyInArrow(look, "a bigint, b bigint").distinct()
+            peers, s = peers[s >= floor], s[s >= floor]
+            i_all.append(np.full(len(peers), i))
+            j_all.append(peers)
+            s_all.append(s)
+        i, j, s = np.concatenate(i_all), np.concatenate(j_all), np.concatenate(s_all)
+        if not whole:
+            at = _forest(label[i], label[j], s)
+            i, j = i[at], j[at]
+        return pa.table({"bucket": pa.array(np.full(len(i), t.column("bucket")[0].as_py()), pa.int64()),
+                         "a": pa.array(node[i], pa.int64()), "b": pa.array(node[j], pa.int64())})
+
+    return each.groupBy("bucket", "x", "y").applyInArrow(look, "bucket bigint, a bigint, b bigint").distinct()
+
+
+def _forest(a: np.ndarray, b: np.ndarray, s: np.ndarray) -> list[int]:
+    """Places of the edges (a, b) of a spanning forest, the largest ``s`` first."""
+    group: dict = {}
+
+    def top(i):
+        while group.setdefault(i, i) != i:
+            group[i] = group[group[i]]
+            i = group[i]
+        return i
+
+    out = []
+    for k in np.argsort(-s, kind="stable").tolist():
+        i, j = top(int(a[k])), top(int(b[k]))
+        if i != j:
+            group[j] = i
+            out.append(k)
+    return out
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
@@ -253,9 +262,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 .where(both / (F.size("sa") + F.size("sb") - both) >= threshold).select("a", "b"))
 
     first = saved(exact(saved(_agreeing(star, regs, registers, floor), narrow=True)), narrow=True)
-    linked = saved(components(first), narrow=True)
-    second = saved(exact(saved(_proposals(_mixed_buckets(shared, linked), regs, registers, floor), narrow=True)), narrow=True)
-    comp = components(linked.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(second))
+    comp = saved(components(first), narrow=True)
+
+    def joined_by(edges: DataFrame) -> DataFrame:
+        return saved(components(comp.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(edges)), narrow=True)
+
+    near = saved(_proposals(_mixed_buckets(shared, comp), regs, registers, floor, False), narrow=True)
+    if not near.isEmpty():
+        good = saved(exact(near.select("a", "b").distinct()), narrow=True)
+        failed = saved(near.join(good, ["a", "b"], "left_anti").select("bucket").distinct(), narrow=True)
+        comp = joined_by(good)
+        if not failed.isEmpty():                       # where a link failed, it can't stand for the others
+            again = _mixed_buckets(shared.join(failed, "bucket", "left_semi"), comp)
+            more = saved(_proposals(again, regs, registers, floor, True), narrow=True)
+            comp = joined_by(saved(exact(more.select("a", "b").distinct()), narrow=True))
     # saved: read without a known partitioning, the join below can split a text with very many copies
     named = saved(texts.join(comp, "node", "left")
                   .select("h1", "h2", F.coalesce("label", "node").alias("class_id"))

@@ -138,6 +138,38 @@ def test_near_copy_of_one_member_of_a_large_group(spark):
     assert {r.doc_id: r.class_id for r in neardup.report(frame(spark, rows)).collect()} == want
 
 
+def test_estimates_do_not_stand_for_links(spark):
+    """Texts that share a much-repeated line agree in nearly all weighted registers, yet
+    only the true pairs among them are linked."""
+    line = " ".join(f"q{i}" for i in range(15))
+    rows = [(d, " ".join([line] * 300 + [f"o{d}_{j}" for j in range(2)]))
+            for d in [*range(20), *range(100, 140), *range(300, 320)]]
+    rows += [(100 + d, t + "x") for d, t in rows if 100 <= d < 140]
+    want = dict(zip([d for d, _ in rows], brute_classes(rows)))
+    assert len(set(want.values())) == 80
+    assert {r.doc_id: r.class_id for r in neardup.report(frame(spark, rows)).collect()} == want
+
+
+def test_failed_forest_links_are_looked_behind(spark, monkeypatch):
+    """Where a proposed forest isn't verified, all other pairs still are tried."""
+    rng = np.random.default_rng(5)
+    base = [f"k{i}" for i in range(150)]
+    rows = []
+    for i in range(60):                                # similarity about 0.75 between families, 0.9 inside
+        w = list(base)
+        for j in (10, 70):
+            w[j + int(rng.integers(0, 40))] = f"f{i // 2}_{j}"
+        if i % 2:
+            w = rows[-1][1].split()
+            w[140] = f"s{i}"
+        rows.append((i, " ".join(w)))
+    want = dict(zip([d for d, _ in rows], brute_classes(rows)))
+    assert len(set(want.values())) > 5
+    real = neardup._forest                             # the least likely links first
+    monkeypatch.setattr(neardup, "_forest", lambda a, b, s: real(a, b, -s))
+    assert {r.doc_id: r.class_id for r in neardup.report(frame(spark, rows)).collect()} == want
+
+
 def test_repeated_lines_match_brute_force(spark):
     """A line repeated often in one of two texts counts once, in the sketch as in the similarity."""
     rows = []
