@@ -17,7 +17,10 @@ and markup are never text; white space inside a block becomes one space; blocks
 trimmed and joined by one space in page order; inline tags don't split a word.
 
 Cases: null or empty html gives an empty text; a page cut off anywhere is read as
-far as it goes (a tag without its end is dropped); nesting of any depth is handled
+far as it goes (a tag without its end is dropped); a quote in a tag counts only at
+the start of an attribute's value, and only if it is closed; raw elements without an
+end tag are empty (scripts and styles reach to the page's end), as are svg and math
+ended by "/>"; svg and math with an end tag are dropped; nesting of any depth is handled
 without recursion; repeated rows are extracted row by row; extra columns are ignored.
 """
 
@@ -40,6 +43,8 @@ SLOTS = 1 << 16
 # Fixed values of the HTML vocabulary.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe noframes xmp svg math".split())
+FOREIGN = frozenset("svg math".split())
+CODE = frozenset("script style".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span "
                    "strike strong sub sup time tt u var wbr".split())
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figure figcaption footer form h1 h2 h3 h4 "
@@ -54,7 +59,7 @@ _TAG = re.compile(r"""<(?:
     !--(?P<comment>.*?)(?:--!?>|\Z)
   | (?P<decl>[!?])[^>]*(?:>|\Z)
   | /(?P<close>[a-zA-Z][^\s/>]*)[^>]*(?P<cend>>|\Z)
-  | (?P<open>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)(?P<oend>>|["'].*\Z|\Z)
+  | (?P<open>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|=\s*+[^\s>"'][^\s>]*+|=)*+)(?P<oend>>|\Z)
 )""", re.S | re.X)
 _ATTR = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORD = re.compile(r"[a-z]+")
@@ -74,6 +79,7 @@ def parse(html: str) -> list[Node]:
     nodes = [Node(ROOT, -1)]
     stack = [0]
     block = 0
+    unended = set()                                   # raw tags without an end tag in the rest of the page
     pos, n = 0, len(html)
 
     def text(lo, hi):
@@ -126,7 +132,12 @@ def parse(html: str) -> list[Node]:
                 words += _WORD.findall((a[2] or a[3] or a[4] or "").lower())
             nodes.append(Node(tag, stack[-1], tuple(words)))
             if tag in RAW:
+                if tag in FOREIGN and m["attrs"].endswith("/") or tag in unended:
+                    continue
                 end = re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*>?", re.I).search(html, pos)
+                if end is None and tag not in CODE:
+                    unended.add(tag)
+                    continue
                 pos = end.end() if end else n
                 block += 1
             elif tag not in VOID and not m["attrs"].endswith("/"):

@@ -148,6 +148,18 @@ def test_page_rules(model):
     assert pagetree.extract("<article><p>" + "long text " * 50000 + "</p></article>", model).endswith("long text")
 
 
+@pytest.mark.parametrize("page", [
+    "<p title=it's>Main text</p><p>tail</p>", "<p title=it's>Main text</p><p>tail</p><!-- isn't -->",
+    '<div class="a"">Main text</div><p>tail</p>', "<p title='it>Main text</p><p>tail</p>",
+    '<p data-x=a="b>Main text</p><p>tail</p><i id="c"></i>', '<p title="a > b" x = \'c > d\'>Main text</p><p>tail</p>',
+    "<svg viewBox='0 0 1 1'/><p>Main text</p><p>tail</p><svg><text>no</text></svg>", "<p>Main text<math/></p><p>tail</p>",
+    "<noscript><p>Main text</p><p>tail</p>", "<iframe src=x><p>Main text</p><p>tail</p>", "<xmp><p>Main text</p><iframe><p>tail</p>",
+    "<p>Main text</p><p>tail</p><script>var a = 1; if (a < 2) b('x')", "<p>Main text</p><p>tail</p><style>p {}",
+])
+def test_malformed_pages_keep_their_text(page):
+    assert " ".join(x.text for x in pagetree.parse(page) if x.tag == pagetree.TEXT) == "Main text tail"
+
+
 def test_tree_marginals_match_enumeration(model):
     nodes = pagetree.parse("<article><p>x <b>y</b></p></article><nav><a>z</a></nav>")
     feats = pagetree.features(nodes)
