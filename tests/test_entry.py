@@ -1,3 +1,8 @@
+import os
+import shutil
+import subprocess
+import sys
+
 import duckdb
 import pytest
 
@@ -21,6 +26,22 @@ def test_every_query_has_an_oracle_or_is_rows_only():
     assert set(q) - set(o) - set(entry.LLM_QUERIES) == ROWS_ONLY
 
 
+@pytest.mark.parametrize("pipeline", [True, False])
+def test_entry_without_the_training_data_operators(tmp_path, pipeline):
+    """A copy of the library without the removable folders still imports, with or without the pipeline file."""
+    here = os.path.dirname(os.path.abspath(entry.__file__))
+    shutil.copytree(os.path.join(here, "spreadlab"), tmp_path / "spreadlab", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    for name in ["__spark_entry__.py", *(["corpus_pipeline.py"] if pipeline else [])]:
+        if os.path.exists(os.path.join(here, name)):
+            shutil.copy(os.path.join(here, name), tmp_path)
+    code = ("import __spark_entry__ as e; q, o = e.queries(), e.oracle_sql(); assert set(o) <= set(q); "
+            "assert not e.LLM_QUERIES and 'pipeline' not in q; print(len(q))")
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True,
+                         env={**os.environ, "PYTHONPATH": str(tmp_path)})
+    assert out.returncode == 0, out.stderr
+    assert int(out.stdout) == len(set(entry.queries()) - set(entry.LLM_QUERIES))
+
+
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
