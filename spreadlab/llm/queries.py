@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, licenses, mixing, neardup, oracles, pagetree, pivots, privacy, quality, tokencount, toxicity
+from . import (decontaminate, divergence, lexical, licenses, mixing, neardup, oracles, pagetree, pivots, privacy, quality,
+               tokencount, tokenids, toxicity)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +84,22 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return pagetree.extract_pages(table(spark, sf_dir, "pages", ["page_id", "url", "html"]))
+
+
+@query("op11_ranked_search", oracles.OP11)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twenty best documents of every benchmark item."""
+    return lexical.report(table(spark, sf_dir, "documents", ["doc_id", "text"]),
+                          table(spark, sf_dir, "benchmark", ["item_id", "text"]))
+
+
+@query("op12_token_ids")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written in packed files and read back."""
+    return tokenids.report(table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
+@query("op13_source_divergence", oracles.OP13)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances of the sources of every language and the terms that set each apart."""
+    return divergence.report(table(spark, sf_dir, "documents", ["lang", "source", "text"]))
