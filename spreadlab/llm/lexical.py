@@ -256,12 +256,13 @@ def _answer(k: int):
     return run
 
 
-def search(index: DataFrame, queries: DataFrame, shards: int, k: int = TOP) -> DataFrame:
-    """(qid, doc_id, score): the heaps of all shards for ``queries`` (qid, qblock, terms, weights, floor)."""
+def search(index: DataFrame, queries: DataFrame, shards: int, blocks: int, k: int = TOP) -> DataFrame:
+    """(qid, doc_id, score): the heaps of all shards for ``queries`` (qid, qblock, terms, weights, floor),
+    dealt to ``blocks`` query blocks."""
     wanted = queries.select("qblock", F.explode("terms").alias("term")).distinct()
-    blocks = queries.select("qblock").distinct()
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint")))
     lists = (index.where(F.col("term").isNotNull()).join(wanted, "term")
-             .unionByName(index.where(F.col("term").isNull()).join(blocks)))
+             .unionByName(index.where(F.col("term").isNull()).withColumn("qblock", every)))
     asked = (queries.select(*[F.col(c).alias(c) for c in queries.columns]).groupBy("qblock").agg(F.collect_list(F.struct("qid", "terms", "weights", "floor")).alias("asked"))
              .withColumn("shard", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shards - 1).cast("bigint")))))
     return (lists.groupBy("shard", "qblock").cogroup(asked.groupBy("shard", "qblock"))
@@ -285,19 +286,20 @@ def ranked(docs: DataFrame, items: DataFrame, k: int = TOP, id_col: str = "doc_i
     shards = max(1, min(-(-n_docs // SHARD_DOCS), SPREAD), -(-size["postings"] // SHARD_POSTINGS))
     ratio = F.lit(2 * n_docs + 2).cast("double") / (2 * F.col("df") + 1).cast("double")
     weight = F.floor(F.lit(1000.0) * F.log(ratio)).cast("bigint")
+    blocks = -(-asked.count() // QUERIES) or 1
     queries = (terms.join(held.withColumn("w", weight).where("w > 0"), "term")
                .groupBy("qid").agg(F.collect_list(F.struct("term", (F.col("w") * F.col("times")).alias("weight"))).alias("x"))
-               .select("qid", F.pmod(F.xxhash64("qid"), F.lit(-(-asked.count() // QUERIES) or 1).cast("bigint")).alias("qblock"),
+               .select("qid", F.pmod(F.xxhash64("qid"), F.lit(blocks).cast("bigint")).alias("qblock"),
                        F.col("x.term").alias("terms"), F.col("x.weight").alias("weights"), F.lit(1).cast("bigint").alias("floor")))
     queries = sized(queries, "lexical-weights")
     index = sized(build_index(rows, n_docs, size["terms"], shards), "lexical-index")
     best = Window.partitionBy("qid").orderBy(F.col("score").desc(), "doc_id")
     if shards > 1:                                        # the first shard's k-th score is a floor for all
-        first = search(index.where("shard = 0"), queries, 1, k).withColumn("rank", F.row_number().over(best))
+        first = search(index.where("shard = 0"), queries, 1, blocks, k).withColumn("rank", F.row_number().over(best))
         floors = sized(first.where(F.col("rank") == k).select("qid", F.col("score").alias("reached")), "lexical-floors")
         queries = queries.join(floors, "qid", "left").withColumn("floor", F.coalesce("reached", "floor")).drop("reached")
         queries = sized(queries, "lexical-weights")
-    top = (search(index, queries, shards, k).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k))
+    top = (search(index, queries, shards, blocks, k).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k))
     return top.join(asked.select("qid", "item_id"), "qid").select(
         "item_id", "rank", F.nullif("doc_id", F.lit(int(NO_ID))).alias("doc_id"), "score")
 

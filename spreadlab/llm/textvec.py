@@ -84,6 +84,15 @@ def chunks(col, max_bytes: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.nda
         lo = hi
 
 
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of the bytes of each span."""
+    n = len(data)
+    total = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum(_BYTE_VALUE[data] * _powers(_B, n), out=total[1:])
+    raw = (total[end] - total[start]) * _powers(_B_INV, n + 1)[start]
+    return mix(raw ^ (end - start).astype(np.uint64))
+
+
 class Words:
     """Words of a chunk: byte spans, text index, 64-bit hashes."""
 
@@ -109,10 +118,7 @@ class Words:
         cut = np.searchsorted(self.start, offsets)
         self.first, self.count = cut[:-1], np.diff(cut)
         self.doc = np.repeat(np.arange(len(offsets) - 1), self.count)
-        total = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(_BYTE_VALUE[low] * _powers(_B, n), out=total[1:])
-        raw = (total[self.end] - total[self.start]) * _powers(_B_INV, n + 1)[self.start]
-        self.hash = mix(raw ^ (self.end - self.start).astype(np.uint64))
+        self.hash = span_hashes(low, self.start, self.end)
 
     def __len__(self) -> int:
         return len(self.start)

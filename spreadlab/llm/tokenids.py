@@ -19,8 +19,8 @@ partitions).
 
 Encoding: byte-level vocabularies encode each piece that the pre-tokenizer cuts on
 its own, so the ids of a piece are looked up and the library is asked only for
-pieces that a process hasn't met (at most ``PIECES`` are remembered).  Texts with
-characters outside ``_PLAIN``, texts holding the string of an added token, and
+pieces that a process hasn't met (at most ``PIECES`` are remembered, told apart by
+64 bits of their bytes).  Texts with characters outside ``_PLAIN``, texts holding the string of an added token, and
 vocabularies of another kind are encoded whole.  Tests compare both ways.
 
 Cases: null and empty texts are the end id alone; very long texts are one block, as
@@ -31,7 +31,6 @@ rows; other columns are ignored, whatever their names.
 
 from __future__ import annotations
 
-import itertools
 import json
 import os
 import re
@@ -44,19 +43,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .textvec import list_array
+from .textvec import chunks, list_array, span_hashes
 
 VOCABULARY = "byte_bpe_50k.json"
 END = 2
 BLOCK = 1 << 15
 GROUP = 256
-PIECES = 400_000
+PIECES = 2_000_000
+RUN = 500                # new pieces encoded as one text
 
 # Fixed values: (ids, bits) of selectors 1 to 15.
 PACKINGS = [(120, 0), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15),
             (3, 20), (2, 30), (1, 60)]
 _LIMITS = np.array([1 << b for b in range(60)], dtype=np.uint64)
 _COUNTS = np.array([0] + [c for c, _ in PACKINGS], dtype=np.int64)
+_WIDTHS = np.searchsorted(_LIMITS, np.arange(1 << 16, dtype=np.uint64), "right").astype(np.uint8)
 
 
 # -- the code ------------------------------------------------------------------------
@@ -65,19 +66,23 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     ids = np.ascontiguousarray(ids, dtype=np.uint64)
     n = len(ids)
     place = np.arange(n)
-    width = np.searchsorted(_LIMITS, ids, "right")
+    width = np.full(n + PACKINGS[0][0], 64, dtype=np.uint8)          # what follows the last id fits no word
+    width[:n] = _WIDTHS[ids.astype(np.int64)] if n and int(ids.max()) < len(_WIDTHS) else np.searchsorted(_LIMITS, ids, "right")
     big = ids >> np.uint64(60) > 0
-    width[big] = 61
-    step = np.ones(n, dtype=np.int64)
-    choice = np.zeros(n, dtype=np.int64)
-    for s in range(len(PACKINGS), 0, -1):            # the packing of most ids that fits is written last
-        count, bits = PACKINGS[s - 1]
-        wide = width > bits
-        if n - np.count_nonzero(wide) < count:
-            continue
-        ahead = np.minimum.accumulate(np.where(wide, place, n)[::-1])[::-1]
-        fits = ahead - place >= count
-        choice[fits], step[fits] = s, count
+    width[:n][big] = 64
+    # a packing of more ids has fewer bits, so where it fits all packings of fewer ids fit as well
+    fitting = np.zeros(n, dtype=np.uint8)
+    widest, reach = width, 1                                         # widest of ``reach`` ids from each on
+    for count, bits in reversed(PACKINGS):
+        while reach < count:
+            more = min(reach, count - reach)
+            widest, reach = np.maximum(widest[: len(widest) - more], widest[more:]), reach + more
+        fits = widest[:n] <= bits
+        if not fits.any():
+            break
+        fitting += fits
+    choice = np.where(fitting > 0, len(PACKINGS) + 1 - fitting.astype(np.int64), 0)
+    step = _COUNTS[choice]
     if big.any():
         ahead = np.minimum.accumulate(np.where(big, n, place)[::-1])[::-1]
         step[big] = (ahead - place)[big]
@@ -132,16 +137,42 @@ def unpack_slice(words: np.ndarray, escaped: np.ndarray, marks: np.ndarray, lo:
 
 
 # -- encoding ------------------------------------------------------------------------
-_SPACE = "\\t-\\r "
-_LETTER = "A-Za-zÀ-ÖØ-öø-ɏ"
-_PLAIN = re.compile(f"[\\t-\\r -~{_LETTER}]*")
-#: the byte-level pre-tokenizer's pieces, spelled out for the characters of _PLAIN
-_PIECE = re.compile(f"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTER}]+| ?[0-9]+| ?[^{_SPACE}{_LETTER}0-9]+"
-                    f"|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+_PLAIN = re.compile("[\\t-\\r -~À-ÖØ-öø-ɏ]*")
+_LETTER, _DIGIT, _OTHER, _SPACE = range(4)
+#: classes of the bytes of _PLAIN's characters; all its characters outside ASCII are letters
+_CLASS = np.full(256, _OTHER, dtype=np.uint8)
+_CLASS[48:58] = _DIGIT
+_CLASS[65:91] = _CLASS[97:123] = _CLASS[128:] = _LETTER
+_CLASS[9:14] = _CLASS[32] = _SPACE
+
+
+def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where the pieces of plain texts begin that the byte-level pre-tokenizer cuts: runs of one
+    class with the blank before them, English contractions, and the rest of white space."""
+    n = len(data)
+    kind = _CLASS[data]
+    head = np.zeros(n + 3, dtype=bool)
+    head[offsets] = True
+    start = head.copy()
+    start[1:n] |= kind[1:] != kind[:-1]
+    edge = np.flatnonzero((kind[:-1] == _SPACE) & (kind[1:] != _SPACE) & ~head[1:n]) if n > 1 else np.zeros(0, np.int64)
+    start[edge] = True                                        # the last white space before a run
+    start[edge[data[edge] == 32] + 1] = False                 # goes with it, if it is a blank
+    ahead = np.concatenate([data, np.zeros(3, np.uint8)])
+    q = np.flatnonzero((data == 39) & start[:n] & ~head[1: n + 1])
+    q = q[(_CLASS[ahead[q + 1]] == _LETTER)]
+    one = q[np.isin(ahead[q + 1], np.frombuffer(b"stmd", np.uint8))]
+    two = q[~head[q + 2]]
+    pair = ahead[two + 1].astype(np.int32) * 256 + ahead[two + 2]
+    two = two[np.isin(pair, [ord(a) * 256 + ord(b) for a, b in ("re", "ve", "ll")])]
+    for at, size in ((one, 2), (two, 3)):
+        start[at + 1] = False
+        start[at + size] = True
+    return np.flatnonzero(start[:n])
 
 
 class Encoder:
-    """Texts to bytes of little-endian 32-bit ids, with a bounded memory of pieces."""
+    """Ids of texts, with a bounded memory of pieces."""
 
     def __init__(self, file: str):
         from tokenizers import Tokenizer
@@ -152,26 +183,70 @@ class Encoder:
         self.by_piece = (spec.get("normalizer") is None and cut.get("type") == "ByteLevel" and cut.get("use_regex", True)
                          and not cut.get("add_prefix_space"))
         self.added = [x["content"] for x in spec.get("added_tokens") or []]
-        self.known: dict[str, bytes] = {}
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, dtype="<u4").tobytes()
+        vocabulary = self.tokenizer.get_vocab()
+        self.bytes_of = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=np.int64)
+        for token, i in vocabulary.items():         # a byte-level token has a character a byte
+            self.bytes_of[i] = len(token)
+        self.forget()
+
+    def forget(self) -> None:
+        self.known = np.zeros(0, dtype=np.uint64)             # hashes of pieces, ascending
+        self.first, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.zeros(0, dtype=np.uint32)
+
+    def whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.asarray(e.ids, dtype=np.uint32)
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def learn(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
+        """Ids of new pieces.  Words behind a blank are encoded many to a text, since the
+        pre-tokenizer cuts before every blank, and told apart by the bytes of their ids."""
+        alone = [i for i, p in enumerate(pieces) if p[0] != 32 or _CLASS[p[-1]] != _LETTER]
+        mark = np.ones(len(pieces), dtype=bool)
+        mark[alone] = False
+        words = np.flatnonzero(mark).tolist()
+        runs = [words[i: i + RUN] for i in range(0, len(words), RUN)]
+        flat = [*self.whole([b"".join([pieces[i] for i in r]).decode() for r in runs]),
+                *self.whole([pieces[i].decode() for i in alone])]
+        ids = np.concatenate(flat) if flat else np.zeros(0, np.uint32)
+        order = np.array([*words, *alone], dtype=np.int64)
+        stops = np.cumsum([len(pieces[i]) for i in order.tolist()])
+        ends = np.searchsorted(np.cumsum(self.bytes_of[ids]), stops) + 1
+        first = np.concatenate([[0], ends[:-1]])
+        known = np.concatenate([self.known, hashes[order]])
+        by = np.argsort(known, kind="stable")
+        self.first = np.concatenate([self.first, first + len(self.ids)])[by]
+        self.size = np.concatenate([self.size, ends - first])[by]
+        self.known, self.ids = known[by], np.concatenate([self.ids, ids])
+
+    def plain(self, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+        """Ids of each of some plain texts."""
+        start = piece_starts(data, offsets)
+        hashes = span_hashes(data, start, np.append(start[1:], len(data)))
+        distinct, at, back = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self.known) + len(distinct) > PIECES:
+            self.forget()
+        new = np.flatnonzero(~np.isin(distinct, self.known, assume_unique=True))
+        if len(new):
+            raw, stop = data.tobytes(), np.append(start[1:], len(data))
+            places = at[new]
+            self.learn(distinct[new], [raw[a:z] for a, z in zip(start[places].tolist(), stop[places].tolist())])
+        place = np.searchsorted(self.known, distinct)[back]
+        size = self.size[place]
+        ends = np.cumsum(size)
+        total = int(ends[-1]) if len(ends) else 0
+        out = self.ids[np.repeat(self.first[place] - ends + size, size) + np.arange(total)]
+        cut = np.concatenate([[0], ends])[np.searchsorted(start, offsets)].tolist()
+        return [out[a:z] for a, z in zip(cut, cut[1:])]
+
+    def encode(self, column: pa.Array) -> list[np.ndarray]:
+        """Ids of every text of a string column without nulls."""
+        texts = column.to_pylist()
         easy = [self.by_piece and _PLAIN.fullmatch(t) is not None and not any(a in t for a in self.added) for t in texts]
-        pieces = [_PIECE.findall(t) if e else [] for t, e in zip(texts, easy)]
-        known = self.known
-        new = list(set(itertools.chain.from_iterable(pieces)).difference(known))
-        if len(known) + len(new) > PIECES:
-            known.clear()
-            new = list(set(itertools.chain.from_iterable(pieces)))
-        known.update(zip(new, self.whole(new)))
-        out = [b"".join(map(known.__getitem__, p)) for p in pieces]
-        hard = [i for i, e in enumerate(easy) if not e]
-        for i, ids in zip(hard, self.whole([texts[i] for i in hard])):
-            out[i] = ids
-        return out
+        plain = [ids for _, _, data, offsets in chunks(column.filter(pa.array(easy, pa.bool_()))) for ids in self.plain(data, offsets)]
+        whole = self.whole([t for t, e in zip(texts, easy) if not e])
+        of = {True: iter(plain), False: iter(whole)}
+        return [next(of[e]) for e in easy]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -208,17 +283,17 @@ def write_ids(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     spark.sparkContext.addFile(file)
     name = os.path.basename(file)
     kind = docs.schema[id_col].dataType.simpleString()
-    stop = np.uint32(end).tobytes()
+    stop = np.array([end], dtype=np.uint32)
 
     def run(batches):
         from pyspark import TaskContext
         part, number, first = TaskContext.get().partitionId(), 0, 0
         enc = _encoder(name)
         for b in batches:
-            texts = enc.encode(b.column(1).to_pylist())
-            ends = np.cumsum([len(t) // 4 + 1 for t in texts])
+            texts = enc.encode(b.column(1))
+            ends = np.cumsum([len(t) + 1 for t in texts])
             for lo, hi in _blocks(ends, block):
-                ids = np.frombuffer(stop.join([*texts[lo:hi], b""]), dtype="<u4")
+                ids = np.concatenate([x for t in texts[lo:hi] for x in (t, stop)])
                 words, escaped, marks = pack(ids)
                 stops = ends[lo:hi] - (ends[lo - 1] if lo else 0)
                 yield pa.record_batch(

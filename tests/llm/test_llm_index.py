@@ -1,4 +1,5 @@
 """Ranked search, packed token ids, source divergence: brute force, round trips and edge frames."""
+import functools
 import math
 import re
 import zlib
@@ -6,6 +7,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -86,7 +88,6 @@ def test_search_skips_blocks():
     """The block maxima keep most blocks of a long list packed."""
     rng = np.random.default_rng(1)
     n = 20_000
-    import pyarrow as pa
     rare = rng.choice(n, 30, replace=False)
     terms = [[1, 2] if i in set(rare.tolist()) else [1] for i in range(n)]
     t = pa.table({"shard": pa.array([0] * n, pa.int64()), "doc_id": pa.array(range(n), pa.int64()),
@@ -178,7 +179,22 @@ def test_pieces_equal_whole_texts():
     enc = tokenids.Encoder(tokenids.vocabulary_file())
     points = [c for c in range(0x2500) if not 0xD800 <= c < 0xE000]
     texts = [f"a {chr(c)}b{chr(c)}{chr(c)} 1{chr(c)}  {chr(c)}.{chr(c)}'s{chr(c)}" for c in points]
-    assert enc.encode(texts) == enc.whole(texts)
+    texts += ["", "'", "''s", "x's'd're 've'll", "'r", "'re", "'s", " 's", "\n's\n\n", "a'", "'sé", "a\t \n b", "  ", " \n", "\n\nx  y ", "l'l'll"]
+    for _ in range(2):                       # pieces unknown, then known
+        got = enc.encode(pa.array(texts))
+        assert [g.tolist() for g in got] == [w.tolist() for w in enc.whole(texts)]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet="ab'srtvelmd 1.,\n\té", max_size=30), max_size=6))
+def test_pieces_of_any_plain_text(texts):
+    enc = _plain_encoder()
+    assert [g.tolist() for g in enc.encode(pa.array(texts, pa.string()))] == [w.tolist() for w in enc.whole(texts)]
+
+
+@functools.cache
+def _plain_encoder():
+    return tokenids.Encoder(tokenids.vocabulary_file())
 
 
 # -- source divergence -------------------------------------------------------------------
