@@ -6,6 +6,7 @@ import duckdb
 import numpy as np
 import pytest
 from oracle_check import digest
+from pyspark.sql import functions as F
 
 from conftest import SF001
 from spreadlab.llm import decontaminate, licenses, neardup, oracles
@@ -182,6 +183,86 @@ def test_repeated_lines_match_brute_force(spark):
     assert {r.doc_id: r.class_id for r in neardup.report(frame(spark, rows)).collect()} == want
 
 
+def plain_similarity(x, y):
+    """Probability Jaccard similarity as defined, x and y: {member: weight}."""
+    every = set(x) | set(y)
+    return sum(1 / sum(max(x.get(t, 0) / x[c], y.get(t, 0) / y[c]) for t in every) for c in set(x) & set(y))
+
+
+def test_similarity_is_the_probability_jaccard():
+    rng = np.random.default_rng(11)
+    for _ in range(60):
+        a, b = (np.unique(rng.integers(0, 30, rng.integers(1, 25))).astype(np.uint64) for _ in range(2))
+        x, y = (rng.integers(1, 6, len(m)).astype(float) for m in (a, b))
+        want = plain_similarity(dict(zip(a.tolist(), x)), dict(zip(b.tolist(), y)))
+        assert abs(neardup.similarity(a, b, x, y) - want) < 1e-9
+        sets = neardup.similarity(a, b)
+        assert abs(sets - len(set(a) & set(b)) / len(set(a) | set(b))) < 1e-12
+        assert abs(neardup.similarity(a, b, np.ones(len(a)), np.ones(len(b))) - sets) < 1e-9
+
+
+def test_weights_by_occurrences(spark):
+    """Sketched and verified by the weighted similarity: a repeated line may part what the sets join, and join what they part."""
+    rng = np.random.default_rng(12)
+    word = lambda: "".join(rng.choice(list("abcdefghij"), 6))
+    line, rows = [word() for _ in range(12)], []
+    for g in range(12):
+        base = [word() for _ in range(60)]
+        for reps, changed in ((0, 0), (1, 0), (30, 0), (40, 0), (30, 1), (1, 2)):
+            w = list(base)
+            for i in rng.choice(60, changed, replace=False):
+                w[i] = word()
+            rows.append((len(rows), " ".join(w + line * reps)))
+    bags = []
+    for _, t in rows:
+        w = words(t)
+        bag = defaultdict(int)
+        for i in range(len(w) - 4):
+            bag[tuple(w[i: i + 5])] += 1
+        bags.append(bag)
+    top = list(range(len(rows)))
+
+    def find(i):
+        while top[i] != i:
+            i = top[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            s = plain_similarity(bags[i], bags[j])
+            assert abs(s - 0.8) > 1e-9
+            if s >= 0.8:
+                x, y = sorted((find(i), find(j)))
+                top[y] = x
+    want = [find(i) for i in range(len(rows))]
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(frame(spark, rows), weights="count").collect()}
+    assert [got[i] for i in range(len(rows))] == want
+    assert want != brute_classes(rows)
+
+
+def test_block_links_are_verified_and_few(spark):
+    """Texts just under the threshold: many pairs agree, few are links; what leaves the blocks grows with the texts."""
+    rng = np.random.default_rng(14)
+    vocabulary = [f"v{i}" for i in range(5000)]
+    out = {}
+    for n in (60, 120):
+        rows = list(enumerate(edited(rng, vocabulary, 130, [3] * n)))
+        t = frame(spark, rows)
+        sk = neardup.sketches(t).select(F.col("doc_id").alias("node"), "n", "regs")
+        sets = neardup.shingle_sets(t, spark.sparkContext.broadcast(np.full(1 << 10, 2 ** 64 - 1, np.uint64)), "doc_id", "text", 5)
+        mixed = sk.select(F.lit(1).cast("bigint").alias("bucket"), "node", "n", F.col("node").alias("label"),
+                          F.lit(2).alias("p"), F.lit(1).alias("q"), F.lit(1).alias("side"))
+        links = neardup._look(mixed, sk.select("node", "regs").join(sets, "node"), 150, 0.6, 0.8).collect()
+        grams = [shingles(x) for _, x in rows]
+        for r in links:
+            a, b = grams[r.a], grams[r.b]
+            assert len(a & b) / len(a | b) >= 0.8
+        out[n] = len(links)
+        comp = {r.node: r.label for r in components(spark.createDataFrame([(r.a, r.b) for r in links], "a long, b long")).collect()}
+        assert [comp.get(i, i) for i in range(len(rows))] == brute_classes(rows)
+    assert out[120] < 3 * out[60] and out[120] <= 3 * 121
+
+
 def test_bands_at_the_threshold():
     """A pair at 0.8 shares no band with a probability below one in ten thousand."""
     assert (1 - 0.8 ** neardup.ROWS) ** neardup.BANDS < 1e-4
