@@ -1130,11 +1130,10 @@ def q_read_screened_json(spark, sf_dir):
 @query("read_pair_list", O.with_ctes(["screened"], """
 SELECT DISTINCT s AS symbol FROM (SELECT sym_a AS s FROM screened UNION ALL SELECT sym_b FROM screened)"""))
 def q_read_pair_list(spark, sf_dir):
-    """{"pairs": [[a, b], ...]} document of the screened pairs -> distinct symbols."""
+    """{"pairs": [[a, b]]} lines of the screened pairs -> distinct symbols."""
     path = scratch_path(spark, "pair_list_json")
-    p = _screened(spark, sf_dir)
-    p.agg(F.collect_list(F.array("sym_a", "sym_b")).alias("pairs")).write.mode("overwrite").json(path)
-    return scr.read_pair_list(spark, path, bars(spark, sf_dir, 300))
+    scr.write_pair_list(_screened(spark, sf_dir), path)
+    return scr.read_pair_list(spark, path, bars(spark, sf_dir, 300), lines=True)
 
 
 @query("read_screened_deep", O.with_ctes(["legs"], "SELECT symbol FROM legs"))
@@ -1149,6 +1148,19 @@ def q_read_screened_deep(spark, sf_dir):
     return scr.read_screened(spark, path).select("symbol")
 
 
+@query("read_screened_wide", """
+SELECT DISTINCT event_type || '_' || CAST(user_id AS VARCHAR) AS symbol FROM events WHERE user_id IS NOT NULL""")
+def q_read_screened_wide(spark, sf_dir):
+    """Documents of pair objects that hold a ``data`` key each; only levels above the pairs count."""
+    path = scratch_path(spark, "screened_wide_json")
+    e = tables.read_table(spark, sf_dir, "events", ["event_type", "user_id", "value"]).where("user_id IS NOT NULL")
+    entry = F.struct(F.concat_ws("_", "event_type", F.col("user_id").cast("string")).alias("symbol"),
+                     F.struct(F.max("value").alias("data")).alias("data"))
+    each = e.groupBy("event_type", "user_id").agg(entry.alias("entry"))
+    each.groupBy("user_id").agg(F.struct(F.collect_list("entry").alias("selected_pairs")).alias("data")).select("data").write.json(path)
+    return scr.read_screened(spark, path).select("symbol")
+
+
 O.CTE["wide_universe"] = """wide_universe AS (
   SELECT event_type || '_' || CAST(user_id % 40 AS VARCHAR) AS symbol FROM events GROUP BY 1)"""
 
@@ -1185,33 +1197,52 @@ O.CTE["land"] = """land AS (
 O.DEPS["land"] = ["bars1h"]
 
 
-@query("stream_ingest", O.with_ctes(["land"], """
+STREAM_SQL = O.with_ctes(["land"], """
 SELECT upper(symbol) || 'USDT' AS symbol, ts, round(close, 6) AS close, date FROM (
-  SELECT *, row_number() OVER (PARTITION BY symbol, ts ORDER BY seq DESC) AS rn FROM land) WHERE rn = 1"""))
-def q_stream_ingest(spark, sf_dir):
-    """Three overlapping landing batches (the later ones correct earlier bars,
-    the second downwards and with times in seconds) drained by a file stream
-    with availableNow; foreachBatch upserts each micro-batch into the bar table."""
-    base = scratch_path(spark, "stream_ingest")
-    landing, table, ckpt = stream.stream_ingest_dirs(base)
+  SELECT *, row_number() OVER (PARTITION BY symbol, ts ORDER BY seq DESC) AS rn FROM land) WHERE rn = 1""")
+
+
+def _landing_batches(spark, sf_dir):
+    """Three overlapping landing batches: the later ones correct earlier bars, the second
+    downwards and with times in seconds."""
     b = bars(spark, sf_dir, 3600)
     d = F.col("date")
     batches = [(1, d < F.lit("2024-01-12").cast("date"), 1.0),
                (2, (d >= F.lit("2024-01-10").cast("date")) & (d <= F.lit("2024-01-22").cast("date")), 0.999),
                (3, d >= F.lit("2024-01-20").cast("date"), 1.002)]
     for seq, cond, factor in batches:
-        rows = b.filter(cond).select(
+        yield b.filter(cond).select(
             F.concat(F.upper("symbol"), F.lit("/USDT")).alias("SYMBOL"),
             (F.unix_seconds("ts") if seq == 2 else F.unix_millis("ts")).alias("TIMESTAMP"),
             F.col("open").alias("Open"), F.col("high").alias("High"), F.col("low").alias("Low"),
             (F.col("close") * F.lit(factor)).alias("Close"), F.col("volume").alias("Volume"),
             F.lit(seq).cast("long").alias("seq"))
+
+
+@query("stream_ingest", STREAM_SQL)
+def q_stream_ingest(spark, sf_dir):
+    """Three overlapping landing batches drained by a file stream with
+    availableNow; foreachBatch upserts each micro-batch into the bar table."""
+    landing, table, ckpt = stream.stream_ingest_dirs(scratch_path(spark, "stream_ingest"))
+    for rows in _landing_batches(spark, sf_dir):
         rows.write.mode("append").parquet(landing)
     stream.stream_ingest(spark, landing, table, ckpt, max_files_per_trigger=8)
     t = stream.current_table(spark, table)
     return t.select("symbol", "ts", r6("close").alias("close"), "date")
 
 
+@query("stream_ingest_stateful", STREAM_SQL)
+def q_stream_ingest_stateful(spark, sf_dir):
+    """The same batches through keyed state into an append-only log; the query runs
+    after each batch, the last time from a fresh checkpoint."""
+    landing, table, ckpt = stream.stream_ingest_dirs(scratch_path(spark, "stream_stateful"))
+    for i, rows in enumerate(_landing_batches(spark, sf_dir)):
+        rows.write.mode("append").parquet(landing)
+        stream.stateful_ingest(spark, landing, table, ckpt if i < 2 else f"{ckpt}_fresh", max_files_per_trigger=64)
+    t = stream.newest_bars(spark, table)
+    return t.select("symbol", "ts", r6("close").alias("close"), "date")
+
+
 # ---------------------------------------------------------------------------
 # table pick, model record round trip, report over scored signals
 # ---------------------------------------------------------------------------

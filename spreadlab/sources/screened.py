@@ -36,13 +36,10 @@ def _field(v: str, key: str) -> str:
 
 def _first_truthy(v: str, keys) -> str:
     """Value of the first key whose value is present and not empty/false/zero."""
-    parts = []
-    for k in keys:
-        f = _field(v, k)
-        truthy = (f"({f} IS NOT NULL AND NOT is_variant_null({f}) AND "
-                  f"coalesce(try_variant_get({f}, '$', 'string'), 'x') NOT IN ('', 'false', '0', '0.0', '[]', '{{}}'))")
-        parts.append(f"WHEN {truthy} THEN {f}")
-    return "(CASE " + " ".join(parts) + " END)"
+    fields = ", ".join(_field(v, k) for k in keys)
+    truthy = ("f IS NOT NULL AND NOT is_variant_null(f) AND "
+              "coalesce(try_variant_get(f, '$', 'string'), 'x') NOT IN ('', 'false', '0', '0.0', '[]', '{}')")
+    return f"try_element_at(filter(array({fields}), f -> {truthy}), 1)"
 
 
 def _symbols_of_list(arr: str) -> str:
@@ -64,9 +61,9 @@ def _strings_of(arr: str) -> str:
 
 
 def _nonempty(*cands: str) -> str:
-    """First non-empty array among candidates (empty array when none)."""
-    parts = " ".join(f"WHEN size({c}) > 0 THEN {c}" for c in cands)
-    return f"(CASE {parts} ELSE CAST(array() AS array<string>) END)"
+    """First non-empty array among candidates (empty array when none); each is evaluated once."""
+    return (f"coalesce(try_element_at(filter(array({', '.join(cands)}), c -> size(c) > 0), 1), "
+            f"CAST(array() AS array<string>))")
 
 
 def _own_symbols(v: str) -> str:
@@ -82,38 +79,33 @@ def _array_symbols(v: str) -> str:
             f"THEN {_strings_of(bare)} ELSE {_symbols_of_list(bare)} END")
 
 
+def _level(doc: str, depth: int) -> str:
+    """The value ``depth`` levels of ``data`` below a document (null when there is none)."""
+    return f"try_variant_get({doc}, '${'.data' * depth}', 'variant')"
+
+
 def data_depth(df: DataFrame, doc: str = "doc") -> int:
-    """Levels of ``data`` that any document can have: its number of "data" keys
-    (one small aggregate over the documents; the answer is one number)."""
-    keys = F.size(F.regexp_extract_all(F.to_json(doc), F.lit('"data":'), F.lit(0)))
-    return df.agg(F.max(keys)).first()[0] or 0
+    """An upper bound of the ``data`` levels that the documents really have, a power of two: the
+    first depth at which none has a value, asked of all documents in one small aggregate a doubling."""
+    depth = 8
+    while df.agg(F.expr(f"coalesce(bool_or({_level(doc, depth)} IS NOT NULL), false)")).first()[0]:
+        depth *= 2
+    return depth
 
 
 def with_doc_symbols(df: DataFrame, doc: str = "doc", out: str = "symbols", depth: int | None = None) -> DataFrame:
-    """Add ``out`` = the document's symbol list, at any nesting depth.  Each
-    ``data`` level is its own column and the answer is assembled from the
-    deepest level up, so the expression stays linear in the depth."""
+    """Add ``out`` = the document's symbol list: of the document itself and the values below its
+    ``data`` levels, the first list that isn't empty.  The levels are the elements of one array and
+    the rule is one expression over it, so the plan doesn't grow with the keys of a document, and
+    by one path a level with its depth (a list or scalar ends the levels: nothing is below it)."""
     depth = data_depth(df, doc) if depth is None else depth
-    levels = [doc]
-    for d in range(1, depth + 1):
-        name = f"_lvl{d}"
-        df = df.withColumn(name, F.expr(_field(levels[-1], "data")))
-        levels.append(name)
-    empty = "CAST(array() AS array<string>)"
-    below = empty
-    for d in range(depth, -1, -1):
-        v = levels[d]
-        own = f"_own{d}"
-        df = df.withColumn(own, F.expr(_own_symbols(v)))
-        res = (f"CASE WHEN {v} IS NULL THEN {empty} "
-               f"WHEN schema_of_variant({v}) LIKE 'OBJECT%' THEN "
-               f"(CASE WHEN size({own}) > 0 THEN {own} ELSE {below} END) "
-               f"WHEN schema_of_variant({v}) LIKE 'ARRAY%' THEN {_array_symbols(v)} "
-               f"ELSE {empty} END")
-        df = df.withColumn(f"_res{d}", F.expr(res))
-        below = f"_res{d}"
-    drop = [c for c in df.columns if c.startswith(("_lvl", "_own", "_res")) and c != "_res0"]
-    return df.withColumnRenamed("_res0", out).drop(*drop)
+    levels = ", ".join(_level(doc, d) for d in range(depth))
+    rule = (f"CASE WHEN schema_of_variant(v) LIKE 'OBJECT%' THEN {_own_symbols('v')} "
+            f"WHEN schema_of_variant(v) LIKE 'ARRAY%' THEN {_array_symbols('v')} "
+            f"ELSE CAST(array() AS array<string>) END")
+    lists = f"transform(filter(array({levels}), v -> v IS NOT NULL), v -> {rule})"
+    first = f"try_element_at(filter({lists}, l -> size(l) > 0), 1)"
+    return df.withColumn(out, F.expr(f"coalesce({first}, CAST(array() AS array<string>))"))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -161,12 +153,14 @@ def load_screened(spark: SparkSession, path: str, fallback: DataFrame) -> DataFr
                      F.lit(None).cast("int").alias("pos"))
 
 
-def read_pair_list(spark: SparkSession, path: str, bars: DataFrame, max_symbols: int | None = None) -> DataFrame:
+def read_pair_list(spark: SparkSession, path: str, bars: DataFrame, max_symbols: int | None = None,
+                   lines: bool = False) -> DataFrame:
     """Symbols of {"pairs": [[a, b], ...]} (two-element entries only),
     distinct; without pairs or without the file, all symbols of the bars, or the
-    first ``max_symbols`` in sorted order if the caller asks for a limit."""
+    first ``max_symbols`` in sorted order if the caller asks for a limit.
+    ``lines``: such a document a line, as ``write_pair_list`` writes them."""
     if path_exists(spark, path):
-        doc = spark.read.text(path, wholetext=True).select(F.expr("try_parse_json(value)").alias("doc"))
+        doc = spark.read.text(path, wholetext=not lines).select(F.expr("try_parse_json(value)").alias("doc"))
         pairs = doc.select(F.expr("try_variant_get(doc, '$.pairs', 'array<array<string>>')").alias("p"))
         syms = (pairs.select(F.explode(F.filter("p", lambda x: F.size(x) == 2)).alias("pr"))
                 .select(F.explode("pr").alias("symbol")).filter(F.col("symbol").isNotNull()).distinct())
@@ -174,3 +168,10 @@ def read_pair_list(spark: SparkSession, path: str, bars: DataFrame, max_symbols:
             return syms
     universe = bars.select("symbol").distinct()
     return universe if max_symbols is None else universe.orderBy("symbol").limit(max_symbols)
+
+
+def write_pair_list(pairs: DataFrame, path: str) -> str:
+    """Pairs (sym_a, sym_b) as JSON lines from Spark's partitions, a pair a line; no list of
+    all pairs is gathered."""
+    (pairs.select(F.array(F.array("sym_a", "sym_b")).alias("pairs")).write.mode("overwrite").json(path))
+    return path

@@ -8,6 +8,9 @@ and then published (never overwriting a path that the plan is reading).
 
 from __future__ import annotations
 
+import functools
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,11 +44,26 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], order: str | l
 
 def upsert_partial(target: DataFrame, source: DataFrame, keys: list[str], set_cols: list[str]) -> DataFrame:
     """K2: matched -> update only ``set_cols`` (null updates kept), not matched ->
-    insert the source's columns; other target columns stay as they are."""
+    insert the source's columns; other target columns stay as they are.  Several source
+    rows of one key that the target has are an error, raised while the plan runs (a merge
+    can't tell which of them is meant); null keys match nothing and are all inserted."""
     t = target.withColumn("_t_hit", F.lit(True))
-    s = source.select(*[F.col(c).alias(f"_s_{c}") for c in [*keys, *set_cols]]).withColumn("_s_hit", F.lit(True))
+    each = F.struct(*[F.col(c) for c in [*keys, *set_cols]])
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    # a grouped count, combined on the map side; rows with a null key stay as they are
+    one = (source.where(known).groupBy(*[F.col(k).alias(f"_s_{k}") for k in keys])
+           .agg(F.count("*").alias("_s_n"), F.max_by(F.struct(*[F.col(c) for c in set_cols], F.lit(1).alias("_one")), each).alias("_s_row"))
+           .select(*[f"_s_{k}" for k in keys], *[F.col(f"_s_row.{c}").alias(f"_s_{c}") for c in set_cols], "_s_n"))
+    rest = source.where(~known).select(*[F.col(c).alias(f"_s_{c}") for c in [*keys, *set_cols]],
+                                       F.lit(1).cast("bigint").alias("_s_n"))
+    s = one.unionByName(rest).withColumn("_s_hit", F.lit(True))
     cond = [F.col(k) == F.col(f"_s_{k}") for k in keys]
     j = t.join(s, cond, "full_outer")
+    several = F.raise_error(F.concat(F.lit("several source rows match a target row: "),
+                                     F.to_json(F.struct(*[F.col(f"_s_{k}").alias(k) for k in keys]))))
+    j = j.withColumn("_s_hit", F.when(F.col("_s_n") > 1, several.cast("boolean")).otherwise(F.col("_s_hit")))
     out = []
     for c in target.columns:
         if c in keys:
@@ -69,15 +87,20 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
 def merge_partitions(spark: SparkSession, table_dir: str, source: DataFrame, keys: list[str],
                      order: str | list[str], token: str, partition: str = "date", versioned: bool = False) -> None:
     """K1/K9: upsert into a table partitioned by ``partition``, touching only the
-    partitions that the source names; the cost follows the batch.
-
-    The merged partitions are staged under ``token`` first.  A run that finds its
-    stage complete publishes it and merges nothing, so a crash while partitions
-    are being overwritten is mended by running again: the stage, not the damaged
-    table, is what is published.  ``versioned``: the order column is part of the
-    table and old rows compete with it; otherwise a source row always wins."""
-    stage = f"{table_dir.rstrip('/')}_staging/{token}"
-    if not exists(spark, f"{stage}/_SUCCESS"):
+    partitions that the source names; the cost follows the batch.  One writer a table.
+
+    The merged partitions are staged first, then published, then the stage goes: a stage
+    that is still there belongs to a run that died while it overwrote partitions.
+    ``versioned``: the order column is part of the table and old rows compete with it, so
+    whatever whole stages are found, of any run, are merged in again and nothing of a
+    half-published batch is lost.  Otherwise a source row always wins, and a run that finds
+    the whole stage of its own ``token`` publishes that."""
+    root = f"{table_dir.rstrip('/')}_staging"
+    whole = _whole_stages(spark, root, None if versioned else token)
+    stage = f"{root}/{token}-{uuid.uuid4().hex[:12]}"
+    if versioned or not whole:
+        waiting = [spark.read.parquet(w) for w in whole]
+        source = functools.reduce(lambda a, b: a.unionByName(b.select(*a.columns)), waiting, source)
         # bounded by the calendar: the dates of one batch
         touched = [r[0] for r in source.select(partition).distinct().collect()]
         if not touched:
@@ -90,18 +113,26 @@ def merge_partitions(spark: SparkSession, table_dir: str, source: DataFrame, key
                 merged = upsert(old, source, keys, order)
         else:
             merged = dedupe_latest(source, keys, order)
-        merged.write.mode("overwrite").parquet(stage)          # never read and overwrite one path
+        merged.write.parquet(stage)                            # never read and overwrite one path
+    else:
+        stage = whole[-1]
     write_partitions(spark.read.parquet(stage), table_dir, partition)
-    _drop_published(spark, stage)
+    for done in {stage, *whole}:
+        _path(spark, done)[1].delete(_path(spark, done)[0], True)
+
+
+def _path(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def _drop_published(spark: SparkSession, stage: str) -> None:
-    """Remove the stages of earlier tokens; the last one stays for a retry."""
-    now = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(stage)
-    fs = now.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for old in fs.listStatus(now.getParent()):
-        if old.getPath().getName() != now.getName():
-            fs.delete(old.getPath(), True)
+def _whole_stages(spark: SparkSession, root: str, token: str | None) -> list[str]:
+    """Stages under ``root`` that were written to the end (of ``token``, or all)."""
+    p, fs = _path(spark, root)
+    if not fs.exists(p):
+        return []
+    names = sorted(str(x.getPath().getName()) for x in fs.listStatus(p))
+    return [f"{root}/{n}" for n in names if (token is None or n.rsplit("-", 1)[0] == token) and exists(spark, f"{root}/{n}/_SUCCESS")]
 
 
 def write_partitions(df: DataFrame, path: str, partition: str = "date") -> str:
@@ -115,8 +146,8 @@ def write_partitions(df: DataFrame, path: str, partition: str = "date") -> str:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    p, fs = _path(spark, path)
+    return fs.exists(p)
 
 
 def upsert_table(spark: SparkSession, target_path: str | None, source: DataFrame, keys: list[str],

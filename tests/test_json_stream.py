@@ -107,3 +107,84 @@ def test_crash_between_stage_and_publish(spark, monkeypatch):
     monkeypatch.setattr(sinks, "write_partitions", sinks_publish)
     stream.merge_batch(spark, batch, 1, table)
     assert _table(spark, table) == {k: v for k, v in WANT.items() if k[0] == "AUSDT"}
+
+
+def test_a_new_run_loses_nothing(spark):
+    """Two runs over one table, the second from a fresh checkpoint with batch numbers from 0 again."""
+    from spreadlab.streaming import ingest as stream
+    base = tempfile.mkdtemp(prefix="spreadlab-stream-", dir="/tmp")
+    _, table, _ = stream.stream_ingest_dirs(base)
+    for i, rows in enumerate([LATER[0], LATER[2] + LATER[1]]):
+        landing = os.path.join(base, f"landing{i}")
+        spark.createDataFrame(rows, stream.LANDING_SCHEMA).coalesce(1).write.parquet(landing)
+        stream.stream_ingest(spark, landing, table, os.path.join(base, f"ckpt{i}"))
+    assert _table(spark, table) == WANT
+    assert not os.listdir(f"{table}_staging")
+
+
+def test_a_new_run_mends_what_a_dead_one_left(spark, monkeypatch):
+    """A run that died while it published is not retried; the next run's first batch merges its stage."""
+    from spreadlab.sources import sinks
+    from spreadlab.streaming import ingest as stream
+    _, table, _ = stream.stream_ingest_dirs(tempfile.mkdtemp(prefix="spreadlab-stream-", dir="/tmp"))
+    stream.merge_batch(spark, spark.createDataFrame(LATER[0], stream.LANDING_SCHEMA), 0, table)
+    publish = sinks.write_partitions
+
+    def die(df, path, partition="date"):
+        publish(df.limit(1), path, partition)
+        raise OSError("lost")
+
+    monkeypatch.setattr(sinks, "write_partitions", die)
+    with pytest.raises(OSError):
+        stream.merge_batch(spark, spark.createDataFrame(LATER[1], stream.LANDING_SCHEMA), 1, table)
+    monkeypatch.setattr(sinks, "write_partitions", publish)
+    stream.merge_batch(spark, spark.createDataFrame(LATER[2], stream.LANDING_SCHEMA), 0, table)
+    assert _table(spark, table) == WANT
+
+
+def test_stateful_ingest(spark):
+    """State drops what is older; a restart, a fresh checkpoint and compaction leave the bars as they are."""
+    from spreadlab.streaming import ingest as stream
+    landing, table, ckpt = stream.stream_ingest_dirs(tempfile.mkdtemp(prefix="spreadlab-stream-", dir="/tmp"))
+
+    def bars():
+        rows = stream.newest_bars(spark, table).collect()
+        assert len({(r["symbol"], r["ts"]) for r in rows}) == len(rows)
+        return {(r["symbol"], r["ts"].hour): r["close"] for r in rows}
+
+    for i in (0, 2, 1):
+        spark.createDataFrame(LATER[i], stream.LANDING_SCHEMA).coalesce(1).write.mode("append").parquet(landing)
+        stream.stateful_ingest(spark, landing, table, ckpt)
+    assert bars() == WANT
+    logged = spark.read.parquet(table).count()
+    assert logged == sum(map(len, LATER))
+    old = [LATER[0][0][:7] + (0,), LATER[0][1][:7] + (None,)]           # older than what is held
+    spark.createDataFrame(old, stream.LANDING_SCHEMA).coalesce(1).write.mode("append").parquet(landing)
+    stream.stateful_ingest(spark, landing, table, ckpt)
+    assert spark.read.parquet(table).count() == logged and bars() == WANT
+    stream.stateful_ingest(spark, landing, table, f"{ckpt}_fresh", max_files_per_trigger=8)
+    assert spark.read.parquet(table).count() > logged and bars() == WANT
+    dates = [r[0] for r in spark.read.parquet(table).select("date").distinct().collect()]
+    stream.compact_dates(spark, table, dates)
+    assert spark.read.parquet(table).count() == len(WANT) and bars() == WANT
+
+
+def test_documents_with_many_data_keys_and_deep_levels(spark):
+    d = tempfile.mkdtemp(prefix="spreadlab-json-", dir="/tmp")
+    many = _write(d, "many.json", json.dumps({"pairs": [{"symbol": f"S{i}", "data": {"data": i}} for i in range(10_000)]}))
+    assert [r["symbol"] for r in read_screened(spark, many).collect()] == [f"S{i}" for i in range(10_000)]
+    doc = {"symbols": ["DEEP"]}
+    for _ in range(200):
+        doc = {"data": doc, "symbols": []}
+    lines = [json.dumps(doc), json.dumps({"data": ["L1"]}), "no json", json.dumps({"data": {"data": 5}, "pairs": ["P"]})]
+    deep = _write(d, "deep.json", "\n".join(lines))
+    assert [r["symbol"] for r in read_screened(spark, deep).collect()] == ["DEEP", "L1", "P"]
+
+
+def test_pair_lines(spark):
+    from spreadlab.sources.screened import write_pair_list
+    d = tempfile.mkdtemp(prefix="spreadlab-json-", dir="/tmp")
+    pairs = spark.createDataFrame([("B", "A"), ("A", "C")], "sym_a string, sym_b string").repartition(2)
+    path = write_pair_list(pairs, os.path.join(d, "pairs"))
+    bars = spark.createDataFrame([("Z",)], "symbol string")
+    assert sorted(r["symbol"] for r in read_pair_list(spark, path, bars, lines=True).collect()) == ["A", "B", "C"]
