@@ -167,3 +167,27 @@ def best_candidate(candidates: DataFrame) -> DataFrame:
     """Highest AUC, ties by name; a record without name or uri is invalid."""
     valid = candidates.filter(F.col("name").isNotNull() & F.col("uri").isNotNull())
     return valid.orderBy(F.desc("auc"), F.asc("name")).limit(1)
+
+
+CANDIDATES = "best_model struct<name: string, auc: double, uri: string>, candidates array<struct<name: string, auc: double, uri: string>>"
+
+
+def save_candidates(candidates: DataFrame, path: str) -> str:
+    """K6: the candidates (name, auc, uri) and the best of them as one JSON document.  It holds one
+    entry a trained model."""
+    each = F.array_sort(F.collect_list(F.struct("name", "auc", "uri")))
+    named = F.col("name").isNotNull() & F.col("uri").isNotNull()
+    # the order of ``best_candidate``, as one aggregate: highest AUC, then least name
+    best = F.min_by(F.when(named, F.struct("name", "auc", "uri")), F.when(named, F.struct(-F.col("auc"), "name")))
+    candidates.agg(best.alias("best_model"), each.alias("candidates")).coalesce(1).write.mode("overwrite").json(path)
+    return path
+
+
+def load_candidates(spark: SparkSession, path: str) -> DataFrame:
+    """K6: (name, auc, uri, is_best) of a candidates document; an error when it names no best model."""
+    doc = spark.read.schema(CANDIDATES).json(path)
+    valid = F.col("best_model.name").isNotNull() & F.col("best_model.uri").isNotNull()
+    checked = F.when(valid, F.col("candidates")).otherwise(
+        F.raise_error(F.lit("the document names no best model")).cast("array<struct<name: string, auc: double, uri: string>>"))
+    return (doc.select("best_model", F.explode(checked).alias("c"))
+            .select("c.name", "c.auc", "c.uri", ((F.col("c.name") == F.col("best_model.name")) & (F.col("c.uri") == F.col("best_model.uri"))).alias("is_best")))

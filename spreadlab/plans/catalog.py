@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timefn import ntz_columns
 from ..session import scratch_path
-from ..sources import sinks, surrogate, tables
+from ..sources import sinks, state, surrogate, tables
 from ..operators import report
 from . import oracle_sql as O
 
@@ -853,6 +853,14 @@ def q_best_candidate(spark, sf_dir):
     return mdl.best_candidate(c)
 
 
+@query("candidates_document", O.with_ctes(["cands"], "SELECT name, auc, 'models/candidates/' || name AS uri, "
+       "row_number() OVER (ORDER BY auc DESC, name) = 1 AS is_best FROM (" + _auc_sql_body.format(g="name,", pg="name", src="cands") + ")"))
+def q_candidates_document(spark, sf_dir):
+    """K6: the candidates and the best of them written as a document and read back."""
+    path = mdl.save_candidates(_candidates(spark, sf_dir).select("name", r6("auc").alias("auc"), "uri"), scratch_path(spark, "candidates"))
+    return mdl.load_candidates(spark, path)
+
+
 O.CTE["newton"] = "tz AS MATERIALIZED (SELECT CAST(label AS DOUBLE) AS y, " + ", ".join(
     f"({c} - avg({c}) OVER ()) / (CASE WHEN stddev_pop({c}) OVER () = 0 THEN 1.0::DOUBLE ELSE stddev_pop({c}) OVER () END) AS z{i}"
     for i, c in enumerate(FEATS, 1)) + f", 1.0::DOUBLE AS z{len(FEATS) + 1} FROM split WHERE is_train),\n" + O.logistic_newton_sql(
@@ -1002,6 +1010,39 @@ def q_incremental_filter(spark, sf_dir):
     return ingest.newer_than(t, wm).select("timeframe", "symbol", "ts", r6("close").alias("close"))
 
 
+@query("incremental_runs", O.with_ctes(["tagged"], """
+SELECT timeframe, symbol, ts, round(close, 6) AS close, CAST(ts AS DATE) AS date,
+       epoch_ms(max(ts) OVER (PARTITION BY timeframe, symbol)) AS wm_ms FROM tagged"""))
+def q_incremental_runs(spark, sf_dir):
+    """Three runs over a growing source with the watermark document between them; the second
+    dies after its bars are in the table and before its watermarks are."""
+    base = scratch_path(spark, "incremental")
+    t = _tagged(spark, sf_dir).withColumn("date", F.to_date("ts"))
+    for until, dies in (("2024-01-10", False), ("2024-01-20", True), ("2024-02-10", False)):
+        part = t.where(F.col("date") < F.lit(until).cast("date"))
+        if dies:
+            new = ingest.newer_than(part, state.read_watermarks(spark, f"{base}/state"))
+            sinks.merge_partitions(spark, f"{base}/bars", new, ["timeframe", "symbol", "ts"], [], "run")
+        else:
+            state.incremental_run(spark, part, f"{base}/bars", f"{base}/state")
+    return (spark.read.parquet(f"{base}/bars").join(state.read_watermarks(spark, f"{base}/state"), ["timeframe", "symbol"])
+            .select("timeframe", "symbol", "ts", r6("close").alias("close"), "date", "wm_ms"))
+
+
+@query("features_evolved", O.with_ctes(["feat"], """
+SELECT ts, symbol, date, round(close, 6) AS close, round(ma_5, 6) AS ma_5,
+       CASE WHEN date >= DATE '2024-01-16' THEN round(z_48, 6) END AS z_48 FROM feat"""))
+def q_features_evolved(spark, sf_dir):
+    """K4: a feature table whose later partitions bring a column that the earlier ones lack."""
+    path = scratch_path(spark, "features_evolved")
+    f = _features_5m(spark, sf_dir).select("ts", "symbol", "date", "close", "ma_5", "z_48")
+    later = F.col("date") >= F.lit("2024-01-16").cast("date")
+    state.write_evolved(f.where(~later).drop("z_48"), path)
+    state.write_evolved(f.where(later), path)
+    return state.read_evolved(spark, path).select("ts", "symbol", "date", r6("close").alias("close"), r6("ma_5").alias("ma_5"),
+                                                  r6("z_48").alias("z_48"))
+
+
 O.CTE["ups"] = """ups_t AS (SELECT symbol, ts, open, high, low, close, volume, date FROM bars1h WHERE date < DATE '2024-01-20'),
 ups_s AS (SELECT symbol, ts, open, high, low, close * 1.001::DOUBLE AS close, volume, date FROM bars1h
           WHERE date >= DATE '2024-01-15'),

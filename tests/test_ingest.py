@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from spreadlab.sources import bars as ingest
@@ -107,3 +108,45 @@ def test_candles_to_bars(spark):
 def test_union_bars_empty(spark):
     out = ingest.union_bars(spark, [])
     assert out.count() == 0 and out.columns == [f.name for f in ingest.RAW_SCHEMA.fields]
+
+
+def test_upsert_partial_refuses_several_source_rows(spark):
+    """Two source rows for one target row are an error; null keys match nothing."""
+    target = spark.createDataFrame([("A", 1, 0.1, 0), ("B", 1, 0.2, 0)], "symbol string, ts int, prob double, signal int")
+    twice = spark.createDataFrame([("A", 1, 0.5, 1), ("A", 1, 0.6, 1)], "symbol string, ts int, prob double, signal int")
+    with pytest.raises(Exception, match="several source rows match"):
+        sinks.upsert_partial(target, twice, ["symbol", "ts"], ["prob", "signal"]).collect()
+    nulls = spark.createDataFrame([(None, 1, 0.5, 1), (None, 1, 0.6, 1), ("B", 1, 0.9, 1)], "symbol string, ts int, prob double, signal int")
+    got = sorted(map(tuple, sinks.upsert_partial(target, nulls, ["symbol", "ts"], ["prob", "signal"]).collect()), key=str)
+    assert got == sorted([("A", 1, 0.1, 0), ("B", 1, 0.9, 1), (None, 1, 0.5, 1), (None, 1, 0.6, 1)], key=str)
+
+
+def test_watermark_document_and_growing_table(spark, tmp_path):
+    from spreadlab.sources import state
+    base = str(tmp_path / "state")
+    assert state.read_watermarks(spark, base).collect() == []
+    wm = spark.createDataFrame([("1h", "A/B", 5), ("1h", "C", 7), ("5m", "A/B", 1)], state.WATERMARKS)
+    for add in (0, 10):
+        state.publish_watermarks(wm.withColumn("wm_ms", wm.wm_ms + add), base)
+    assert sorted(map(tuple, state.read_watermarks(spark, base).collect())) == [("1h", "A/B", 15), ("1h", "C", 17), ("5m", "A/B", 11)]
+    path = str(tmp_path / "table")
+    state.write_evolved(spark.createDataFrame([(1, 1.0, "d1"), (2, 2.0, "d2")], "k bigint, x double, date string"), path)
+    state.write_evolved(spark.createDataFrame([(3, "new", "d2")], "k int, y string, date string"), path)
+    got = sorted((r.k, r.x, r.y, r.date) for r in state.read_evolved(spark, path).collect())
+    assert got == [(1, 1.0, None, "d1"), (3, None, "new", "d2")]
+    for bad in ("k string, date string", "k double, date string"):
+        with pytest.raises(ValueError, match="column k"):
+            state.write_evolved(spark.createDataFrame([], bad), path)
+    assert state.read_evolved(spark, path).count() == 2
+
+
+def test_candidates_document(spark, tmp_path):
+    from spreadlab.operators import model as mdl
+    schema = "name string, auc double, uri string"
+    c = spark.createDataFrame([("b", 0.7, "u/b"), ("a", 0.7, "u/a"), ("z", 0.1, "u/z"), (None, 0.9, "u"), ("q", 0.8, None)], schema)
+    path = mdl.save_candidates(c, str(tmp_path / "c"))
+    got = {r.name: r.is_best for r in mdl.load_candidates(spark, path).where("name IS NOT NULL AND uri IS NOT NULL").collect()}
+    assert got == {"b": False, "a": True, "z": False} and mdl.best_candidate(c).first().name == "a"
+    empty = mdl.save_candidates(c.where("uri IS NULL"), str(tmp_path / "e"))
+    with pytest.raises(Exception, match="no best model"):
+        mdl.load_candidates(spark, empty).collect()
