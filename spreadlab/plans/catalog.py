@@ -324,21 +324,97 @@ def q_screened_symbols(spark, sf_dir):
     return screen.pair_symbols(screen.screen_gate(_stats(spark, sf_dir)))
 
 
-@query("eg_tau_aic")
+# The lag search by elimination: a pair's Gram matrix is one list, a step of the recursion
+# takes a column out of it, and its last cell is then the residual sum of that order.
+def _eliminate_sql(name: str, gram: str, steps: str) -> str:
+    return f"""{name} AS (
+  SELECT sym_a, sym_b, 0 AS s, w, m FROM {gram}
+  UNION ALL
+  SELECT sym_a, sym_b, s + 1, w,
+         [m[x + 1] - m[(x // w) * w + s + 1] * m[s * w + x % w + 1] / m[s * w + s + 1] for x in range(w * w)]
+  FROM {name} WHERE s < {steps})"""
+
+
+def _gram_sql(name: str, cells: str) -> str:
+    return f"""{name} AS (
+  SELECT sym_a, sym_b, any_value(w) AS w, list(g ORDER BY i, j) AS m FROM (
+    SELECT u.sym_a, u.sym_b, u.j AS i, v.j, any_value(u.w) AS w, sum(u.v * v.v) AS g
+    FROM {cells} u JOIN {cells} v ON u.sym_a = v.sym_a AND u.sym_b = v.sym_b AND u.t = v.t
+    GROUP BY u.sym_a, u.sym_b, u.j, v.j)
+  GROUP BY sym_a, sym_b)"""
+
+
+O.CTE["aic"] = f"""ar AS MATERIALIZED (
+  SELECT *, e - lag(e) OVER w AS d, lag(e) OVER w AS x, row_number() OVER w - 2 AS t,
+         count(*) OVER (PARTITION BY sym_a, sym_b) AS n
+  FROM (SELECT r.* FROM resid r JOIN stats s ON r.sym_a = s.sym_a AND r.sym_b = s.sym_b
+        WHERE s.std_a <> 0 AND s.std_b <> 0 AND abs(s.corr) >= {SCREEN_MIN_ABS_CORR}::DOUBLE)
+  WINDOW w AS (PARTITION BY sym_a, sym_b ORDER BY ts)),
+an AS (
+  SELECT DISTINCT sym_a, sym_b, n,
+         greatest(0, least(CAST(ceil(12.0::DOUBLE * pow(n / 100.0::DOUBLE, 0.25::DOUBLE)) AS BIGINT), n // 2 - 2)) AS top
+  FROM ar),
+asearch AS MATERIALIZED (
+  SELECT y.sym_a, y.sym_b, y.t, k.j, top + 2 AS w,
+         CASE WHEN k.j = 0 THEN y.x WHEN k.j = top + 1 THEN y.d ELSE z.d END AS v
+  FROM ar y JOIN an ON y.sym_a = an.sym_a AND y.sym_b = an.sym_b
+  JOIN (SELECT unnest(range(200)) AS j) k ON k.j <= top + 1
+  LEFT JOIN ar z ON z.sym_a = y.sym_a AND z.sym_b = y.sym_b AND z.t = y.t - k.j
+  WHERE y.t >= top),
+{_gram_sql("agram", "asearch")},
+{_eliminate_sql("aelim", "agram", "w - 1")},
+apick AS (
+  SELECT sym_a, sym_b, arg_min(k, (aic, k)) AS k FROM (
+    SELECT r.sym_a, r.sym_b, s - 1 AS k,
+           (n - 1 - top) * (ln(2 * pi() * m[w * w] / (n - 1 - top)) + 1) + 2 * s AS aic
+    FROM aelim r JOIN an ON r.sym_a = an.sym_a AND r.sym_b = an.sym_b WHERE s > 0 AND m[w * w] > 0 AND n - 1 - top > s)
+  GROUP BY sym_a, sym_b),
+arefit AS MATERIALIZED (
+  SELECT y.sym_a, y.sym_b, y.t, l.j, p.k + 2 AS w,
+         CASE WHEN l.j = p.k THEN y.x WHEN l.j = p.k + 1 THEN y.d ELSE z.d END AS v
+  FROM ar y JOIN apick p ON y.sym_a = p.sym_a AND y.sym_b = p.sym_b
+  JOIN (SELECT unnest(range(200)) AS j) l ON l.j <= p.k + 1
+  LEFT JOIN ar z ON z.sym_a = y.sym_a AND z.sym_b = y.sym_b AND z.t = y.t - l.j - 1
+  WHERE y.t >= p.k),
+{_gram_sql("fgram", "arefit")},
+{_eliminate_sql("felim", "fgram", "w - 2")},
+aic AS (
+  SELECT f.sym_a, f.sym_b, s.corr, CAST(w - 2 AS INTEGER) AS lags, an.n - 1 - (w - 2) AS nobs,
+         m[w * w - 1] / sqrt((m[w * w] - m[w * w - 1] * m[w * w - 1] / m[(w - 1) * w - 1]) / (an.n - 2 - 2 * (w - 2))
+                             * m[(w - 1) * w - 1]) AS tau
+  FROM felim f JOIN an ON f.sym_a = an.sym_a AND f.sym_b = an.sym_b
+  JOIN stats s ON s.sym_a = f.sym_a AND s.sym_b = f.sym_b WHERE f.s = w - 2)"""
+O.DEPS["aic"] = ["stats"]
+
+
+@query("eg_tau_aic", "WITH RECURSIVE " + O.with_ctes(["aic"], f"""
+SELECT sym_a, sym_b, lags, round(tau, 6) AS tau, round({O.eg_pvalue_sql('tau')}, 6) AS pvalue, CAST(nobs AS BIGINT) AS nobs
+FROM aic""").removeprefix("WITH "))
 def q_eg_tau_aic(spark, sf_dir):
-    """M2 with the lag search on the correlated pairs (rows-only check; eg_tau and
-    eg_tau_lag2 hold the fits themselves against SQL)."""
+    """M2 with the lag search on the correlated pairs."""
     return _aic_stats(spark, sf_dir).select(
         "sym_a", "sym_b", "lags", r6("tau").alias("tau"), r6("pvalue").alias("pvalue"), "nobs")
 
 
-@query("screened_pairs_aic")
+@query("screened_pairs_aic", "WITH RECURSIVE " + O.with_ctes(["aic"], f"""
+SELECT sym_a, sym_b, round(corr, 6) AS corr, round({O.eg_pvalue_sql('tau')}, 6) AS pvalue FROM aic
+WHERE tau IS NOT NULL AND tau < {O.TAU_AT_5_PERCENT}::DOUBLE""").removeprefix("WITH "))
 def q_screened_pairs_aic(spark, sf_dir):
-    """M1 as the library runs it by default: lags by AIC (rows-only check)."""
-    p = screen.screen_gate(_aic_stats(spark, sf_dir))
+    """M1 as the library runs it by default (``screen_pairs``): lags by AIC."""
+    p = screen.screen_pairs(bars(spark, sf_dir, 3600), AS_OF, 60)
     return p.select("sym_a", "sym_b", r6("corr").alias("corr"), r6("pvalue").alias("pvalue"))
 
 
+@query("corr_gate", O.with_ctes(["stats"], f"""
+SELECT sym_a, sym_b, n, round(corr, 6) AS corr, round(beta, 6) AS beta, round(tau, 6) AS tau FROM stats
+WHERE std_a <> 0 AND std_b <> 0 AND abs(corr) >= {SCREEN_MIN_ABS_CORR}::DOUBLE"""))
+def q_corr_gate(spark, sf_dir):
+    """The pairs past the correlation gate; the rest are excluded by the bound
+    on their coefficients or by the exact product."""
+    s = screen.screen_stats(bars(spark, sf_dir, 3600), AS_OF, 60, 0, SCREEN_MIN_ABS_CORR)
+    return s.select("sym_a", "sym_b", "n", r6("corr").alias("corr"), r6("beta").alias("beta"), r6("tau").alias("tau"))
+
+
 O.CTE["lag2"] = """l2 AS (
   SELECT sym_a, sym_b, lag(e) OVER w AS x0, lag(e) OVER w - lag(e, 2) OVER w AS x1,
          lag(e, 2) OVER w - lag(e, 3) OVER w AS x2, e - lag(e) OVER w AS y

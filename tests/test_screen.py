@@ -91,12 +91,12 @@ def test_any_number_of_blocks_gives_the_same_pairs(spark):
     series = {f"s{i:02d}": 100 + np.cumsum(rng.normal(0, 1, 50)) for i in range(12)}
     filled = screen.filled_series(_bars(spark, series))
     got = {}
-    for blocks in (1, 4, screen.BLOCKS):
+    for blocks in (1, 4, 16):
         rows = screen.pair_stats(filled, 1, blocks=blocks).collect()
         got[blocks] = {(r["sym_a"], r["sym_b"]): (r["n"], r["corr"], r["beta"], r["tau"]) for r in rows}
         assert len(rows) == len(got[blocks]) == 66 and all(a < b for a, b in got[blocks])
     for pair, want in got[1].items():
-        assert np.allclose(got[4][pair], want, atol=1e-9) and np.allclose(got[screen.BLOCKS][pair], want, atol=1e-9)
+        assert np.allclose(got[4][pair], want, atol=1e-9) and np.allclose(got[16][pair], want, atol=1e-9)
         assert abs(want[1] - np.corrcoef(series[pair[0]], series[pair[1]])[0, 1]) < 1e-12
 
 
@@ -128,3 +128,55 @@ def test_adf_matches_least_squares():
     lags, _, tau = screen.adf_statistic(e, "aic")
     assert lags == int(np.argmin(aic)) and abs(tau - _twin(e, lags)[0]) < 1e-9
     assert screen.adf_statistic(np.zeros(50), "aic") == (None, None, None)
+
+
+def test_the_bound_prunes_and_loses_no_pair(spark):
+    rng = np.random.default_rng(17)
+    walks = [100 + np.cumsum(rng.normal(0, 1, 120)) for _ in range(12)]
+    noise = [100 + rng.normal(0, 1, 120) for _ in range(8)]             # nothing in the low coefficients
+    series = {f"s{i:02d}": v for i, v in enumerate([*walks, *noise, 3 * noise[0] + rng.normal(0, 0.5, 120), np.full(120, 7.0)])}
+    filled = screen.filled_series(_bars(spark, series))
+    every = {(r["sym_a"], r["sym_b"]): tuple(r) for r in screen.pair_stats(filled, 0, blocks=3).collect()}
+    gated = {(r["sym_a"], r["sym_b"]): tuple(r) for r in screen.pair_stats(filled, 0, 0.7, blocks=3).collect()}
+    want = {k for k, r in every.items() if r[3] is not None and abs(r[3]) >= 0.7}
+    assert set(gated) == want and ("s12", "s20") in want and len(every) == 22 * 21 // 2
+    for k in want:
+        assert np.allclose(gated[k][2:], every[k][2:], rtol=0, atol=1e-9)
+    share = screen.pruned_share(filled, 0.7, blocks=3).first()
+    assert share["pairs"] == len(every) and 0 < share["pruned"] <= len(every) - len(want)
+    flat = every[("s00", "s21")]                                          # b constant: no fit
+    assert flat[3] is None and flat[6] is None and flat[-1] is None
+
+
+def test_no_lag_statistic_of_nearly_equal_legs(spark):
+    rng = np.random.default_rng(3)
+    b = 100 + np.cumsum(rng.normal(0, 1, 400))
+    a = 2 * b + rng.normal(0, 1e-4, 400)
+    c = 100 + np.cumsum(rng.normal(0, 1, 400))
+    got = {(r["sym_a"], r["sym_b"]): r for r in screen.screen_stats(_bars(spark, {"a": a, "b": b, "c": c}), "2024-01-18", 60).collect()}
+    for x, y in (("a", "b"), ("a", "c"), ("b", "c")):
+        u, v = {"a": a, "b": b, "c": c}[x], {"a": a, "b": b, "c": c}[y]
+        design = np.column_stack([np.ones_like(v), v])
+        e = u - design @ np.linalg.lstsq(design, u, rcond=None)[0]
+        assert abs(got[(x, y)]["tau"] - _twin(e, 0)[0]) < 1e-6 * abs(got[(x, y)]["tau"])
+
+
+def test_a_batch_of_searches_equals_single_ones():
+    rng = np.random.default_rng(8)
+    e = np.zeros((7, 160))
+    for t in range(2, 160):
+        e[:, t] = np.linspace(0.3, 0.95, 7) * e[:, t - 1] - 0.2 * e[:, t - 2] + rng.normal(0, 1, 7)
+    e[3] = 0.0
+    e[5] = np.tile([1.0, -1.0], 80)                                       # its differences determine its level
+    for lags in ("aic", 0, 3):
+        k, rows, tau = screen.adf_batch(e, lags, np.ones(7))
+        assert np.isnan(k[3]) and np.isnan(rows[3]) and np.isnan(tau[3])
+        for i in (0, 1, 2, 4, 6):
+            assert (int(k[i]), int(rows[i])) == screen.adf_statistic(e[i], lags, 1.0)[:2]
+            assert abs(tau[i] - _twin(e[i], int(k[i]))[0]) < 1e-9
+    assert screen.adf_statistic(e[5], 3)[2] is None
+    assert screen.adf_statistic(np.array([1.0, 2.0, 1.5, 2.5]), 3) == (3, 0, None)
+
+
+def test_blocks_follow_the_universe():
+    assert [screen.blocks_for(n) for n in (3, 64, 65, 1024, 8192, 8193, 100_000)] == [1, 1, 2, 16, 16, 17, 196]
