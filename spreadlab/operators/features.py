@@ -132,7 +132,7 @@ def pair_features(bars: DataFrame, pairs: DataFrame, mode: str = "rolling", wind
     if chunk_rows:
         out = chunked_windows(legs, ["pair"], "ts", reach, fwd,
                               lambda d, w: _spread_columns(d, w, mode, window, label_horizon, min_obs),
-                              chunk_rows=chunk_rows)
+                              chunk_rows=chunk_rows, write_once=True)
     else:
         out = _spread_columns(legs, Window.partitionBy("pair").orderBy("ts"), mode, window, label_horizon, min_obs)
     extra = ["_future"] if label_horizon else []

@@ -3,16 +3,19 @@
 ``Window.partitionBy(key)`` gives every key to one task.  A key that holds a
 large share of the rows (or too few keys for the cores) then serialises the
 work.  Frames here are bounded (at most ``back`` rows behind and ``fwd`` rows
-ahead of the current row), so each key's ordered rows can be cut into chunks
-of ``chunk_rows`` consecutive rows, each chunk carrying copies of the
-``back`` rows before it and the ``fwd`` rows after it (halo rows).  Window
-functions evaluated over ``partitionBy(key, chunk)`` then see exactly the
-frame the unchunked window would see for every row of the chunk's core, and
-halo rows are dropped afterwards.
+ahead of the current row), so each key's ordered rows can be cut into chunks, each
+carrying copies of the rows its frames reach (halo rows).  Window functions
+evaluated over ``partitionBy(key, chunk)`` then see exactly the frame the
+unchunked window would see for every row of the chunk's core, and halo rows are
+dropped afterwards.
 
-Row ordinals come from the bucketed two-pass scan (``prefix.running_sum`` of
-ones), so no step has a per-key task either.  Tasks are bounded by
-``chunk_rows + back + fwd`` rows whatever the key skew.
+A chunk is a run of whole buckets (by default UTC days) that begin within the same
+``chunk_rows`` rows of the key, and its halo is whole buckets too, so where a row goes
+follows from its key and bucket alone: a small map made from the counts per
+(key, bucket).  The rows themselves need no ordinal and no scan; they meet the map
+in an equi-join (a broadcast while the map measures small) and move once, to their
+chunk.  A task is bounded by ``chunk_rows`` plus the halo plus one bucket: choose a
+bucket that a task can hold.
 """
 
 from __future__ import annotations
@@ -23,54 +26,57 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from .prefix import running_sum
 
-ORD, CHUNK, CORE = "_ord", "_chunk", "_core"
+BUCKET, CHUNK, OWN = "_bucket", "_chunk", "_own"
 
 
-def with_ordinal(df: DataFrame, keys: list[str], order: list[str], bucket: Column) -> DataFrame:
-    """0-based row ordinal within each key (ties in ``order`` broken by the
-    ordering columns themselves; keys are expected unique on keys + order)."""
-    out = running_sum(df.withColumn("_one", F.lit(1).cast("long")), keys, order, {ORD: "_one"}, bucket)
-    return out.withColumn(ORD, F.col(ORD) - F.lit(1)).drop("_one")
+def chunk_map(df: DataFrame, keys: list[str], bucket: Column, back: int, fwd: int, chunk_rows: int) -> DataFrame:
+    """(keys, bucket, own, chunks): the chunk of each bucket and all chunks that need its rows.
 
-
-def chunk_rows_of(df_with_ord: DataFrame, back: int, fwd: int, chunk_rows: int) -> DataFrame:
-    """Tag rows with their chunk and replicate halo rows into neighbour chunks."""
-    if back > chunk_rows or fwd > chunk_rows:
-        raise ValueError("frame reach must not exceed the chunk size")
-    c = F.floor(F.col(ORD) / F.lit(chunk_rows)).cast("long")
-    pos = F.col(ORD) - c * F.lit(chunk_rows)
-    copies = F.array(
-        F.struct(c.alias("k"), F.lit(True).alias("core")),
-        F.when(pos >= F.lit(chunk_rows - back), F.struct((c + 1).alias("k"), F.lit(False).alias("core"))),
-        F.when(pos < F.lit(fwd), F.struct((c - 1).alias("k"), F.lit(False).alias("core"))),
-    )
-    tagged = df_with_ord.withColumn("_copy", F.explode(F.filter(copies, lambda x: x.isNotNull())))
-    return tagged.withColumn(CHUNK, F.col("_copy.k")).withColumn(CORE, F.col("_copy.core")).drop("_copy")
+    With a bucket's rows at positions start .. end - 1 of its key, a later bucket needs
+    them if it starts below end + back, an earlier one if it ends above start - fwd.
+    Chunk numbers rise with the position, so the last (first) such bucket bounds them."""
+    counts = df.groupBy(*keys, bucket.alias(BUCKET)).agg(F.count(F.lit(1)).alias("_n"))
+    by_key = Window.partitionBy(*keys)
+    w = by_key.orderBy(BUCKET)
+    end = F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    at = counts.withColumn("_end", end).withColumn("_start", F.col("_end") - F.col("_n"))
+    at = at.withColumn(OWN, F.floor(F.col("_start") / F.lit(chunk_rows)).cast("long"))
+    first = last = F.col(OWN)
+    if back:
+        reach = F.max(OWN).over(by_key.orderBy("_start").rangeBetween(0, back - 1))
+        at = at.withColumn("_reach", reach)
+        last = F.coalesce(F.lead("_reach").over(w), last)
+    if fwd:
+        since = F.min(OWN).over(by_key.orderBy("_end").rangeBetween(1 - fwd, 0))
+        at = at.withColumn("_since", since)
+        first = F.coalesce(F.lag("_since").over(w), first)
+    return at.select(*keys, BUCKET, OWN, F.sequence(first, last).alias("_chunks"))
 
 
 def chunked_windows(df: DataFrame, keys: list[str], order: str, back: int, fwd: int,
                     build: Callable[[DataFrame, WindowSpec], DataFrame],
                     bucket: Column | None = None, chunk_rows: int = 2048,
-                    partitions: int | None = None) -> DataFrame:
+                    partitions: int | None = None, write_once: bool = False) -> DataFrame:
     """Apply ``build(frame, w)`` -- window columns defined with ``w`` and frames
     reaching at most ``back`` rows back and ``fwd`` rows ahead (chained windows
-    add their reaches) -- with every task bounded by the chunk size.
+    add their reaches) -- with tasks bounded by chunk, halo and bucket.
 
-    ``bucket`` is a coarse ordered bucket for the ordinal scan (default: the
-    UTC day of ``order``).  The chunks are hash-placed on ``partitions``
-    partitions (default ``spark.sql.shuffle.partitions``) with an explicit
-    repartition: it satisfies the window's distribution (no extra exchange)
-    and keeps AQE from coalescing a small but CPU-heavy window stage into a
-    couple of tasks."""
+    ``bucket`` is a coarse bucket that rises with ``order`` (default: the UTC day of
+    ``order``); keys are expected unique on keys + order, and rows with a null key or
+    order are dropped.  ``df`` is read twice (its keys for the counts, then its rows), so it must
+    give the same rows each time; ``write_once`` writes it first, for rows that come out of a
+    join, which would run twice.  The chunks are hash-placed on ``partitions`` partitions
+    (default ``spark.sql.shuffle.partitions``) with an explicit repartition: it
+    satisfies the window's distribution (no extra exchange) and keeps AQE from
+    coalescing a small but CPU-heavy window stage into a couple of tasks."""
     bucket = bucket if bucket is not None else F.to_date(F.col(order))
-    # the ordinal scan reads its rows twice (totals, then rows): write them once,
-    # so that nothing upstream runs twice
-    checkpoint_dir(df.sparkSession)
-    ordered = with_ordinal(df.checkpoint(eager=True), keys, [order], bucket)
+    if write_once:
+        checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
+    where = chunk_map(df, keys, bucket, back, fwd, chunk_rows)
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tagged = chunk_rows_of(ordered, back, fwd, chunk_rows).repartition(n, *keys, CHUNK)
-    w = Window.partitionBy(*keys, CHUNK).orderBy(ORD)
-    out = build(tagged, w)
-    return out.filter(F.col(CORE)).drop(ORD, CHUNK, CORE)
+    tagged = (df.withColumn(BUCKET, bucket).join(where, [*keys, BUCKET])
+              .withColumn(CHUNK, F.explode("_chunks")).repartition(n, *keys, CHUNK))
+    out = build(tagged, Window.partitionBy(*keys, CHUNK).orderBy(order))
+    return out.filter(F.col(CHUNK) == F.col(OWN)).drop(BUCKET, CHUNK, OWN, "_chunks")

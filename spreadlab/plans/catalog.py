@@ -231,11 +231,11 @@ st1 AS (
   FROM st0 s JOIN adf d ON s.sym_a = d.sym_a AND s.sym_b = d.sym_b),
 stats AS (SELECT *, {O.eg_pvalue_sql('tau')} AS pvalue FROM st1)"""
 O.DEPS["stats"] = ["pr"]
-O.CTE["screened"] = f"""screened AS (
+O.CTE["screened_no_lag"] = f"""screened_no_lag AS (
   SELECT sym_a, sym_b, corr, pvalue FROM stats
   WHERE std_a <> 0 AND std_b <> 0 AND abs(corr) >= 0.7::DOUBLE
     AND tau IS NOT NULL AND tau < {O.TAU_AT_5_PERCENT}::DOUBLE)"""
-O.DEPS["screened"] = ["stats"]
+O.DEPS["screened_no_lag"] = ["stats"]
 
 
 def _window_bars(spark, sf_dir, days=60):
@@ -308,22 +308,14 @@ def q_eg_tau(spark, sf_dir):
     return s.select("sym_a", "sym_b", r6("tau").alias("tau"), r6("pvalue").alias("pvalue"))
 
 
-@query("screened_pairs", O.with_ctes(["screened"], """
-SELECT sym_a, sym_b, round(corr, 6) AS corr, round(pvalue, 6) AS pvalue FROM screened"""))
+@query("screened_pairs", O.with_ctes(["screened_no_lag"], """
+SELECT sym_a, sym_b, round(corr, 6) AS corr, round(pvalue, 6) AS pvalue FROM screened_no_lag"""))
 def q_screened_pairs(spark, sf_dir):
-    """M1: pairs passing |corr| >= 0.7 and p < 0.05."""
+    """M1: pairs passing |corr| >= 0.7 and p < 0.05, without lags in the test."""
     p = screen.screen_gate(_stats(spark, sf_dir))
     return p.select("sym_a", "sym_b", r6("corr").alias("corr"), r6("pvalue").alias("pvalue"))
 
 
-@query("screened_symbols", O.with_ctes(["screened"], """
-SELECT DISTINCT replace(symbol, '/', '') AS symbol FROM (
-  SELECT sym_a AS symbol FROM screened UNION ALL SELECT sym_b FROM screened)"""))
-def q_screened_symbols(spark, sf_dir):
-    """Sorted distinct legs of the screened pairs."""
-    return screen.pair_symbols(screen.screen_gate(_stats(spark, sf_dir)))
-
-
 # The lag search by elimination: a pair's Gram matrix is one list, a step of the recursion
 # takes a column out of it, and its last cell is then the residual sum of that order.
 def _eliminate_sql(name: str, gram: str, steps: str) -> str:
@@ -387,24 +379,37 @@ aic AS (
 O.DEPS["aic"] = ["stats"]
 
 
-@query("eg_tau_aic", "WITH RECURSIVE " + O.with_ctes(["aic"], f"""
+@query("eg_tau_aic", O.with_ctes(["aic"], f"""
 SELECT sym_a, sym_b, lags, round(tau, 6) AS tau, round({O.eg_pvalue_sql('tau')}, 6) AS pvalue, CAST(nobs AS BIGINT) AS nobs
-FROM aic""").removeprefix("WITH "))
+FROM aic"""))
 def q_eg_tau_aic(spark, sf_dir):
     """M2 with the lag search on the correlated pairs."""
     return _aic_stats(spark, sf_dir).select(
         "sym_a", "sym_b", "lags", r6("tau").alias("tau"), r6("pvalue").alias("pvalue"), "nobs")
 
 
-@query("screened_pairs_aic", "WITH RECURSIVE " + O.with_ctes(["aic"], f"""
-SELECT sym_a, sym_b, round(corr, 6) AS corr, round({O.eg_pvalue_sql('tau')}, 6) AS pvalue FROM aic
-WHERE tau IS NOT NULL AND tau < {O.TAU_AT_5_PERCENT}::DOUBLE""").removeprefix("WITH "))
+O.CTE["screened"] = f"""screened AS (
+  SELECT sym_a, sym_b, corr, {O.eg_pvalue_sql('tau')} AS pvalue FROM aic
+  WHERE tau IS NOT NULL AND tau < {O.TAU_AT_5_PERCENT}::DOUBLE)"""
+O.DEPS["screened"] = ["aic"]
+
+
+@query("screened_pairs_aic", O.with_ctes(["screened"], """
+SELECT sym_a, sym_b, round(corr, 6) AS corr, round(pvalue, 6) AS pvalue FROM screened"""))
 def q_screened_pairs_aic(spark, sf_dir):
     """M1 as the library runs it by default (``screen_pairs``): lags by AIC."""
     p = screen.screen_pairs(bars(spark, sf_dir, 3600), AS_OF, 60)
     return p.select("sym_a", "sym_b", r6("corr").alias("corr"), r6("pvalue").alias("pvalue"))
 
 
+@query("screened_symbols", O.with_ctes(["screened"], """
+SELECT DISTINCT replace(symbol, '/', '') AS symbol FROM (
+  SELECT sym_a AS symbol FROM screened UNION ALL SELECT sym_b FROM screened)"""))
+def q_screened_symbols(spark, sf_dir):
+    """Sorted distinct legs of the screened pairs."""
+    return screen.pair_symbols(screen.screen_gate(_aic_stats(spark, sf_dir)))
+
+
 @query("corr_gate", O.with_ctes(["stats"], f"""
 SELECT sym_a, sym_b, n, round(corr, 6) AS corr, round(beta, 6) AS beta, round(tau, 6) AS tau FROM stats
 WHERE std_a <> 0 AND std_b <> 0 AND abs(corr) >= {SCREEN_MIN_ABS_CORR}::DOUBLE"""))
@@ -454,7 +459,7 @@ def _screened(spark, sf_dir):
     """The screened-pairs table (silver), staged once per session for the
     stages that consume it (5-minute restriction, pair features, dataset)."""
     return staged(spark, ("screened", sf_dir),
-                  lambda: screen.screen_gate(_stats(spark, sf_dir)).select("sym_a", "sym_b", "corr", "pvalue")
+                  lambda: screen.screen_gate(_aic_stats(spark, sf_dir)).select("sym_a", "sym_b", "corr", "pvalue")
                   ).select("sym_a", "sym_b")
 
 
@@ -945,19 +950,19 @@ O.DEPS["newton"] = ["split"]
 
 
 @query("logreg_coefficients", O.with_ctes(["newton"], " UNION ALL ".join(
-    f"SELECT '{c}' AS term, round(w{i}, 3) AS coef FROM newton" for i, c in enumerate([*FEATS, "intercept"], 1))))
+    f"SELECT '{c}' AS term, round(w{i}, 6) AS coef FROM newton" for i, c in enumerate([*FEATS, "intercept"], 1))))
 def q_logreg_coefficients(spark, sf_dir):
     """M5: coefficients of the fit on standardised features (SQL: unrolled Newton steps)."""
     train = _split(spark, sf_dir).filter("is_train")
     coef, intercept, _ = mdl.fit_logreg(spark, train, FEATS)
     terms = F.array(*[F.struct(F.lit(n).alias("term"), F.lit(c).alias("coef"))
                       for n, c in zip([*FEATS, "intercept"], [*coef, intercept])])
-    return spark.range(1).select(F.inline(terms)).select("term", F.round("coef", 3).alias("coef"))
+    return spark.range(1).select(F.inline(terms)).select("term", r6("coef").alias("coef"))
 
 
 @query("fit_logreg")
 def q_fit_logreg(spark, sf_dir):
-    """M5/M6/K6: Spark ML logistic regression on the training split, AUC on the
+    """M5/M6/K6: logistic regression on the training split, AUC on the
     held-out split, emitted as the model record (rows-only check)."""
     split = _split(spark, sf_dir).persist()   # read by the fit and by the held-out AUC
     try:

@@ -58,7 +58,8 @@ DEPS = {
 
 
 def with_ctes(names, body: str, extra: dict | None = None, extra_deps: dict | None = None) -> str:
-    """Compose ``WITH`` clauses for ``names`` (dependencies first) and a final SELECT."""
+    """Compose ``WITH`` clauses for ``names`` (dependencies first) and a final SELECT.
+    The lag search (``aic``) recurses."""
     ctes = dict(CTE)
     deps = dict(DEPS)
     if extra:
@@ -75,7 +76,7 @@ def with_ctes(names, body: str, extra: dict | None = None, extra_deps: dict | No
 
     for n in names:
         visit(n)
-    return "WITH " + ",\n".join(ctes[n] for n in order) + "\n" + body
+    return ("WITH RECURSIVE " if "aic" in order else "WITH ") + ",\n".join(ctes[n] for n in order) + "\n" + body
 
 
 # --- numeric helpers as SQL text (same formulas as functions.mathfn) ----------

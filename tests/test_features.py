@@ -104,3 +104,32 @@ def test_chunked_windows_equal_unchunked(spark):
     la = ds.label_forward(pa.pipe(lambda d: spark.createDataFrame(d)), chunk_rows=None).toPandas().sort_values(k2)
     lb = ds.label_forward(pa.pipe(lambda d: spark.createDataFrame(d)), chunk_rows=5).toPandas().sort_values(k2)
     assert la["label"].tolist() == lb["label"].tolist() and len(la) == len(lb)
+
+
+def test_chunks_of_uneven_days_carry_every_row_a_frame_reaches(spark):
+    from pyspark.sql import Window
+
+    from spreadlab.operators.windowing import chunked_windows
+    rng = np.random.default_rng(23)
+    data = []
+    for key in "abcd":
+        day = dt.datetime(2024, 1, 1)
+        for _ in range(60):
+            day += dt.timedelta(days=int(rng.integers(1, 4)))
+            for i in range(int(rng.choice([1, 1, 1, 2, 3, 30]))):       # single rows, then a full day
+                data.append((key, day + dt.timedelta(minutes=i), float(rng.normal())))
+    data.append((None, dt.datetime(2024, 1, 1), 1.0))
+    df = spark.createDataFrame(data, "k string, ts timestamp, v double")
+
+    def build(d, w):
+        near = w.rowsBetween(-7, 4)
+        return d.withColumns({"n": F.count("v").over(near), "s": F.sum("v").over(near), "p": F.lag("v", 7).over(w), "f": F.lead("v", 4).over(w)})
+
+    def got(d):
+        return sorted((r["k"], r["ts"], r["n"], round(r["s"], 9), str(r["p"]), str(r["f"])) for r in d.collect())
+
+    want = got(build(df.filter("k IS NOT NULL"), Window.partitionBy("k").orderBy("ts")))
+    for size in (1, 12, 10_000):
+        out = chunked_windows(df, ["k"], "ts", 7, 4, build, chunk_rows=size)
+        assert out.columns == ["k", "ts", "v", "n", "s", "p", "f"]
+        assert got(out) == want

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import numpy as np
+import pytest
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -91,7 +92,21 @@ def test_logreg_matches_newton(spark):
         g = Z.T @ (p - y) + reg * w
         H = Z.T @ (Z * (p * (1 - p))[:, None]) + np.diag(reg)
         w -= np.linalg.solve(H, g)
-    assert np.allclose(coef, w[:2], atol=1e-4) and abs(b - w[2]) < 1e-4
+    assert np.allclose(coef, w[:2], atol=1e-9) and abs(b - w[2]) < 1e-9
+
+
+def test_logreg_of_separable_and_unfit_rows(spark):
+    far = [(float(i), float(i % 3), int(i >= 50)) for i in range(100)]     # separable: the penalty bounds it
+    df = spark.createDataFrame(far, "beta double, alpha double, label int")
+    coef, b, stats = mdl.fit_logreg(spark, df, ["beta", "alpha"], c=1000.0)
+    scored = mdl.score_with(df, ["beta", "alpha"], coef, b, stats).collect()
+    assert all((r["prob"] >= 0.5) == (r["label"] == 1) for r in scored) and np.isfinite(coef).all()
+    gaps = df.union(spark.createDataFrame([(float("nan"), 1.0, 1), (None, 1.0, 0), (1.0, 1.0, None)], df.schema))
+    again, b2, _ = mdl.fit_logreg(spark, gaps, ["beta", "alpha"], c=1000.0)
+    assert np.allclose(coef, again, atol=1e-9) and abs(b - b2) < 1e-9
+    for rows in (df.limit(0), df.filter("label = 1")):
+        with pytest.raises(ValueError):
+            mdl.fit_logreg(spark, rows, ["beta", "alpha"])
 
 
 def test_score_by_hand_and_nan(spark):
