@@ -19,8 +19,8 @@ trimmed and joined by one space in page order; inline tags don't split a word.
 Cases: null or empty html gives an empty text; a page cut off anywhere is read as
 far as it goes (a tag without its end is dropped); a quote in a tag counts only at
 the start of an attribute's value, and only if it is closed; raw elements without an
-end tag are empty (scripts and styles reach to the page's end), as are svg and math
-ended by "/>"; svg and math with an end tag are dropped; nesting of any depth is handled
+end tag are empty (scripts and styles reach to the page's end), as is svg
+ended by "/>"; svg with an end tag is dropped, formulas (math) are inline text; nesting of any depth is handled
 without recursion; repeated rows are extracted row by row; extra columns are ignored.
 """
 
@@ -30,6 +30,7 @@ import html as html_lib
 import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -42,11 +43,13 @@ SLOTS = 1 << 16
 
 # Fixed values of the HTML vocabulary.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe noframes xmp svg math".split())
-FOREIGN = frozenset("svg math".split())
+RAW = frozenset("script style textarea title noscript template iframe noframes xmp svg".split())
+FOREIGN = frozenset("svg".split())
 CODE = frozenset("script style".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span "
-                   "strike strong sub sup time tt u var wbr".split())
+                   "strike strong sub sup time tt u var wbr "
+                   "math mfrac mi mn mo mover mroot mrow ms msqrt mstyle msub msubsup msup mtext munder munderover "
+                   "semantics".split())
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figure figcaption footer form h1 h2 h3 h4 "
                      "h5 h6 header hr main menu nav ol p pre section table ul".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -78,6 +81,7 @@ def parse(html: str) -> list[Node]:
     """Nodes in page order (a parent before its children); text runs are leaves."""
     nodes = [Node(ROOT, -1)]
     stack = [0]
+    opened = Counter()                                # open elements by tag: an end tag without one scans nothing
     block = 0
     unended = set()                                   # raw tags without an end tag in the rest of the page
     pos, n = 0, len(html)
@@ -112,11 +116,7 @@ def parse(html: str) -> list[Node]:
                 break
             if tag not in INLINE:
                 block += 1
-            ends = HEADINGS if tag in HEADINGS else (tag,)
-            for d in range(len(stack) - 1, 0, -1):
-                if nodes[stack[d]].tag in ends:
-                    del stack[d:]
-                    break
+            _pop(nodes, stack, opened, HEADINGS if tag in HEADINGS else {tag})
         elif m["open"]:
             tag = m["open"].lower()
             if m["oend"] != ">":
@@ -124,9 +124,9 @@ def parse(html: str) -> list[Node]:
             if tag not in INLINE:
                 block += 1
             if tag in CLOSES_P:
-                _pop(nodes, stack, {"p"}, {"button", "td", "th", "table"})
+                _pop(nodes, stack, opened, {"p"}, {"button", "td", "th", "table"})
             if tag in SAME:
-                _pop(nodes, stack, SAME[tag], STOP[tag])
+                _pop(nodes, stack, opened, SAME[tag], STOP[tag])
             words = []
             for a in _ATTR.finditer(m["attrs"]):
                 words += _WORD.findall((a[2] or a[3] or a[4] or "").lower())
@@ -142,14 +142,19 @@ def parse(html: str) -> list[Node]:
                 block += 1
             elif tag not in VOID and not m["attrs"].endswith("/"):
                 stack.append(len(nodes) - 1)
+                opened[tag] += 1
     return nodes
 
 
-def _pop(nodes, stack, tags, bounds) -> None:
-    """Close the nearest open element of ``tags`` unless one of ``bounds`` is nearer."""
+def _pop(nodes, stack, opened, tags, bounds=()) -> None:
+    """Close the nearest open element of ``tags`` unless one of ``bounds`` is nearer.
+    Only a stack that holds one is searched."""
+    if not any(opened[t] for t in tags):
+        return
     for d in range(len(stack) - 1, 0, -1):
         tag = nodes[stack[d]].tag
         if tag in tags:
+            opened.subtract(nodes[i].tag for i in stack[d:])
             del stack[d:]
             return
         if tag in bounds:

@@ -180,3 +180,22 @@ def test_page_table_edges(spark):
     text = "Head&line One bold word é! Two <tags> three Four"
     assert out == sorted([(1, "u", text, len(text)), (1, "u", text, len(text)), (2, None, "", 0), (None, "v", "", 0)], key=str)
     assert pagetree.extract_pages(pages.limit(0)).collect() == []
+
+
+def test_formulas_are_text_and_stray_end_tags_scan_nothing():
+    import time
+
+    from spreadlab.llm import pagetree
+    nodes = pagetree.parse("<article><p>The value <math><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow></math> holds</p></article>")
+    runs = [n for n in nodes if n.tag == pagetree.TEXT]
+    assert "".join(n.text for n in runs) == "The value x=2 holds" and len({n.block for n in runs}) == 1
+
+    def shape(html):
+        return [(n.tag, n.parent, n.text) for n in pagetree.parse(html)]
+
+    deep = "<div>" * 30
+    assert shape(deep + "</b>x") == shape(deep + "x")
+    assert shape("<ul><li>a<b>c</li></b><li>d</ul>e")[-1] == (pagetree.TEXT, 0, "e")
+    t = time.perf_counter()
+    pagetree.parse("<div>" * 20_000 + "</b>" * 20_000)
+    assert time.perf_counter() - t < 5.0                                   # the whole stack for each tag: minutes
