@@ -7,19 +7,28 @@ stated ones, written with possessive repeats and a start condition so that a
 long run of digits or letters is scanned once and needs no recursion; they match
 the same text.
 
-A base value is a protected entity.  A term (a word within ``CONTEXT`` code
-points of an occurrence) discloses it if, over the distinct texts of the whole
-corpus, the entity and the term occur together in at least ``MIN_SUPPORT`` texts
-and the surprise of the entity given the term, -log2 P(entity | term), is at
-most ``MAX_BITS`` bits, while without the term it is larger by ``MIN_GAIN`` bits.
-Such terms are marked (kind ``term``) in the texts that hold the entity, and
-``sanitise`` replaces them and the base spans by their kind; texts without
-personal data are left as they are.
+A base value is a protected entity.  A term (a word outside the base spans of a
+text that holds the entity, however far from it) discloses it if, over the
+distinct texts of the whole corpus, the entity and the term occur together in at
+least ``MIN_SUPPORT`` texts and the surprise of the entity given the term,
+-log2 P(entity | term), is at most ``MAX_BITS`` bits, while without the term it is
+larger by ``MIN_GAIN`` bits.  All counts are exact.
+Every occurrence of such a term outside base spans is marked (kind ``term``) in the
+texts that hold the entity, and ``sanitise`` replaces them and the base spans by
+their kind; texts without personal data are left as they are.
+
+Entities of too few texts to reach the support, or of too many to leave the gain,
+can't be disclosed; only texts with another entity have their words cut.  Entities
+found in the same texts are one class, as are terms of the same texts (exclusive or
+of two hashes of their texts, and their number); co-occurrence is counted between
+classes, so a group of near copies makes one pair of classes, not a pair for each
+entity and term.
 
 Cases: null and empty texts have no spans; repeated rows are judged alike; exact
 copies count as one text in the statistics; overlapping spans are replaced as
-one; a term inside a base span is not marked again; an empty table gives an
-empty result; extra columns are kept by ``sanitise`` and ignored otherwise.
+one; a word that overlaps a base span is part of it and not marked again; very long
+texts are cut into words whole, by segments of ``SEGMENT`` words; an empty table
+gives an empty result; extra columns are kept by ``sanitise`` and ignored otherwise.
 """
 
 from __future__ import annotations
@@ -27,13 +36,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, sized
+from .common import digest_of, saved, sized
 
 KINDS = ("email", "ip", "card", "phone", "term")
-CONTEXT = 48
 MIN_SUPPORT = 3
 MAX_BITS = 1.0
 MIN_GAIN = 2.0
+SEGMENT = 256
 
 PATTERNS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -48,6 +57,7 @@ HINTS = {
     "card": lambda t: t.rlike(r"[0-9](?:[\x20-]?[0-9]){15}"),
     "phone": lambda t: F.instr(t, "+") > 0,
 }
+WORD = r"[0-9A-Za-z\u0080-\uFFFF]++"
 WORD_GAP = r"[^0-9A-Za-z\u0080-\uFFFF]+"
 
 _FOUND = "array<struct<k:int,s:bigint,e:bigint,v:string>>"
@@ -120,60 +130,74 @@ def _entity(x: Column) -> Column:
     return F.concat_ws(":", x["k"].cast("string"), plain)
 
 
-def _context_terms(text: Column, base: Column) -> Column:
-    """Words near each base span, outside of all of them: array of (v, t, s, e)."""
+def find_base(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, digest, key, base) of every row; the key only where there are spans."""
+    step = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
+                       base_spans(F.col(text_col)).alias("base"))
+    return step.select("doc_id", digest_of(F.col("text")).alias("digest"),
+                       F.when(F.size("base") > 0, F.md5("text")).alias("key"), "base")
 
-    def near(x):
-        lo = F.greatest(x["s"] - CONTEXT, F.lit(0))
-        hi = F.least(x["e"] + CONTEXT, F.length(text).cast("bigint"))
-        cut = F.substring(text, (lo + 1).cast("int"), (hi - lo).cast("int"))
-        words = _placed(cut, r"[0-9A-Za-z\u0080-\uFFFF]++", 4, lo)
-        close = F.filter(base, lambda b: (b["s"] < hi) & (lo < b["e"]))
-        whole = F.filter(words, lambda w: ((w["s"] > lo) | (lo == 0)) & ((w["e"] < hi) | (hi == F.length(text)))
-                         & ~F.exists(close, lambda b: (b["s"] < w["e"]) & (w["s"] < b["e"])))
-        return F.transform(whole, lambda w: F.struct(_entity(x).alias("v"), F.lower(w["v"]).alias("t"),
-                                                     w["s"].alias("s"), w["e"].alias("e")))
 
-    return F.array_distinct(F.flatten(F.transform(base, near)))
+def _classed(rows: DataFrame, name: str, n: str) -> DataFrame:
+    """(name, class, n) of (key, name) rows: values of the same keys are of one class."""
+    first, second = F.bit_xor(F.xxhash64("key")), F.bit_xor(F.xxhash64("key", F.lit(n)))
+    return (rows.groupBy(name).agg(F.count("*").alias(n), first.alias("x"), second.alias("y"))
+            .select(name, n, F.concat_ws(":", n, "x", "y").alias(f"{name}_class")))
 
 
-def find_base(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, key, base, terms) of every row; key and terms only where there are spans."""
-    step = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
-                       base_spans(F.col(text_col)).alias("base"))
-    some = F.size("base") > 0
-    return step.select("doc_id", F.when(some, F.md5("text")).alias("key"), "base",
-                       F.when(some, _context_terms(F.col("text"), F.col("base"))).alias("terms"))
-
-
-def disclosing_terms(docs: DataFrame, found: DataFrame, text_col: str = "text") -> DataFrame:
-    """(v, t): terms that disclose an entity, from co-occurrence over the whole corpus."""
-    texts = found.where("key IS NOT NULL").groupBy("key").agg(F.first("terms").alias("terms"))
-    near = texts.select("key", F.explode("terms").alias("x")).select("key", "x.v", "x.t").distinct()
-    beside = near.groupBy("t").agg(F.count_distinct("key").alias("n_near"))     # a term is in that many texts at least
-    together = (near.groupBy("v", "t").agg(F.count("*").alias("n_vt")).where(F.col("n_vt") >= MIN_SUPPORT)
-                .join(beside, "t").where(-F.log2(F.col("n_vt") / F.col("n_near")) <= MAX_BITS).drop("n_near"))
-    together = sized(together, "disclosing")
-    words = F.array_distinct(F.split(F.lower(F.coalesce(text_col, F.lit(""))), WORD_GAP))
-    each = docs.select(F.xxhash64(text_col).alias("d"), F.explode(words).alias("t"))
-    seen = (each.join(together.select("t").distinct(), "t", "left_semi").distinct()
-            .groupBy("t").agg(F.count("*").alias("n_t")))
-    entity = (found.where("key IS NOT NULL").select("key", F.explode("base").alias("x"))
-              .select("key", _entity(F.col("x")).alias("v")).distinct().groupBy("v").agg(F.count("*").alias("n_v")))
-    total = docs.agg(F.approx_count_distinct(F.xxhash64(text_col), 0.02).alias("n")).first()[0] or 1
-    given = F.col("n_vt") / F.greatest("n_t", "n_vt")
-    return (together.join(seen, "t").join(entity, "v")
-            .where((-F.log2(given) <= MAX_BITS)
-                   & (F.log2(given) - F.log2(F.col("n_v") / F.lit(float(total))) >= MIN_GAIN))
-            .select("v", "t"))
+def _occurrences(docs: DataFrame, texts: DataFrame, text_col: str) -> DataFrame:
+    """(key, t, s, e): every word outside the base spans of the distinct texts (key, base)."""
+    rows = docs.select(F.md5(text_col).alias("key"), F.col(text_col).alias("text"))
+    rows = rows.join(texts.select("key"), "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
+    segment = f"(?:{WORD}(?:{WORD_GAP})?+){{1,{SEGMENT}}}+"
+    parts = rows.join(texts, "key").select("key", "base", F.explode(_placed(F.col("text"), segment, 4, F.lit(0))).alias("p"))
+    close = F.filter("base", lambda b: (b["s"] < F.col("p.e")) & (F.col("p.s") < b["e"]))
+    parts = parts.select("key", "p", close.alias("close"))
+    free = F.filter(_placed(F.col("p.v"), WORD, 4, F.col("p.s")),
+                    lambda w: ~F.exists("close", lambda b: (b["s"] < w["e"]) & (w["s"] < b["e"])))
+    return (parts.select("key", F.explode(free).alias("w"))
+            .select("key", F.lower("w.v").alias("t"), F.col("w.s").alias("s"), F.col("w.e").alias("e")))
 
 
 def term_spans(docs: DataFrame, found: DataFrame, text_col: str = "text") -> DataFrame:
     """(key, extra): spans of disclosing terms by text."""
-    marked = disclosing_terms(docs, found, text_col)
-    texts = found.where("key IS NOT NULL").groupBy("key").agg(F.first("terms").alias("terms"))
+    total = float(found.select("digest").distinct().count())
+    dirty = found.where("key IS NOT NULL").groupBy("key").agg(F.first("base").alias("base"))
+    held = dirty.select("key", F.explode("base").alias("x")).select("key", _entity(F.col("x")).alias("v")).distinct()
+    able = _classed(held, "v", "n_v").where((F.col("n_v") >= MIN_SUPPORT) & (F.col("n_v") * 2 ** MIN_GAIN <= total))
+    owners = sized(held.join(able, "v").select("key", "v_class", "n_v").distinct(), "owners")
+
+    texts = dirty.join(owners.select("key").distinct(), "key", "left_semi")
+    places = sized(_occurrences(docs, texts, text_col), "places")
+    words = places.select("key", "t").distinct()
+    enough = _classed(words, "t", "n_here").where(F.col("n_here") >= MIN_SUPPORT)
+    members = sized(words.join(enough, "t"), "members")                    # key, t, n_here, t_class
+
+    # n_here texts hold the term among those with an entity, so it is in that many of the corpus at least
+    pairs = (owners.join(members.select("key", "t_class", "n_here").distinct(), "key")
+             .where(F.col("n_here") <= F.col("n_v") * 2 ** MAX_BITS))
+    together = (pairs.groupBy("v_class", "t_class", "n_v", "n_here").agg(F.count("*").alias("n_vt"))
+                .where((F.col("n_vt") >= MIN_SUPPORT) & (F.col("n_here") <= F.col("n_vt") * 2 ** MAX_BITS)))
+    together = sized(together, "together")
+
+    asked = sized(members.join(together.select("t_class").distinct(), "t_class", "left_semi")
+                  .select("t", "t_class", "n_here").distinct(), "asked")
+    each = docs.select(digest_of(F.col(text_col)).alias("digest"), F.explode(F.array_distinct(
+        F.split(F.lower(F.coalesce(text_col, F.lit(""))), WORD_GAP))).alias("t"))
+    seen = (each.join(asked.select("t"), "t", "left_semi").distinct()
+            .groupBy("t").agg(F.count("*").alias("n_all")))
+    counted = sized(asked.join(seen, "t", "left").select("t", "t_class", F.greatest("n_all", "n_here").alias("n_t")), "counted")
+
+    # P(v | t) = n_vt / n_t against 2^-MAX_BITS, and against P(v) = n_v / total times 2^MIN_GAIN
+    telling = (together.join(counted.select("t_class", "n_t").distinct(), "t_class")
+               .where((F.col("n_t") <= F.col("n_vt") * 2 ** MAX_BITS)
+                      & (F.col("n_t") * F.col("n_v") * 2 ** MIN_GAIN <= F.col("n_vt") * F.lit(total)))
+               .select("v_class", "t_class", "n_t"))
+    marked = pairs.select("key", "v_class", "t_class").join(telling, ["v_class", "t_class"])
+    marked = (members.select("key", "t", "t_class").join(counted, ["t", "t_class"])
+              .join(marked.select("key", "t_class", "n_t"), ["key", "t_class", "n_t"], "left_semi").select("key", "t"))
     span = F.struct(F.lit(4).alias("k"), F.col("s"), F.col("e"))
-    return (texts.select("key", F.explode("terms").alias("x")).select("key", "x.*").join(marked, ["v", "t"])
+    return (places.join(marked, ["key", "t"], "left_semi")
             .groupBy("key").agg(F.array_sort(F.collect_set(span)).alias("extra")))
 
 

@@ -1,6 +1,7 @@
 """Mixing, personal data, token counts, vector search: brute force and edge frames."""
 import hashlib
 import math
+import random
 import re
 
 import duckdb
@@ -140,23 +141,24 @@ def disclosing_twin(rows):
     for t in texts:
         for w in set(gap.split(t.lower())):
             has[w] = has.get(w, 0) + 1
-    near, owners = {}, {}
+    beside, owners = {}, {}
     for t in texts:
         base = brute_base(t)
+        free = {}
+        for m in word.finditer(t):
+            if not any(b[1] < m.end() and m.start() < b[2] for b in base):
+                free.setdefault(m[0].lower(), set()).add(m.span())
         for k, s, e in base:
             v = t[s:e].lower() if k == "email" else t[s:e] if k == "ip" else re.sub("[^0-9]", "", t[s:e])
             owners.setdefault((k, v), set()).add(t)
-            lo, hi = max(s - privacy.CONTEXT, 0), min(e + privacy.CONTEXT, len(t))
-            for m in word.finditer(t[lo:hi]):
-                a, z = lo + m.start(), lo + m.end()
-                if (a > lo or lo == 0) and (z < hi or hi == len(t)) and not any(b[1] < z and a < b[2] for b in base):
-                    near.setdefault(((k, v), m[0].lower()), {}).setdefault(t, set()).add((a, z))
+            for w, places in free.items():
+                beside.setdefault(((k, v), w), {})[t] = places
     out = {}
-    for (v, w), places in near.items():
-        n = len(places)
-        p = n / max(has[w], n)
-        if n >= privacy.MIN_SUPPORT and -math.log2(p) <= privacy.MAX_BITS and \
-                math.log2(p) - math.log2(len(owners[v]) / len(texts)) >= privacy.MIN_GAIN:
+    n_texts = len({t or "" for _, t in rows})
+    for (v, w), places in beside.items():
+        n, n_t = len(places), max(has.get(w, 0), len(places))
+        if n >= privacy.MIN_SUPPORT and -math.log2(n / n_t) <= privacy.MAX_BITS and \
+                math.log2(n / n_t) - math.log2(len(owners[v]) / n_texts) >= privacy.MIN_GAIN - 1e-12:
             for t, spans in places.items():
                 out.setdefault(t, set()).update(spans)
     return out
@@ -178,6 +180,43 @@ def test_disclosing_terms_match_brute_force(spark):
     assert "@" not in clean[0] and "[EMAIL]" in clean[0] and "zorblax" not in clean[0] and "[TERM]" in clean[0]
 
 
+def check_terms(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = disclosing_twin(rows)
+    for r in privacy.report(docs).collect():
+        terms = {tuple(map(int, s.split(":")[1:])) for s in r.spans.split(",") if s.startswith("term")}
+        assert terms == want.get(dict(rows)[r.doc_id], set()), r.doc_id
+    return want, {r.doc_id: r.text for r in privacy.sanitise(docs).collect()}
+
+
+def test_terms_far_from_the_entity_are_marked_everywhere(spark):
+    fill = "common filler words of every text "
+    rows = [(i, f"Jane Zorbax writes {fill * (9 + i)} to jane@corp.example.com {fill * 300}signed zorbax, row{i}")
+            for i in range(6)]
+    rows += [(50 + i, f"{fill}and jane number{i}") for i in range(40)] + [(99, None), (98, "")]
+    rows += [(90, f"{fill}zorbax without an address"), (91, "10.0.0.1 " + fill)]
+    want, clean = check_terms(spark, rows)
+    assert all(len(want[rows[i][1]]) >= 2 for i in range(6))
+    assert not any("zorbax" in clean[i].lower() for i in range(6)) and "zorbax" in clean[90]
+    assert all("common filler" in clean[i] for i in range(6)) and clean[50] == rows[6][1]
+
+
+def test_terms_of_shared_entities_match_brute_force(spark):
+    """Entities that share texts, texts of several entities, terms in other texts, mixed scripts, repeated rows."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(160):
+        people = rng.sample(range(9), rng.choice([0, 0, 1, 1, 2, 3]))
+        parts = [f"p{p}@mail.example.org" if p % 2 else f"10.0.{p}.7" for p in people]
+        parts += [f"Näme{p}" for p in people if rng.random() < 0.8] + [f"team{p // 3}" for p in people]
+        parts += [f"w{rng.randrange(25)}" for _ in range(rng.randrange(30))] + ["x10.0.2.7y"] * (i % 40 == 0)
+        rng.shuffle(parts)
+        rows.append((i, rng.choice([" ", ", ", " 😀 "]).join(parts)))
+    rows += [(200 + i, rows[i][1]) for i in range(30)]
+    want, _ = check_terms(spark, rows)
+    assert sum(map(len, want.values())) > 20
+
+
 def test_sanitise_keeps_rows_and_columns(spark):
     rows = [(1, "x@y.zz and x4111 1111 1111 1111 end", "en", "s", 0), (2, None, None, None, None), (3, "", "en", "s", 0),
             (None, "10.0.0.1", "en", "s", 8), (1, "x@y.zz and x4111 1111 1111 1111 end", "en", "s", 0)]
