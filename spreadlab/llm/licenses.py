@@ -4,24 +4,29 @@ exact shingle containment verifies them.
 Texts and templates are words (ASCII lower case) and five-word shingles.  For
 each size class of templates (a power of two of words) a text is covered by
 windows of twice that size, each half over the next, so every occurrence of a
-template lies inside one window.  A window's MinHash of ``BANDS`` bands of
-``ROWS`` values proposes templates; a window that holds a template has Jaccard
-similarity of at least 0.4 with it, and misses all bands with probability below
-2e-4.  A proposed template is accepted where the window contains at least 0.8 of
-its shingles (exact set containment); the span runs from the first to the last
-shared word.  Windows without any template shingle cannot share a minimum with a
-template, so only the others are sketched.
+template lies inside one window.  The bands are single minima; their number is set
+by class from the least Jaccard similarity that a full window holding ``CONTAINMENT``
+of a template can have, so that such a window misses all of them with probability
+``MISS`` at most.  Where every shingle is needed (templates of one to four
+shingles) the least one is the key itself and nothing can be missed.  A proposed
+template is accepted where the window contains at least 0.8 of its shingles (exact
+set containment); the span runs from the first to the last shared word.  Windows
+without any shingle of a class's templates cannot share a minimum with one of
+them, so only the others are sketched.
 
 Templates are a small list by parameter; it is shipped whole (``TEMPLATES`` is
 under 4 kB).
 
 Cases: null, empty and word-less texts hold no license; templates of fewer than
 five words are one shingle; a template met in several windows or places counts
-once per span; repeated rows are scanned row by row; extra columns are ignored.
+once per span; repeated rows are scanned row by row; very long texts are cut into
+the same windows; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,7 +36,8 @@ from .textvec import Words, chunks, mix
 
 SHINGLE = 5
 CONTAINMENT = 0.8
-BANDS, ROWS = 48, 2
+MISS = 1e-6
+BLOCK = 4096           # shingles sketched at a time
 
 # Short license notices, by identifier.
 TEMPLATES = {
@@ -54,20 +60,50 @@ TEMPLATES = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
 }
 
-_SEEDS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x51ED2701))
+
+def bands(shingles: int, window: int) -> int:
+    """Minima by which a window of at most that many shingles proposes a template it holds."""
+    shared = math.ceil(CONTAINMENT * shingles)
+    alike = shared / (window + shingles - shared)
+    return math.ceil(math.log(MISS) / math.log(1 - alike))
+
+
+def _minhash(h: np.ndarray, n: int) -> np.ndarray:
+    """The first n minima of a shingle set."""
+    seeds = mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x51ED2701))
+    low = np.full(n, np.iinfo(np.uint64).max, dtype=np.uint64)
+    for i in range(0, len(h), BLOCK):
+        low = np.minimum(low, mix(h[i: i + BLOCK, None] ^ seeds[None, :]).min(axis=0))
+    return low
 
 
-def _minhash(h: np.ndarray) -> np.ndarray:
-    """Band keys of a shingle set."""
-    low = mix(h[:, None] ^ _SEEDS[None, :]).min(axis=0).reshape(BANDS, ROWS)
-    key = mix(np.arange(BANDS, dtype=np.uint64) + np.uint64(99))
-    for r in range(ROWS):
-        key = mix(key * np.uint64(31) + low[:, r])
-    return key
+class SizeClass:
+    """Templates of one size: their shingles, band keys, and keys of those that need every shingle."""
+
+    def __init__(self, size: int, sets: dict):
+        self.size = size
+        self.known = np.unique(np.concatenate(list(sets.values())))
+        self.keys: dict = {}
+        whole = {i: s for i, s in sets.items() if math.ceil(CONTAINMENT * len(s)) == len(s)}
+        for i, s in whole.items():
+            self.keys.setdefault(int(s[0]), []).append(i)
+        self.key_set = np.array(sorted(self.keys), dtype=np.uint64)
+        banded = {i: s for i, s in sets.items() if i not in whole}
+        self.n = max((bands(len(s), 2 * size - SHINGLE + 1) for s in banded.values()), default=0)
+        self.bands: dict = {}
+        for i, s in banded.items():
+            for b, low in enumerate(_minhash(s, self.n).tolist()):
+                self.bands.setdefault((b, low), []).append(i)
+
+    def proposed(self, shingles: np.ndarray) -> set:
+        out = {t for x in np.intersect1d(shingles, self.key_set).tolist() for t in self.keys[x]}
+        if self.n:
+            out.update(t for b, low in enumerate(_minhash(shingles, self.n).tolist()) for t in self.bands.get((b, low), ()))
+        return out
 
 
 class Index:
-    """Templates by size class, with their shingle sets and band keys."""
+    """Templates with their shingle sets, by size class."""
 
     def __init__(self, templates: dict):
         self.names = sorted(templates)
@@ -76,40 +112,31 @@ class Index:
         w = Words(data, offs)
         doc, _, h = w.shingles(SHINGLE)
         self.sets = [np.unique(h[doc == i]) for i in range(len(self.names))]
-        self.known = np.unique(h)
-        self.classes: dict = {}
-        self.bands: dict = {}
-        for i, s in enumerate(self.sets):
-            if not len(s):
-                continue
-            size = 1 << int(np.ceil(np.log2(max(w.count[i], SHINGLE))))
-            for b, key in enumerate(_minhash(s).tolist()):
-                self.bands.setdefault((size, b, key), []).append(i)
-            self.classes.setdefault(size, []).append(i)
+        by_size: dict = {}
+        for i, shingles in enumerate(self.sets):
+            if len(shingles):
+                by_size.setdefault(1 << int(np.ceil(np.log2(max(w.count[i], SHINGLE)))), []).append(i)
+        self.classes = [SizeClass(size, {i: self.sets[i] for i in members}) for size, members in sorted(by_size.items())]
 
     def scan(self, words: Words):
         """[(text, template, first word, end word)] with exact containment."""
         doc, at, h = words.shingles(SHINGLE)
-        if not len(h) or not len(self.known):
-            return []
-        slot = np.minimum(np.searchsorted(self.known, h), len(self.known) - 1)
-        hit = np.flatnonzero(self.known[slot] == h)
         found = set()
-        for size in self.classes:
-            span = 2 * size
+        for group in self.classes if len(h) else ():
+            size = group.size
+            slot = np.minimum(np.searchsorted(group.known, h), len(group.known) - 1)
+            hit = np.flatnonzero(group.known[slot] == h)
             pos = at[hit] - words.first[doc[hit]]
             wins = {(d, max(p // size - j, 0)) for d, p in zip(doc[hit].tolist(), pos.tolist()) for j in (0, 1)}
             for d, j in sorted(wins):
                 lo = words.first[d] + j * size
-                hi = min(lo + span, words.first[d] + words.count[d])
+                hi = min(lo + 2 * size, words.first[d] + words.count[d])
                 a = np.searchsorted(at, lo)
                 z = max(np.searchsorted(at, hi - min(SHINGLE, words.count[d]), "right"), a)
                 inside = h[a:z]
                 if not len(inside):
                     continue
-                proposed = {t for b, key in enumerate(_minhash(inside).tolist())
-                            for t in self.bands.get((size, b, key), ())}
-                for t in proposed:
+                for t in group.proposed(inside):
                     match = np.flatnonzero(np.isin(inside, self.sets[t]))
                     need = CONTAINMENT * len(self.sets[t])
                     if len(np.unique(inside[match])) < need:

@@ -1,4 +1,6 @@
 """Near-duplicates, decontamination, license scans: brute force and edge frames."""
+import math
+import random
 import re
 from collections import defaultdict
 
@@ -366,3 +368,36 @@ def test_license_spans_and_edges(spark):
     assert next(o for o in out if o[0] == 5)[1] == brute_licenses(rows[4][1], licenses.TEMPLATES) == ["MIT-notice"]
     assert sorted(str(o[0]) for o in out if not o[1]) == ["1", "2", "3", "4"]
     assert licenses.report(docs.limit(0)).collect() == []
+
+
+def test_every_template_is_found_at_every_offset(spark):
+    """Whole, and with as many shingles gone from one end as containment allows."""
+    rng, rows, want = random.Random(3), [], {}
+    for name, t in sorted(licenses.TEMPLATES.items()):
+        w = words(t)
+        n = max(len(w) - 4, 1)
+        spare = n - math.ceil(0.8 * n)
+        for at in range(2 << (len(w) - 1).bit_length()):
+            for part in {tuple(w), tuple(w[spare:]), tuple(w[: len(w) - spare])}:
+                pad = [f"w{rng.randrange(10 ** 6)}" for _ in range(at + 150)]
+                want[len(rows)] = name
+                rows.append((len(rows), " ".join([*pad[:at], *part, *pad[at:]])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    lost = [want[r.doc_id] for r in licenses.scan(docs).collect() if want[r.doc_id] not in r.licenses]
+    assert lost == []
+
+
+def test_bands_meet_their_bound():
+    for size in (16, 32, 64, 1024):
+        window = 2 * size - 4
+        for n in range(max(size // 2 - 3, 5), size - 3):
+            shared = math.ceil(0.8 * n)
+            assert (1 - shared / (window + n - shared)) ** licenses.bands(n, window) <= licenses.MISS
+
+
+def test_templates_of_any_size_by_parameter(spark):
+    long = " ".join(f"clause{i}" for i in range(9000))
+    docs = spark.createDataFrame([(1, "intro " * 700 + long + " end"), (2, long[: len(long) // 2]), (3, "tiny note")],
+                                 "doc_id long, text string")
+    got = {r.doc_id: r.licenses for r in licenses.scan(docs, {"long": long, "tiny": "Tiny note", "none": ""}).collect()}
+    assert got == {1: ["long"], 2: [], 3: ["tiny"]}
