@@ -145,10 +145,10 @@ def _classed(rows: DataFrame, name: str, n: str) -> DataFrame:
             .select(name, n, F.concat_ws(":", n, "x", "y").alias(f"{name}_class")))
 
 
-def _occurrences(docs: DataFrame, texts: DataFrame, text_col: str) -> DataFrame:
-    """(key, t, s, e): every word outside the base spans of the distinct texts (key, base)."""
+def _occurrences(docs: DataFrame, texts: DataFrame, keys: DataFrame, text_col: str) -> DataFrame:
+    """(key, t, s, e): every word outside the base spans of the distinct texts (key, base) that ``keys`` names."""
     rows = docs.select(F.md5(text_col).alias("key"), F.col(text_col).alias("text"))
-    rows = rows.join(texts.select("key"), "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
+    rows = rows.join(keys.select("key"), "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
     segment = f"(?:{WORD}(?:{WORD_GAP})?+){{1,{SEGMENT}}}+"
     parts = rows.join(texts, "key").select("key", "base", F.explode(_placed(F.col("text"), segment, 4, F.lit(0))).alias("p"))
     close = F.filter("base", lambda b: (b["s"] < F.col("p.e")) & (F.col("p.s") < b["e"]))
@@ -167,8 +167,7 @@ def term_spans(docs: DataFrame, found: DataFrame, text_col: str = "text") -> Dat
     able = _classed(held, "v", "n_v").where((F.col("n_v") >= MIN_SUPPORT) & (F.col("n_v") * 2 ** MIN_GAIN <= total))
     owners = sized(held.join(able, "v").select("key", "v_class", "n_v").distinct(), "owners")
 
-    texts = dirty.join(owners.select("key").distinct(), "key", "left_semi")
-    places = sized(_occurrences(docs, texts, text_col), "places")
+    places = sized(_occurrences(docs, dirty, owners, text_col), "places")
     words = places.select("key", "t").distinct()
     enough = _classed(words, "t", "n_here").where(F.col("n_here") >= MIN_SUPPORT)
     members = sized(words.join(enough, "t"), "members")                    # key, t, n_here, t_class
