@@ -22,7 +22,9 @@ can't be disclosed; only texts with another entity have their words cut.  Entiti
 found in the same texts are one class, as are terms of the same texts (exclusive or
 of two hashes of their texts, and their number); co-occurrence is counted between
 classes, so a group of near copies makes one pair of classes, not a pair for each
-entity and term.
+entity and term.  A term found in too many of the texts of one part of ``PARTS`` (by
+digest) can't meet the threshold whatever the others hold; the rest are counted
+over all texts.
 
 Cases: null and empty texts have no spans; repeated rows are judged alike; exact
 copies count as one text in the statistics; overlapping spans are replaced as
@@ -43,6 +45,7 @@ MIN_SUPPORT = 3
 MAX_BITS = 1.0
 MIN_GAIN = 2.0
 SEGMENT = 256
+PARTS = 16
 
 PATTERNS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -159,6 +162,13 @@ def _occurrences(docs: DataFrame, texts: DataFrame, keys: DataFrame, text_col: s
             .select("key", F.lower("w.v").alias("t"), F.col("w.s").alias("s"), F.col("w.e").alias("e")))
 
 
+def _texts_with(docs: DataFrame, terms: DataFrame, text_col: str, kept: Column) -> DataFrame:
+    """(t, n_all): distinct texts that hold a term, of those of a condition."""
+    words = F.array_distinct(F.split(F.lower(F.coalesce(text_col, F.lit(""))), WORD_GAP))
+    each = docs.where(kept).select(digest_of(F.col(text_col)).alias("digest"), F.explode(words).alias("t"))
+    return each.join(terms.select("t"), "t", "left_semi").distinct().groupBy("t").agg(F.count("*").alias("n_all"))
+
+
 def term_spans(docs: DataFrame, found: DataFrame, text_col: str = "text") -> DataFrame:
     """(key, extra): spans of disclosing terms by text."""
     total = float(found.select("digest").distinct().count())
@@ -179,12 +189,13 @@ def term_spans(docs: DataFrame, found: DataFrame, text_col: str = "text") -> Dat
                 .where((F.col("n_vt") >= MIN_SUPPORT) & (F.col("n_here") <= F.col("n_vt") * 2 ** MAX_BITS)))
     together = sized(together, "together")
 
-    asked = sized(members.join(together.select("t_class").distinct(), "t_class", "left_semi")
-                  .select("t", "t_class", "n_here").distinct(), "asked")
-    each = docs.select(digest_of(F.col(text_col)).alias("digest"), F.explode(F.array_distinct(
-        F.split(F.lower(F.coalesce(text_col, F.lit(""))), WORD_GAP))).alias("t"))
-    seen = (each.join(asked.select("t"), "t", "left_semi").distinct()
-            .groupBy("t").agg(F.count("*").alias("n_all")))
+    most = together.groupBy("t_class").agg((F.max("n_vt") * 2 ** MAX_BITS).alias("most"))
+    asked = sized(members.join(most, "t_class").select("t", "t_class", "n_here", "most").distinct(), "asked")
+    some = _texts_with(docs, asked, text_col, F.pmod(digest_of(F.col(text_col)), F.lit(PARTS)) == 0)
+    some = some.withColumnRenamed("n_all", "n_some")
+    asked = sized(asked.join(some, "t", "left").where(F.coalesce("n_some", F.lit(0)) <= F.col("most"))
+                  .select("t", "t_class", "n_here"), "rare")
+    seen = _texts_with(docs, asked, text_col, F.lit(True))
     counted = sized(asked.join(seen, "t", "left").select("t", "t_class", F.greatest("n_all", "n_here").alias("n_t")), "counted")
 
     # P(v | t) = n_vt / n_t against 2^-MAX_BITS, and against P(v) = n_v / total times 2^MIN_GAIN
